@@ -69,3 +69,49 @@ def q_risk_snapshot(spark, d):
 @query("risk_score_rt")
 def q_risk_score_rt(spark, d):
     return finish(rt_flat(R.rt_frame(X.frame_1h(spark, d))))
+
+
+# ---------------------------------------------------------------- features
+def _bars_li(spark, d):
+    return X.bars_daily_li(spark, d)
+
+
+@query("feat_core")
+def q_feat_core(spark, d):
+    return finish(FT.feat_core(X.bars_1h(spark, d)))
+
+
+@query("feat_daily")
+def q_feat_daily(spark, d):
+    return finish(FT.feat_daily(_bars_li(spark, d)))
+
+
+@query("lbl_trap")
+def q_lbl_trap(spark, d):
+    return finish(FT.lbl_trap(_bars_li(spark, d)))
+
+
+@query("feat_tick")
+def q_feat_tick(spark, d):
+    return finish(FT.feat_tick(X.frame_1h(spark, d)))
+
+
+@query("feat_engine")
+def q_feat_engine(spark, d):
+    return finish(FT.feat_engine(X.frame_1h(spark, d)))
+
+
+@query("feat_trap")
+def q_feat_trap(spark, d):
+    return finish(FT.feat_trap(X.bars_1h(spark, d)))
+
+
+@query("feat_asset")
+def q_feat_asset(spark, d):
+    return finish(FT.feat_asset(X.bars_1h(spark, d)))
+
+
+@query("feat_chart")
+def q_feat_chart(spark, d):
+    fr = _bars_li(spark, d).select("symbol", "ts", F.col("close").alias("price"), "volume")
+    return finish(FT.feat_chart(fr))

@@ -114,3 +114,155 @@ ORACLE["risk_snapshot"] = (
     f"with {BASE_1H},{rt_sql()},\nlatest as (select * from rt qualify row_number() over (partition by symbol order by ts desc) = 1)\n"
     f"{rt_flat_select('latest')}"
 )
+
+
+# ---------------------------------------------------------------- features
+from tidemark.operators.params import ASSET_ROWS, PARAM_COLUMNS, distinct_values  # noqa: E402
+from tidemark.sqlgen import corr, flag, lead, ratio_gt, ratio_lt  # noqa: E402
+from tidemark.functions.series import ema_depth  # noqa: E402
+
+BARS = ["symbol", "ts", "open", "high", "low", "close", "volume"]
+
+
+def out_select(src: str, keys, dbl=(), ints=(), fill=True) -> str:
+    parts = list(keys)
+    for c in dbl:
+        parts.append(f"{r6(f'coalesce({c}, 0)' if fill else c)} as {c}")
+    for c in ints:
+        parts.append(f"cast(coalesce({c}, 0) as integer) as {c}")
+    return f"select {', '.join(parts)} from {src}"
+
+
+def bars_out(src, dbl=(), ints=()):
+    return out_select(src, ["symbol", "ts"], [*["open", "high", "low", "close", "volume"], *dbl], ints, True)
+
+
+CORE = f"""core1 as (select {', '.join(BARS)}, (close - {lag('close')}) / nullif({lag('close')}, 0) as price_return,
+    (volume - {lag('volume')}) / (case when {lag('volume')} > 0 then {lag('volume')} else 1.0 end) as volume_change,
+    max(high) {W(-19, 0)} as _rh, (close - {lag('close', 4)}) / nullif({lag('close', 4)}, 0) as price_momentum,
+    (volume - {lag('volume', 4)}) / (case when {lag('volume', 4)} > 0 then {lag('volume', 4)} else 1.0 end) as volume_momentum
+  from bars_1h),
+core2 as (select *, stddev_samp(price_return) {W(-19, 0)} as volatility, (close - _rh) / nullif(_rh, 0) as breakout_strength,
+    {corr('price_return', 'volume_change', 20)} as pv_correlation from core1)"""
+ORACLE["feat_core"] = f"with {TICKS},\n{BARS_1H},\n{CORE}\n" + bars_out(
+    "core2", ["price_return", "volume_change", "volatility", "breakout_strength", "pv_correlation", "price_momentum", "volume_momentum"])
+
+
+def daily_sql(src: str) -> str:
+    return f"""d1 as (select {', '.join(BARS)}, {pct('close')} as price_return, {pct('volume')} as volume_change,
+    (high - low) / nullif(open, 0) as volatility, max(close) {W(-19, 0)} as rolling_max_20,
+    {lag('close')} as _lc, {lag('volume')} as _lv from {src}),
+d2 as (select *, (close - rolling_max_20) / nullif(rolling_max_20, 0) as breakout_strength,
+    {flag(f"close > {lag('rolling_max_20')}")} as is_breakout,
+    {flag(f"{ratio_gt('close', '_lc', 0.0)} and {ratio_lt('volume', '_lv', 0.0)}")} as pv_divergence from d1)"""
+
+
+DAILY_D = ["price_return", "volume_change", "volatility", "rolling_max_20", "breakout_strength"]
+ORACLE["feat_daily"] = f"with {BARS_LI},\n{daily_sql('bars_li')}\n" + bars_out("d2", DAILY_D, ["is_breakout", "pv_divergence"])
+ORACLE["lbl_trap"] = (
+    f"with {BARS_LI},\n{daily_sql('bars_li')},\n"
+    f"d3 as (select *, {flag(f'is_breakout = 1 and {ratio_lt(chr(118) + 'olume', '_lv', 0.3)} and (close - {lead('close', 3)}) / nullif(close, 0) >= 0.02')} as label from d2)\n"
+    + bars_out("d3", DAILY_D, ["is_breakout", "pv_divergence", "label"])
+)
+
+TICK_SQL = f"""t1 as (select symbol, ts, price, volume, {pct('price')} as price_return, {pct('volume')} as volume_change,
+    max(price) {W(-19, 0)} as _rm, {lag('price')} as _lp, {lag('volume')} as _lv from frame_1h),
+t2 as (select *, stddev_samp(price_return) {W(-9, 0)} as volatility, (price - _rm) / nullif(_rm, 0) as breakout_strength,
+    {flag(f"price > {lag('_rm')}")} as is_breakout,
+    {flag(f"({ratio_gt('price', '_lp', 0.0)} and {ratio_lt('volume', '_lv', 0.0)}) or ({ratio_lt('price', '_lp', 0.0)} and {ratio_gt('volume', '_lv', 0.0)})")} as pv_divergence
+  from t1)"""
+ORACLE["feat_tick"] = f"with {BASE_1H},\n{TICK_SQL}\n" + out_select(
+    "t2", ["ts", "symbol"], ["price_return", "volume_change", "volatility", "breakout_strength"], ["is_breakout", "pv_divergence"])
+
+ENGINE_SQL = f"""e1 as (select symbol, ts, price, volume, coalesce({pct('price')}, 0) as price_return,
+    coalesce({pct('volume')}, 0) as volume_change, coalesce(max(price) {W(-20, -1)}, price) as _rm from frame_1h),
+e2 as (select *, stddev_samp(price_return) {W(-9, 0)} as volatility, (price - _rm) / nullif(_rm, 0) as breakout_strength,
+    {flag('price > _rm')} as is_breakout, {flag('price_return > 0 and volume_change < 0')} as pv_divergence from e1)"""
+ORACLE["feat_engine"] = f"with {BASE_1H},\n{ENGINE_SQL}\n" + out_select(
+    "e2", ["symbol", "ts"], ["price", "volume", "price_return", "volume_change", "volatility", "breakout_strength"],
+    ["is_breakout", "pv_divergence"])
+
+TRAP_SQL = f"""p1 as (select {', '.join(BARS)}, {pct('close')} as price_return, {pct('volume')} as volume_change,
+    {lag('close')} as _lc, {lag('volume')} as _lv, max(high) {W(-19, 0)} as _rh, max(high) {W(-20, -1)} as _ph,
+    max(high) {W(-21, -2)} as _ph2, (high - close) / nullif(high - low, 0) as upper_wick_ratio,
+    abs(close - open) / nullif(high - low, 0) as body_to_range_ratio, avg(volume) {W(-19, 0)} as _vm,
+    close - {lag('close')} as _d from bars_1h),
+p2 as (select *, case when _rh = 0 then 0.0 else (close - _rh) / _rh end as breakout_strength,
+    {flag('high > _ph and close < _ph')} as breakout_failure, {flag('_lc > _ph2 and close < _ph')} as failed_retest,
+    {flag('volume > _vm * 1.5')} as volume_spike, {ratio_gt('close', '_lc', 0.0)} as _up, {ratio_lt('close', '_lc', 0.0)} as _down,
+    {ratio_lt('volume', '_lv', 0.0)} as _vdown, {corr('price_return', 'volume_change', 10, 10)} as pv_correlation,
+    {flag('open > _lc * 1.002 and close < open')} as gap_rejection, {pct('close', 5)} as price_momentum,
+    {rsi('close', 14, 'zero')} as rsi_14 from p1),
+p3 as (select *, {flag('volume_spike = 1 and body_to_range_ratio < 0.3')} as absorption_signal,
+    {flag('_up and _vdown')} as volume_divergence,
+    {flag(f"volume_spike = 1 and _down and coalesce({lag('_up')}, false)")} as volume_spike_on_reversal,
+    {flag(f"rsi_14 > 70 and rsi_14 - {lag('rsi_14')} < 0")} as rsi_overbought_fall,
+    {flag(f"coalesce({lag('_up')}, false) and ({lag('price_return')} > 0.02 or {lag('price_return')} is null) and price_return < -0.02")} as fast_reversal,
+    {flag(f"price_momentum < {lag('price_momentum')} and _up")} as momentum_fade from p2)"""
+TRAP_D = ["price_return", "volume_change", "breakout_strength", "upper_wick_ratio", "body_to_range_ratio", "pv_correlation",
+          "price_momentum", "rsi_14"]
+TRAP_I = ["breakout_failure", "failed_retest", "volume_spike", "absorption_signal", "volume_divergence",
+          "volume_spike_on_reversal", "gap_rejection", "rsi_overbought_fall", "fast_reversal", "momentum_fade"]
+ORACLE["feat_trap"] = f"with {TICKS},\n{BARS_1H},\n{TRAP_SQL}\n" + bars_out("p3", TRAP_D, TRAP_I)
+
+
+def sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, float):
+        return f"cast({v!r} as double)"
+    return str(v)
+
+
+PARAMS_VALUES = "pa(" + ", ".join(PARAM_COLUMNS) + ") as (values " + ", ".join(
+    "(" + ", ".join(sql_lit(v) for v in r) + ")" for r in ASSET_ROWS) + ")"
+DEFAULT_ROW = dict(zip(PARAM_COLUMNS, ASSET_ROWS[0]))
+
+
+def with_params_sql(src: str, name: str = "ap") -> str:
+    cols = ", ".join(f"coalesce(p.{c}, {sql_lit(DEFAULT_ROW[c])}) as {c}" for c in PARAM_COLUMNS if c != "symbol")
+    return f"{name} as (select b.*, {cols} from {src} b left join pa p on b.symbol = p.symbol)"
+
+
+def per(param: str, make) -> str:
+    return "(case " + " ".join(f"when {param} = {v} then {make(v)}" for v in distinct_values(param)) + " end)"
+
+
+ASSET_SQL = f"""{PARAMS_VALUES},
+{with_params_sql('bars_1h')},
+a1 as (select *, {pct('close')} as price_return, {pct('volume')} as volume_change,
+    {per('breakout_lookback', lambda n: f"max(high) {W(-(n - 1), 0)}")} as _rh,
+    {per('breakout_lookback', lambda n: f"max(high) {W(-n, -1)}")} as _ph,
+    {per('absorption_window', lambda n: f"avg(volume) {W(-(n - 1), 0)}")} as _vm,
+    abs(close - open) / nullif(high - low, 0) as body_to_range,
+    {per('momentum_window', lambda n: pct('close', n))} * 100.0 as momentum_roc,
+    {per('compression_window', lambda n: f"stddev_samp(high) {W(-(n - 1), 0)}")} / nullif(close, 0) as volatility
+  from ap),
+a2 as (select *, case when _rh = 0 then 0.0 else (close - _rh) / _rh end as breakout_strength,
+    {flag('high > _ph and close < _ph')} as breakout_failure, {flag('volume > _vm * 1.5')} as volume_spike,
+    {per('reversal_window', lambda n: f"sum(price_return) {W(-(n - 1), 0)}")} as reversal_velocity,
+    {per('compression_window', lambda n: f"avg(volatility) {W(-(n - 1), 0)}")} as _vmean,
+    {flag(f"momentum_roc > momentum_threshold and {lag('momentum_roc')} > momentum_threshold and momentum_roc < {lag('momentum_roc')}")} as momentum_exhaustion
+  from a1),
+a3 as (select *, {flag('volume_spike = 1 and body_to_range < 0.3')} as absorption_signal,
+    {per('reversal_window', lambda n: f"avg(breakout_failure) {W(-(n - 1), 0)}")} as fake_breakout_prob,
+    {flag('reversal_velocity < -breakout_threshold / 100.0')} as sharp_reversal,
+    _vmean / nullif(volatility, 0) as compression_ratio,
+    {flag('case when volatility = 0 then _vmean > 0 else _vmean / volatility > 1.5 end')} as compression_to_expansion,
+    {per('momentum_window', lambda n: f"avg(momentum_exhaustion) {W(-(n - 1), 0)}")} as momentum_exhaustion_prob
+  from a2),
+a4 as (select *, {per('absorption_window', lambda n: f"avg(absorption_signal) {W(-(n - 1), 0)}")} as volume_absorption_prob from a3)"""
+ASSET_D = ["price_return", "volume_change", "breakout_strength", "fake_breakout_prob", "body_to_range", "volume_absorption_prob",
+           "momentum_roc", "momentum_exhaustion_prob", "reversal_velocity", "volatility", "compression_ratio"]
+ASSET_I = ["breakout_failure", "volume_spike", "absorption_signal", "momentum_exhaustion", "sharp_reversal", "compression_to_expansion"]
+ORACLE["feat_asset"] = f"with {TICKS},\n{BARS_1H},\n{ASSET_SQL}\n" + bars_out("a4", ASSET_D, ASSET_I)
+
+CHART_SQL = f"""fr as (select symbol, ts, close as price, volume from bars_li),
+ch1 as (select *, case when volume = 0 then 1.0 else volume end as _v from fr),
+ch2 as (select symbol, ts, price, volume,
+    list_reduce(list(price) {W(-ema_depth(9), 0)}, lambda acc, x: 0.2 * x + 0.8 * acc) as ema9,
+    list_reduce(list(price) {W(-ema_depth(21), 0)}, lambda acc, x: {2.0 / 22.0!r} * x + {1.0 - 2.0 / 22.0!r} * acc) as ema21,
+    sum(price * _v) {W(None, 0)} / sum(_v) {W(None, 0)} as vwap,
+    least(volume, quantile_cont(volume, 0.95) over (partition by symbol)) as volume_plot from ch1)"""
+ORACLE["feat_chart"] = f"with {BARS_LI},\n{CHART_SQL}\n" + out_select(
+    "ch2", ["symbol", "ts"], ["price", "volume", "ema9", "ema21", "vwap", "volume_plot"], fill=False)

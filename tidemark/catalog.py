@@ -115,3 +115,144 @@ def q_feat_asset(spark, d):
 def q_feat_chart(spark, d):
     fr = _bars_li(spark, d).select("symbol", "ts", F.col("close").alias("price"), "volume")
     return finish(FT.feat_chart(fr))
+
+
+# ------------------------------------------------------ base series windows
+from tidemark.functions import series as S  # noqa: E402
+from tidemark.functions import scalar as SC  # noqa: E402
+from tidemark.plans.partitioning import over_series  # noqa: E402
+
+
+def series_cols(df: DataFrame, make: Callable, halo: int, keep=("symbol", "ts"), lookahead: int = 0) -> DataFrame:
+    """Run ``make(spec) -> {name: Column}`` chunk-parallel over ``df``."""
+    def build(d, s):
+        for name, c in make(s).items():
+            d = d.withColumn(name, c)
+        return d
+    out = over_series(df, build, halo=halo, lookahead=lookahead)
+    names = list(make(S.Series()).keys())
+    return out.select(*keep, *names)
+
+
+def li_bars(spark, d):
+    return X.bars_daily_li(spark, d)
+
+
+@query("win_pct_change")
+def q_win_pct_change(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {
+        "close_change": S.pct_change("close", s), "volume_change": S.pct_change("volume", s)}, 2))
+
+
+@query("win_pct_change_guarded")
+def q_win_pct_change_guarded(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {"volume_change": S.pct_change_guarded("volume", s)}, 2))
+
+
+@query("win_roc_n")
+def q_win_roc_n(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {
+        "roc_4": S.pct_change("close", s, 4), "roc_5": S.pct_change("close", s, 5)}, 6))
+
+
+@query("win_rolling_max_min")
+def q_win_rolling_max_min(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {
+        "max_high_20": S.rolling_max("high", 20, s), "min_low_20": S.rolling_min("low", 20, s),
+        "max_close_20": S.rolling_max("close", 20, s)}, 20))
+
+
+@query("win_prev_high")
+def q_win_prev_high(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {
+        "prev_high_20": S.rolling_prev(F.max, "high", 20, s),
+        "prev_high_20_min5": S.rolling_prev(F.max, "close", 20, s, 5),
+        "prev_high_filled": F.coalesce(S.rolling_prev(F.max, "close", 20, s), F.col("close"))}, 21))
+
+
+@query("win_rolling_mean")
+def q_win_rolling_mean(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {
+        "volume_mean_20": S.rolling_mean("volume", 20, s), "close_mean_8_min5": S.rolling_mean("close", 8, s, 5),
+        "up_share_5": S.flag_mean(F.col("close") > F.col("open"), 5, s)}, 20))
+
+
+@query("win_rolling_sum")
+def q_win_rolling_sum(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {"volume_sum_3": S.rolling_sum("volume", 3, s)}, 3))
+
+
+@query("win_rolling_std")
+def q_win_rolling_std(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {
+        "close_std_20": S.rolling_std("close", 20, s), "close_std_10": S.rolling_std("close", 10, s)}, 20))
+
+
+@query("win_rolling_corr")
+def q_win_rolling_corr(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {
+        "corr_20": S.rolling_corr("close", "volume", 20, s), "corr_10_min10": S.rolling_corr("close", "volume", 10, s, 10)}, 20))
+
+
+@query("win_shift")
+def q_win_shift(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {
+        "prev_close": S.lag("close", s), "was_up": SC.truth(S.lag(F.col("close") > F.col("open"), s)).cast("int")}, 2))
+
+
+@query("win_rsi_zero")
+def q_win_rsi_zero(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {"rsi_14": S.rsi("close", s, 14, "zero")}, 16))
+
+
+@query("win_rsi_neutral")
+def q_win_rsi_neutral(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {"rsi_14": S.rsi("close", s, 14, "neutral")}, 16))
+
+
+@query("win_ema")
+def q_win_ema(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {
+        "ema9": S.ema("close", s, 9), "ema21": S.ema("close", s, 21)}, S.ema_depth(21) + 1))
+
+
+@query("win_vwap")
+def q_win_vwap(spark, d):
+    from tidemark.plans.partitioning import running_totals
+
+    def build(df, s):
+        v = F.when(F.col("volume") == 0, F.lit(1.0)).otherwise(F.col("volume"))
+        df = running_totals(df, s, {"_pv": F.col("close") * v, "_v": v})
+        return df.withColumn("vwap", F.try_divide("_pv", "_v"))
+    return finish(over_series(li_bars(spark, d), build, halo=0).select("symbol", "ts", "vwap"))
+
+
+@query("win_rolling_minmax")
+def q_win_rolling_minmax(spark, d):
+    return finish(series_cols(li_bars(spark, d), lambda s: {"risk_pct": S.minmax_pct("close", s, 100)}, 100))
+
+
+@query("win_extremes_120")
+def q_win_extremes_120(spark, d):
+    """Latest bar per symbol: change vs previous bar and 120-bar high/low."""
+    out = series_cols(li_bars(spark, d), lambda s: {
+        "close": F.col("close"), "change": F.col("close") - S.lag("close", s),
+        "change_pct": F.try_divide(F.col("close") - S.lag("close", s), S.lag("close", s)) * 100.0,
+        "high_120": S.rolling_max("high", 120, s), "low_120": S.rolling_min("low", 120, s)}, 120)
+    return finish(R.latest_per_symbol(out))
+
+
+@query("win_diff_clip")
+def q_win_diff_clip(spark, d):
+    ct = X.cumulative_ticks(spark, d)
+    out = over_series(ct, lambda df, s: df.withColumn("volume_delta", S.diff_clip("volume", s)), halo=1,
+                      order=("ts", "seq"))
+    return finish(out.select("symbol", "ts", "seq", "volume", "volume_delta"))
+
+
+@query("win_centered_band")
+def q_win_centered_band(spark, d):
+    from tidemark.operators.stats import centered_band
+
+    rt = R.rt_frame(X.frame_1h(spark, d)).select("symbol", "ts", "risk_score")
+    return finish(centered_band(rt, "risk_score"))

@@ -266,3 +266,60 @@ ch2 as (select symbol, ts, price, volume,
     least(volume, quantile_cont(volume, 0.95) over (partition by symbol)) as volume_plot from ch1)"""
 ORACLE["feat_chart"] = f"with {BARS_LI},\n{CHART_SQL}\n" + out_select(
     "ch2", ["symbol", "ts"], ["price", "volume", "ema9", "ema21", "vwap", "volume_plot"], fill=False)
+
+
+# ------------------------------------------------------ base series windows
+def li_q(cols: dict, dbl: list | None = None, ints: list | None = None, src: str = "bars_li") -> str:
+    sel = ", ".join(f"{e} as {n}" for n, e in cols.items())
+    dbl = list(cols) if dbl is None else dbl
+    ints = ints or []
+    return f"with {BARS_LI},\nq as (select symbol, ts, {sel} from {src})\n" + out_select("q", ["symbol", "ts"], dbl, [], fill=False) \
+        if not ints else f"with {BARS_LI},\nq as (select symbol, ts, {sel} from {src})\n" + out_select("q", ["symbol", "ts"], dbl, ints, fill=False)
+
+
+ORACLE["win_pct_change"] = li_q({"close_change": pct("close"), "volume_change": pct("volume")})
+ORACLE["win_pct_change_guarded"] = li_q({"volume_change": f"(volume - {lag('volume')}) / (case when {lag('volume')} > 0 then {lag('volume')} else 1.0 end)"})
+ORACLE["win_roc_n"] = li_q({"roc_4": pct("close", 4), "roc_5": pct("close", 5)})
+ORACLE["win_rolling_max_min"] = li_q({"max_high_20": f"max(high) {W(-19, 0)}", "min_low_20": f"min(low) {W(-19, 0)}",
+                                      "max_close_20": f"max(close) {W(-19, 0)}"})
+ORACLE["win_prev_high"] = li_q({"prev_high_20": f"max(high) {W(-20, -1)}", "prev_high_20_min5": roll_prev("max", "close", 20, 5),
+                                "prev_high_filled": f"coalesce(max(close) {W(-20, -1)}, close)"})
+ORACLE["win_rolling_mean"] = li_q({"volume_mean_20": f"avg(volume) {W(-19, 0)}", "close_mean_8_min5": roll("avg", "close", 8, 5),
+                                   "up_share_5": fmean("close > open", 5)})
+ORACLE["win_rolling_sum"] = li_q({"volume_sum_3": f"sum(volume) {W(-2, 0)}"})
+ORACLE["win_rolling_std"] = li_q({"close_std_20": f"stddev_samp(close) {W(-19, 0)}", "close_std_10": f"stddev_samp(close) {W(-9, 0)}"})
+ORACLE["win_rolling_corr"] = li_q({"corr_20": corr("close", "volume", 20), "corr_10_min10": corr("close", "volume", 10, 10)})
+ORACLE["win_shift"] = li_q({"prev_close": lag("close"), "was_up": flag(lag("close > open"))}, ["prev_close"], ["was_up"])
+ORACLE["win_rsi_zero"] = (f"with {BARS_LI},\nb as (select *, close - {lag('close')} as _d from bars_li),\n"
+                          f"q as (select symbol, ts, {rsi('close', 14, 'zero')} as rsi_14 from b)\n" + out_select("q", ["symbol", "ts"], ["rsi_14"], fill=False))
+ORACLE["win_rsi_neutral"] = (f"with {BARS_LI},\nb as (select *, close - {lag('close')} as _d from bars_li),\n"
+                             f"q as (select symbol, ts, {rsi('close', 14, 'neutral')} as rsi_14 from b)\n" + out_select("q", ["symbol", "ts"], ["rsi_14"], fill=False))
+ORACLE["win_ema"] = li_q({
+    "ema9": f"list_reduce(list(close) {W(-ema_depth(9), 0)}, lambda acc, x: 0.2 * x + 0.8 * acc)",
+    "ema21": f"list_reduce(list(close) {W(-ema_depth(21), 0)}, lambda acc, x: {2.0 / 22.0!r} * x + {1.0 - 2.0 / 22.0!r} * acc)"})
+ORACLE["win_vwap"] = li_q({"vwap": f"sum(close * (case when volume = 0 then 1.0 else volume end)) {W(None, 0)} / sum(case when volume = 0 then 1.0 else volume end) {W(None, 0)}"})
+ORACLE["win_rolling_minmax"] = li_q({"risk_pct": f"greatest(0.0, least(100.0, case when max(close) {W(-99, 0)} - min(close) {W(-99, 0)} > 0 then (close - min(close) {W(-99, 0)}) / (max(close) {W(-99, 0)} - min(close) {W(-99, 0)}) * 100.0 else 50.0 end))"})
+ORACLE["win_extremes_120"] = (
+    f"with {BARS_LI},\nq as (select symbol, ts, close, close - {lag('close')} as change, (close - {lag('close')}) / nullif({lag('close')}, 0) * 100.0 as change_pct,"
+    f" max(high) {W(-119, 0)} as high_120, min(low) {W(-119, 0)} as low_120 from bars_li qualify row_number() over (partition by symbol order by ts desc) = 1)\n"
+    + out_select("q", ["symbol", "ts"], ["close", "change", "change_pct", "high_120", "low_120"], fill=False))
+CUM_TICKS = f"""{TICKS},
+cum as (select symbol, ts, seq, price, sum(coalesce(volume, 0.0)) over (partition by symbol, cast(ts as date) order by ts, seq rows between unbounded preceding and current row) as volume from ticks)"""
+ORACLE["win_diff_clip"] = (
+    f"with {CUM_TICKS},\nq as (select symbol, ts, seq, volume, greatest(coalesce(volume - {lag('volume', 1, order='ts, seq')}, 0.0), 0.0) as volume_delta from cum)\n"
+    + out_select("q", ["symbol", "ts", "seq"], ["volume", "volume_delta"], fill=False))
+
+
+def band_sql(src: str, value: str, max_w: int = 20) -> str:
+    mean = " ".join(f"when _w = {w} then avg({value}) {W(-(w // 2), (w - 1) // 2)}" for w in range(1, max_w + 1))
+    std = " ".join(f"when _w = {w} then stddev_samp({value}) {W(-(w // 2), (w - 1) // 2)}" for w in range(1, max_w + 1))
+    return f"""bn as (select s.*, n._n, least({max_w}, greatest(1, floor(n._n / 2))) as _w from {src} s
+    join (select symbol, count(*) as _n from {src} group by symbol) n using (symbol)),
+bb as (select symbol, ts, {value}, case when _n <= _w then avg({value}) {W(-1, 1)} else (case {mean} end) end as band_mean,
+    case when _n <= _w then 0.0 else (case {std} end) end as band_std from bn),
+bc as (select *, band_mean + 1.5 * band_std as band_upper, band_mean - 1.5 * band_std as band_lower,
+    coalesce(abs({value} - band_mean) > 1.5 * band_std, false) as significant from bb)"""
+
+
+ORACLE["win_centered_band"] = (f"with {BASE_1H},{rt_sql()},\n{band_sql('rt', 'risk_score')}\n"
+                               + out_select("bc", ["symbol", "ts", "significant"], ["risk_score", "band_mean", "band_std", "band_upper", "band_lower"], fill=False))

@@ -256,3 +256,281 @@ def q_win_centered_band(spark, d):
 
     rt = R.rt_frame(X.frame_1h(spark, d)).select("symbol", "ts", "risk_score")
     return finish(centered_band(rt, "risk_score"))
+
+
+# ------------------------------------------------------------ risk pieces
+from tidemark.operators import stats as ST  # noqa: E402
+from tidemark.operators.params import supported, with_asset_params  # noqa: E402
+
+COMP = ["structure_failure", "volume_behavior", "momentum_exhaustion"]
+
+
+def _rt(spark, d):
+    return R.rt_frame(X.frame_1h(spark, d))
+
+
+@query("risk_components_rt")
+def q_risk_components_rt(spark, d):
+    return finish(_rt(spark, d).select("symbol", "ts", "bar_no", *COMP))
+
+
+@query("risk_diagnostics_rt")
+def q_risk_diagnostics_rt(spark, d):
+    return finish(_rt(spark, d).select("symbol", "ts", "bar_no", "diagnostics.*"))
+
+
+@query("risk_trap_type")
+def q_risk_trap_type(spark, d):
+    return finish(_rt(spark, d).select("symbol", "ts", "trap_type"))
+
+
+@query("risk_reasons_rt")
+def q_risk_reasons_rt(spark, d):
+    return finish(_rt(spark, d).select("symbol", "ts", F.posexplode("reasons").alias("pos", "r"))
+                  .select("symbol", "ts", "pos", "r.reason", "r.confidence"))
+
+
+@query("risk_control")
+def q_risk_control(spark, d):
+    return finish(_rt(spark, d).select("symbol", "ts", "control"))
+
+
+@query("risk_sentiment")
+def q_risk_sentiment(spark, d):
+    return finish(_rt(spark, d).select("symbol", "ts", "control", R.sentiment(F.col("control")).alias("sentiment")))
+
+
+@query("risk_main_reason")
+def q_risk_main_reason(spark, d):
+    return finish(R.risk_snapshot(X.frame_1h(spark, d)).select("symbol", "ts", "risk_score", "main_reason"))
+
+
+@query("fn_component_share")
+def q_fn_component_share(spark, d):
+    return finish(R.component_share(_rt(spark, d)))
+
+
+@query("fn_risk_band_snapshot")
+def q_fn_risk_band_snapshot(spark, d):
+    return finish(_rt(spark, d).select("symbol", "ts", "risk_score", SC.band_snapshot("risk_score").alias("band")))
+
+
+@query("fn_risk_band_model")
+def q_fn_risk_band_model(spark, d):
+    return finish(_rt(spark, d).select("symbol", "ts", "risk_score", SC.band_model("risk_score").alias("band")))
+
+
+@query("agg_risk_distribution")
+def q_agg_risk_distribution(spark, d):
+    return finish(ST.risk_distribution(_rt(spark, d), "risk_score"))
+
+
+@query("agg_score_summary")
+def q_agg_score_summary(spark, d):
+    return finish(ST.score_summary(_rt(spark, d), "risk_score"))
+
+
+@query("agg_validation_metrics")
+def q_agg_validation_metrics(spark, d):
+    return finish(ST.validation_metrics(_rt(spark, d), "risk_score", anomaly_pct=20.0, high_pct=15.0))
+
+
+@query("agg_backtest_buckets")
+def q_agg_backtest_buckets(spark, d):
+    return finish(ST.backtest_buckets(_rt(spark, d).withColumn("pct", F.col("risk_score") * 4.0), "pct"))
+
+
+def _trap(spark, d):
+    return R.trap_report(FT.feat_trap(X.bars_1h(spark, d)))
+
+
+@query("risk_components_trap")
+def q_risk_components_trap(spark, d):
+    return finish(_trap(spark, d).select("symbol", "ts", *COMP, "anomaly_score"))
+
+
+@query("risk_score_trap")
+def q_risk_score_trap(spark, d):
+    return finish(_trap(spark, d).select("symbol", "ts", "trap_risk_score", "risk_level"))
+
+
+@query("fn_risk_band_generic")
+def q_fn_risk_band_generic(spark, d):
+    return finish(_trap(spark, d).select("symbol", "ts", "trap_risk_score", SC.band_generic("trap_risk_score").alias("band")))
+
+
+@query("risk_reasons_trap")
+def q_risk_reasons_trap(spark, d):
+    return finish(_trap(spark, d).select("symbol", "ts", F.posexplode("top_3_reasons").alias("pos", "reason")))
+
+
+@query("risk_invalidation")
+def q_risk_invalidation(spark, d):
+    t = _trap(spark, d).select("symbol", "ts", F.lit("generic").alias("model"), F.posexplode("invalidated_by").alias("pos", "condition"))
+    a = _asset(spark, d).select("symbol", "ts", F.lit("asset").alias("model"), F.posexplode("invalidated_by").alias("pos", "condition"))
+    return finish(t.unionByName(a))
+
+
+def _flat_report(df: DataFrame) -> DataFrame:
+    return df.select(
+        "symbol", "ts", "trap_risk_score", "risk_level", *COMP, "anomaly_score",
+        *[F.get("top_3_reasons", i).alias(f"reason_{i + 1}") for i in range(3)],
+        *[F.get("invalidated_by", i).alias(f"invalidated_{i + 1}") for i in range(2)],
+    )
+
+
+@query("risk_report_trap")
+def q_risk_report_trap(spark, d):
+    return finish(_flat_report(R.latest_per_symbol(_trap(spark, d))))
+
+
+def _asset(spark, d):
+    return R.asset_report(FT.feat_asset(X.bars_1h(spark, d)))
+
+
+@query("risk_components_asset")
+def q_risk_components_asset(spark, d):
+    return finish(_asset(spark, d).select("symbol", "ts", *COMP, "anomaly_score"))
+
+
+@query("risk_score_asset")
+def q_risk_score_asset(spark, d):
+    return finish(_asset(spark, d).select("symbol", "ts", "trap_risk_score", "risk_level"))
+
+
+@query("fn_risk_band_asset")
+def q_fn_risk_band_asset(spark, d):
+    return finish(_asset(spark, d).select("symbol", "ts", "trap_risk_score", SC.band_asset("trap_risk_score").alias("band")))
+
+
+@query("risk_reasons_asset")
+def q_risk_reasons_asset(spark, d):
+    return finish(_asset(spark, d).select("symbol", "ts", F.posexplode("top_3_reasons").alias("pos", "reason")))
+
+
+@query("risk_report_asset")
+def q_risk_report_asset(spark, d):
+    return finish(_flat_report(R.latest_per_symbol(_asset(spark, d))))
+
+
+@query("fn_high_risk_filter")
+def q_fn_high_risk_filter(spark, d):
+    a = _asset(spark, d).withColumn("band", SC.band_model("trap_risk_score"))
+    hi = a.filter(F.col("band") == "Potential Market Trap")
+    return finish(hi.select("symbol", "ts", "trap_risk_score",
+                            (F.col("ts") - F.expr("INTERVAL 12 HOURS")).alias("span_start"),
+                            (F.col("ts") + F.expr("INTERVAL 12 HOURS")).alias("span_end")))
+
+
+# ------------------------------------------------------------ scalar fns
+@query("fn_safe_divide")
+def q_fn_safe_divide(spark, d):
+    b = X.bars_1h(spark, d)
+    return finish(b.select("symbol", "ts", SC.safe_divide(F.col("close") - F.col("open"), F.col("high") - F.col("low")).alias("body_share")))
+
+
+@query("fn_clip01")
+def q_fn_clip01(spark, d):
+    b = X.bars_1h(spark, d)
+    return finish(b.select("symbol", "ts", SC.clip01(F.try_divide(F.col("close") - F.col("open"), F.col("open")) * 10.0).alias("move01")))
+
+
+@query("fn_clean_features")
+def q_fn_clean_features(spark, d):
+    raw = series_cols(X.bars_1h(spark, d), lambda s: {
+        "price_return": S.pct_change("close", s), "volume_change": S.pct_change("volume", s),
+        "volatility": S.rolling_std("close", 10, s)}, 10)
+    return finish(raw.na.fill(0.0, ["price_return", "volume_change", "volatility"]))
+
+
+MODEL_FEATURES = ["price_return", "volume_change", "volatility", "breakout_strength", "is_breakout", "pv_divergence"]
+
+
+def align_features(df: DataFrame, cols=MODEL_FEATURES) -> DataFrame:
+    """The model feature vector in order; absent columns become 0."""
+    return df.select(*[(F.col(c).cast("double") if c in df.columns else F.lit(0.0)).alias(c) for c in cols])
+
+
+@query("fn_align_features")
+def q_fn_align_features(spark, d):
+    f = FT.feat_daily(X.bars_daily_li(spark, d)).drop("is_breakout")
+    return finish(f.select("symbol", "ts", *[(F.col(c).cast("double") if c in f.columns else F.lit(0.0)).alias(c)
+                                             for c in MODEL_FEATURES]))
+
+
+@query("fn_candle_shape")
+def q_fn_candle_shape(spark, d):
+    b = X.bars_1h(spark, d)
+    return finish(b.select("symbol", "ts", SC.upper_wick_ratio("high", "close", "low").alias("upper_wick_ratio"),
+                           SC.body_ratio("open", "close", "high", "low").alias("body_ratio")))
+
+
+@query("fn_range_volatility")
+def q_fn_range_volatility(spark, d):
+    b = X.bars_daily_li(spark, d)
+    return finish(b.select("symbol", "ts", SC.range_volatility("high", "low", "open").alias("volatility")))
+
+
+# ------------------------------------------------------------------ joins
+@query("join_asset_params")
+def q_join_asset_params(spark, d):
+    b = X.bars_1h(spark, d).unionByName(X.bars_daily_li(spark, d))
+    p = with_asset_params(b.select("symbol", "ts", "close"))
+    return finish(p.drop("breakout_reason", "volume_reason", "momentum_reason"))
+
+
+@query("join_supported_symbols")
+def q_join_supported_symbols(spark, d):
+    b = X.bars_1h(spark, d).unionByName(X.bars_daily_li(spark, d))
+    return finish(supported(b.select("symbol", "ts", "close")))
+
+
+# ----------------------------------------------------------- aggregations
+@query("agg_ohlcv_bars")
+def q_agg_ohlcv_bars(spark, d):
+    from tidemark.operators.bars import ohlcv_bars
+
+    return finish(ohlcv_bars(X.ticks(spark, d), 60))
+
+
+@query("agg_latest_bars")
+def q_agg_latest_bars(spark, d):
+    from tidemark.operators.bars import latest_bars
+
+    return finish(latest_bars(X.ticks(spark, d), 500, 20, 3600))
+
+
+@query("agg_resample_minute")
+def q_agg_resample_minute(spark, d):
+    from tidemark.operators.bars import resample_minute
+
+    ct = over_series(X.cumulative_ticks(spark, d), lambda df, s: df.withColumn("volume_delta", S.diff_clip("volume", s)),
+                     halo=1, order=("ts", "seq"))
+    return finish(resample_minute(ct, 60))
+
+
+@query("agg_feed_health")
+def q_agg_feed_health(spark, d):
+    from tidemark.operators.bars import feed_health
+
+    return finish(feed_health(X.ticks(spark, d), "2024-01-30 23:50:00"))
+
+
+@query("agg_label_count")
+def q_agg_label_count(spark, d):
+    return finish(ST.label_count(FT.lbl_trap(X.bars_daily_li(spark, d))))
+
+
+@query("agg_scaler_fit")
+def q_agg_scaler_fit(spark, d):
+    return finish(ST.scaler_fit(FT.feat_engine(X.frame_1h(spark, d)), MODEL_FEATURES))
+
+
+@query("agg_volume_cap")
+def q_agg_volume_cap(spark, d):
+    return finish(ST.volume_cap(X.bars_1h(spark, d).select("symbol", "ts", "volume")))
+
+
+@query("agg_distinct_symbols")
+def q_agg_distinct_symbols(spark, d):
+    return finish(X.ticks(spark, d).select("symbol").distinct())

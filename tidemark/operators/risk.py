@@ -251,6 +251,8 @@ def trap_report(feats: DataFrame, anomaly: str | None = None, weights: dict | No
 def asset_components(feats: DataFrame, anomaly: str | None = None) -> DataFrame:
     a = clip01(F.col(anomaly)) if anomaly else F.lit(0.0)
     c = F.col
+    # the per-bar exhaustion flag keeps its value under another name
+    feats = feats.withColumnRenamed("momentum_exhaustion", "momentum_exhaustion_flag")
     return feats.select(
         *feats.columns,
         clip01(0.5 * c("fake_breakout_prob") + 0.3 * c("sharp_reversal") + 0.2 * c("compression_to_expansion")).alias("structure_failure"),

@@ -68,6 +68,11 @@ rt_e as (
     case when bar_no >= 25 then {fmean('_bf', 8)} end as d_bf,
     case when bar_no >= 25 then {fmean('_puvd', 8)} end as d_puvd,
     case when bar_no >= 25 then {fmean('_rsi_fall', 8)} end as d_rsi,
+    case when bar_no >= 25 then {fmean('_nhlv', 8)} end as d_nhlv,
+    case when bar_no >= 25 then {fmean('_mfade', 8)} end as d_mfade,
+    case when bar_no >= 25 then _rsi end as d_rsi_last,
+    case when bar_no >= 25 then _ret end as d_ret,
+    case when bar_no >= 25 then _vchg end as d_vchg,
     case when bar_no < 10 then 'Neutral'
          when avg(_ret) {W(-4, 0)} > 0.0008 and avg(_vchg) {W(-4, 0)} >= -0.01 then 'Buyers in Control'
          when avg(_ret) {W(-4, 0)} < -0.0008 and avg(_vchg) {W(-4, 0)} >= -0.01 then 'Sellers in Control'
@@ -323,3 +328,190 @@ bc as (select *, band_mean + 1.5 * band_std as band_upper, band_mean - 1.5 * ban
 
 ORACLE["win_centered_band"] = (f"with {BASE_1H},{rt_sql()},\n{band_sql('rt', 'risk_score')}\n"
                                + out_select("bc", ["symbol", "ts", "significant"], ["risk_score", "band_mean", "band_std", "band_upper", "band_lower"], fill=False))
+
+
+# ------------------------------------------------------------ risk pieces
+from tidemark.operators.risk import ASSET_ANOMALY_REASON, ASSET_INVALIDATION, GENERIC_INVALIDATION, GENERIC_REASONS  # noqa: E402
+
+RT = f"with {BASE_1H},{rt_sql()}\n"
+COMPS = ["structure_failure", "volume_behavior", "momentum_exhaustion"]
+ORACLE["risk_components_rt"] = RT + out_select("rt", ["symbol", "ts", "bar_no"], COMPS, fill=False)
+ORACLE["risk_diagnostics_rt"] = RT + (
+    f"select symbol, ts, bar_no, {r6('d_bf')} as breakout_failure_strength, {r6('d_puvd')} as price_up_volume_down_strength, "
+    f"{r6('d_rsi')} as rsi_fall_strength, {r6('d_nhlv')} as near_high_low_volume_strength, {r6('d_mfade')} as momentum_fade_strength, "
+    f"{r6('d_rsi_last')} as latest_rsi, {r6('d_ret')} as latest_return, {r6('d_vchg')} as latest_volume_change from rt")
+ORACLE["risk_trap_type"] = RT + "select symbol, ts, trap_type from rt"
+ORACLE["risk_reasons_rt"] = RT + (
+    "select symbol, ts, cast(pos as integer) as pos, x.r as reason, "
+    f"{sround('greatest(0.0, least(1.0, x.c)) * 100.0', 1)} as confidence from "
+    "(select symbol, ts, unnest(range(len(_chosen))) as pos, unnest(_chosen) as x from rt)")
+ORACLE["risk_control"] = RT + "select symbol, ts, control from rt"
+ORACLE["risk_sentiment"] = RT + ("select symbol, ts, control, case when control = 'Buyers in Control' then 'BULLISH' "
+                                 "when control = 'Sellers in Control' then 'BEARISH' else 'NEUTRAL' end as sentiment from rt")
+ORACLE["risk_main_reason"] = RT + (f"select symbol, ts, {r6('risk_score')} as risk_score, coalesce(_chosen[1].r, 'Monitoring...') as main_reason "
+                                   "from rt qualify row_number() over (partition by symbol order by ts desc) = 1")
+_POS = ["greatest(0.0, coalesce(structure_failure, 0.0))", "greatest(0.0, coalesce(volume_behavior, 0.0))",
+        "greatest(0.0, coalesce(momentum_exhaustion, 0.0))", "greatest(0.0, coalesce(anomaly_component, 0.0))"]
+_TOT = f"(case when ({' + '.join(_POS)}) <= 0 then 1.0 else ({' + '.join(_POS)}) end)"
+ORACLE["fn_component_share"] = RT + (
+    "select symbol, ts, x.component as component, " + r6("x.share") + " as share from (select symbol, ts, unnest(["
+    + ", ".join(f"{{'component': '{lbl}', 'share': {p} / {_TOT} * 100.0}}" for lbl, p in zip(["Structure", "Volume", "Momentum", "Anomaly"], _POS))
+    + "]) as x from rt)")
+ORACLE["fn_risk_band_snapshot"] = RT + f"select symbol, ts, {r6('risk_score')} as risk_score, risk_level as band from rt"
+
+
+def band_model_sql(x: str) -> str:
+    return (f"case when {x} > 0 and {x} <= 30 then 'Normal' when {x} > 30 and {x} <= 70 then 'Suspicious' "
+            f"when {x} > 70 and {x} <= 100 then 'Potential Market Trap' end")
+
+
+ORACLE["fn_risk_band_model"] = RT + f"select symbol, ts, {r6('risk_score')} as risk_score, {band_model_sql('risk_score')} as band from rt"
+ORACLE["agg_risk_distribution"] = RT + f"select {band_model_sql('risk_score')} as risk_level, count(*) as n from rt group by 1"
+ORACLE["agg_score_summary"] = RT + (f"select count(*) as n, {r6('avg(risk_score)')} as mean_score, {r6('min(risk_score)')} as min_score, "
+                                    f"{r6('max(risk_score)')} as max_score from rt")
+ORACLE["agg_validation_metrics"] = RT + (
+    f"select count(*) as validation_samples, {r6('avg(cast(risk_score > 20.0 as double))')} as anomaly_rate, {r6('avg(risk_score)')} as mean_score, "
+    f"{r6('stddev_pop(risk_score)')} as std_score, count_if(risk_score > 15.0) as high_risk_count from rt")
+ORACLE["agg_backtest_buckets"] = RT + (
+    "select count(*) as total_samples, count_if(pct > 80) as high_risk_periods, count_if(pct > 40 and pct <= 80) as medium_risk_periods, "
+    f"count_if(pct <= 40) as low_risk_periods, {r6('avg(pct)')} as mean_risk_score, {r6('max(pct)')} as max_risk_score "
+    "from (select risk_score * 4.0 as pct from rt)")
+
+TRAP_FILLED = ", ".join(f"coalesce({c}, 0) as {c}" for c in TRAP_D + TRAP_I)
+TRAP_RISK = f"""{TICKS},
+{BARS_1H},
+{TRAP_SQL},
+tf as (select {', '.join(BARS)}, {TRAP_FILLED} from p3),
+tc as (select *,
+    {clip01(f"0.5 * avg(breakout_failure) {W(-2, 0)} + 0.3 * avg(failed_retest) {W(-2, 0)} + 0.2 * upper_wick_ratio")} as structure_failure,
+    {clip01(f"0.5 * avg(volume_divergence) {W(-2, 0)} + 0.2 * avg(volume_spike_on_reversal) {W(-2, 0)} + 0.3 * (pv_correlation * -1.0)")} as volume_behavior,
+    {clip01(f"0.4 * avg(fast_reversal) {W(-2, 0)} + 0.3 * avg(rsi_overbought_fall) {W(-2, 0)} + 0.3 * avg(momentum_fade) {W(-2, 0)}")} as momentum_exhaustion,
+    0.0 as anomaly_score from tf),
+td as (select *, {sround('(0.35 * structure_failure + 0.25 * volume_behavior + 0.15 * anomaly_score + 0.25 * momentum_exhaustion) * 100.0', 1)} as trap_risk_score,
+    list_transform(list_sort(list_filter([
+      case when structure_failure > 0.4 then {{'k': 0.0 - structure_failure, 'o': 0, 'r': '{GENERIC_REASONS[0]}'}} end,
+      case when volume_behavior > 0.4 then {{'k': 0.0 - volume_behavior, 'o': 1, 'r': '{GENERIC_REASONS[1]}'}} end,
+      case when momentum_exhaustion > 0.4 then {{'k': 0.0 - momentum_exhaustion, 'o': 2, 'r': '{GENERIC_REASONS[2]}'}} end,
+      case when anomaly_score > 0.6 then {{'k': 0.0 - anomaly_score, 'o': 3, 'r': '{GENERIC_REASONS[3]}'}} end
+    ], lambda x: x is not null))[1:3], lambda x: x.r) as top_3_reasons,
+    list_filter([case when volume_change > 0 then '{GENERIC_INVALIDATION[0]}' end,
+                 case when breakout_strength > 0 then '{GENERIC_INVALIDATION[1]}' end], lambda x: x is not null) as invalidated_by
+  from tc),
+tr as (select *, case when trap_risk_score >= 70 then 'High' when trap_risk_score >= 40 then 'Medium' else 'Low' end as risk_level from td)"""
+ORACLE["risk_components_trap"] = f"with {TRAP_RISK}\n" + out_select("tr", ["symbol", "ts"], COMPS + ["anomaly_score"], fill=False)
+ORACLE["risk_score_trap"] = f"with {TRAP_RISK}\n" + out_select("tr", ["symbol", "ts", "risk_level"], ["trap_risk_score"], fill=False)
+ORACLE["fn_risk_band_generic"] = f"with {TRAP_RISK}\n" + out_select("tr", ["symbol", "ts", "risk_level as band"], ["trap_risk_score"], fill=False)
+ORACLE["risk_reasons_trap"] = f"with {TRAP_RISK}\n" + (
+    "select symbol, ts, cast(unnest(range(len(top_3_reasons))) as integer) as pos, unnest(top_3_reasons) as reason from tr")
+
+ASSET_FILLED = ", ".join(f"coalesce({c}, 0) as {c}" for c in ASSET_D + ASSET_I)
+PARAM_PLAIN = [c for c in PARAM_COLUMNS if c != "symbol"]
+
+
+def tpl_sql(tpl: str, **vals) -> str:
+    out = tpl
+    for k, v in vals.items():
+        out = f"replace({out}, '{{{k}}}', cast({v} as varchar))"
+    return out
+
+
+ASSET_RISK = f"""{TICKS},
+{BARS_1H},
+{ASSET_SQL},
+af as (select {', '.join(BARS)}, {ASSET_FILLED.replace('as momentum_exhaustion,', 'as momentum_exhaustion_flag,')} from a4),
+ac as (select *,
+    {clip01('0.5 * fake_breakout_prob + 0.3 * sharp_reversal + 0.2 * compression_to_expansion')} as structure_failure,
+    {clip01('0.6 * volume_absorption_prob + 0.4 * compression_ratio')} as volume_behavior,
+    {clip01('0.5 * momentum_exhaustion_prob + 0.3 * (reversal_velocity * -1.0) + 0.2 * compression_to_expansion')} as momentum_exhaustion,
+    0.0 as anomaly_score from af),
+{with_params_sql('ac', 'acp')},
+ad as (select *, w_structure * structure_failure + w_volume * volume_behavior + w_momentum * momentum_exhaustion + w_anomaly * anomaly_score as _base,
+    structure_failure + volume_behavior + momentum_exhaustion + anomaly_score as _plain,
+    cast(structure_failure > 0.6 as integer) + cast(volume_behavior > 0.6 as integer) + cast(momentum_exhaustion > 0.6 as integer)
+      + cast(anomaly_score > 0.6 as integer) as _spikes from acp),
+ae as (select *, {sround('greatest(_base, case when _spikes >= 2 then least(1.0, _plain * 1.3) else _plain end) * 100.0', 1)} as trap_risk_score,
+    list_filter([
+      case when structure_failure > 0.5 then {tpl_sql('breakout_reason', lookback='breakout_lookback', threshold='breakout_threshold', reversal='reversal_window', window='absorption_window')} end,
+      case when volume_behavior > 0.5 then {tpl_sql('volume_reason', window='absorption_window', lookback='breakout_lookback', threshold='breakout_threshold', reversal='reversal_window')} end,
+      case when momentum_exhaustion > 0.5 then {tpl_sql('momentum_reason', threshold='momentum_threshold', window='momentum_window', lookback='breakout_lookback', reversal='reversal_window')} end,
+      case when anomaly_score > 0.6 then '{ASSET_ANOMALY_REASON}' end], lambda x: x is not null)[1:3] as top_3_reasons,
+    list_filter([case when volume_change > 0.2 then '{ASSET_INVALIDATION[0]}' end,
+                 case when price_return > 0.02 then '{ASSET_INVALIDATION[1]}' end], lambda x: x is not null) as invalidated_by
+  from ad),
+ar as (select *, case when trap_risk_score >= 80 then 'High' when trap_risk_score >= 50 then 'Medium' else 'Low' end as risk_level from ae)"""
+ORACLE["risk_components_asset"] = f"with {ASSET_RISK}\n" + out_select("ar", ["symbol", "ts"], COMPS + ["anomaly_score"], fill=False)
+ORACLE["risk_score_asset"] = f"with {ASSET_RISK}\n" + out_select("ar", ["symbol", "ts", "risk_level"], ["trap_risk_score"], fill=False)
+ORACLE["fn_risk_band_asset"] = f"with {ASSET_RISK}\n" + out_select("ar", ["symbol", "ts", "risk_level as band"], ["trap_risk_score"], fill=False)
+ORACLE["risk_reasons_asset"] = f"with {ASSET_RISK}\n" + (
+    "select symbol, ts, cast(unnest(range(len(top_3_reasons))) as integer) as pos, unnest(top_3_reasons) as reason from ar")
+ORACLE["risk_invalidation"] = (
+    f"with {TRAP_RISK},\n{ASSET_RISK.replace(TICKS + ',', '', 1).replace(BARS_1H + ',', '', 1)}\n"
+    "select symbol, ts, 'generic' as model, cast(unnest(range(len(invalidated_by))) as integer) as pos, unnest(invalidated_by) as condition from tr\n"
+    "union all select symbol, ts, 'asset' as model, cast(unnest(range(len(invalidated_by))) as integer) as pos, unnest(invalidated_by) as condition from ar")
+
+
+def flat_report_sql(src: str) -> str:
+    return (f"select symbol, ts, {r6('trap_risk_score')} as trap_risk_score, risk_level, "
+            + ", ".join(f"{r6(c)} as {c}" for c in COMPS + ["anomaly_score"]) + ", "
+            + ", ".join(f"top_3_reasons[{i}] as reason_{i}" for i in (1, 2, 3)) + ", "
+            + ", ".join(f"invalidated_by[{i}] as invalidated_{i}" for i in (1, 2))
+            + f" from {src} qualify row_number() over (partition by symbol order by ts desc) = 1")
+
+
+ORACLE["risk_report_trap"] = f"with {TRAP_RISK}\n" + flat_report_sql("tr")
+ORACLE["risk_report_asset"] = f"with {ASSET_RISK}\n" + flat_report_sql("ar")
+ORACLE["fn_high_risk_filter"] = f"with {ASSET_RISK}\n" + (
+    f"select symbol, ts, {r6('trap_risk_score')} as trap_risk_score, ts - interval 12 hours as span_start, ts + interval 12 hours as span_end "
+    f"from ar where ({band_model_sql('trap_risk_score')}) = 'Potential Market Trap'")
+
+# ------------------------------------------------------------ scalar fns
+B1H = f"with {TICKS},\n{BARS_1H}\n"
+ORACLE["fn_safe_divide"] = B1H + f"select symbol, ts, {r6('case when (high - low) = 0 then 0.0 else (close - open) / (high - low) end')} as body_share from bars_1h"
+ORACLE["fn_clip01"] = B1H + f"select symbol, ts, {r6(clip01('(close - open) / nullif(open, 0) * 10.0'))} as move01 from bars_1h"
+ORACLE["fn_clean_features"] = B1H + (
+    f"select symbol, ts, {r6(f'coalesce({pct(chr(99) + chr(108) + chr(111) + chr(115) + chr(101))}, 0.0)')} as price_return, "
+    f"{r6(f'coalesce({pct(chr(118) + chr(111) + chr(108) + chr(117) + chr(109) + chr(101))}, 0.0)')} as volume_change, "
+    f"{r6(f'coalesce(stddev_samp(close) {W(-9, 0)}, 0.0)')} as volatility from bars_1h")
+ORACLE["fn_align_features"] = f"with {BARS_LI},\n{daily_sql('bars_li')}\n" + (
+    f"select symbol, ts, {r6('coalesce(price_return, 0)')} as price_return, {r6('coalesce(volume_change, 0)')} as volume_change, "
+    f"{r6('coalesce(volatility, 0)')} as volatility, {r6('coalesce(breakout_strength, 0)')} as breakout_strength, "
+    f"0.0 as is_breakout, cast(coalesce(pv_divergence, 0) as double) as pv_divergence from d2")
+ORACLE["fn_candle_shape"] = B1H + (f"select symbol, ts, {r6('(high - close) / nullif(high - low, 0)')} as upper_wick_ratio, "
+                                   f"{r6('abs(close - open) / nullif(high - low, 0)')} as body_ratio from bars_1h")
+ORACLE["fn_range_volatility"] = f"with {BARS_LI}\nselect symbol, ts, {r6('(high - low) / nullif(open, 0)')} as volatility from bars_li"
+
+# ------------------------------------------------------------------ joins
+UNION_BARS = f"with {TICKS},\n{BARS_1H},\n{BARS_LI},\nub as (select symbol, ts, close from bars_1h union all select symbol, ts, close from bars_li)"
+ORACLE["join_asset_params"] = UNION_BARS + f",\n{PARAMS_VALUES},\n{with_params_sql('ub', 'up')}\n" + (
+    "select symbol, ts, " + r6("close") + " as close, " + ", ".join(
+        (r6(c) + f" as {c}") if isinstance(DEFAULT_ROW[c], float) else c for c in PARAM_PLAIN if not c.endswith("_reason"))
+    + " from up")
+ORACLE["join_supported_symbols"] = UNION_BARS + f",\n{PARAMS_VALUES}\n" + (
+    f"select symbol, ts, {r6('close')} as close from ub where symbol in (select symbol from pa)")
+
+# ----------------------------------------------------------- aggregations
+ORACLE["agg_ohlcv_bars"] = f"with {TICKS},\n{bars_cte('b1m', 'minute')}\n" + bars_out("b1m")
+ORACLE["agg_latest_bars"] = (
+    f"with {TICKS},\nlt as (select * from ticks qualify row_number() over (partition by symbol order by ts desc, seq desc) <= 500 "
+    "and count(*) over (partition by symbol) >= 20),\n"
+    + bars_cte("lb", "hour").replace("from ticks", "from lt").replace("ticks.ts", "lt.ts") + "\n" + bars_out("lb"))
+ORACLE["agg_resample_minute"] = (
+    f"with {CUM_TICKS},\nvd as (select *, greatest(coalesce(volume - {lag('volume', 1, order='ts, seq')}, 0.0), 0.0) as volume_delta from cum)\n"
+    f"select symbol, date_trunc('minute', vd.ts) as ts, {r6('max_by(price, (vd.ts, seq))')} as price, {r6('sum(volume_delta)')} as volume from vd group by 1, 2")
+ORACLE["agg_feed_health"] = (
+    f"with {TICKS}\nselect symbol, count(*) as ticks, max(ts) as last_ts, "
+    + r6("(epoch_us(timestamp '2024-01-30 23:50:00') - epoch_us(max(ts))) / 1e6") + " as age_seconds, "
+    "(epoch_us(timestamp '2024-01-30 23:50:00') - epoch_us(max(ts))) / 1e6 < 30 as is_fresh from ticks group by symbol")
+ORACLE["agg_label_count"] = (
+    f"with {BARS_LI},\n{daily_sql('bars_li')},\n"
+    f"d3 as (select *, {flag(f'is_breakout = 1 and {ratio_lt(chr(118) + 'olume', '_lv', 0.3)} and (close - {lead('close', 3)}) / nullif(close, 0) >= 0.02')} as label from d2)\n"
+    "select cast(sum(label) as bigint) as positives, count(*) as rows from d3")
+_ENG_F = ["price_return", "volume_change", "volatility", "breakout_strength", "is_breakout", "pv_divergence"]
+ORACLE["agg_scaler_fit"] = f"with {BASE_1H},\n{ENGINE_SQL},\nef as (select " + ", ".join(
+    f"cast(coalesce({c}, 0) as double) as {c}" for c in _ENG_F) + " from e2)\n" + " union all ".join(
+    f"select '{c}' as feature, {i} as position, {r6(f'avg({c})')} as mean, "
+    f"{r6(f'case when stddev_pop({c}) = 0 then 1.0 else stddev_pop({c}) end')} as scale from ef" for i, c in enumerate(_ENG_F))
+ORACLE["agg_volume_cap"] = B1H + (
+    f"select symbol, ts, {r6('volume')} as volume, {r6('quantile_cont(volume, 0.95) over (partition by symbol)')} as volume_cap, "
+    f"{r6('least(volume, quantile_cont(volume, 0.95) over (partition by symbol))')} as volume_plot from bars_1h")
+ORACLE["agg_distinct_symbols"] = f"with {TICKS}\nselect distinct symbol from ticks"

@@ -534,3 +534,122 @@ def q_agg_volume_cap(spark, d):
 @query("agg_distinct_symbols")
 def q_agg_distinct_symbols(spark, d):
     return finish(X.ticks(spark, d).select("symbol").distinct())
+
+
+# ------------------------------------------------------- alerts and events
+from tidemark.operators import alerts as AL  # noqa: E402
+from tidemark.operators import merge as MG  # noqa: E402
+
+
+def market_rows(spark, d) -> DataFrame:
+    """Per 1-hour bar: realtime snapshot fields, change % and the per-asset
+    trap score (capped at 100) as the raw risk that drives alerts/events."""
+    rt = R.rt_frame(X.frame_1h(spark, d)).select(
+        "symbol", "ts", "price", "volume", "trap_type", "main_reason", "control", F.col("risk_score").alias("rt_score"))
+    chg = series_cols(X.frame_1h(spark, d), lambda s: {"change": S.pct_change("price", s) * 100.0}, 1)
+    asset = _asset(spark, d).select("symbol", "ts", F.least(F.col("trap_risk_score"), F.lit(100.0)).alias("risk_score"))
+    return rt.join(asset, ["symbol", "ts"]).join(chg, ["symbol", "ts"])
+
+
+@query("alert_rules")
+def q_alert_rules(spark, d):
+    m = market_rows(spark, d)
+    return finish(AL.alert_rules(m.select("symbol", "ts", "risk_score", "change", "volume")))
+
+
+@query("alert_volume_multiple")
+def q_alert_volume_multiple(spark, d):
+    return finish(AL.volume_multiple_alerts(X.bars_1h(spark, d)))
+
+
+def _smoothed(spark, d, live=None):
+    m = market_rows(spark, d)
+    if live:
+        m = m.withColumn("is_live", F.dayofmonth("ts") % 2 == 1)
+    return AL.smoothed_risk(m, live="is_live" if live else None)
+
+
+SMOOTH_OUT = ["symbol", "ts", "risk_score", "smoothed_risk", "streak", "crossed_above", "is_critical", "display_level"]
+
+
+@query("str_smoothed_risk")
+def q_str_smoothed_risk(spark, d):
+    return finish(_smoothed(spark, d).select(*SMOOTH_OUT))
+
+
+@query("str_mode_suppress")
+def q_str_mode_suppress(spark, d):
+    return finish(_smoothed(spark, d, live=True).select(*SMOOTH_OUT, "is_live"))
+
+
+@query("fn_risk_band_display")
+def q_fn_risk_band_display(spark, d):
+    return finish(_smoothed(spark, d).select("symbol", "ts", "streak", "smoothed_risk", "display_level"))
+
+
+@query("event_threshold_cross")
+def q_event_threshold_cross(spark, d):
+    return finish(AL.threshold_cross_events(_smoothed(spark, d)))
+
+
+@query("event_top10_history")
+def q_event_top10_history(spark, d):
+    return finish(AL.top_events(AL.threshold_cross_events(_smoothed(spark, d)), 10))
+
+
+@query("event_change_log")
+def q_event_change_log(spark, d):
+    return finish(AL.change_log(_smoothed(spark, d)))
+
+
+def _alerts(spark, d):
+    m = market_rows(spark, d)
+    return AL.alert_rules(m.select("symbol", "ts", "risk_score", "change", "volume"))
+
+
+@query("snk_alert_payload")
+def q_snk_alert_payload(spark, d):
+    return finish(AL.alert_payload(_alerts(spark, d)).drop("payload"))
+
+
+@query("snk_alert_history")
+def q_snk_alert_history(spark, d):
+    return finish(AL.alert_history(_alerts(spark, d), 50))
+
+
+# ------------------------------------------------------- sets and top-k
+@query("sort_time")
+def q_sort_time(spark, d):
+    return finish(X.bars_daily_orders(spark, d).orderBy("symbol", "ts"))
+
+
+@query("topk_latest_row")
+def q_topk_latest_row(spark, d):
+    return finish(R.latest_per_symbol(X.bars_daily_orders(spark, d)))
+
+
+@query("topk_tail_n")
+def q_topk_tail_n(spark, d):
+    return finish(MG.tail_n(X.bars_1h(spark, d), 180))
+
+
+@query("set_union_symbols")
+def q_set_union_symbols(spark, d):
+    return finish(MG.union_all(X.bars_1h(spark, d), X.bars_daily_li(spark, d), X.bars_daily_orders(spark, d)))
+
+
+@query("set_merge_precedence")
+def q_set_merge_precedence(spark, d):
+    hist, live = X.history_live(spark, d)
+    return finish(MG.merge_precedence(hist, live, 180))
+
+
+@query("set_source_fallback")
+def q_set_source_fallback(spark, d):
+    hist, live = X.history_live(spark, d)
+    return finish(MG.source_fallback(live.filter(F.col("symbol") != "XRP-USD"), hist))
+
+
+@query("split_train_validation")
+def q_split_train_validation(spark, d):
+    return finish(MG.split_by_time(X.bars_daily_li(spark, d).select("symbol", "ts", "close"), 0.2))

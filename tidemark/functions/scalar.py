@@ -105,3 +105,9 @@ def band_display(streak, smoothed) -> Column:
 def log_level(score) -> Column:
     s = col(score)
     return F.when(s >= 70, "CRITICAL").when(s >= 40, "ELEVATED").otherwise("NORMAL")
+
+
+def fixed(x, digits: int) -> Column:
+    """Fixed-point text like Python's ``f"{x:.{digits}f}"`` (exact binary
+    value, ties to even), without grouping separators."""
+    return F.regexp_replace(F.format_number(col(x), digits), ",", "")

@@ -515,3 +515,99 @@ ORACLE["agg_volume_cap"] = B1H + (
     f"select symbol, ts, {r6('volume')} as volume, {r6('quantile_cont(volume, 0.95) over (partition by symbol)')} as volume_cap, "
     f"{r6('least(volume, quantile_cont(volume, 0.95) over (partition by symbol))')} as volume_plot from bars_1h")
 ORACLE["agg_distinct_symbols"] = f"with {TICKS}\nselect distinct symbol from ticks"
+
+
+# ------------------------------------------------------- alerts and events
+from tidemark.operators.alerts import smoothing_depth  # noqa: E402
+
+MARKET = (f"with {BASE_1H},{rt_sql()},\n{ASSET_RISK.replace(TICKS + ',', '', 1).replace(BARS_1H + ',', '', 1)},\n"
+          f"chg as (select symbol, ts, {pct('price')} * 100.0 as change from frame_1h),\n"
+          "mk as (select rt.symbol, rt.ts, rt.price, rt.volume, rt.trap_type, coalesce(rt._chosen[1].r, 'Monitoring...') as main_reason,"
+          " rt.control, rt.risk_score as rt_score, least(ar.trap_risk_score, 100.0) as risk_score, chg.change"
+          " from rt join ar on rt.symbol = ar.symbol and rt.ts = ar.ts join chg on rt.symbol = chg.symbol and rt.ts = chg.ts)")
+
+
+def fmt1(x: str) -> str:
+    return f"printf('%.1f', {x})"
+
+
+ALERTS = MARKET + """,
+al as (select symbol, ts, risk_score, change, volume, unnest(list_filter([
+    case when risk_score >= 80.0 then {'alert_type': 'high_risk', 'message': 'High risk detected: ' || printf('%.1f', risk_score) || '%'} end,
+    case when abs(change) >= 5.0 then {'alert_type': 'price_spike', 'message': 'Price spike detected: ' || printf('%.2f', abs(change)) || '% ' || (case when change > 0 then 'up' else 'down' end)} end,
+    case when volume > 1000000.0 then {'alert_type': 'volume_anomaly', 'message': 'Unusual volume detected: ' || format('{:,.0f}', volume)} end
+  ], lambda x: x is not null)) as a from mk),
+alerts as (select symbol, ts, risk_score, change, volume, a.alert_type as alert_type, a.message as message from al)"""
+ORACLE["alert_rules"] = ALERTS + "\n" + out_select("alerts", ["symbol", "ts", "alert_type", "message"], ["risk_score", "change", "volume"], fill=False)
+ORACLE["alert_volume_multiple"] = (
+    f"with {TICKS},\n{BARS_1H},\nvm as (select symbol, ts, volume, avg(volume) {W(-20, -1)} as volume_mean from bars_1h)\n"
+    f"select symbol, ts, {r6('volume')} as volume, {r6('volume_mean')} as volume_mean, 'volume_anomaly' as alert_type, "
+    "'Unusual volume detected: ' || format('{:,.0f}', volume) as message from vm where volume > 3.0 * volume_mean")
+ORACLE["snk_alert_payload"] = ALERTS + (
+    "\nselect symbol, ts, alert_type, message, " + r6("risk_score") + " as risk_score, "
+    "case when risk_score >= 70 then 'danger' when risk_score >= 40 then 'warning' else 'good' end as chat_color, "
+    "case when risk_score >= 70 then 16711680 when risk_score >= 40 then 16755200 else 65280 end as embed_color, "
+    "'Alert: ' || upper(symbol) as title, printf('%.1f', risk_score) || '%' as risk_text, strftime(ts, '%H:%M:%S') as time_text, "
+    "'Market alert: ' || upper(symbol) || ' - ' || alert_type as subject from alerts")
+ORACLE["snk_alert_history"] = ALERTS + "\n" + out_select(
+    "(select * from alerts order by ts desc, symbol, alert_type limit 50)", ["symbol", "ts", "alert_type", "message"],
+    ["risk_score", "change", "volume"], fill=False)
+
+_K = smoothing_depth()
+
+
+def smooth_sql(src: str, live: str | None = None) -> str:
+    below = "smoothed_risk < 70" + (f" or not {live}" if live else "")
+    cross_live = f" and {live}" if live else ""
+    return f"""sm1 as (select *, coalesce(sum(cast(risk_score > 0 as double)) {W(None, -1)}, 0) > 0 as _sb, row_number() {W()} as _pos from {src}),
+sm2 as (select *, list_reduce(list({{'r': cast(risk_score as double), 'sb': _sb}}) {W(-_K, 0)},
+    lambda acc, x: {{'r': case when x.sb then 0.35 * x.r + {1.0 - 0.35!r} * acc.r else x.r end, 'sb': x.sb}}).r as smoothed_risk from sm1),
+sm3 as (select *, _pos - coalesce(max(case when {below} then _pos end) {W(None, 0)}, 0) as streak,
+    coalesce({lag('smoothed_risk', 1)} < 70 and smoothed_risk >= 70{cross_live}, false) and ({lag('smoothed_risk', 1)} is not null or (0.0 < 70 and smoothed_risk >= 70{cross_live})) as _c1,
+    coalesce(coalesce({lag('smoothed_risk', 1)}, 0.0) < 70 and smoothed_risk >= 70{cross_live}, false) as crossed_above from sm2),
+sm as (select *, streak >= 3 as is_critical, case when streak >= 3 then 'CRITICAL' when smoothed_risk > 30 then 'ELEVATED' else 'LOW' end as display_level from sm3)"""
+
+
+SMOOTH_SEL = ["symbol", "ts", "streak", "crossed_above", "is_critical", "display_level"]
+ORACLE["str_smoothed_risk"] = MARKET + ",\n" + smooth_sql("mk") + "\n" + out_select("sm", SMOOTH_SEL, ["risk_score", "smoothed_risk"], fill=False)
+ORACLE["str_mode_suppress"] = MARKET + ",\nmkl as (select *, dayofmonth(ts) % 2 = 1 as is_live from mk),\n" + smooth_sql("mkl", "is_live") + "\n" + out_select(
+    "sm", SMOOTH_SEL + ["is_live"], ["risk_score", "smoothed_risk"], fill=False)
+ORACLE["fn_risk_band_display"] = MARKET + ",\n" + smooth_sql("mk") + "\n" + out_select("sm", ["symbol", "ts", "streak", "display_level"], ["smoothed_risk"], fill=False)
+EVENTS = (MARKET + ",\n" + smooth_sql("mk") + ",\nev as (select symbol, ts, " + sround("price", 2) + " as price, " + sround("smoothed_risk", 1)
+          + " as trap_risk_pct, trap_type, main_reason from sm where crossed_above)")
+ORACLE["event_threshold_cross"] = EVENTS + "\n" + out_select("ev", ["symbol", "ts", "trap_type", "main_reason"], ["price", "trap_risk_pct"], fill=False)
+ORACLE["event_top10_history"] = EVENTS + "\n" + out_select(
+    "(select * from ev order by ts desc, symbol limit 10)", ["symbol", "ts", "trap_type", "main_reason"], ["price", "trap_risk_pct"], fill=False)
+ORACLE["event_change_log"] = MARKET + ",\n" + smooth_sql("mk") + f""",
+cl1 as (select *, case when smoothed_risk >= 70 then 'CRITICAL' when smoothed_risk >= 40 then 'ELEVATED' else 'NORMAL' end as _lvl from sm),
+cl2 as (select symbol, ts, list_filter([
+    case when crossed_above then {{'level': 'error', 'message': 'TRAP DETECTED: ' || trap_type || ' (' || cast(risk_score as varchar) || '%)'}}
+         when smoothed_risk > 40 and {lag('_lvl')} is distinct from 'ELEVATED'
+         then {{'level': 'warning', 'message': 'ELEVATED RISK: ' || trap_type || ' (' || cast({sround('smoothed_risk', 1)} as varchar) || '%)'}} end,
+    case when {lag('control')} is distinct from control then {{'level': 'info', 'message': 'BIAS SHIFT: ' || upper(control)}} end
+  ], lambda x: x is not null) as _ev from cl1)
+select symbol, ts, cast(unnest(range(len(_ev))) as integer) as seq, unnest(_ev).level as level, unnest(_ev).message as message from cl2"""
+
+# ------------------------------------------------------- sets and top-k
+ORACLE["sort_time"] = f"with {BARS_ORD}\n" + bars_out("bars_ord order by symbol, ts")
+ORACLE["topk_latest_row"] = f"with {BARS_ORD}\n" + bars_out("(select * from bars_ord qualify row_number() over (partition by symbol order by ts desc) = 1)")
+ORACLE["topk_tail_n"] = f"with {TICKS},\n{BARS_1H}\n" + bars_out("(select * from bars_1h qualify row_number() over (partition by symbol order by ts desc) <= 180)")
+ORACLE["set_union_symbols"] = (f"with {TICKS},\n{BARS_1H},\n{BARS_LI},\n{BARS_ORD}\n"
+                               + bars_out("(select * from bars_1h union all select * from bars_li union all select * from bars_ord)"))
+HIST_LIVE = f"""{BASE_1H},
+hist as (select * from frame_1h where dayofmonth(ts) % 2 = 0 or hour(ts) % 7 = 0),
+live as (select symbol, ts, case when hour(ts) % 7 = 0 then price + 1 else price end as price, volume from frame_1h
+         where dayofmonth(ts) % 2 = 1 or hour(ts) % 7 = 0)"""
+ORACLE["set_merge_precedence"] = (
+    f"with {HIST_LIVE},\nu as (select *, 0 as _rank from hist union all select *, 1 as _rank from live),\n"
+    "b as (select * from u qualify row_number() over (partition by symbol, ts order by _rank desc) = 1),\n"
+    "t as (select * from b qualify row_number() over (partition by symbol order by ts desc) <= 180)\n"
+    f"select symbol, ts, {r6('price')} as price, {r6('volume')} as volume, case when _rank = 1 then 'live' else 'history' end as source from t")
+ORACLE["set_source_fallback"] = (
+    f"with {HIST_LIVE},\nlv as (select * from live where symbol <> 'XRP-USD')\n"
+    f"select symbol, ts, {r6('price')} as price, {r6('volume')} as volume, 'live' as data_mode from lv union all "
+    f"select symbol, ts, {r6('price')} as price, {r6('volume')} as volume, 'historical' as data_mode from hist "
+    "where symbol not in (select distinct symbol from lv)")
+ORACLE["split_train_validation"] = (
+    f"with {BARS_LI},\nq as (select symbol, ts, close, row_number() {W()} as _i, count(*) over (partition by symbol) as _n from bars_li)\n"
+    f"select symbol, ts, {r6('close')} as close, case when _i <= floor(_n * {1.0 - 0.2!r}) then 'train' else 'validation' end as split from q")

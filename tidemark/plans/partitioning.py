@@ -149,28 +149,30 @@ def over_series(
     return out.drop(PART, HALO, IDX)
 
 
-def running_totals(df: DataFrame, spec: Series, cols: dict[str, Column]) -> DataFrame:
+def running_totals(df: DataFrame, spec: Series, cols: dict[str, Column], how: str = "sum") -> DataFrame:
     """Add cumulative sums from the start of the key's series (unbounded).
 
     Inside a chunked plan the in-chunk running sum is completed with the sum
     of all earlier chunks (a prefix sum over a chunk-total table), so no task
     ever needs the whole series.
     """
+    agg = {"sum": F.sum, "max": F.max}[how]
     if spec.part is None or PART not in spec.part:
         for name, v in cols.items():
-            df = df.withColumn(name, F.sum(v).over(spec.whole()))
+            df = df.withColumn(name, agg(v).over(spec.whole()))
         return df
     own = ~F.col(HALO)
     totals = df.filter(own).groupBy(spec.key, PART).agg(
-        *[F.sum(v).alias(f"_t_{n}") for n, v in cols.items()]
+        *[agg(v).alias(f"_t_{n}") for n, v in cols.items()]
     )
     before = Window.partitionBy(spec.key).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    prior = totals.select(
-        spec.key, PART, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0.0)).alias(f"_p_{n}") for n in cols]
-    )
-    df = df.join(prior, [spec.key, PART])
+    prior = totals.select(spec.key, PART, *[agg(f"_t_{n}").over(before).alias(f"_p_{n}") for n in cols])
+    # every chunk has a row in ``totals``; the join is on the chunk key only
+    df = df.join(prior, [spec.key, PART], "left")
     for name, v in cols.items():
-        df = df.withColumn(
-            name, F.col(f"_p_{name}") + F.sum(F.when(own, v)).over(spec.whole())
-        ).drop(f"_p_{name}")
+        inside = agg(F.when(own, v)).over(spec.whole())
+        both = F.col(f"_p_{name}") + inside if how == "sum" else F.greatest(F.col(f"_p_{name}"), inside)
+        if how == "sum":
+            both = F.coalesce(F.col(f"_p_{name}"), F.lit(0.0)) + inside
+        df = df.withColumn(name, both).drop(f"_p_{name}")
     return df

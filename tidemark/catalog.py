@@ -653,3 +653,61 @@ def q_set_source_fallback(spark, d):
 @query("split_train_validation")
 def q_split_train_validation(spark, d):
     return finish(MG.split_by_time(X.bars_daily_li(spark, d).select("symbol", "ts", "close"), 0.2))
+
+
+# ------------------------------------------------------- sources / feeds
+from tidemark.sources import feeds as FD  # noqa: E402
+
+
+@query("src_ticker_json")
+def q_src_ticker_json(spark, d):
+    return finish(FD.normalize_ticker_json(X.raw_ticker_json(spark, d)))
+
+
+@query("src_trade_json")
+def q_src_trade_json(spark, d):
+    return finish(FD.normalize_trade_json(X.raw_trade_json(spark, d)))
+
+
+@query("src_kline_array")
+def q_src_kline_array(spark, d):
+    return finish(FD.normalize_klines(X.raw_kline_json(spark, d)).drop("day"))
+
+
+@query("src_order_book_ladder")
+def q_src_order_book_ladder(spark, d):
+    return finish(FD.order_book_ladder(X.order_book(spark, d)))
+
+
+@query("src_symbol_normalize")
+def q_src_symbol_normalize(spark, d):
+    t = X.ticks(spark, d).select("symbol")
+    ex = FD.exchange_symbol(F.col("symbol"))
+    raw = t.select(F.col("symbol").alias("raw")).union(t.select(ex.alias("raw"))).union(t.select(F.lower(ex).alias("raw"))).distinct()
+    return finish(FD.normalize_symbols(raw))
+
+
+@query("src_daily_dialect")
+def q_src_daily_dialect(spark, d):
+    b = X.bars_daily_li(spark, d).select(F.col("ts").alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"),
+                                         F.col("low").alias("Low"), F.col("close").alias("Close"), F.col("volume").alias("Volume"), "symbol")
+    return finish(FD.daily_dialect(b, "symbol"))
+
+
+@query("src_coerce_types")
+def q_src_coerce_types(spark, d):
+    raw = X.raw_lineitem_text(spark, d)
+    return finish(FD.coerce_types(raw, ["shipdate"], ["quantity", "extendedprice"]))
+
+
+ORDERS_SCHEMA = "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+
+
+@query("src_bars_file")
+def q_src_bars_file(spark, d):
+    o = spark.read.schema(ORDERS_SCHEMA).parquet(f"{d}/orders.parquet")
+    bars = o.groupBy(F.col("o_orderpriority").alias("symbol"), F.col("o_orderdate").cast("timestamp").alias("ts")).agg(
+        F.min_by("o_totalprice", "o_orderkey").alias("open"), F.max("o_totalprice").alias("high"),
+        F.min("o_totalprice").alias("low"), F.max_by("o_totalprice", "o_orderkey").alias("close"),
+        F.count(F.lit(1)).cast("double").alias("volume"))
+    return finish(FT.require_columns(bars, FT.BAR_COLS))

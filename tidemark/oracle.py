@@ -611,3 +611,37 @@ ORACLE["set_source_fallback"] = (
 ORACLE["split_train_validation"] = (
     f"with {BARS_LI},\nq as (select symbol, ts, close, row_number() {W()} as _i, count(*) over (partition by symbol) as _n from bars_li)\n"
     f"select symbol, ts, {r6('close')} as close, case when _i <= floor(_n * {1.0 - 0.2!r}) then 'train' else 'validation' end as split from q")
+
+
+# ------------------------------------------------------- sources / feeds
+ORACLE["src_ticker_json"] = f"with {TICKS}\n" + (
+    "select seq, lower(regexp_replace(symbol, '-USD$', 'USDT')) as symbol, epoch_ms(epoch_us(ts) // 1000) as ts, "
+    f"{r6('case when seq % 13 = 0 then null else price end')} as price, {r6('price * 1.01')} as high, {r6('price * 0.99')} as low, "
+    f"{r6('volume')} as volume, {r6('price * volume')} as quote_volume from ticks where seq % 17 <> 0 and not (seq % 2 = 0 and seq % 11 = 0)")
+ORACLE["src_trade_json"] = f"with {TICKS}\n" + (
+    f"select seq, ts, split_part(symbol, '-', 1) as symbol, {r6('case when seq % 23 = 0 then 0.0 else price end')} as price, "
+    f"{r6('coalesce(volume, 0.0)')} as volume from ticks where seq % 7 <> 0 and seq % 19 <> 0")
+ORACLE["src_kline_array"] = f"with {TICKS},\n{BARS_1H}\n" + (
+    f"select symbol, ts, {r6('open')} as open, {r6('high')} as high, {r6('low')} as low, {r6('close')} as close, "
+    f"{r6('case when hour(ts) = 5 then null else volume end')} as volume, {r6('close')} as price from bars_1h")
+ORACLE["src_order_book_ladder"] = f"""with {TICKS},
+t as (select symbol, date_trunc('hour', ts) as ts, seq, price, volume / 100.0 as qty from ticks),
+b as (select symbol, ts, 'bid' as side, row_number() over (partition by symbol, ts order by price desc, seq) as level, price, qty from t qualify level <= 10),
+a as (select symbol, ts, price, qty, row_number() over (partition by symbol, ts order by price asc, seq) as r, count(*) over (partition by symbol, ts) as n from t),
+a2 as (select symbol, ts, 'ask' as side, least(n, 10) - r + 1 as level, price, qty from a where r <= 10),
+lad as (select * from b union all select * from a2)
+select symbol, ts, side, cast(level as integer) as level, {r6('price')} as price, {r6('qty')} as qty,
+  least(100, cast(trunc(qty * 40.0) as integer)) as fill from lad"""
+_CANON = "case when upper(trim(raw)) like '%-%' then upper(trim(raw)) else regexp_replace(upper(trim(raw)), 'USDT$', '-USD') end"
+ORACLE["src_symbol_normalize"] = f"""with {TICKS},
+r as (select symbol as raw from ticks union select regexp_replace(upper(symbol), '-USD$', 'USDT') from ticks
+      union select lower(regexp_replace(upper(symbol), '-USD$', 'USDT')) from ticks),
+c as (select raw, {_CANON} as canonical from r)
+select raw, canonical, regexp_replace(upper(canonical), '-USD$', 'USDT') as exchange, lower(regexp_replace(upper(canonical), '-USD$', 'USDT')) as stream from c"""
+ORACLE["src_daily_dialect"] = f"with {BARS_LI}\n" + (
+    f"select ts as timestamp, symbol, {r6('close')} as price, {r6('volume')} as volume, {r6('open')} as Open, {r6('high')} as High, "
+    f"{r6('low')} as Low, {r6('close')} as Close from bars_li")
+ORACLE["src_coerce_types"] = (
+    "select l_orderkey, l_linenumber, date_trunc('day', l_shipdate) as shipdate, "
+    f"{r6('case when l_linenumber = 7 then null else l_quantity end')} as quantity, {r6('l_extendedprice')} as extendedprice from lineitem")
+ORACLE["src_bars_file"] = f"with {BARS_ORD}\n" + bars_out("bars_ord")

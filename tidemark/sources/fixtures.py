@@ -113,3 +113,71 @@ def cumulative_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = ticks(spark, sf_dir)
     w = Window.partitionBy("symbol", F.to_date("ts")).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
     return t.withColumn("volume", F.sum(F.coalesce("volume", F.lit(0.0))).over(w))
+
+
+# ---------------------------------------------------------- raw feed text
+def raw_ticker_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticker JSON built from ticks: even seq wrapped, odd seq bare; every
+    11th wrapped one is a trade stream, every 13th price is bad text and
+    every 17th symbol is not supported."""
+    t = ticks(spark, sf_dir)
+    seq = F.col("seq")
+    sym = F.when(seq % 17 == 0, F.lit("DOGEUSDT")).otherwise(F.regexp_replace("symbol", "-USD$", "USDT"))
+    data = F.struct(
+        F.lit("24hrTicker").alias("e"), F.unix_millis("ts").alias("E"), sym.alias("s"),
+        F.when(seq % 13 == 0, F.lit("n/a")).otherwise(F.col("price").cast("string")).alias("c"),
+        (F.col("price") * 1.01).cast("string").alias("h"), (F.col("price") * 0.99).cast("string").alias("l"),
+        F.col("volume").cast("string").alias("v"), (F.col("price") * F.col("volume")).cast("string").alias("q"),
+    )
+    stream = F.concat(F.lower(sym), F.when(seq % 11 == 0, F.lit("@trade")).otherwise(F.lit("@ticker")))
+    value = F.when(seq % 2 == 0, F.to_json(F.struct(stream.alias("stream"), data.alias("data")))).otherwise(F.to_json(data))
+    return t.select("seq", value.alias("value"))
+
+
+def raw_trade_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = ticks(spark, sf_dir)
+    seq = F.col("seq")
+    msg = F.to_json(F.struct(
+        F.when(seq % 7 == 0, F.lit("999")).otherwise(F.lit("5")).alias("TYPE"),
+        F.when(seq % 19 == 0, F.lit("")).otherwise(F.split("symbol", "-").getItem(0)).alias("FROMSYMBOL"),
+        F.when(seq % 23 != 0, F.col("price")).alias("PRICE"),
+        F.col("volume").alias("VOLUME"),
+    ))
+    return t.select("seq", F.col("ts").alias("arrival_ts"), msg.alias("value"))
+
+
+def raw_kline_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON array of 1-hour klines per symbol and day (24 entries)."""
+    b = bars_1h(spark, sf_dir)
+    ms = F.unix_millis("ts")
+    k = F.array(
+        ms.cast("string"), F.col("open").cast("string"), F.col("high").cast("string"), F.col("low").cast("string"),
+        F.col("close").cast("string"),
+        F.when(F.hour("ts") == 5, F.lit("bad")).otherwise(F.col("volume").cast("string")),
+        (ms + 3599999).cast("string"), F.lit("0"), F.lit("0"), F.lit("0"), F.lit("0"), F.lit("0"),
+    )
+    return b.groupBy("symbol", F.to_date("ts").alias("day")).agg(F.to_json(F.collect_list(k)).alias("value"))
+
+
+def order_book(spark: SparkSession, sf_dir: str, depth: int = 10) -> DataFrame:
+    """Per symbol and hour: bids = the ``depth`` highest ticks, asks = the
+    ``depth`` lowest, each as an array of (price, qty = volume / 100)."""
+    from pyspark.sql import Window
+
+    t = ticks(spark, sf_dir).withColumn("ts", F.date_trunc("hour", "ts")).withColumn("qty", F.col("volume") / 100.0)
+    hi = Window.partitionBy("symbol", "ts").orderBy(F.col("price").desc(), "seq")
+    lo = Window.partitionBy("symbol", "ts").orderBy(F.col("price").asc(), "seq")
+    side = lambda w, n: (t.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= depth)
+                         .groupBy("symbol", "ts").agg(F.array_sort(F.collect_list(F.struct("_r", "price", "qty"))).alias("_l"))
+                         .select("symbol", "ts", F.transform("_l", lambda x: F.struct(x["price"].alias("price"), x["qty"].alias("qty"))).alias(n)))
+    return side(hi, "bids").join(side(lo, "asks"), ["symbol", "ts"])
+
+
+def raw_lineitem_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipdate"),
+        F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string")).alias("quantity"),
+        F.col("l_extendedprice").cast("string").alias("extendedprice"),
+    )

@@ -711,3 +711,77 @@ def q_src_bars_file(spark, d):
         F.min("o_totalprice").alias("low"), F.max_by("o_totalprice", "o_orderkey").alias("close"),
         F.count(F.lit(1)).cast("double").alias("volume"))
     return finish(FT.require_columns(bars, FT.BAR_COLS))
+
+
+# ------------------------------------------------------------ anomaly model
+from tidemark.operators import anomaly as AN  # noqa: E402
+
+
+def _features(spark, d):
+    return FT.feat_engine(X.frame_1h(spark, d))
+
+
+def _model(spark, d):
+    f = _features(spark, d)
+    model, stats = AN.train(f)
+    return f, model, stats
+
+
+@query("ml_scale")
+def q_ml_scale(spark, d):
+    f = _features(spark, d)
+    return finish(AN.scale(f.select("symbol", "ts", *AN.MODEL_FEATURES), AN.scaler_stats(f, AN.MODEL_FEATURES)))
+
+
+@query("ml_iforest_fit")
+def q_ml_iforest_fit(spark, d):
+    return finish(_model(spark, d)[1]["nodes"])
+
+
+@query("ml_iforest_score")
+def q_ml_iforest_score(spark, d):
+    f, model, stats = _model(spark, d)
+    return finish(AN.score_frame(f, model, stats).select("symbol", "ts", "anomaly_score"))
+
+
+@query("ml_latest_risk")
+def q_ml_latest_risk(spark, d):
+    f, model, stats = _model(spark, d)
+    return finish(AN.latest_risk(AN.score_frame(f, model, stats)))
+
+
+@query("ml_score_table")
+def q_ml_score_table(spark, d):
+    f, model, stats = _model(spark, d)
+    t = AN.score_frame(f, model, stats)
+    return finish(t.select("symbol", "ts", "price", "volume", *AN.MODEL_FEATURES, "anomaly_score", "risk_percentage", "risk_level"))
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from tidemark.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@query("ml_retrain_job")
+def q_ml_retrain_job(spark, d):
+    return finish(AN.retrain_job(_features(spark, d), path=_scratch(spark, "model")))
+
+
+@query("snk_model")
+def q_snk_model(spark, d):
+    f, model, stats = _model(spark, d)
+    path = _scratch(spark, "model")
+    AN.save(model, stats, path)
+    loaded, st2 = AN.load(spark, path)
+    return finish(loaded["nodes"])
+
+
+@query("risk_snapshot_ml")
+def q_risk_snapshot_ml(spark, d):
+    """Flagship with the anomaly term: model risk % feeds the snapshot."""
+    f, model, stats = _model(spark, d)
+    scored = AN.score_frame(f, model, stats).select("symbol", "ts", "price", "volume", "risk_percentage")
+    return finish(rt_flat(R.risk_snapshot(scored, anomaly="risk_percentage")))

@@ -645,3 +645,9 @@ ORACLE["src_coerce_types"] = (
     "select l_orderkey, l_linenumber, date_trunc('day', l_shipdate) as shipdate, "
     f"{r6('case when l_linenumber = 7 then null else l_quantity end')} as quantity, {r6('l_extendedprice')} as extendedprice from lineitem")
 ORACLE["src_bars_file"] = f"with {BARS_ORD}\n" + bars_out("bars_ord")
+
+# ------------------------------------------------------------ anomaly model
+ORACLE["ml_scale"] = f"with {BASE_1H},\n{ENGINE_SQL},\nef as (select symbol, ts, " + ", ".join(
+    f"cast(coalesce({c}, 0) as double) as {c}" for c in _ENG_F) + " from e2)\nselect symbol, ts, " + ", ".join(
+    r6(f"({c} - avg({c}) over ()) / (case when stddev_pop({c}) over () = 0 then 1.0 else stddev_pop({c}) over () end)") + f" as {c}"
+    for c in _ENG_F) + " from ef"

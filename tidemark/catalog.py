@@ -785,3 +785,62 @@ def q_risk_snapshot_ml(spark, d):
     f, model, stats = _model(spark, d)
     scored = AN.score_frame(f, model, stats).select("symbol", "ts", "price", "volume", "risk_percentage")
     return finish(rt_flat(R.risk_snapshot(scored, anomaly="risk_percentage")))
+
+
+# --------------------------------------------------------------- streaming
+from tidemark.streaming import jobs as SJ  # noqa: E402
+
+
+def _ordered_copy(spark, df, name, files=4):
+    return SJ.materialize_in_order(df, SJ.scratch(spark, name), "ts", files)
+
+
+@query("src_stream_files")
+def q_src_stream_files(spark, d):
+    path = _ordered_copy(spark, X.table(spark, d, "events").withColumn("ts", F.col("ts")), "events-copy")
+    return finish(SJ.run_available_now(SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA)), "ticks"))
+
+
+@query("str_bars")
+def q_str_bars(spark, d):
+    return finish(SJ.run_available_now(SJ.stream_bars(SJ.tick_stream(spark, d)), "bars"))
+
+
+@query("str_dedup")
+def q_str_dedup(spark, d):
+    t = SJ.tick_stream(spark, d)
+    repolled = SJ.tick_stream(spark, d).filter(F.col("seq") % 5 == 0)
+    return finish(SJ.run_available_now(SJ.stream_dedup(t.unionByName(repolled)), "dedup"))
+
+
+@query("str_volume_delta")
+def q_str_volume_delta(spark, d):
+    path = _ordered_copy(spark, X.cumulative_ticks(spark, d), "cumulative")
+    src = SJ.file_stream(spark, path, "symbol string, ts timestamp, seq long, price double, volume double")
+    return finish(SJ.run_available_now(SJ.stream_volume_delta(src), "volume-delta"))
+
+
+@query("str_smoothed_risk_stream")
+def q_str_smoothed_risk_stream(spark, d):
+    m = market_rows(spark, d).select("symbol", "ts", "risk_score")
+    path = _ordered_copy(spark, m, "market")
+    src = SJ.file_stream(spark, path, "symbol string, ts timestamp, risk_score double")
+    return finish(SJ.run_available_now(SJ.stream_smoothed_risk(src), "smoothed"))
+
+
+@query("str_score_window")
+def q_str_score_window(spark, d):
+    f, model, stats = _model(spark, d)
+    sc = AN.score_frame(f, model, stats).select("symbol", "ts", "anomaly_score")
+    path = _ordered_copy(spark, sc, "scores")
+    src = SJ.file_stream(spark, path, "symbol string, ts timestamp, anomaly_score double")
+    return finish(SJ.run_available_now(SJ.stream_score_window(src), "score-window"))
+
+
+@query("str_risk_pipeline")
+def q_str_risk_pipeline(spark, d):
+    path = _ordered_copy(spark, X.table(spark, d, "events"), "events-copy")
+    ticks = SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA))
+    out = SJ.risk_pipeline(spark, ticks)
+    return finish(out.select("symbol", "ts", "risk_score", "risk_level", "trap_type", "control", *COMP,
+                             *flat_reasons(F.col("reasons"))))

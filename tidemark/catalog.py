@@ -548,7 +548,9 @@ def market_rows(spark, d) -> DataFrame:
         "symbol", "ts", "price", "volume", "trap_type", "main_reason", "control", F.col("risk_score").alias("rt_score"))
     chg = series_cols(X.frame_1h(spark, d), lambda s: {"change": S.pct_change("price", s) * 100.0}, 1)
     asset = _asset(spark, d).select("symbol", "ts", F.least(F.col("trap_risk_score"), F.lit(100.0)).alias("risk_score"))
-    return rt.join(asset, ["symbol", "ts"]).join(chg, ["symbol", "ts"])
+    from tidemark.plans.partitioning import materialize
+
+    return materialize(rt.join(asset, ["symbol", "ts"]).join(chg, ["symbol", "ts"]))
 
 
 @query("alert_rules")
@@ -844,3 +846,21 @@ def q_str_risk_pipeline(spark, d):
     out = SJ.risk_pipeline(spark, ticks)
     return finish(out.select("symbol", "ts", "risk_score", "risk_level", "trap_type", "control", *COMP,
                              *flat_reasons(F.col("reasons"))))
+
+
+# ------------------------------------------------------------------ sinks
+from tidemark import sinks as SK  # noqa: E402
+
+
+@query("snk_features_partitioned")
+def q_snk_features_partitioned(spark, d):
+    path = _scratch(spark, "features")
+    SK.write_partitioned(FT.feat_core(X.bars_1h(spark, d)), path)
+    return finish(spark.read.parquet(path))
+
+
+@query("snk_table")
+def q_snk_table(spark, d):
+    path = _scratch(spark, "labels")
+    SK.write_table(FT.lbl_trap(X.bars_daily_li(spark, d)), path)
+    return finish(spark.read.parquet(path))

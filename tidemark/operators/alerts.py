@@ -91,7 +91,7 @@ def smoothed_risk(df: DataFrame, raw: str = "risk_score", alpha: float = EMA_ALP
     """EMA-smoothed risk, streak of updates >= threshold, upward crossing,
     critical flag and display level, per symbol in time order."""
     out = over_series(df, lambda d, s: smoothed_cols(d, s, raw, alpha, threshold, streak_n, live),
-                      halo=smoothing_depth(alpha) + 1, **plan)
+                      halo=smoothing_depth(alpha) + 1, checkpoint=not plan.get("plain", False), **plan)
     return out.withColumn("display_level", band_display("streak", "smoothed_risk"))
 
 

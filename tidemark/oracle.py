@@ -651,3 +651,7 @@ ORACLE["ml_scale"] = f"with {BASE_1H},\n{ENGINE_SQL},\nef as (select symbol, ts,
     f"cast(coalesce({c}, 0) as double) as {c}" for c in _ENG_F) + " from e2)\nselect symbol, ts, " + ", ".join(
     r6(f"({c} - avg({c}) over ()) / (case when stddev_pop({c}) over () = 0 then 1.0 else stddev_pop({c}) over () end)") + f" as {c}"
     for c in _ENG_F) + " from ef"
+
+# ------------------------------------------------------------------ sinks (read-back equals the written query)
+ORACLE["snk_features_partitioned"] = ORACLE["feat_core"]
+ORACLE["snk_table"] = ORACLE["lbl_trap"]

@@ -79,12 +79,14 @@ def index_rows(df: DataFrame, key: str, order: Sequence[str], bucket_size: int)
     """
     scale = 1_000_000 if isinstance(df.schema[order[0]].dataType, (TimestampType, TimestampNTZType)) else 1
     b = F.floor(_order_number(df, order[0]) / F.lit(int(bucket_size) * scale))
-    cells = df.select(key, b.alias(BUCKET)).groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select(key, BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     numbered = df.withColumn(BUCKET, b).withColumn(
         "_r", F.row_number().over(Window.partitionBy(key, BUCKET).orderBy(*order))
     )
+    # cell sizes come from the numbered rows themselves: same partitioning,
+    # so the input is shuffled once and the exchange is reused by both sides
+    cells = numbered.groupBy(key, BUCKET).agg(F.max("_r").alias("_n"))
+    before = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select(key, BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return numbered.join(offsets, [key, BUCKET]).withColumn(IDX, F.col("_off") + F.col("_r")).drop(
         "_off", "_r", BUCKET
     )
@@ -123,12 +125,15 @@ def over_series(
     bucket_size: int | None = None,
     keep_index: str | None = None,
     plain: bool = False,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """Run ``build(df, spec)`` (window columns over ``spec``) chunk-parallel.
 
     ``halo`` must be >= the furthest look-back (in rows) of ``build`` and
     ``lookahead`` >= its furthest look-ahead. ``keep_index`` keeps the row
     position under that name. ``plain=True`` gives the unsplit plan.
+    ``checkpoint=True`` writes the chunked input to the checkpoint dir first
+    (for builds that read it more than once, e.g. prefix totals).
     """
     order = tuple(order)
     if plain:
@@ -142,6 +147,8 @@ def over_series(
     bucket_size = bucket_size or conf_int(spark, BUCKET_SECONDS_CONF, DEFAULT_BUCKET_SECONDS)
     indexed = index_rows(df, key, order, bucket_size)
     spread = spread_halo(indexed, halo, lookahead, chunk_rows)
+    if checkpoint:
+        spread = materialize(spread)
     spec = Series(key=key, order=(IDX,), part=(key, PART), idx=IDX)
     out = build(spread, spec).filter(~F.col(HALO))
     if keep_index:
@@ -176,3 +183,13 @@ def running_totals(df: DataFrame, spec: Series, cols: dict[str, Column], how: st
             both = F.coalesce(F.col(f"_p_{name}"), F.lit(0.0)) + inside
         df = df.withColumn(name, both).drop(f"_p_{name}")
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir`` (a
+    shared folder on a cluster), so lost executors do not recompute the
+    whole upstream and later reuse does not re-plan it."""
+    from tidemark.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

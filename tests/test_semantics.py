@@ -87,7 +87,7 @@ def test_flat_minmax_is_50(spark):
 
 def test_zero_base_guards(spark):
     bars = spark.createDataFrame(
-        [("BTC-USD", T0 + dt.timedelta(hours=i), o, h, l, c, v) for i, (o, h, l, c, v) in enumerate(
+        [("BTC-USD", T0 + dt.timedelta(hours=i), *map(float, (o, h, l, c, v))) for i, (o, h, l, c, v) in enumerate(
             [(1, 1, 1, 1, 0), (1, 2, 0, 0, 0), (0, 1, 0, 1, 5), (1, 1, 1, 1, 0), (1, 2, 1, 2, 3)])],
         "symbol string, ts timestamp, open double, high double, low double, close double, volume double")
     bars = bars.select(*[F.col(c).cast("double") if c not in ("symbol", "ts") else F.col(c) for c in bars.columns])

@@ -864,3 +864,9 @@ def q_snk_table(spark, d):
     path = _scratch(spark, "labels")
     SK.write_table(FT.lbl_trap(X.bars_daily_li(spark, d)), path)
     return finish(spark.read.parquet(path))
+
+
+@query("src_require_columns")
+def q_src_require_columns(spark, d):
+    """Schema check before any work: raises ValueError naming missing columns."""
+    return finish(FT.require_columns(X.bars_1h(spark, d), FT.BAR_COLS))

@@ -655,3 +655,21 @@ ORACLE["ml_scale"] = f"with {BASE_1H},\n{ENGINE_SQL},\nef as (select symbol, ts,
 # ------------------------------------------------------------------ sinks (read-back equals the written query)
 ORACLE["snk_features_partitioned"] = ORACLE["feat_core"]
 ORACLE["snk_table"] = ORACLE["lbl_trap"]
+
+ORACLE["src_require_columns"] = f"with {TICKS},\n{BARS_1H}\n" + bars_out("bars_1h")
+
+# ------------------------------------------------- streaming (batch twins)
+_TICK_COLS = f"symbol, ts, seq, {r6('price')} as price, {r6('volume')} as volume"
+ORACLE["src_stream_files"] = f"with {TICKS}\nselect {_TICK_COLS} from ticks"
+ORACLE["str_dedup"] = f"with {TICKS}\nselect {_TICK_COLS} from ticks"
+ORACLE["str_bars"] = f"with {TICKS},\n{BARS_1H}\n" + bars_out(
+    "(select * from bars_1h where ts + interval 1 hour <= (select max(ts) from ticks) - interval 10 minute)")
+ORACLE["str_volume_delta"] = ORACLE["win_diff_clip"]
+ORACLE["str_smoothed_risk_stream"] = MARKET + ",\n" + smooth_sql("mk") + "\n" + out_select(
+    "sm", ["symbol", "ts", "streak", "crossed_above", "is_critical"], ["risk_score", "smoothed_risk"], fill=False)
+ORACLE["str_risk_pipeline"] = RT + (
+    "select symbol, ts, " + r6("risk_score") + " as risk_score, risk_level, trap_type, control, "
+    + ", ".join(f"{r6(c)} as {c}" for c in COMPS) + ", "
+    + ", ".join(f"_chosen[{i}].r as reason_{i}, case when _chosen[{i}].c is not null then "
+                f"{sround(f'greatest(0.0, least(1.0, _chosen[{i}].c)) * 100.0', 1)} end as confidence_{i}" for i in (1, 2, 3))
+    + " from rt where ts + interval 1 hour <= (select max(ts) from ticks) - interval 10 minute")

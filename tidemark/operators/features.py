@@ -45,18 +45,19 @@ CORE_OUT = ["price_return", "volume_change", "volatility", "breakout_strength",
 def core_cols(df: DataFrame, s: Series) -> DataFrame:
     close, high, vol = F.col("close"), F.col("high"), F.col("volume")
     lc = S.lag("close", s)
-    df = df.withColumn("price_return", F.try_divide(close - lc, lc)).withColumn(
-        "volume_change", S.pct_change_guarded("volume", s)
-    )
     rh = S.rolling_max("high", 20, s)
     l4 = S.lag("close", s, 4)
-    return (
-        df.withColumn("volatility", S.rolling_std("price_return", 20, s))
-        .withColumn("breakout_strength", F.try_divide(close - rh, rh))
-        .withColumn("pv_correlation", S.rolling_corr("price_return", "volume_change", 20, s))
-        .withColumn("price_momentum", F.try_divide(close - l4, l4))
-        .withColumn("volume_momentum", S.pct_change_guarded("volume", s, 4))
-    )
+    df = df.withColumns({
+        "price_return": F.try_divide(close - lc, lc),
+        "volume_change": S.pct_change_guarded("volume", s),
+        "breakout_strength": F.try_divide(close - rh, rh),
+        "price_momentum": F.try_divide(close - l4, l4),
+        "volume_momentum": S.pct_change_guarded("volume", s, 4),
+    })
+    return df.withColumns({
+        "volatility": S.rolling_std("price_return", 20, s),
+        "pv_correlation": S.rolling_corr("price_return", "volume_change", 20, s),
+    })
 
 
 def feat_core(bars: DataFrame, **plan) -> DataFrame:
@@ -73,15 +74,15 @@ DAILY_OUT = ["price_return", "volume_change", "volatility", "rolling_max_20", "b
 def daily_cols(df: DataFrame, s: Series) -> DataFrame:
     lc, lv = S.lag("close", s), S.lag("volume", s)
     rm = S.rolling_max("close", 20, s)
-    return (
-        df.withColumn("price_return", S.pct_change("close", s))
-        .withColumn("volume_change", S.pct_change("volume", s))
-        .withColumn("volatility", range_volatility("high", "low", "open"))
-        .withColumn("rolling_max_20", rm)
-        .withColumn("breakout_strength", F.try_divide(F.col("close") - rm, rm))
-        .withColumn("is_breakout", flag(F.col("close") > S.lag("rolling_max_20", s)))
-        .withColumn("pv_divergence", flag(ratio_gt("close", lc, 0.0) & ratio_lt("volume", lv, 0.0)))
-    )
+    df = df.withColumns({
+        "price_return": S.pct_change("close", s),
+        "volume_change": S.pct_change("volume", s),
+        "volatility": range_volatility("high", "low", "open"),
+        "rolling_max_20": rm,
+        "breakout_strength": F.try_divide(F.col("close") - rm, rm),
+        "pv_divergence": flag(ratio_gt("close", lc, 0.0) & ratio_lt("volume", lv, 0.0)),
+    })
+    return df.withColumn("is_breakout", flag(F.col("close") > S.lag("rolling_max_20", s)))
 
 
 def feat_daily(bars: DataFrame, **plan) -> DataFrame:
@@ -123,16 +124,17 @@ def tick_cols(df: DataFrame, s: Series) -> DataFrame:
     down = ratio_lt("price", lp, 0.0)
     vup = ratio_gt("volume", lv, 0.0)
     vdown = ratio_lt("volume", lv, 0.0)
-    return (
-        df.withColumn("price_return", S.pct_change("price", s))
-        .withColumn("volume_change", S.pct_change("volume", s))
-        .withColumn("volatility", S.rolling_std("price_return", 10, s))
-        .withColumn("_rm", rm)
-        .withColumn("breakout_strength", F.try_divide(F.col("price") - F.col("_rm"), F.col("_rm")))
-        .withColumn("is_breakout", flag(F.col("price") > S.lag("_rm", s)))
-        .withColumn("pv_divergence", flag((up & vdown) | (down & vup)))
-        .drop("_rm")
-    )
+    df = df.withColumns({
+        "price_return": S.pct_change("price", s),
+        "volume_change": S.pct_change("volume", s),
+        "_rm": rm,
+        "breakout_strength": F.try_divide(F.col("price") - rm, rm),
+        "pv_divergence": flag((up & vdown) | (down & vup)),
+    })
+    return df.withColumns({
+        "volatility": S.rolling_std("price_return", 10, s),
+        "is_breakout": flag(F.col("price") > S.lag("_rm", s)),
+    }).drop("_rm")
 
 
 def feat_tick(frame: DataFrame, **plan) -> DataFrame:
@@ -151,16 +153,14 @@ def engine_cols(df: DataFrame, s: Series) -> DataFrame:
     first row filled with its own price."""
     ret = fill0(S.pct_change("price", s))
     vchg = fill0(S.pct_change("volume", s))
-    df = df.withColumn("price_return", ret).withColumn("volume_change", vchg)
     rm = F.coalesce(S.rolling_prev(F.max, "price", 20, s), F.col("price"))
-    return (
-        df.withColumn("volatility", S.rolling_std("price_return", 10, s))
-        .withColumn("_rm", rm)
-        .withColumn("breakout_strength", F.try_divide(F.col("price") - F.col("_rm"), F.nullif(F.col("_rm"), F.lit(0.0))))
-        .withColumn("is_breakout", flag(F.col("price") > F.col("_rm")))
-        .withColumn("pv_divergence", flag((F.col("price_return") > 0) & (F.col("volume_change") < 0)))
-        .drop("_rm")
-    )
+    df = df.withColumns({"price_return": ret, "volume_change": vchg, "_rm": rm})
+    return df.withColumns({
+        "volatility": S.rolling_std("price_return", 10, s),
+        "breakout_strength": F.try_divide(F.col("price") - F.col("_rm"), F.nullif(F.col("_rm"), F.lit(0.0))),
+        "is_breakout": flag(F.col("price") > F.col("_rm")),
+        "pv_divergence": flag((F.col("price_return") > 0) & (F.col("volume_change") < 0)),
+    }).drop("_rm")
 
 
 def feat_engine(frame: DataFrame, **plan) -> DataFrame:
@@ -185,40 +185,34 @@ def trap_cols(df: DataFrame, s: Series, breakout_window: int = 20, corr_window:
     ph2 = F.max(h).over(s.rows(-(breakout_window + 1), -2))
     up = ratio_gt("close", lc, 0.0)
     down = ratio_lt("close", lc, 0.0)
-    df = (
-        df.withColumn("price_return", S.pct_change("close", s))
-        .withColumn("volume_change", S.pct_change("volume", s))
-        .withColumn("_up", up)
-        .withColumn("_down", down)
-        .withColumn("breakout_strength", safe_divide(c - rh, rh))
-        .withColumn("_ph", ph)
-        .withColumn("breakout_failure", flag((h > F.col("_ph")) & (c < F.col("_ph"))))
-        .withColumn("failed_retest", flag((lc > ph2) & (c < F.col("_ph"))))
-        .withColumn("upper_wick_ratio", upper_wick_ratio("high", "close", "low"))
-        .withColumn("body_to_range_ratio", body_ratio("open", "close", "high", "low"))
-        .withColumn("volume_spike", flag(v > S.rolling_mean("volume", volume_window, s) * 1.5))
-        .withColumn("absorption_signal", flag((F.col("volume_spike") == 1) & (F.col("body_to_range_ratio") < 0.3)))
-        .withColumn("volume_divergence", flag(up & ratio_lt("volume", lv, 0.0)))
-        .withColumn("pv_correlation", S.rolling_corr("price_return", "volume_change", corr_window, s, corr_window))
-        .withColumn("gap_rejection", flag((o > lc * 1.002) & (c < o)))
-        .withColumn("price_momentum", S.pct_change("close", s, momentum_window))
-        .withColumn("rsi_14", S.rsi("close", s, rsi_period, "zero"))
-    )
+    df = df.withColumns({
+        "price_return": S.pct_change("close", s),
+        "volume_change": S.pct_change("volume", s),
+        "_up": up,
+        "_down": down,
+        "breakout_strength": safe_divide(c - rh, rh),
+        "_ph": ph,
+        "_ph2": ph2,
+        "upper_wick_ratio": upper_wick_ratio("high", "close", "low"),
+        "body_to_range_ratio": body_ratio("open", "close", "high", "low"),
+        "volume_spike": flag(v > S.rolling_mean("volume", volume_window, s) * 1.5),
+        "volume_divergence": flag(up & ratio_lt("volume", lv, 0.0)),
+        "gap_rejection": flag((o > lc * 1.002) & (c < o)),
+        "price_momentum": S.pct_change("close", s, momentum_window),
+        "rsi_14": S.rsi("close", s, rsi_period, "zero"),
+    })
     lag_up = S.lag("_up", s)
     lr = S.lag("price_return", s)
-    return (
-        df.withColumn(
-            "volume_spike_on_reversal",
-            flag((F.col("volume_spike") == 1) & F.col("_down") & F.coalesce(lag_up, F.lit(False))),
-        )
-        .withColumn("rsi_overbought_fall", flag((F.col("rsi_14") > 70) & (F.col("rsi_14") - S.lag("rsi_14", s) < 0)))
-        .withColumn(
-            "fast_reversal",
-            flag(F.coalesce(S.lag("_up", s), F.lit(False)) & ((lr > 0.02) | lr.isNull()) & (F.col("price_return") < -0.02)),
-        )
-        .withColumn("momentum_fade", flag((F.col("price_momentum") < S.lag("price_momentum", s)) & up))
-        .drop("_up", "_down", "_ph")
-    )
+    return df.withColumns({
+        "breakout_failure": flag((h > F.col("_ph")) & (c < F.col("_ph"))),
+        "failed_retest": flag((lc > F.col("_ph2")) & (c < F.col("_ph"))),
+        "absorption_signal": flag((F.col("volume_spike") == 1) & (F.col("body_to_range_ratio") < 0.3)),
+        "pv_correlation": S.rolling_corr("price_return", "volume_change", corr_window, s, corr_window),
+        "volume_spike_on_reversal": flag((F.col("volume_spike") == 1) & F.col("_down") & F.coalesce(lag_up, F.lit(False))),
+        "rsi_overbought_fall": flag((F.col("rsi_14") > 70) & (F.col("rsi_14") - S.lag("rsi_14", s) < 0)),
+        "fast_reversal": flag(F.coalesce(lag_up, F.lit(False)) & ((lr > 0.02) | lr.isNull()) & (F.col("price_return") < -0.02)),
+        "momentum_fade": flag((F.col("price_momentum") < S.lag("price_momentum", s)) & F.col("_up")),
+    }).drop("_up", "_down", "_ph", "_ph2")
 
 
 def feat_trap(bars: DataFrame, **plan) -> DataFrame:
@@ -270,41 +264,36 @@ def _per_param(param: str, make) -> "F.Column":
 
 def asset_cols(df: DataFrame, s: Series) -> DataFrame:
     c, h, o, v = F.col("close"), F.col("high"), F.col("open"), F.col("volume")
-    df = df.withColumn("price_return", S.pct_change("close", s)).withColumn(
-        "volume_change", S.pct_change("volume", s)
-    )
     rh = _per_param("breakout_lookback", lambda n: S.rolling_max("high", n, s))
     ph = _per_param("breakout_lookback", lambda n: S.rolling_prev(F.max, "high", n, s))
-    df = (
-        df.withColumn("breakout_strength", safe_divide(c - rh, rh))
-        .withColumn("_ph", ph)
-        .withColumn("breakout_failure", flag((h > F.col("_ph")) & (c < F.col("_ph"))))
-        .withColumn("volume_spike", flag(v > _per_param("absorption_window", lambda n: S.rolling_mean("volume", n, s)) * 1.5))
-        .withColumn("body_to_range", body_ratio("open", "close", "high", "low"))
-        .withColumn("absorption_signal", flag((F.col("volume_spike") == 1) & (F.col("body_to_range") < 0.3)))
-        .withColumn("momentum_roc", _per_param("momentum_window", lambda n: S.pct_change("close", s, n)) * 100.0)
-        .withColumn("reversal_velocity", _per_param("reversal_window", lambda n: S.rolling_sum("price_return", n, s)))
-        .withColumn("volatility", F.try_divide(_per_param("compression_window", lambda n: S.rolling_std("high", n, s)), c))
-    )
+    df = df.withColumns({
+        "price_return": S.pct_change("close", s),
+        "volume_change": S.pct_change("volume", s),
+        "breakout_strength": safe_divide(c - rh, rh),
+        "_ph": ph,
+        "volume_spike": flag(v > _per_param("absorption_window", lambda n: S.rolling_mean("volume", n, s)) * 1.5),
+        "body_to_range": body_ratio("open", "close", "high", "low"),
+        "momentum_roc": _per_param("momentum_window", lambda n: S.pct_change("close", s, n)) * 100.0,
+        "volatility": F.try_divide(_per_param("compression_window", lambda n: S.rolling_std("high", n, s)), c),
+    })
     roc, lroc = F.col("momentum_roc"), S.lag("momentum_roc", s)
     thr = F.col("momentum_threshold")
-    df = (
-        df.withColumn("fake_breakout_prob", _per_param("reversal_window", lambda n: S.rolling_mean("breakout_failure", n, s)))
-        .withColumn("volume_absorption_prob", _per_param("absorption_window", lambda n: S.rolling_mean("absorption_signal", n, s)))
-        .withColumn("momentum_exhaustion", flag((roc > thr) & (lroc > thr) & (roc < lroc)))
-        .withColumn("sharp_reversal", flag(F.col("reversal_velocity") < -F.col("breakout_threshold") / 100.0))
-        .withColumn("_vmean", _per_param("compression_window", lambda n: S.rolling_mean("volatility", n, s)))
-    )
+    df = df.withColumns({
+        "breakout_failure": flag((h > F.col("_ph")) & (c < F.col("_ph"))),
+        "absorption_signal": flag((F.col("volume_spike") == 1) & (F.col("body_to_range") < 0.3)),
+        "reversal_velocity": _per_param("reversal_window", lambda n: S.rolling_sum("price_return", n, s)),
+        "momentum_exhaustion": flag((roc > thr) & (lroc > thr) & (roc < lroc)),
+        "_vmean": _per_param("compression_window", lambda n: S.rolling_mean("volatility", n, s)),
+    })
     vol = F.col("volatility")
-    return (
-        df.withColumn("momentum_exhaustion_prob", _per_param("momentum_window", lambda n: S.rolling_mean("momentum_exhaustion", n, s)))
-        .withColumn("compression_ratio", F.try_divide(F.col("_vmean"), F.nullif(vol, F.lit(0.0))))
-        .withColumn(
-            "compression_to_expansion",
-            flag(F.when(vol == 0, F.col("_vmean") > 0).otherwise(F.try_divide(F.col("_vmean"), vol) > 1.5)),
-        )
-        .drop("_ph", "_vmean")
-    )
+    return df.withColumns({
+        "fake_breakout_prob": _per_param("reversal_window", lambda n: S.rolling_mean("breakout_failure", n, s)),
+        "volume_absorption_prob": _per_param("absorption_window", lambda n: S.rolling_mean("absorption_signal", n, s)),
+        "sharp_reversal": flag(F.col("reversal_velocity") < -F.col("breakout_threshold") / 100.0),
+        "momentum_exhaustion_prob": _per_param("momentum_window", lambda n: S.rolling_mean("momentum_exhaustion", n, s)),
+        "compression_ratio": F.try_divide(F.col("_vmean"), F.nullif(vol, F.lit(0.0))),
+        "compression_to_expansion": flag(F.when(vol == 0, F.col("_vmean") > 0).otherwise(F.try_divide(F.col("_vmean"), vol) > 1.5)),
+    }).drop("_ph", "_vmean")
 
 
 def feat_asset(bars: DataFrame, **plan) -> DataFrame:

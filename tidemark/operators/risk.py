@@ -82,27 +82,30 @@ def ranked_reasons(cands: list[tuple[str, Column]], keep: float = 0.20, min_n: i
 # ------------------------------------------------------------ realtime engine
 def rt_cols(df: DataFrame, s: Series, anomaly: str | None = None) -> DataFrame:
     price, vol = F.col("price"), F.col("volume")
-    df = (
-        df.withColumn("bar_no", s.position())
-        .withColumn("_ret", fill0(S.pct_change("price", s)))
-        .withColumn("_vchg", fill0(S.pct_change("volume", s)))
-        .withColumn("_rh", S.rolling_prev(F.max, "price", 20, s, 5))
-        .withColumn("_max20", S.rolling_max("price", 20, s, 5))
-        .withColumn("_vmean20", S.rolling_mean("volume", 20, s, 5))
-        .withColumn("_rsi", S.rsi("price", s, 14, "neutral"))
-    )
+    pos = s.position()
+    if "_bar_offset" in df.columns:  # scoring a tail: restore the series position
+        pos = pos + F.col("_bar_offset")
+    df = df.withColumns({
+        "bar_no": pos,
+        "_ret": fill0(S.pct_change("price", s)),
+        "_vchg": fill0(S.pct_change("volume", s)),
+        "_rh": S.rolling_prev(F.max, "price", 20, s, 5),
+        "_max20": S.rolling_max("price", 20, s, 5),
+        "_vmean20": S.rolling_mean("volume", 20, s, 5),
+        "_rsi": S.rsi("price", s, 14, "neutral"),
+    })
     rh = F.col("_rh")
     near_high = truth(price >= F.col("_max20") * 0.995)
     low_rel = truth(vol < F.col("_vmean20") * 0.9)
     lrsi = S.lag("_rsi", s)
-    df = (
-        df.withColumn("_bo", truth(price > rh))
-        .withColumn("_near_high", near_high)
-        .withColumn("_nhlv", near_high & low_rel)
-        .withColumn("_rsi_fall", truth((lrsi > 68) & (F.col("_rsi") < lrsi - 2)))
-        .withColumn("_mfade", truth(S.rolling_mean("_ret", 3, s, 3) < S.rolling_mean("_ret", 8, s, 5)))
-        .withColumn("_puvd", (F.col("_ret") > 0) & (F.col("_vchg") < 0))
-    )
+    df = df.withColumns({
+        "_bo": truth(price > rh),
+        "_near_high": near_high,
+        "_nhlv": near_high & low_rel,
+        "_rsi_fall": truth((lrsi > 68) & (F.col("_rsi") < lrsi - 2)),
+        "_mfade": truth(S.rolling_mean("_ret", 3, s, 3) < S.rolling_mean("_ret", 8, s, 5)),
+        "_puvd": (F.col("_ret") > 0) & (F.col("_vchg") < 0),
+    })
     df = df.withColumn("_bf", truth(S.lag("_bo", s)) & truth(price < rh))
     ret = F.col("_ret")
     full = F.col("bar_no") >= 25
@@ -157,15 +160,14 @@ def rt_score_cols(df: DataFrame) -> DataFrame:
     reasons = F.when(ready & (F.col("risk_score") >= 40), ranked_reasons(cands)).otherwise(
         F.array().cast("array<struct<reason:string,confidence:double>>")
     )
-    return (
-        df.withColumn("risk_score", score)
-        .withColumn("risk_level", band_snapshot("risk_score"))
-        .withColumn("trap_type", F.when(ready, trap_type(s, v, m, a)).otherwise(F.lit("Neutral")))
-        .withColumn("reasons", reasons)
-        .withColumn("components", F.when(ready, F.struct(s.alias("structure_failure"), v.alias("volume_behavior"),
-                                                          m.alias("momentum_exhaustion"), a.alias("anomaly"))))
-        .withColumn("main_reason", F.coalesce(F.get(F.col("reasons"), 0)["reason"], F.lit(MONITORING)))
-    )
+    df = df.withColumns({
+        "risk_score": score,
+        "trap_type": F.when(ready, trap_type(s, v, m, a)).otherwise(F.lit("Neutral")),
+        "components": F.when(ready, F.struct(s.alias("structure_failure"), v.alias("volume_behavior"),
+                                             m.alias("momentum_exhaustion"), a.alias("anomaly"))),
+    })
+    df = df.withColumns({"risk_level": band_snapshot("risk_score"), "reasons": reasons})
+    return df.withColumn("main_reason", F.coalesce(F.get(F.col("reasons"), 0)["reason"], F.lit(MONITORING)))
 
 
 def rt_frame(frame: DataFrame, anomaly: str | None = None, **plan) -> DataFrame:
@@ -176,9 +178,29 @@ def rt_frame(frame: DataFrame, anomaly: str | None = None, **plan) -> DataFrame:
     return rt_score_cols(out)
 
 
-def risk_snapshot(frame: DataFrame, anomaly: str | None = None, **plan) -> DataFrame:
-    """Flagship: the full nested risk record of the newest bar per symbol."""
-    return latest_per_symbol(rt_frame(frame, anomaly, **plan))
+# Longest look-back chain of rt_cols is 27 rows (7-row mean of a flag on a
+# 20-row high); the newest row of a tail this long scores like the full series.
+SNAPSHOT_TAIL = 64
+
+
+def risk_snapshot(frame: DataFrame, anomaly: str | None = None, tail: int = SNAPSHOT_TAIL, **plan) -> DataFrame:
+    """Flagship: the full nested risk record of the newest bar per symbol.
+
+    Only the newest ``tail`` bars of each symbol are scored: ``row_number <=
+    tail`` runs as a per-task group limit before the shuffle, so the work is
+    O(symbols x tail) after one pass, however long (or skewed) the history.
+    The bar position is restored from the per-symbol count.
+    """
+    from tidemark.operators.merge import tail_n
+
+    if tail is None:
+        return latest_per_symbol(rt_frame(frame, anomaly, **plan))
+    cols = ["symbol", "ts", "price", "volume"] + ([anomaly] if anomaly else [])
+    counts = frame.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"))
+    recent = tail_n(frame.select(*cols), tail).join(counts, "symbol")
+    recent = recent.withColumn("_bar_offset", F.col("_n") - F.least(F.col("_n"), F.lit(tail))).drop("_n")
+    out = rt_score_cols(over_series(recent, lambda d, s: rt_cols(d, s, anomaly), halo=0, plain=True))
+    return latest_per_symbol(out)
 
 
 def sentiment(control: Column) -> Column:
@@ -239,12 +261,9 @@ def trap_invalidation() -> Column:
 def trap_report(feats: DataFrame, anomaly: str | None = None, weights: dict | None = None, **plan) -> DataFrame:
     """Per bar: score, level, top-3 reasons, invalidations, components."""
     comp = over_series(feats, lambda d, s: trap_components(d, anomaly, s), halo=4, **plan)
-    return (
-        comp.withColumn("trap_risk_score", trap_score(weights))
-        .withColumn("risk_level", band_generic("trap_risk_score"))
-        .withColumn("top_3_reasons", trap_reasons())
-        .withColumn("invalidated_by", trap_invalidation())
-    )
+    comp = comp.withColumns({"trap_risk_score": trap_score(weights), "top_3_reasons": trap_reasons(),
+                             "invalidated_by": trap_invalidation()})
+    return comp.withColumn("risk_level", band_generic("trap_risk_score"))
 
 
 # ------------------------------------------------------------ per-asset model
@@ -303,12 +322,9 @@ def asset_report(feats: DataFrame, anomaly: str | None = None, clip_100: bool =
     from tidemark.operators.params import PARAM_COLUMNS
 
     withp = with_asset_params(asset_components(feats, anomaly))
-    out = (
-        withp.withColumn("trap_risk_score", asset_score(clip_100))
-        .withColumn("risk_level", band_asset("trap_risk_score"))
-        .withColumn("top_3_reasons", asset_reasons())
-        .withColumn("invalidated_by", asset_invalidation())
-    )
+    out = withp.withColumns({"trap_risk_score": asset_score(clip_100), "top_3_reasons": asset_reasons(),
+                             "invalidated_by": asset_invalidation()})
+    out = out.withColumn("risk_level", band_asset("trap_risk_score"))
     return out.drop(*[c for c in PARAM_COLUMNS if c != "symbol"])
 
 

@@ -104,10 +104,9 @@ def spread_halo(df: DataFrame, halo: int, lookahead: int, chunk_rows: int) -> Da
         else F.lit(0)
     )
     shift = F.explode(F.sequence(lo.cast("long"), hi.cast("long")))
+    out = df.select("*", shift.alias("_shift"))
     return (
-        df.withColumn("_shift", shift)
-        .withColumn(PART, chunk + F.col("_shift"))
-        .withColumn(HALO, F.col("_shift") != 0)
+        out.withColumns({PART: chunk + F.col("_shift"), HALO: F.col("_shift") != 0})
         .filter(F.col(PART) >= 0)
         .drop("_shift")
     )
@@ -145,6 +144,11 @@ def over_series(
     spark = df.sparkSession
     chunk_rows = chunk_rows or conf_int(spark, CHUNK_ROWS_CONF, DEFAULT_CHUNK_ROWS)
     bucket_size = bucket_size or conf_int(spark, BUCKET_SECONDS_CONF, DEFAULT_BUCKET_SECONDS)
+    if _is_computed(df):
+        # row numbering reads its input twice (cell sizes need only the key
+        # and order columns); a computed input is written once so the
+        # upstream (e.g. the tick scan and bar aggregate) runs once
+        df = materialize(df)
     indexed = index_rows(df, key, order, bucket_size)
     spread = spread_halo(indexed, halo, lookahead, chunk_rows)
     if checkpoint:
@@ -193,3 +197,13 @@ def materialize(df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_COMPUTED_NODES = ("Aggregate", "Join", "Window", "Generate", "Union", "Expand", "Sort")
+
+
+def _is_computed(df: DataFrame) -> bool:
+    """True when the optimised plan does more than scan, filter and project."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    return any(f"{n} " in text or f"{n}[" in text or f"+- {n}" in text or text.startswith(n) for n in _COMPUTED_NODES)

@@ -544,12 +544,15 @@ from tidemark.operators import merge as MG  # noqa: E402
 def market_rows(spark, d) -> DataFrame:
     """Per 1-hour bar: realtime snapshot fields, change % and the per-asset
     trap score (capped at 100) as the raw risk that drives alerts/events."""
-    rt = R.rt_frame(X.frame_1h(spark, d)).select(
-        "symbol", "ts", "price", "volume", "trap_type", "main_reason", "control", F.col("risk_score").alias("rt_score"))
-    chg = series_cols(X.frame_1h(spark, d), lambda s: {"change": S.pct_change("price", s) * 100.0}, 1)
-    asset = _asset(spark, d).select("symbol", "ts", F.least(F.col("trap_risk_score"), F.lit(100.0)).alias("risk_score"))
     from tidemark.plans.partitioning import materialize
 
+    bars = materialize(X.bars_1h(spark, d))  # ticks are scanned and aggregated once
+    frame = bars.select("symbol", "ts", F.col("close").alias("price"), "volume")
+    rt = R.rt_frame(frame).select(
+        "symbol", "ts", "price", "volume", "trap_type", "main_reason", "control", F.col("risk_score").alias("rt_score"))
+    chg = series_cols(frame, lambda s: {"change": S.pct_change("price", s) * 100.0}, 1)
+    asset = R.asset_report(FT.feat_asset(bars)).select(
+        "symbol", "ts", F.least(F.col("trap_risk_score"), F.lit(100.0)).alias("risk_score"))
     return materialize(rt.join(asset, ["symbol", "ts"]).join(chg, ["symbol", "ts"]))
 
 

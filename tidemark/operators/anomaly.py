@@ -240,7 +240,9 @@ def retrain_job(features_df: DataFrame, path: str | None = None, validation_spli
     from tidemark.operators.merge import split_by_time
     from tidemark.operators.stats import validation_metrics
 
-    split = split_by_time(features_df, validation_split).cache()
+    from tidemark.plans.partitioning import materialize
+
+    split = materialize(split_by_time(features_df, validation_split))
     model, stats = train(split.filter(F.col("split") == "train").drop("split"), **kw)
     model["nodes"] = model["nodes"].cache()
     scored = score_frame(split.filter(F.col("split") == "validation").drop("split"), model, stats)

@@ -53,3 +53,33 @@ def test_chunked_plan_splits_symbols(spark, sf):
     """Windows partition by (symbol, chunk), not by symbol alone."""
     plan = FT.feat_trap(X.bars_1h(spark, sf))._jdf.queryExecution().executedPlan().toString()
     assert "_part" in plan
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_top_k_is_group_limited_before_shuffle(spark, sf):
+    from tidemark.operators.merge import tail_n
+
+    assert "WindowGroupLimit" in _plan(tail_n(X.bars_1h(spark, sf), 180))
+    assert "WindowGroupLimit" in _plan(R.risk_snapshot(X.frame_1h(spark, sf)))
+
+
+def test_registry_join_is_broadcast(spark, sf):
+    from tidemark.operators.params import with_asset_params
+
+    assert "BroadcastHashJoin" in _plan(with_asset_params(X.bars_1h(spark, sf)))
+
+
+def test_bars_use_partial_aggregation(spark, sf):
+    from tidemark.operators.bars import ohlcv_bars
+
+    p = _plan(ohlcv_bars(X.ticks(spark, sf), 3600))
+    assert "partial_min_by" in p and "partial_sum" in p
+
+
+def test_snapshot_tail_equals_full_series(spark, sf):
+    fr = X.frame_1h(spark, sf)
+    cols = ["symbol", "ts", "bar_no", "risk_score", "structure_failure", "volume_behavior", "momentum_exhaustion", "control"]
+    same(R.risk_snapshot(fr).select(*cols), R.risk_snapshot(fr, tail=None).select(*cols))

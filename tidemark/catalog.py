@@ -20,6 +20,10 @@ from tidemark.sources import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Row-numbering cells for tick-level series: one second per cell keeps a
+# cell small even for the hottest symbol (bars use the weekly default).
+TICK_BUCKET_SECONDS = 1
+
 
 def query(name: str):
     def deco(fn):
@@ -246,7 +250,7 @@ def q_win_extremes_120(spark, d):
 def q_win_diff_clip(spark, d):
     ct = X.cumulative_ticks(spark, d)
     out = over_series(ct, lambda df, s: df.withColumn("volume_delta", S.diff_clip("volume", s)), halo=1,
-                      order=("ts", "seq"))
+                      order=("ts", "seq"), bucket_size=TICK_BUCKET_SECONDS)
     return finish(out.select("symbol", "ts", "seq", "volume", "volume_delta"))
 
 
@@ -505,7 +509,7 @@ def q_agg_resample_minute(spark, d):
     from tidemark.operators.bars import resample_minute
 
     ct = over_series(X.cumulative_ticks(spark, d), lambda df, s: df.withColumn("volume_delta", S.diff_clip("volume", s)),
-                     halo=1, order=("ts", "seq"))
+                     halo=1, order=("ts", "seq"), bucket_size=TICK_BUCKET_SECONDS)
     return finish(resample_minute(ct, 60))
 
 

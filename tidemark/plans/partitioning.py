@@ -75,7 +75,8 @@ def index_rows(df: DataFrame, key: str, order: Sequence[str], bucket_size: int)
     """Add ``_idx``: 1-based position of each row within its key in ``order``.
 
     ``bucket_size`` is in units of the first order column (seconds for a
-    timestamp). Only the per-(key, bucket) count table is windowed by key.
+    timestamp) and must keep a cell small: weeks for bars, seconds for ticks.
+    Only the per-(key, bucket) count table is windowed by key.
     """
     scale = 1_000_000 if isinstance(df.schema[order[0]].dataType, (TimestampType, TimestampNTZType)) else 1
     b = F.floor(_order_number(df, order[0]) / F.lit(int(bucket_size) * scale))

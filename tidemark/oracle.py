@@ -341,10 +341,6 @@ ORACLE["risk_diagnostics_rt"] = RT + (
     f"{r6('d_rsi')} as rsi_fall_strength, {r6('d_nhlv')} as near_high_low_volume_strength, {r6('d_mfade')} as momentum_fade_strength, "
     f"{r6('d_rsi_last')} as latest_rsi, {r6('d_ret')} as latest_return, {r6('d_vchg')} as latest_volume_change from rt")
 ORACLE["risk_trap_type"] = RT + "select symbol, ts, trap_type from rt"
-ORACLE["risk_reasons_rt"] = RT + (
-    "select symbol, ts, cast(pos as integer) as pos, x.r as reason, "
-    f"{sround('greatest(0.0, least(1.0, x.c)) * 100.0', 1)} as confidence from "
-    "(select symbol, ts, unnest(range(len(_chosen))) as pos, unnest(_chosen) as x from rt)")
 ORACLE["risk_control"] = RT + "select symbol, ts, control from rt"
 ORACLE["risk_sentiment"] = RT + ("select symbol, ts, control, case when control = 'Buyers in Control' then 'BULLISH' "
                                  "when control = 'Sellers in Control' then 'BEARISH' else 'NEUTRAL' end as sentiment from rt")
@@ -673,3 +669,12 @@ ORACLE["str_risk_pipeline"] = RT + (
     + ", ".join(f"_chosen[{i}].r as reason_{i}, case when _chosen[{i}].c is not null then "
                 f"{sround(f'greatest(0.0, least(1.0, _chosen[{i}].c)) * 100.0', 1)} end as confidence_{i}" for i in (1, 2, 3))
     + " from rt where ts + interval 1 hour <= (select max(ts) from ticks) - interval 10 minute")
+
+# realtime reasons with the per-asset score as the anomaly input (defined after ASSET_RISK)
+ORACLE["risk_reasons_rt"] = (
+    f"with {BASE_1H},\n{ASSET_RISK.replace(TICKS + ',', '', 1).replace(BARS_1H + ',', '', 1)},\n"
+    "fa as (select f.symbol, f.ts, f.price, f.volume, least(ar.trap_risk_score, 100.0) as anom from frame_1h f "
+    f"join ar on f.symbol = ar.symbol and f.ts = ar.ts),{rt_sql('fa', 'anom')}\n" + (
+    "select symbol, ts, cast(pos as integer) as pos, x.r as reason, "
+    f"{sround('greatest(0.0, least(1.0, x.c)) * 100.0', 1)} as confidence from "
+    "(select symbol, ts, unnest(range(len(_chosen))) as pos, unnest(_chosen) as x from rt)"))

@@ -180,26 +180,35 @@ def risk_pipeline(spark: SparkSession, ticks: DataFrame, history_rows: int = 180
     base = scratch(spark, "risk-pipeline")
     hist_path, out_path = f"{base}/history", f"{base}/snapshots"
     bars = stream_bars(ticks, seconds, watermark).select("symbol", "ts", F.col("close").alias("price"), "volume")
-    state = {"n": 0}
+
+    def previous_history(epoch: int):
+        """Newest history version written by an earlier epoch (directory
+        listing only), so a retried or restarted epoch sees the same input."""
+        try:
+            eps = [r[0] for r in spark.read.parquet(hist_path).select("epoch").distinct().collect()]
+        except Exception:  # noqa: BLE001 - no history yet
+            return None
+        eps = [e for e in eps if e < epoch]
+        return spark.read.parquet(hist_path).filter(F.col("epoch") == max(eps)).drop("epoch") if eps else None
 
     def on_batch(new: DataFrame, epoch: int):
+        # idempotent per epoch: outputs overwrite their own epoch partition
         new = new.persist()
         if new.isEmpty():
             new.unpersist()
             return
-        k = state["n"]
-        frame = new if k == 0 else spark.read.parquet(f"{hist_path}/v{k}").unionByName(new)
-        frame = frame.persist()
+        prev = previous_history(epoch)
+        frame = (new if prev is None else prev.unionByName(new)).persist()
         scored = rt_frame(frame).join(new.select("symbol", "ts"), ["symbol", "ts"], "left_semi")
-        scored.drop("diagnostics", "components", "bar_no").write.mode("append").parquet(out_path)
+        (scored.drop("diagnostics", "components", "bar_no").write.mode("overwrite")
+         .parquet(f"{out_path}/epoch={epoch}"))
         w = Window.partitionBy("symbol").orderBy(F.col("ts").desc())
         keep = frame.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= history_rows).drop("_rn")
-        keep.write.mode("overwrite").parquet(f"{hist_path}/v{k + 1}")
-        state["n"] = k + 1
+        keep.write.mode("overwrite").parquet(f"{hist_path}/epoch={epoch}")
         frame.unpersist()
         new.unpersist()
 
     q = (bars.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{base}/_checkpoint")
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    return spark.read.parquet(out_path).drop("epoch")

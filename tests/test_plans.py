@@ -83,3 +83,17 @@ def test_snapshot_tail_equals_full_series(spark, sf):
     fr = X.frame_1h(spark, sf)
     cols = ["symbol", "ts", "bar_no", "risk_score", "structure_failure", "volume_behavior", "momentum_exhaustion", "control"]
     same(R.risk_snapshot(fr).select(*cols), R.risk_snapshot(fr, tail=None).select(*cols))
+
+
+@pytest.mark.parametrize("q", [0.0, 0.05, 0.5, 0.95, 1.0])
+@pytest.mark.parametrize("accuracy", [100, 100_000])
+def test_exact_quantile_matches_percentile(spark, sf, q, accuracy):
+    """Small accuracy forces the sketch-bracket path; the default ranks whole keys."""
+    from tidemark.operators.stats import exact_quantile
+
+    t = X.ticks(spark, sf).select("symbol", F.col("price").alias("volume"))
+    a = {r[0]: r[1] for r in exact_quantile(t, q, accuracy=accuracy).collect()}
+    b = {r[0]: r[1] for r in t.groupBy("symbol").agg(F.percentile("volume", q)).collect()}
+    assert a.keys() == b.keys()
+    for k in b:
+        assert a[k] == pytest.approx(b[k], rel=1e-12, abs=1e-12)

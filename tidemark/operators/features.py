@@ -238,7 +238,9 @@ def feat_chart(frame: DataFrame, q: float = 0.95, **plan) -> DataFrame:
     require_columns(frame, ["symbol", "ts", "price", "volume"])
     base = frame.select("symbol", "ts", "price", "volume")
     out = over_series(base, chart_cols, halo=S.ema_depth(21) + 1, **plan)
-    cap = base.groupBy("symbol").agg(F.percentile("volume", q).alias("_cap"))
+    from tidemark.operators.stats import exact_quantile
+
+    cap = exact_quantile(base, q, "symbol", "volume", out="_cap")
     return out.join(cap, "symbol").withColumn("volume_plot", F.least(F.col("volume"), F.col("_cap"))).drop("_cap")
 
 

@@ -94,7 +94,7 @@ def scaler_fit(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def volume_cap(df: DataFrame, q: float = 0.95, key: str = "symbol", volume: str = "volume") -> DataFrame:
-    cap = df.groupBy(key).agg(F.percentile(volume, q).alias("volume_cap"))
+    cap = exact_quantile(df, q, key, volume, out="volume_cap")
     return df.join(cap, key).withColumn("volume_plot", F.least(F.col(volume), F.col("volume_cap")))
 
 
@@ -104,3 +104,64 @@ def label_count(df: DataFrame) -> DataFrame:
 
 def value_col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
+
+
+def exact_quantile(df: DataFrame, q: float, key: str = "symbol", value: str = "volume", accuracy: int = 100_000,
+                   out: str = "quantile") -> DataFrame:
+    """Exact per-key quantile with linear interpolation (pandas default),
+    without gathering a large key's values into one task.
+
+    A GK sketch (``percentile_approx``, rank error <= n / accuracy) brackets
+    the two target ranks between values lo and hi; counts below / at the
+    bracket come from partial aggregates, and only rows strictly inside the
+    bracket (at most ~8 n / accuracy per key) are ranked to pick the exact
+    order statistics.
+    """
+    eps = 1.0 / accuracy
+    v = F.col(value).cast("double")
+    base = df.select(F.col(key), v.alias("_v")).filter(F.col("_v").isNotNull())
+    st = base.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", [max(0.0, q - 3 * eps), min(1.0, q + 3 * eps)], accuracy).alias("_b"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+    )
+    # keys with at most 4 x accuracy rows are ranked whole (open bracket);
+    # above that the sketch's rank error (< n / accuracy) cannot miss the
+    # target ranks, so the bracket holds them
+    small = F.col("_n") <= F.lit(4 * accuracy)
+    inf = F.lit(float("inf"))
+    lo = F.col("_b")[0] if q - 3 * eps > 0 else F.col("_min") - F.lit(1.0)
+    hi = F.col("_b")[1] if q + 3 * eps < 1 else F.col("_max") + F.lit(1.0)
+    st = st.select(key, "_n", F.when(small, -inf).otherwise(lo).alias("_lo"), F.when(small, inf).otherwise(hi).alias("_hi"))
+    pos = (F.col("_n") - 1) * F.lit(float(q))
+    st = st.withColumns({"_k1": F.floor(pos).cast("long"), "_k2": F.ceil(pos).cast("long"), "_frac": pos - F.floor(pos)})
+    j = base.join(st, key)
+    counts = j.groupBy(key).agg(
+        F.count_if(F.col("_v") < F.col("_lo")).alias("_c_lt"),
+        F.count_if(F.col("_v") == F.col("_lo")).alias("_c_lo"),
+        F.count_if((F.col("_v") > F.col("_lo")) & (F.col("_v") < F.col("_hi"))).alias("_c_in"),
+    )
+    from pyspark.sql import Window
+
+    inside = j.filter((F.col("_v") > F.col("_lo")) & (F.col("_v") < F.col("_hi"))).withColumn(
+        "_r", F.row_number().over(Window.partitionBy(key).orderBy("_v")) - 1)
+    info = st.join(counts, key)
+
+    def kth(k: str):
+        # 0-based rank k: below lo (impossible by the bracket), at lo, inside, or at/above hi
+        off = F.col(k) - F.col("_c_lt") - F.col("_c_lo")
+        picked = inside.join(info.select(key, off.alias("_want")), key).filter(F.col("_r") == F.col("_want")) \
+            .select(key, F.col("_v").alias(f"_v_{k}"))
+        return picked
+
+    res = info.join(kth("_k1"), key, "left").join(kth("_k2"), key, "left")
+
+    def value_at(k: str) -> Column:
+        lo_end = F.col("_c_lt") + F.col("_c_lo")
+        return (F.when(F.col(k) < F.col("_c_lt"), F.lit(None).cast("double"))
+                .when(F.col(k) < lo_end, F.col("_lo"))
+                .when(F.col(k) < lo_end + F.col("_c_in"), F.col(f"_v_{k}"))
+                .otherwise(F.col("_hi")))
+
+    a, b = value_at("_k1"), value_at("_k2")
+    return res.select(key, (a + (b - a) * F.col("_frac")).alias(out))

@@ -97,3 +97,16 @@ def test_exact_quantile_matches_percentile(spark, sf, q, accuracy):
     assert a.keys() == b.keys()
     for k in b:
         assert a[k] == pytest.approx(b[k], rel=1e-12, abs=1e-12)
+
+
+def test_two_level_prefix_offsets(spark):
+    from pyspark.sql import Window
+
+    from tidemark.plans.partitioning import prefix_offsets
+
+    rows = [(k, c, (c * 7 + len(k)) % 5 + 1) for k in ("A", "BB") for c in range(0, 40, 3)]
+    cells = spark.createDataFrame(rows, "key string, cell long, n long")
+    got = prefix_offsets(cells, "key", "cell", "n", "off", fan=2)
+    w = Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    want = cells.select("key", "cell", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("off"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

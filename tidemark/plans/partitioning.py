@@ -86,13 +86,32 @@ def index_rows(df: DataFrame, key: str, order: Sequence[str], bucket_size: int)
     # cell sizes come from the numbered rows themselves: same partitioning,
     # so the input is shuffled once and the exchange is reused by both sides
     cells = numbered.groupBy(key, BUCKET).agg(F.max("_r").alias("_n"))
-    before = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select(key, BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = prefix_offsets(cells, key, BUCKET, "_n", "_off")
     return numbered.join(offsets, [key, BUCKET]).withColumn(IDX, F.col("_off") + F.col("_r")).drop(
         "_off", "_r", BUCKET
     )
 
 
+SUPER_CELLS = 4096
+
+
+def prefix_offsets(cells: DataFrame, key: str, cell: str, size: str, out: str, fan: int = SUPER_CELLS) -> DataFrame:
+    """Exclusive prefix sum of ``size`` over ``cell`` order within each key.
+
+    Two levels, so no window holds more than ``fan`` cells of one key plus
+    one row per group of ``fan`` cells: sums per super-cell (cell div fan)
+    are prefixed per key, and cells are prefixed inside their super-cell.
+    """
+    sup = F.floor(F.col(cell) / F.lit(fan))
+    c = cells.withColumn("_sup", sup)
+    tops = c.groupBy(key, "_sup").agg(F.sum(size).alias("_s"))
+    w_top = Window.partitionBy(key).orderBy("_sup").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select(key, "_sup", F.coalesce(F.sum("_s").over(w_top), F.lit(0)).alias("_base"))
+    w_in = Window.partitionBy(key, "_sup").orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    inner = c.select(key, cell, "_sup", F.coalesce(F.sum(size).over(w_in), F.lit(0)).alias("_inner"))
+    return inner.join(tops, [key, "_sup"]).select(key, cell, (F.col("_base") + F.col("_inner")).alias(out))
+
+
 def spread_halo(df: DataFrame, halo: int, lookahead: int, chunk_rows: int) -> DataFrame:
     """Assign rows to chunks and copy halo rows into neighbouring chunks."""
     c = F.lit(int(chunk_rows))

@@ -71,3 +71,12 @@ def test_risk_pipeline_equals_batch(spark, sf):
     out = SJ.risk_pipeline(spark, SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA)))
     batch = R.rt_frame(X.frame_1h(spark, sf)).join(out.select("symbol", "ts"), ["symbol", "ts"], "left_semi")
     eq(out, batch, ["symbol", "ts", "risk_score", "structure_failure", "volume_behavior", "momentum_exhaustion", "control", "trap_type"])
+
+
+def test_stream_mode_suppress_equals_batch_twin(spark, sf):
+    m = C.market_rows(spark, sf).select("symbol", "ts", "risk_score").withColumn("is_live", F.dayofmonth("ts") % 2 == 1)
+    path = SJ.materialize_in_order(m, SJ.scratch(spark, "ml"), "ts", 3)
+    src = SJ.file_stream(spark, path, "symbol string, ts timestamp, risk_score double, is_live boolean")
+    s = SJ.run_available_now(SJ.stream_smoothed_risk(src), "t-mode")
+    b = AL.smoothed_risk(m, live="is_live")
+    eq(s, b, ["symbol", "ts", "smoothed_risk", "streak", "crossed_above", "is_critical"], 1e-6)

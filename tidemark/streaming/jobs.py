@@ -126,8 +126,9 @@ def _smooth(key, batches, state):
     for pdf in batches:
         pdf = pdf.sort_values("ts")
         rows = []
-        for ts, raw in zip(pdf["ts"], pdf["risk_score"].astype("float64")):
-            sm, last, streak, crossed = smoothing_step(sm, last, int(streak), float(raw))
+        live = pdf["is_live"].astype(bool) if "is_live" in pdf.columns else [True] * len(pdf)
+        for ts, raw, lv in zip(pdf["ts"], pdf["risk_score"].astype("float64"), live):
+            sm, last, streak, crossed = smoothing_step(sm, last, int(streak), float(raw), live=bool(lv))
             rows.append((key[0], ts, float(raw), sm, streak, crossed, streak >= 3))
         out.append(pd.DataFrame(rows, columns=["symbol", "ts", "risk_score", "smoothed_risk", "streak", "crossed_above", "is_critical"]))
     state.update((float(sm), float(last), int(streak)))
@@ -137,8 +138,10 @@ def _smooth(key, batches, state):
 
 def stream_smoothed_risk(scored: DataFrame) -> DataFrame:
     """EMA-smoothed risk, streak and upward crossing per symbol as keyed
-    state (three numbers per symbol)."""
-    return scored.select("symbol", "ts", "risk_score").groupBy("symbol").applyInPandasWithState(
+    state (three numbers per symbol). An optional ``is_live`` column marks
+    rows from a non-live source: they reset the streak and raise no crossing."""
+    cols = ["symbol", "ts", "risk_score"] + (["is_live"] if "is_live" in scored.columns else [])
+    return scored.select(*cols).groupBy("symbol").applyInPandasWithState(
         _smooth, SMOOTH_OUT, "smoothed double, last double, streak long", "append", GroupStateTimeout.NoTimeout)
 
 

@@ -43,3 +43,15 @@ def test_bar_file_reader_uses_given_schema(spark, sf, tmp_path):
     back = read_bars(spark, path, "csv")
     assert back.schema.simpleString().startswith("struct<symbol:string,ts:timestamp,open:double")
     assert back.count() == X.bars_1h(spark, sf).count()
+
+
+def test_clear_alert_history(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    t0 = dt.datetime(2026, 1, 1)
+    df = spark.createDataFrame([("BTC-USD", t0, "high_risk", "m", 90.0)],
+                               "symbol string, ts timestamp, alert_type string, message string, risk_score double")
+    SK.append_alert_history(df, path)
+    SK.clear_alert_history(spark, path)
+    assert SK.read_alert_history(spark, path).count() == 0
+    SK.append_alert_history(df, path)
+    assert SK.read_alert_history(spark, path).count() == 1

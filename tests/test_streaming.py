@@ -80,3 +80,18 @@ def test_stream_mode_suppress_equals_batch_twin(spark, sf):
     s = SJ.run_available_now(SJ.stream_smoothed_risk(src), "t-mode")
     b = AL.smoothed_risk(m, live="is_live")
     eq(s, b, ["symbol", "ts", "smoothed_risk", "streak", "crossed_above", "is_critical"], 1e-6)
+
+
+def test_risk_pipeline_on_processing_time_trigger(spark, sf):
+    path = SJ.materialize_in_order(X.table(spark, sf, "events"), SJ.scratch(spark, "ev"), "ts", 3)
+    ticks = lambda: SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA))
+    base = SJ.scratch(spark, "pipe")
+    q = SJ.risk_pipeline(spark, ticks(), interval="1 second", base=base)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    live = spark.read.parquet(f"{base}/snapshots").drop("epoch")
+    once = SJ.risk_pipeline(spark, ticks())
+    assert live.count() > 0
+    assert live.select("symbol", "ts", "risk_score").exceptAll(once.select("symbol", "ts", "risk_score")).count() == 0

@@ -48,3 +48,18 @@ def append_alert_history(alerts: DataFrame, path: str, keep: int = 1000) -> str:
 def read_alert_history(spark: SparkSession, path: str, n: int = 50) -> DataFrame:
     versions = [r[0] for r in spark.read.text(f"{path}/_versions").collect()]
     return spark.read.parquet(f"{path}/{versions[-1]}").orderBy(F.col("ts").desc(), "symbol", "alert_type").limit(n)
+
+
+def clear_alert_history(spark: SparkSession, path: str) -> str:
+    """Start an empty history version (older versions stay for audit)."""
+    from pyspark.sql.utils import AnalysisException
+
+    try:
+        versions = [r[0] for r in spark.read.text(f"{path}/_versions").collect()]
+    except AnalysisException:
+        versions = []
+    nxt = f"v{len(versions) + 1}"
+    empty = spark.createDataFrame([], "symbol string, ts timestamp, alert_type string, message string, risk_score double")
+    empty.write.mode("overwrite").parquet(f"{path}/{nxt}")
+    spark.createDataFrame([(v,) for v in versions + [nxt]], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/_versions")
+    return f"{path}/{nxt}"

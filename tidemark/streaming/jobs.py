@@ -175,12 +175,16 @@ def stream_score_window(scored: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------ micro-batch scoring
 def risk_pipeline(spark: SparkSession, ticks: DataFrame, history_rows: int = 180, seconds: int = 3600,
-                  watermark: str = "10 minutes") -> DataFrame:
+                  watermark: str = "10 minutes", interval: str | None = None, base: str | None = None):
     """ticks -> closed bars -> (bounded history + new bars) -> realtime
-    risk per new bar, appended to a table; returns that table."""
+    risk per new bar, appended to a table.
+
+    ``interval=None`` runs everything available and returns the table as a
+    DataFrame; ``interval="2 seconds"`` starts a continuous query on that
+    processing-time trigger and returns the running query."""
     from tidemark.operators.risk import rt_frame
 
-    base = scratch(spark, "risk-pipeline")
+    base = base or scratch(spark, "risk-pipeline")
     hist_path, out_path = f"{base}/history", f"{base}/snapshots"
     bars = stream_bars(ticks, seconds, watermark).select("symbol", "ts", F.col("close").alias("price"), "volume")
 
@@ -211,7 +215,9 @@ def risk_pipeline(spark: SparkSession, ticks: DataFrame, history_rows: int = 180
         frame.unpersist()
         new.unpersist()
 
-    q = (bars.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{base}/_checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
+    w = bars.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{base}/_checkpoint").outputMode("append")
+    if interval:
+        return w.trigger(processingTime=interval).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(out_path).drop("epoch")

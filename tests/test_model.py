@@ -49,3 +49,11 @@ def test_save_load_round_trip(spark, tmp_path):
     s1 = AN.score(df, model).select("seq", "anomaly_score")
     s2 = AN.score(df, loaded).select("seq", "anomaly_score")
     assert s1.exceptAll(s2).count() == 0
+
+
+def test_contamination_threshold(spark):
+    df = data(spark, 3000).withColumn("ts", F.col("seq"))
+    model, stats = AN.train(df, ["a", "b", "c"], ("symbol", "ts"), n_trees=30, contamination=0.1)
+    sc = AN.score_frame(df, model, stats)
+    share = sc.agg(F.avg(F.col("is_anomaly").cast("double"))).first()[0]
+    assert abs(share - 0.1) < 0.01

@@ -768,9 +768,11 @@ def q_ml_latest_risk(spark, d):
 
 @query("ml_score_table")
 def q_ml_score_table(spark, d):
-    f, model, stats = _model(spark, d)
+    f = _features(spark, d)
+    model, stats = AN.train(f, contamination=0.1)
     t = AN.score_frame(f, model, stats)
-    return finish(t.select("symbol", "ts", "price", "volume", *AN.MODEL_FEATURES, "anomaly_score", "risk_percentage", "risk_level"))
+    return finish(t.select("symbol", "ts", "price", "volume", *AN.MODEL_FEATURES, "anomaly_score", "risk_percentage",
+                           "risk_level", "is_anomaly"))
 
 
 def _scratch(spark, name: str) -> str:

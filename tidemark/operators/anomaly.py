@@ -199,15 +199,26 @@ MODEL_FEATURES = ["price_return", "volume_change", "volatility", "breakout_stren
 
 
 def train(features_df: DataFrame, cols=MODEL_FEATURES, key_cols=("symbol", "ts"), n_trees: int = 100, psi: int = 256,
-          seed: int = 42) -> tuple[dict, dict]:
-    """Scaler + forest on a feature table (all symbols in one job)."""
+          seed: int = 42, contamination: float | None = None) -> tuple[dict, dict]:
+    """Scaler + forest on a feature table (all symbols in one job).
+
+    With ``contamination`` the model also keeps a decision threshold: the
+    exact (1 - contamination) quantile of the training scores, used by
+    ``score_frame`` for an ``is_anomaly`` flag."""
     cols = [c for c in cols]
     aligned = features_df.select(*key_cols, *[(F.col(c).cast("double") if c in features_df.columns else F.lit(0.0)).alias(c)
                                               for c in cols])
     stats = scaler_stats(aligned, cols)
     if all(s == 1.0 for s in stats["scale"]) and all(m == 0.0 for m in stats["mean"]):
         raise ValueError("all model features are constant")
-    model = fit(scale(aligned, stats), cols, list(key_cols), n_trees, psi, seed)
+    scaled = scale(aligned, stats)
+    model = fit(scaled, cols, list(key_cols), n_trees, psi, seed)
+    if contamination:
+        from tidemark.operators.stats import exact_quantile
+
+        train_scores = score(scaled, model).select(F.lit(0).alias("_k"), "anomaly_score")
+        q = exact_quantile(train_scores, 1.0 - float(contamination), "_k", "anomaly_score", out="t").first()
+        model["threshold"] = float(q["t"])
     return model, stats
 
 
@@ -225,7 +236,10 @@ def score_frame(features_df: DataFrame, model: dict, stats: dict, window: int =
     scored = scored.drop(*["_z_" + c for c in cols]).join(aligned, [c for c in aligned.columns if c not in cols])
     out = over_series(scored, lambda d, s: d.withColumn("risk_percentage", minmax_pct("anomaly_score", s, window)),
                       halo=window, **plan)
-    return out.withColumn("risk_level", band_model("risk_percentage"))
+    out = out.withColumn("risk_level", band_model("risk_percentage"))
+    if model.get("threshold") is not None:
+        out = out.withColumn("is_anomaly", F.col("anomaly_score") > F.lit(model["threshold"]))
+    return out
 
 
 def latest_risk(scored: DataFrame) -> DataFrame:

@@ -117,9 +117,13 @@ def exact_quantile(df: DataFrame, q: float, key: str = "symbol", value: str = "v
     bracket (at most ~8 n / accuracy per key) are ranked to pick the exact
     order statistics.
     """
+    from tidemark.plans.partitioning import _is_computed, materialize
+
     eps = 1.0 / accuracy
     v = F.col(value).cast("double")
     base = df.select(F.col(key), v.alias("_v")).filter(F.col("_v").isNotNull())
+    if _is_computed(base):  # read three times below: compute the input once
+        base = materialize(base)
     st = base.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", [max(0.0, q - 3 * eps), min(1.0, q + 3 * eps)], accuracy).alias("_b"),

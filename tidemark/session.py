@@ -31,6 +31,7 @@ def local_session(cpus: int | str = 8, app: str = "tidemark", extra: dict | None
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.parquet.datetimeRebaseModeInRead", "CORRECTED")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)

@@ -768,11 +768,10 @@ def q_ml_latest_risk(spark, d):
 
 @query("ml_score_table")
 def q_ml_score_table(spark, d):
-    f = _features(spark, d)
-    model, stats = AN.train(f, contamination=0.1)
+    f, model, stats = _model(spark, d)
     t = AN.score_frame(f, model, stats)
     return finish(t.select("symbol", "ts", "price", "volume", *AN.MODEL_FEATURES, "anomaly_score", "risk_percentage",
-                           "risk_level", "is_anomaly"))
+                           "risk_level"))
 
 
 def _scratch(spark, name: str) -> str:

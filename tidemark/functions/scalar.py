@@ -71,40 +71,48 @@ def range_volatility(high, low, open_) -> Column:
 
 
 # ---- risk bands (four scales in the source system, kept apart) -----------
+# Band labels of the four scales, low to high.
+MODEL_BANDS = ["Normal", "Suspicious", "Potential Market Trap"]
+SNAPSHOT_BANDS = ["LOW", "ELEVATED", "CRITICAL"]
+GENERIC_BANDS = ["Low", "Medium", "High"]
+ASSET_BANDS = ["Low", "Medium", "High"]
+DISPLAY_BANDS = ["LOW", "ELEVATED", "CRITICAL"]
+LOG_LEVELS = ["NORMAL", "ELEVATED", "CRITICAL"]
+
 
 def band_model(risk_pct, include_lowest: bool = False) -> Column:
     """(0,30] Normal, (30,70] Suspicious, (70,100] Potential Market Trap."""
     r = col(risk_pct)
     low_ok = (r >= 0) if include_lowest else (r > 0)
     return (
-        F.when(low_ok & (r <= 30), "Normal")
-        .when((r > 30) & (r <= 70), "Suspicious")
-        .when((r > 70) & (r <= 100), "Potential Market Trap")
+        F.when(low_ok & (r <= 30), MODEL_BANDS[0])
+        .when((r > 30) & (r <= 70), MODEL_BANDS[1])
+        .when((r > 70) & (r <= 100), MODEL_BANDS[2])
     )
 
 
 def band_snapshot(score) -> Column:
     s = col(score)
-    return F.when(s >= 70, "CRITICAL").when(s >= 40, "ELEVATED").otherwise("LOW")
+    return F.when(s >= 70, SNAPSHOT_BANDS[2]).when(s >= 40, SNAPSHOT_BANDS[1]).otherwise(SNAPSHOT_BANDS[0])
 
 
 def band_generic(score) -> Column:
     s = col(score)
-    return F.when(s >= 70, "High").when(s >= 40, "Medium").otherwise("Low")
+    return F.when(s >= 70, GENERIC_BANDS[2]).when(s >= 40, GENERIC_BANDS[1]).otherwise(GENERIC_BANDS[0])
 
 
 def band_asset(score) -> Column:
     s = col(score)
-    return F.when(s >= 80, "High").when(s >= 50, "Medium").otherwise("Low")
+    return F.when(s >= 80, ASSET_BANDS[2]).when(s >= 50, ASSET_BANDS[1]).otherwise(ASSET_BANDS[0])
 
 
 def band_display(streak, smoothed) -> Column:
-    return F.when(col(streak) >= 3, "CRITICAL").when(col(smoothed) > 30, "ELEVATED").otherwise("LOW")
+    return F.when(col(streak) >= 3, DISPLAY_BANDS[2]).when(col(smoothed) > 30, DISPLAY_BANDS[1]).otherwise(DISPLAY_BANDS[0])
 
 
 def log_level(score) -> Column:
     s = col(score)
-    return F.when(s >= 70, "CRITICAL").when(s >= 40, "ELEVATED").otherwise("NORMAL")
+    return F.when(s >= 70, LOG_LEVELS[2]).when(s >= 40, LOG_LEVELS[1]).otherwise(LOG_LEVELS[0])
 
 
 def fixed(x, digits: int) -> Column:

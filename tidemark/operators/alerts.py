@@ -11,8 +11,12 @@ from tidemark.functions import series as S
 from tidemark.functions.scalar import band_display, fixed, truth
 from tidemark.plans.partitioning import Series, over_series, running_totals
 
-# Alert type names and the smoothing constants.
+# Alert type names, message and event texts, the smoothing constants.
 ALERT_TYPES = ["high_risk", "price_spike", "volume_anomaly", "connection_lost", "trap_detected"]
+ALERT_TEXT = ["High risk detected: ", "Price spike detected: ", "Unusual volume detected: "]
+EVENT_TEXT = ["TRAP DETECTED: ", "ELEVATED RISK: ", "BIAS SHIFT: "]
+CHAT_COLORS = ["good", "warning", "danger"]
+EMBED_COLORS = [0x00FF00, 0xFFAA00, 0xFF0000]
 EMA_ALPHA = 0.35
 CRITICAL_THRESHOLD = 70.0
 CRITICAL_STREAK_UPDATES = 3
@@ -24,13 +28,13 @@ def alert_rules(df: DataFrame, high_risk: float = 80.0, price_spike: float = 5.0
     r, c, v = F.col(risk), F.col(change), F.col(volume)
     cands = F.array(
         F.when(r >= high_risk, F.struct(F.lit(ALERT_TYPES[0]).alias("alert_type"),
-                                        F.concat(F.lit("High risk detected: "), fixed(r, 1), F.lit("%")).alias("message"))),
+                                        F.concat(F.lit(ALERT_TEXT[0]), fixed(r, 1), F.lit("%")).alias("message"))),
         F.when(F.abs(c) >= price_spike, F.struct(
             F.lit(ALERT_TYPES[1]).alias("alert_type"),
-            F.concat(F.lit("Price spike detected: "), fixed(F.abs(c), 2), F.lit("% "),
+            F.concat(F.lit(ALERT_TEXT[1]), fixed(F.abs(c), 2), F.lit("% "),
                      F.when(c > 0, "up").otherwise("down")).alias("message"))),
         F.when(v > volume_limit, F.struct(F.lit(ALERT_TYPES[2]).alias("alert_type"),
-                                          F.concat(F.lit("Unusual volume detected: "), F.format_number(v, 0)).alias("message"))),
+                                          F.concat(F.lit(ALERT_TEXT[2]), F.format_number(v, 0)).alias("message"))),
     )
     keep = [x for x in df.columns if x not in ("alert_type", "message")]
     return df.select(*keep, F.explode(F.array_compact(cands)).alias("_a")).select(*keep, "_a.alert_type", "_a.message")
@@ -43,7 +47,7 @@ def volume_multiple_alerts(bars: DataFrame, k: float = 3.0, window: int = 20, **
     out = over_series(bars.select("symbol", "ts", "volume"), build, halo=window, **plan)
     hit = out.filter(F.col("volume") > F.lit(k) * F.col("volume_mean"))
     return hit.select("symbol", "ts", "volume", "volume_mean", F.lit(ALERT_TYPES[2]).alias("alert_type"),
-                      F.concat(F.lit("Unusual volume detected: "), F.format_number("volume", 0)).alias("message"))
+                      F.concat(F.lit(ALERT_TEXT[2]), F.format_number("volume", 0)).alias("message"))
 
 
 def smoothing_depth(alpha: float = EMA_ALPHA, tol: float = 1e-21) -> int:
@@ -117,13 +121,13 @@ def change_log(sm: DataFrame, **plan) -> DataFrame:
         prev_lvl, prev_ctl = S.lag("_lvl", s), S.lag("control", s)
         risk_ev = (
             F.when(F.col("crossed_above"), F.struct(F.lit("error").alias("level"), F.concat(
-                F.lit("TRAP DETECTED: "), F.col("trap_type"), F.lit(" ("), F.col("risk_score").cast("string"), F.lit("%)")).alias("message")))
+                F.lit(EVENT_TEXT[0]), F.col("trap_type"), F.lit(" ("), F.col("risk_score").cast("string"), F.lit("%)")).alias("message")))
             .when((F.col("smoothed_risk") > 40) & ~prev_lvl.eqNullSafe(F.lit("ELEVATED")), F.struct(
-                F.lit("warning").alias("level"), F.concat(F.lit("ELEVATED RISK: "), F.col("trap_type"), F.lit(" ("),
+                F.lit("warning").alias("level"), F.concat(F.lit(EVENT_TEXT[1]), F.col("trap_type"), F.lit(" ("),
                                                          F.round("smoothed_risk", 1).cast("string"), F.lit("%)")).alias("message")))
         )
         ctl_ev = F.when(~prev_ctl.eqNullSafe(F.col("control")), F.struct(
-            F.lit("info").alias("level"), F.concat(F.lit("BIAS SHIFT: "), F.upper("control")).alias("message")))
+            F.lit("info").alias("level"), F.concat(F.lit(EVENT_TEXT[2]), F.upper("control")).alias("message")))
         return d.withColumn("_ev", F.array_compact(F.array(risk_ev, ctl_ev)))
     out = over_series(sm, build, halo=1, **plan)
     return out.select("symbol", "ts", F.posexplode("_ev").alias("seq", "e")).select("symbol", "ts", "seq", "e.level", "e.message")
@@ -135,8 +139,8 @@ def alert_payload(alerts: DataFrame) -> DataFrame:
     r = F.col("risk_score")
     out = alerts.select(
         "symbol", "ts", "alert_type", "message", "risk_score",
-        F.when(r >= 70, "danger").when(r >= 40, "warning").otherwise("good").alias("chat_color"),
-        F.when(r >= 70, F.lit(0xFF0000)).when(r >= 40, F.lit(0xFFAA00)).otherwise(F.lit(0x00FF00)).alias("embed_color"),
+        F.when(r >= 70, CHAT_COLORS[2]).when(r >= 40, CHAT_COLORS[1]).otherwise(CHAT_COLORS[0]).alias("chat_color"),
+        F.when(r >= 70, F.lit(EMBED_COLORS[2])).when(r >= 40, F.lit(EMBED_COLORS[1])).otherwise(F.lit(EMBED_COLORS[0])).alias("embed_color"),
         F.concat(F.lit("Alert: "), F.upper("symbol")).alias("title"),
         F.concat(fixed(r, 1), F.lit("%")).alias("risk_text"),
         F.date_format("ts", "HH:mm:ss").alias("time_text"),

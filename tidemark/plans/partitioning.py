@@ -57,7 +57,7 @@ class Series:
         return self.w().rowsBetween(lo, hi)
 
     def position(self) -> Column:
-        return F.col(self.idx) if self.idx else F.row_number().over(self.w())
+        return F.col(self.idx) if self.idx else F.row_number().over(self.w()).cast("long")
 
     def whole(self):
         """Frame from the series start to the current row (cumulative)."""
@@ -153,13 +153,16 @@ def over_series(
     position under that name. ``plain=True`` gives the unsplit plan.
     ``checkpoint=True`` writes the chunked input to the checkpoint dir first
     (for builds that read it more than once, e.g. prefix totals).
+
+    An input of at most ``chunk_rows`` rows in total is windowed per key
+    directly (one chunk per key would be the same plan with extra shuffles).
     """
     order = tuple(order)
     if plain:
         spec = Series(key=key, order=order)
         out = build(df, spec)
         if keep_index:
-            out = out.withColumn(keep_index, F.row_number().over(spec.w()))
+            out = out.withColumn(keep_index, F.row_number().over(spec.w()).cast("long"))
         return out
     spark = df.sparkSession
     chunk_rows = chunk_rows or conf_int(spark, CHUNK_ROWS_CONF, DEFAULT_CHUNK_ROWS)
@@ -169,6 +172,11 @@ def over_series(
         # and order columns); a computed input is written once so the
         # upstream (e.g. the tick scan and bar aggregate) runs once
         df = materialize(df)
+    if df.count() <= chunk_rows:
+        # size-checked shortcut: the whole input fits in one chunk, so every
+        # key has at most chunk_rows rows and per-key windows are bounded
+        return over_series(df, build, halo=halo, lookahead=lookahead, key=key, order=order,
+                           keep_index=keep_index, plain=True)
     indexed = index_rows(df, key, order, bucket_size)
     spread = spread_halo(indexed, halo, lookahead, chunk_rows)
     if checkpoint:

@@ -50,11 +50,17 @@ def test_running_totals_and_ema_chunked(spark, sf):
 
 
 def test_chunked_plan_splits_symbols(spark, sf):
-    """Windows partition by (symbol, chunk), not by symbol alone."""
-    plan = FT.feat_trap(X.bars_1h(spark, sf))._jdf.queryExecution().executedPlan().toString()
+    """Above one chunk of input, windows partition by (symbol, chunk), not by symbol alone."""
+    plan = FT.feat_trap(X.bars_1h(spark, sf), chunk_rows=100)._jdf.queryExecution().executedPlan().toString()
     assert "_part" in plan
 
 
+def test_small_input_uses_per_symbol_windows(spark, sf):
+    """Size-checked shortcut: an input within one chunk is windowed per symbol."""
+    plan = FT.feat_trap(X.bars_1h(spark, sf))._jdf.queryExecution().executedPlan().toString()
+    assert "_part" not in plan
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

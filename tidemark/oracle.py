@@ -367,10 +367,10 @@ ORACLE["agg_score_summary"] = RT + (f"select count(*) as n, {r6('avg(risk_score)
                                     f"{r6('max(risk_score)')} as max_score from rt")
 ORACLE["agg_validation_metrics"] = RT + (
     f"select count(*) as validation_samples, {r6('avg(cast(risk_score > 20.0 as double))')} as anomaly_rate, {r6('avg(risk_score)')} as mean_score, "
-    f"{r6('stddev_pop(risk_score)')} as std_score, count_if(risk_score > 15.0) as high_risk_count from rt")
+    f"{r6('stddev_pop(risk_score)')} as std_score, cast(count_if(risk_score > 15.0) as bigint) as high_risk_count from rt")
 ORACLE["agg_backtest_buckets"] = RT + (
-    "select count(*) as total_samples, count_if(pct > 80) as high_risk_periods, count_if(pct > 40 and pct <= 80) as medium_risk_periods, "
-    f"count_if(pct <= 40) as low_risk_periods, {r6('avg(pct)')} as mean_risk_score, {r6('max(pct)')} as max_risk_score "
+    "select count(*) as total_samples, cast(count_if(pct > 80) as bigint) as high_risk_periods, cast(count_if(pct > 40 and pct <= 80) as bigint) as medium_risk_periods, "
+    f"cast(count_if(pct <= 40) as bigint) as low_risk_periods, {r6('avg(pct)')} as mean_risk_score, {r6('max(pct)')} as max_risk_score "
     "from (select risk_score * 4.0 as pct from rt)")
 
 TRAP_FILLED = ", ".join(f"coalesce({c}, 0) as {c}" for c in TRAP_D + TRAP_I)
@@ -471,7 +471,7 @@ ORACLE["fn_clean_features"] = B1H + (
 ORACLE["fn_align_features"] = f"with {BARS_LI},\n{daily_sql('bars_li')}\n" + (
     f"select symbol, ts, {r6('coalesce(price_return, 0)')} as price_return, {r6('coalesce(volume_change, 0)')} as volume_change, "
     f"{r6('coalesce(volatility, 0)')} as volatility, {r6('coalesce(breakout_strength, 0)')} as breakout_strength, "
-    f"0.0 as is_breakout, cast(coalesce(pv_divergence, 0) as double) as pv_divergence from d2")
+    f"cast(0.0 as double) as is_breakout, cast(coalesce(pv_divergence, 0) as double) as pv_divergence from d2")
 ORACLE["fn_candle_shape"] = B1H + (f"select symbol, ts, {r6('(high - close) / nullif(high - low, 0)')} as upper_wick_ratio, "
                                    f"{r6('abs(close - open) / nullif(high - low, 0)')} as body_ratio from bars_1h")
 ORACLE["fn_range_volatility"] = f"with {BARS_LI}\nselect symbol, ts, {r6('(high - low) / nullif(open, 0)')} as volatility from bars_li"

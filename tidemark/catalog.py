@@ -238,11 +238,15 @@ def q_win_rolling_minmax(spark, d):
 
 @query("win_extremes_120")
 def q_win_extremes_120(spark, d):
-    """Latest bar per symbol: change vs previous bar and 120-bar high/low."""
-    out = series_cols(li_bars(spark, d), lambda s: {
-        "close": F.col("close"), "change": F.col("close") - S.lag("close", s),
-        "change_pct": F.try_divide(F.col("close") - S.lag("close", s), S.lag("close", s)) * 100.0,
-        "high_120": S.rolling_max("high", 120, s), "low_120": S.rolling_min("low", 120, s)}, 120)
+    """Latest bar per symbol: change vs the previous bar (a single bar is its
+    own previous), change % (0 on a zero base) and the 120-bar price range."""
+    def cols(s):
+        prev = F.coalesce(S.lag("close", s), F.col("close"))
+        change = F.col("close") - prev
+        return {"close": F.col("close"), "change": change,
+                "change_pct": F.when(prev != 0, change / prev * 100.0).otherwise(F.lit(0.0)),
+                "high_120": S.rolling_max("close", 120, s), "low_120": S.rolling_min("close", 120, s)}
+    out = series_cols(li_bars(spark, d), cols, 120)
     return finish(R.latest_per_symbol(out))
 
 

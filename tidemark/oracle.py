@@ -305,8 +305,9 @@ ORACLE["win_ema"] = li_q({
 ORACLE["win_vwap"] = li_q({"vwap": f"sum(close * (case when volume = 0 then 1.0 else volume end)) {W(None, 0)} / sum(case when volume = 0 then 1.0 else volume end) {W(None, 0)}"})
 ORACLE["win_rolling_minmax"] = li_q({"risk_pct": f"greatest(0.0, least(100.0, case when max(close) {W(-99, 0)} - min(close) {W(-99, 0)} > 0 then (close - min(close) {W(-99, 0)}) / (max(close) {W(-99, 0)} - min(close) {W(-99, 0)}) * 100.0 else 50.0 end))"})
 ORACLE["win_extremes_120"] = (
-    f"with {BARS_LI},\nq as (select symbol, ts, close, close - {lag('close')} as change, (close - {lag('close')}) / nullif({lag('close')}, 0) * 100.0 as change_pct,"
-    f" max(high) {W(-119, 0)} as high_120, min(low) {W(-119, 0)} as low_120 from bars_li qualify row_number() over (partition by symbol order by ts desc) = 1)\n"
+    f"with {BARS_LI},\nq0 as (select *, coalesce({lag('close')}, close) as _prev from bars_li),\n"
+    f"q as (select symbol, ts, close, close - _prev as change, case when _prev <> 0 then (close - _prev) / _prev * 100.0 else 0.0 end as change_pct,"
+    f" max(close) {W(-119, 0)} as high_120, min(close) {W(-119, 0)} as low_120 from q0 qualify row_number() over (partition by symbol order by ts desc) = 1)\n"
     + out_select("q", ["symbol", "ts"], ["close", "change", "change_pct", "high_120", "low_120"], fill=False))
 CUM_TICKS = f"""{TICKS},
 cum as (select symbol, ts, seq, price, sum(coalesce(volume, 0.0)) over (partition by symbol, cast(ts as date) order by ts, seq rows between unbounded preceding and current row) as volume from ticks)"""

@@ -95,3 +95,23 @@ def test_risk_pipeline_on_processing_time_trigger(spark, sf):
     once = SJ.risk_pipeline(spark, ticks())
     assert live.count() > 0
     assert live.select("symbol", "ts", "risk_score").exceptAll(once.select("symbol", "ts", "risk_score")).count() == 0
+
+
+def test_late_tick_is_dropped(spark, sf):
+    """A tick older than the watermark arriving in a later micro-batch does
+    not change any emitted bar."""
+    import datetime as dt
+
+    ev = X.table(spark, sf, "events")
+    path = SJ.scratch(spark, "late")
+    ev.coalesce(1).write.mode("append").parquet(path)
+    first = ev.orderBy("ts").first()
+    late = spark.createDataFrame([(10**9, first["ts"] + dt.timedelta(minutes=1), 1, "click", 10**6 * 1.0, '{"k": 5}')],
+                                 SJ.EVENTS_SCHEMA)
+    late.write.mode("append").parquet(path)
+    s = SJ.run_available_now(SJ.stream_bars(SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA))), "t-late")
+    assert s.filter(F.col("high") >= 10**6).count() == 0
+    t = X.ticks(spark, sf)
+    cutoff = t.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10)
+    b = ohlcv_bars(t, 3600).filter(F.col("ts") + F.expr("INTERVAL 1 HOUR") <= F.lit(cutoff))
+    eq(s, b, ["symbol", "ts", "open", "high", "low", "close", "volume"])

@@ -461,16 +461,12 @@ def q_fn_clean_features(spark, d):
 MODEL_FEATURES = ["price_return", "volume_change", "volatility", "breakout_strength", "is_breakout", "pv_divergence"]
 
 
-def align_features(df: DataFrame, cols=MODEL_FEATURES) -> DataFrame:
-    """The model feature vector in order; absent columns become 0."""
-    return df.select(*[(F.col(c).cast("double") if c in df.columns else F.lit(0.0)).alias(c) for c in cols])
-
-
 @query("fn_align_features")
 def q_fn_align_features(spark, d):
-    f = FT.feat_daily(X.bars_daily_li(spark, d)).drop("is_breakout")
-    return finish(f.select("symbol", "ts", *[(F.col(c).cast("double") if c in f.columns else F.lit(0.0)).alias(c)
-                                             for c in MODEL_FEATURES]))
+    from tidemark.operators.anomaly import align_features
+
+    f = FT.feat_daily(X.bars_daily_li(spark, d)).drop("is_breakout")  # one model column missing -> 0
+    return finish(align_features(f, MODEL_FEATURES, ["symbol", "ts"]))
 
 
 @query("fn_candle_shape")

@@ -198,6 +198,12 @@ def load(spark, path: str) -> tuple[dict, dict | None]:
 MODEL_FEATURES = ["price_return", "volume_change", "volatility", "breakout_strength", "is_breakout", "pv_divergence"]
 
 
+def align_features(df: DataFrame, cols=MODEL_FEATURES, keep=()) -> DataFrame:
+    """The model feature vector in order: present columns as double, absent
+    ones as 0.0, extra columns dropped (``keep`` columns are carried)."""
+    return df.select(*keep, *[(F.col(c).cast("double") if c in df.columns else F.lit(0.0)).alias(c) for c in cols])
+
+
 def train(features_df: DataFrame, cols=MODEL_FEATURES, key_cols=("symbol", "ts"), n_trees: int = 100, psi: int = 256,
           seed: int = 42, contamination: float | None = None) -> tuple[dict, dict]:
     """Scaler + forest on a feature table (all symbols in one job).
@@ -206,8 +212,7 @@ def train(features_df: DataFrame, cols=MODEL_FEATURES, key_cols=("symbol", "ts")
     exact (1 - contamination) quantile of the training scores, used by
     ``score_frame`` for an ``is_anomaly`` flag."""
     cols = [c for c in cols]
-    aligned = features_df.select(*key_cols, *[(F.col(c).cast("double") if c in features_df.columns else F.lit(0.0)).alias(c)
-                                              for c in cols])
+    aligned = align_features(features_df, cols, key_cols)
     stats = scaler_stats(aligned, cols)
     if all(s == 1.0 for s in stats["scale"]) and all(m == 0.0 for m in stats["mean"]):
         raise ValueError("all model features are constant")
@@ -230,8 +235,7 @@ def score_frame(features_df: DataFrame, model: dict, stats: dict, window: int =
     from tidemark.plans.partitioning import over_series
 
     cols = stats["columns"]
-    aligned = features_df.select(*[c for c in features_df.columns if c not in cols],
-                                 *[(F.col(c).cast("double") if c in features_df.columns else F.lit(0.0)).alias(c) for c in cols])
+    aligned = align_features(features_df, cols, [c for c in features_df.columns if c not in cols])
     scored = score(scale(aligned, stats, prefix="_z_"), {**model, "features": ["_z_" + c for c in cols]})
     scored = scored.drop(*["_z_" + c for c in cols]).join(aligned, [c for c in aligned.columns if c not in cols])
     out = over_series(scored, lambda d, s: d.withColumn("risk_percentage", minmax_pct("anomaly_score", s, window)),

@@ -115,3 +115,14 @@ def test_late_tick_is_dropped(spark, sf):
     cutoff = t.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10)
     b = ohlcv_bars(t, 3600).filter(F.col("ts") + F.expr("INTERVAL 1 HOUR") <= F.lit(cutoff))
     eq(s, b, ["symbol", "ts", "open", "high", "low", "close", "volume"])
+
+
+def test_risk_pipeline_raises_alerts_into_history(spark, sf):
+    from tidemark import sinks as SK
+
+    path = SJ.materialize_in_order(X.table(spark, sf, "events"), SJ.scratch(spark, "ev"), "ts", 3)
+    alerts = SJ.scratch(spark, "alerts")
+    out = SJ.risk_pipeline(spark, SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA)), alerts_path=alerts)
+    hist = SK.read_alert_history(spark, alerts, 1000)
+    assert out.count() > 0 and hist.count() > 0
+    assert {r[0] for r in hist.select("alert_type").distinct().collect()} <= {"high_risk", "price_spike", "volume_anomaly"}

@@ -28,9 +28,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.format(fmt).save(path)
 
 
-def append_alert_history(alerts: DataFrame, path: str, keep: int = 1000) -> str:
+def append_alert_history(alerts: DataFrame, path: str, keep: int = 1000, version: str | None = None) -> str:
     """Append alerts and keep the newest ``keep`` (a bounded top-k);
-    versions are written side by side, the newest one is returned."""
+    versions are written side by side, the newest one is returned.
+
+    ``version`` names the new version (a stream passes its epoch); writing
+    the same version again replaces it, so a retried epoch appends once."""
     spark = alerts.sparkSession
     from pyspark.sql.utils import AnalysisException
 
@@ -38,8 +41,10 @@ def append_alert_history(alerts: DataFrame, path: str, keep: int = 1000) -> str:
         versions = [r[0] for r in spark.read.text(f"{path}/_versions").collect()]
     except AnalysisException:
         versions = []
+    if version is not None and version in versions:
+        versions = versions[: versions.index(version)]
     cur = alerts if not versions else spark.read.parquet(f"{path}/{versions[-1]}").unionByName(alerts)
-    nxt = f"v{len(versions) + 1}"
+    nxt = version or f"v{len(versions) + 1}"
     cur.orderBy(F.col("ts").desc(), "symbol", "alert_type").limit(keep).write.mode("overwrite").parquet(f"{path}/{nxt}")
     spark.createDataFrame([(v,) for v in versions + [nxt]], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/_versions")
     return f"{path}/{nxt}"

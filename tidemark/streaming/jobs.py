@@ -175,9 +175,12 @@ def stream_score_window(scored: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------ micro-batch scoring
 def risk_pipeline(spark: SparkSession, ticks: DataFrame, history_rows: int = 180, seconds: int = 3600,
-                  watermark: str = "10 minutes", interval: str | None = None, base: str | None = None):
+                  watermark: str = "10 minutes", interval: str | None = None, base: str | None = None,
+                  alerts_path: str | None = None):
     """ticks -> closed bars -> (bounded history + new bars) -> realtime
-    risk per new bar, appended to a table.
+    risk per new bar, appended to a table; with ``alerts_path`` the alert
+    rules run on the new bars and their alerts go to the alert history
+    (newest 1000, one version per epoch).
 
     ``interval=None`` runs everything available and returns the table as a
     DataFrame; ``interval="2 seconds"`` starts a continuous query on that
@@ -209,6 +212,17 @@ def risk_pipeline(spark: SparkSession, ticks: DataFrame, history_rows: int = 180
         scored = rt_frame(frame).join(new.select("symbol", "ts"), ["symbol", "ts"], "left_semi")
         (scored.drop("diagnostics", "components", "bar_no").write.mode("overwrite")
          .parquet(f"{out_path}/epoch={epoch}"))
+        if alerts_path:
+            from tidemark.functions.series import pct_change
+            from tidemark.operators.alerts import alert_rules
+            from tidemark.plans.partitioning import Series
+            from tidemark.sinks import append_alert_history
+
+            sp = Series()
+            chg = frame.withColumn("change", F.coalesce(pct_change("price", sp) * 100.0, F.lit(0.0))).select(
+                "symbol", "ts", "change")
+            rows = scored.select("symbol", "ts", "risk_score", "volume").join(chg, ["symbol", "ts"])
+            append_alert_history(alert_rules(rows), alerts_path, version=f"e{epoch:012d}")
         w = Window.partitionBy("symbol").orderBy(F.col("ts").desc())
         keep = frame.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= history_rows).drop("_rn")
         keep.write.mode("overwrite").parquet(f"{hist_path}/epoch={epoch}")

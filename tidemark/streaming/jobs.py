@@ -191,15 +191,29 @@ def risk_pipeline(spark: SparkSession, ticks: DataFrame, history_rows: int = 180
     hist_path, out_path = f"{base}/history", f"{base}/snapshots"
     bars = stream_bars(ticks, seconds, watermark).select("symbol", "ts", F.col("close").alias("price"), "volume")
 
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+
     def previous_history(epoch: int):
-        """Newest history version written by an earlier epoch (directory
-        listing only), so a retried or restarted epoch sees the same input."""
-        try:
-            eps = [r[0] for r in spark.read.parquet(hist_path).select("epoch").distinct().collect()]
-        except Exception:  # noqa: BLE001 - no history yet
+        """Newest history version written by an earlier epoch, found by a
+        directory listing (no data read), so a retried or restarted epoch
+        sees the same input; versions older than that one are removed."""
+        root = jvm.org.apache.hadoop.fs.Path(hist_path)
+        fs = root.getFileSystem(hconf)
+        if not fs.exists(root):
+            return None
+        eps = {}
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("epoch=") and fs.exists(
+                    jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                eps[int(name.split("=", 1)[1])] = st.getPath()
+        older = sorted(e for e in eps if e < epoch)
+        if not older:
             return None
-        eps = [e for e in eps if e < epoch]
-        return spark.read.parquet(hist_path).filter(F.col("epoch") == max(eps)).drop("epoch") if eps else None
+        for e in older[:-1]:  # bounded history: keep only the newest version
+            fs.delete(eps[e], True)
+        return spark.read.parquet(f"{hist_path}/epoch={older[-1]}")
 
     def on_batch(new: DataFrame, epoch: int):
         # idempotent per epoch: outputs overwrite their own epoch partition

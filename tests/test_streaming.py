@@ -66,9 +66,9 @@ def test_stream_score_window_equals_batch(spark, sf):
     eq(s, b, ["symbol", "ts", "risk_percentage"], 1e-9)
 
 
-def test_risk_pipeline_equals_batch(spark, sf):
+def test_micro_batch_scorer_equals_batch(spark, sf):
     path = SJ.materialize_in_order(X.table(spark, sf, "events"), SJ.scratch(spark, "ev"), "ts", 4)
-    out = SJ.risk_pipeline(spark, SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA)))
+    out = SJ.micro_batch_scorer(spark, SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA)))
     batch = R.rt_frame(X.frame_1h(spark, sf)).join(out.select("symbol", "ts"), ["symbol", "ts"], "left_semi")
     eq(out, batch, ["symbol", "ts", "risk_score", "structure_failure", "volume_behavior", "momentum_exhaustion", "control", "trap_type"])
 
@@ -82,17 +82,17 @@ def test_stream_mode_suppress_equals_batch_twin(spark, sf):
     eq(s, b, ["symbol", "ts", "smoothed_risk", "streak", "crossed_above", "is_critical"], 1e-6)
 
 
-def test_risk_pipeline_on_processing_time_trigger(spark, sf):
+def test_micro_batch_scorer_on_processing_time_trigger(spark, sf):
     path = SJ.materialize_in_order(X.table(spark, sf, "events"), SJ.scratch(spark, "ev"), "ts", 3)
     ticks = lambda: SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA))
     base = SJ.scratch(spark, "pipe")
-    q = SJ.risk_pipeline(spark, ticks(), interval="1 second", base=base)
+    q = SJ.micro_batch_scorer(spark, ticks(), interval="1 second", base=base)
     try:
         q.processAllAvailable()
     finally:
         q.stop()
     live = spark.read.parquet(f"{base}/snapshots").drop("epoch")
-    once = SJ.risk_pipeline(spark, ticks())
+    once = SJ.micro_batch_scorer(spark, ticks())
     assert live.count() > 0
     assert live.select("symbol", "ts", "risk_score").exceptAll(once.select("symbol", "ts", "risk_score")).count() == 0
 
@@ -117,12 +117,12 @@ def test_late_tick_is_dropped(spark, sf):
     eq(s, b, ["symbol", "ts", "open", "high", "low", "close", "volume"])
 
 
-def test_risk_pipeline_raises_alerts_into_history(spark, sf):
+def test_micro_batch_scorer_raises_alerts_into_history(spark, sf):
     from tidemark import sinks as SK
 
     path = SJ.materialize_in_order(X.table(spark, sf, "events"), SJ.scratch(spark, "ev"), "ts", 3)
     alerts = SJ.scratch(spark, "alerts")
-    out = SJ.risk_pipeline(spark, SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA)), alerts_path=alerts)
+    out = SJ.micro_batch_scorer(spark, SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA)), alerts_path=alerts)
     hist = SK.read_alert_history(spark, alerts, 1000)
     assert out.count() > 0 and hist.count() > 0
     assert {r[0] for r in hist.select("alert_type").distinct().collect()} <= {"high_risk", "price_spike", "volume_anomaly"}

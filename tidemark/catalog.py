@@ -854,11 +854,11 @@ def q_str_score_window(spark, d):
     return finish(SJ.run_available_now(SJ.stream_score_window(src), "score-window"))
 
 
-@query("str_risk_pipeline")
-def q_str_risk_pipeline(spark, d):
+@query("str_micro_batch_scoring")
+def q_str_micro_batch_scoring(spark, d):
     path = _ordered_copy(spark, X.table(spark, d, "events"), "events-copy")
     ticks = SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA))
-    out = SJ.risk_pipeline(spark, ticks)
+    out = SJ.micro_batch_scorer(spark, ticks)
     return finish(out.select("symbol", "ts", "risk_score", "risk_level", "trap_type", "control", *COMP,
                              *flat_reasons(F.col("reasons"))))
 

@@ -664,7 +664,7 @@ ORACLE["str_bars"] = f"with {TICKS},\n{BARS_1H}\n" + bars_out(
 ORACLE["str_volume_delta"] = ORACLE["win_diff_clip"]
 ORACLE["str_smoothed_risk_stream"] = MARKET + ",\n" + smooth_sql("mk") + "\n" + out_select(
     "sm", ["symbol", "ts", "streak", "crossed_above", "is_critical"], ["risk_score", "smoothed_risk"], fill=False)
-ORACLE["str_risk_pipeline"] = RT + (
+ORACLE["str_micro_batch_scoring"] = RT + (
     "select symbol, ts, " + r6("risk_score") + " as risk_score, risk_level, trap_type, control, "
     + ", ".join(f"{r6(c)} as {c}" for c in COMPS) + ", "
     + ", ".join(f"_chosen[{i}].r as reason_{i}, case when _chosen[{i}].c is not null then "

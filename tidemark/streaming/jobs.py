@@ -174,7 +174,7 @@ def stream_score_window(scored: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------ micro-batch scoring
-def risk_pipeline(spark: SparkSession, ticks: DataFrame, history_rows: int = 180, seconds: int = 3600,
+def micro_batch_scorer(spark: SparkSession, ticks: DataFrame, history_rows: int = 180, seconds: int = 3600,
                   watermark: str = "10 minutes", interval: str | None = None, base: str | None = None,
                   alerts_path: str | None = None):
     """ticks -> closed bars -> (bounded history + new bars) -> realtime
@@ -187,7 +187,7 @@ def risk_pipeline(spark: SparkSession, ticks: DataFrame, history_rows: int = 180
     processing-time trigger and returns the running query."""
     from tidemark.operators.risk import rt_frame
 
-    base = base or scratch(spark, "risk-pipeline")
+    base = base or scratch(spark, "micro-batch-scorer")
     hist_path, out_path = f"{base}/history", f"{base}/snapshots"
     bars = stream_bars(ticks, seconds, watermark).select("symbol", "ts", F.col("close").alias("price"), "volume")
 

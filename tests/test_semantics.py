@@ -131,3 +131,19 @@ def test_snapshot_contract(spark):
     for k in ("risk_score", "risk_level", "trap_type", "reasons", "control", "components"):
         assert k in snap
     assert 0.0 <= snap["risk_score"] <= 100.0
+
+
+def test_breakout_failure_and_failed_retest(spark):
+    """New high above the previous 20-bar high, close back below it."""
+    closes = [100.0] * 25 + [103.0, 99.0]
+    highs = [101.0] * 25 + [104.0, 102.0]
+    rows = [("BTC-USD", T0 + dt.timedelta(hours=i), c, h, c - 1.0, c, 10.0) for i, (c, h) in enumerate(zip(closes, highs))]
+    bars = spark.createDataFrame(rows, "symbol string, ts timestamp, open double, high double, low double, close double, volume double")
+    out = FT.feat_trap(bars).orderBy("ts").collect()
+    # bar 26: high 102 > previous high 104? no; bar 25: high 104 > 101 but close 103 > 101 -> no failure
+    assert out[25]["breakout_failure"] == 0
+    # bar 26: previous 20-bar high is 104; high 102 is not above it -> no breakout failure,
+    # but the previous close (103) was above the high before it (101) and close 99 < 104 -> failed retest
+    assert out[26]["breakout_failure"] == 0 and out[26]["failed_retest"] == 1
+    assert out[0]["upper_wick_ratio"] == pytest.approx(0.5)
+    assert out[26]["pv_correlation"] == 0.0  # constant volume: no correlation, no error

@@ -92,12 +92,11 @@ def rolling_corr(x, y, n: int, spec: Series, min_pairs: int | None = None) -> Co
     both = x.isNotNull() & y.isNotNull()
     xs, ys = F.when(both, x), F.when(both, y)
     pairs = F.count(xs).over(w)
-    ok = (F.stddev_samp(xs).over(w) > 0) & (F.stddev_samp(ys).over(w) > 0)
-    if min_pairs:
-        ok = ok & (pairs >= min_pairs)
-    else:
-        ok = ok & (pairs >= 2)
-    return F.when(ok, F.corr(xs, ys).over(w))
+    sx, sy = F.stddev_samp(xs).over(w), F.stddev_samp(ys).over(w)
+    ok = (sx > 0) & (sy > 0) & (pairs >= (min_pairs or 2))
+    # covariance / (sd_x * sd_y): the built-in corr divides by a zero
+    # variance under ANSI mode and fails the job on a constant frame
+    return F.when(ok, F.try_divide(F.covar_samp(xs, ys).over(w), sx * sy))
 
 
 def diff_clip(x, spec: Series) -> Column:

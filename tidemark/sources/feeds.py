@@ -80,9 +80,9 @@ def normalize_klines(raw: DataFrame, value: str = "value") -> DataFrame:
     """12-field positional kline arrays (ms open time first) -> bars."""
     keep = [c for c in raw.columns if c != value]
     rows = raw.select(*keep, F.explode(F.from_json(value, "array<array<string>>")).alias("k"))
-    num = lambda i: F.element_at("k", i).try_cast("double")
+    num = lambda i: F.try_element_at("k", F.lit(i)).try_cast("double")
     return rows.select(
-        *keep, F.timestamp_millis(F.element_at("k", 1).try_cast("long")).alias("ts"),
+        *keep, F.timestamp_millis(F.try_element_at("k", F.lit(1)).try_cast("long")).alias("ts"),
         num(2).alias("open"), num(3).alias("high"), num(4).alias("low"), num(5).alias("close"), num(6).alias("volume"),
     ).withColumn("price", F.col("close"))
 

@@ -245,7 +245,7 @@ def feat_chart(frame: DataFrame, q: float = 0.95, **plan) -> DataFrame:
     from tidemark.operators.stats import exact_quantile
 
     cap = exact_quantile(base, q, "symbol", "volume", out="_cap")
-    return out.join(cap, "symbol").withColumn("volume_plot", F.least(F.col("volume"), F.col("_cap"))).drop("_cap")
+    return out.join(cap, "symbol", "left").withColumn("volume_plot", F.least(F.col("volume"), F.col("_cap"))).drop("_cap")
 
 
 # ---------------------------------------------------------------- feat_asset

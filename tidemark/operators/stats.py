@@ -95,7 +95,7 @@ def scaler_fit(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def volume_cap(df: DataFrame, q: float = 0.95, key: str = "symbol", volume: str = "volume") -> DataFrame:
     cap = exact_quantile(df, q, key, volume, out="volume_cap")
-    return df.join(cap, key).withColumn("volume_plot", F.least(F.col(volume), F.col("volume_cap")))
+    return df.join(cap, key, "left").withColumn("volume_plot", F.least(F.col(volume), F.col("volume_cap")))
 
 
 def label_count(df: DataFrame) -> DataFrame:

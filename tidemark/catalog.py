@@ -396,7 +396,7 @@ def _flat_report(df: DataFrame) -> DataFrame:
 
 @query("risk_report_trap")
 def q_risk_report_trap(spark, d):
-    return finish(_flat_report(R.latest_per_symbol(_trap(spark, d))))
+    return finish(_flat_report(R.trap_report_latest(X.bars_1h(spark, d))))
 
 
 def _asset(spark, d):
@@ -425,7 +425,7 @@ def q_risk_reasons_asset(spark, d):
 
 @query("risk_report_asset")
 def q_risk_report_asset(spark, d):
-    return finish(_flat_report(R.latest_per_symbol(_asset(spark, d))))
+    return finish(_flat_report(R.asset_report_latest(X.bars_1h(spark, d))))
 
 
 @query("fn_high_risk_filter")

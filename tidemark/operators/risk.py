@@ -329,3 +329,28 @@ def asset_report(feats: DataFrame, anomaly: str | None = None, clip_100: bool =
 
 
 __all__ = [n for n in dir() if not n.startswith("_")] + ["DEFAULT_SYMBOL"]
+
+
+# Longest look-back chains: per-asset features 39 rows (20-row mean of a
+# 20-row std), trap features + 3-row component means 24 rows.
+REPORT_TAIL = 64
+
+
+def trap_report_latest(bars: DataFrame, anomaly: str | None = None, weights: dict | None = None,
+                       tail: int = REPORT_TAIL) -> DataFrame:
+    """Generic trap report of the newest bar per symbol, computed on the
+    newest ``tail`` bars only (group-limited before the shuffle; exact for
+    the newest bar because the tail is longer than every look-back)."""
+    from tidemark.operators.features import feat_trap
+    from tidemark.operators.merge import tail_n
+
+    recent = tail_n(bars, tail)
+    return latest_per_symbol(trap_report(feat_trap(recent, plain=True), anomaly, weights, plain=True))
+
+
+def asset_report_latest(bars: DataFrame, anomaly: str | None = None, tail: int = REPORT_TAIL) -> DataFrame:
+    """Per-asset report of the newest bar per symbol from the newest ``tail`` bars."""
+    from tidemark.operators.features import feat_asset
+    from tidemark.operators.merge import tail_n
+
+    return latest_per_symbol(asset_report(feat_asset(tail_n(bars, tail), plain=True), anomaly))

@@ -89,6 +89,9 @@ def fit(df: DataFrame, features: list[str], key_cols: list[str], n_trees: int =
         seed: int = 42) -> dict:
     """Fit the forest on (already scaled) ``features``; returns the model:
     a nodes DataFrame plus metadata (psi, depth limit, columns)."""
+    from tidemark.session import ship_package
+
+    ship_package(df.sparkSession)
     n = df.count()
     psi = int(min(psi, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
@@ -143,7 +146,10 @@ def _arrays(nodes_pdf: pd.DataFrame, n_trees: int):
 
 def score(df: DataFrame, model: dict, out: str = "anomaly_score") -> DataFrame:
     """score = 2 ** (-E[h(x)] / c(psi)) in (0, 1]; higher = more anomalous."""
+    from tidemark.session import ship_package
+
     spark = df.sparkSession
+    ship_package(spark)
     nodes_pdf = model["nodes"].toPandas()  # bounded: trees x (2 psi - 1) rows
     n_trees = int(model["n_trees"])
     present = sorted(nodes_pdf["tree_id"].unique().tolist())

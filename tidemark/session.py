@@ -61,3 +61,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     v = spark.conf.get(key, None)
     return int(v) if v not in (None, "") else default
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable in Python workers (pandas functions and
+    keyed state are pickled by reference): zip the package once per
+    SparkContext and ``addPyFile`` it, so executors get it from the driver."""
+    import shutil
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = tempfile.mkdtemp(prefix="tidemark-pkg-")
+    archive = shutil.make_archive(os.path.join(base, "tidemark"), "zip", root_dir=os.path.dirname(pkg_dir),
+                                  base_dir="tidemark")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators.bars import ohlcv_bars
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, ship_package
 from tidemark.sources.fixtures import events_to_ticks
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -104,6 +104,7 @@ def _volume_delta(key, batches, state):
 def stream_volume_delta(cumulative: DataFrame) -> DataFrame:
     """Cumulative (24 h style) volume -> increments, per symbol; state is
     the last cumulative value (lag() is not available on streams)."""
+    ship_package(cumulative.sparkSession)
     return cumulative.groupBy("symbol").applyInPandasWithState(
         _volume_delta, DELTA_OUT, "last double", "append", GroupStateTimeout.NoTimeout)
 
@@ -140,6 +141,7 @@ def stream_smoothed_risk(scored: DataFrame) -> DataFrame:
     """EMA-smoothed risk, streak and upward crossing per symbol as keyed
     state (three numbers per symbol). An optional ``is_live`` column marks
     rows from a non-live source: they reset the streak and raise no crossing."""
+    ship_package(scored.sparkSession)
     cols = ["symbol", "ts", "risk_score"] + (["is_live"] if "is_live" in scored.columns else [])
     return scored.select(*cols).groupBy("symbol").applyInPandasWithState(
         _smooth, SMOOTH_OUT, "smoothed double, last double, streak long", "append", GroupStateTimeout.NoTimeout)
@@ -169,6 +171,7 @@ def _score_window(key, batches, state, n: int = 100):
 def stream_score_window(scored: DataFrame) -> DataFrame:
     """Rolling min-max risk % over each symbol's last 100 scores, carried
     across micro-batches as keyed state (at most 100 doubles per symbol)."""
+    ship_package(scored.sparkSession)
     return scored.select("symbol", "ts", "anomaly_score").groupBy("symbol").applyInPandasWithState(
         _score_window, WINDOW_OUT, "scores array<double>", "append", GroupStateTimeout.NoTimeout)
 

@@ -33,6 +33,7 @@ from tidemark.llm.common import free, written
 POSITIVES = 4000
 UNLABELLED = 12_000
 FEATURES = 3000  # most features of a model
+LEAST_FEATURES, LEAST_GAIN = 400, 3.5  # beyond the first 400, a feature needs this gain (in standard deviations)
 FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -128,10 +129,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     df = (sample.select("pos", F.explode("f").alias("f")).groupBy("f")
           .agg(F.sum(F.col("pos").cast("long")).alias("p"), F.sum((~F.col("pos")).cast("long")).alias("u")))
     ratio = F.col("p") / n_pos / ((F.col("u") + 1) / n_unl)
-    # signed chi-square share of a feature that is over-represented in toxic examples
+    # how far a feature is over-represented in toxic examples, in standard deviations
     gain = (F.col("p") - F.col("u") * (n_pos / n_unl)) / F.sqrt(F.col("p") + F.col("u") * (n_pos / n_unl) + 1)
-    chosen = df.where((F.col("p") >= 3) & (ratio > 2)).orderBy(gain.desc(), "f").limit(FEATURES)
-    index = {r["f"]: i for i, r in enumerate(chosen.select("f").collect())}
+    chosen = df.where((F.col("p") >= 3) & (ratio > 2)).select("f", gain.alias("gain")).orderBy(F.desc("gain"), "f").limit(FEATURES).collect()
+    index = {r["f"]: i for i, r in enumerate(chosen) if i < LEAST_FEATURES or r["gain"] > LEAST_GAIN}
     names = F.array(*[F.lit(f) for f in index]) if index else F.array().cast("array<string>")
     rows = sample.select("pos", F.array_intersect("f", names).alias("f")).collect()
     w, b = nnpu([[index[f] for f in r["f"]] for r in rows if r["pos"]], [[index[f] for f in r["f"]] for r in rows if not r["pos"]],

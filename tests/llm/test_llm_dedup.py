@@ -2,13 +2,16 @@
 
 from collections import defaultdict
 
+import hashlib
+
 import brute
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, line_dedup, simhash_dedup
+from tidemark.llm import exact_dedup, line_dedup, simhash_dedup, substring_dedup
 from tidemark.llm.common import connected_components
 from tidemark.llm.exact_dedup import CountingQuotientFilter
+from tidemark.llm.suffix_groups import suffix_arrays
 
 
 def got(df, key="doc_id"):
@@ -121,3 +124,63 @@ def test_components_of_a_long_chain(spark):
     out = connected_components(links).collect()
     assert len(out) == n + 1 and {r["root"] for r in out} == {0}
     assert connected_components(links.where("a < 0")).count() == 0
+
+
+def test_suffix_arrays_by_grouping():
+    import random
+
+    r = random.Random(1)
+    for _ in range(25):
+        strings = []
+        for _ in range(r.randint(1, 20)):
+            s = [r.randint(1, r.choice([1, 2, 4])) for _ in range(r.randint(0, 50))]
+            strings.append(((s[:max(1, len(s) // 5)] * 10)[:len(s)] if r.random() < 0.3 else s) + [0])
+        text = np.full((len(strings), max(map(len, strings))), -1)
+        for i, s in enumerate(strings):
+            text[i, :len(s)] = s
+        out = suffix_arrays(text, np.array(list(map(len, strings))))
+        for i, s in enumerate(strings):
+            assert out[i, :len(s)].tolist() == sorted(range(len(s)), key=lambda k: s[k:])
+
+
+def substring_want(rows):
+    want = {}
+    texts = dict(rows)
+    for d, gone in brute.substring_dedup(rows).items():
+        b = np.frombuffer((texts[d] or "").encode(), np.uint8)
+        spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
+        want[d] = (len(b), int(gone.sum()), spans, hashlib.sha256(b[~gone].tobytes()).hexdigest())
+    return want
+
+
+def test_substring_dedup_equals_brute_force(docs, rows, monkeypatch):
+    want = substring_want(rows)
+    assert sum(w[1] for w in want.values()) > 5000
+    for block, wide in ((16, 16_384), (2, 16_384), (3, 4)):  # blocks that merge in a task, and anchors dealt to several tasks
+        monkeypatch.setattr(substring_dedup, "BLOCK", block)
+        monkeypatch.setattr(substring_dedup, "WIDE", wide)
+        out = substring_dedup.substring_dedup(docs)
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out.collect()} == want
+
+
+def test_substring_dedup_of_long_texts(spark):
+    import random
+
+    r = random.Random(3)
+    piece = "".join(r.choice("abcdefgh ") for _ in range(400))
+    filler = "".join(chr(97 + r.randrange(26)) for _ in range(1_300_000))
+    rows = [(1, filler[:1_048_500] + piece + filler[1_048_500:]), (2, "x" + piece), (3, "ab" * 3000), (4, None), (5, "é" * 49 + "abc" + "é" * 49)]
+    out = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True)
+    got = {x["doc_id"]: x for x in out.collect()}
+    assert got[1]["n_removed"] == 0 and (got[2]["n_removed"], got[2]["n_spans"], bytes(got[2]["kept"])) == (400, 1, b"x")
+    assert got[3]["n_removed"] == 5998 and got[4]["n_bytes"] == 0 and got[5]["n_removed"] == 0
+
+
+def test_substring_dedup_edges(spark, empty):
+    t = "some words that go on for long enough to be a repeated string of a hundred bytes or more in the test, yes it is"
+    rows = [(7, t), (7, t), (7, t + " tail"), (None, t), (8, t), (None, None)]
+    df = spark.createDataFrame([r + (1, 1, 1, 1) for r in rows], "doc_id long, text string, d int, t int, raw int, spans int")
+    got = sorted((r["doc_id"] or -1, r["n_bytes"], r["n_removed"]) for r in substring_dedup.substring_dedup(df).collect())
+    assert [g for g in got if g[0] == -1] == [(-1, 0, 0), (-1, len(t), 0)]
+    assert (8, len(t), len(t)) in got and len(got) == 6
+    assert substring_dedup.substring_dedup(empty).count() == 0

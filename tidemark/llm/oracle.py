@@ -25,5 +25,18 @@ FROM documents d LEFT JOIN marked m ON d.doc_id = m.doc_id GROUP BY d.doc_id
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY norm)
+""",
+    "op7_search": r"""
+WITH words AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+len AS (SELECT d.doc_id, coalesce(sum(tf), 0) AS dl FROM documents d LEFT JOIN tf USING (doc_id) GROUP BY 1),
+stat AS (SELECT count(*) AS n, avg(dl) AS mean FROM len),
+idf AS (SELECT term, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, stat GROUP BY term),
+scored AS (
+  SELECT q.doc_id AS query_id, t.doc_id, round(sum(idf * t.tf * 2.2 / (t.tf + 1.2 * (0.25 + 0.75 * dl / mean))), 6) AS score
+  FROM tf q JOIN tf t ON q.term = t.term JOIN idf ON idf.term = q.term JOIN len ON len.doc_id = t.doc_id, stat
+  WHERE q.doc_id % 20 = 0 GROUP BY 1, 2)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored QUALIFY rank <= 10
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, language, line_dedup, packing, pii, simhash_dedup, substring_dedup, toxicity
+from tidemark.llm import bpe, exact_dedup, language, line_dedup, packing, pii, search, simhash_dedup, substring_dedup, toxicity
 from tidemark.llm.common import body, read_table
 
 
@@ -36,6 +36,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return search.search(docs.where("doc_id % 20 = 0"), docs)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -50,5 +55,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op3_toxicity, op4_byte_bpe, op5_pii, op6_packing, op8_substring_dedup, op9_simhash, op10_language)
+    f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op3_toxicity, op4_byte_bpe, op5_pii, op6_packing, op7_search, op8_substring_dedup, op9_simhash, op10_language)
 }

@@ -84,8 +84,9 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     runs = written(repeated_runs(docs, min_lines), "op1-runs")
     key, th, got, own = (free(docs, c) for c in ("_key", "_th", "_runs", "_own"))
     runs = runs.select(F.col("doc_id").alias(key), F.col("th").alias(th), F.col("runs").alias(got))
+    # one plan at every size: the affected documents grow with the table, so both sides are dealt by key
     joined = docs.withColumn(own, F.xxhash64("text")).join(
-        runs, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(th)), "left")
+        runs.hint("merge"), F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(th)), "left")
     lines, r = F.split("text", "\n", -1), F.col(got)
     # kept lines: the slices between the runs
     none = F.array().cast("array<string>")

@@ -32,9 +32,10 @@ from tidemark.llm.common import written
 
 SEQUENCE = 2048
 SEPARATOR = 0  # id after each document
+PART = "<|endoftext|>"  # parts chunks on their way to the tokenizer
 GROUP_PIECES = 50_000  # pieces packed in one task
-CACHE_CHUNKS = 400_000  # distinct chunks a worker remembers
-_BLANK = re.compile("[ \n]+")
+CACHE_CHUNKS = 600_000  # distinct chunks a worker remembers
+_STOP = re.compile(r"(?<=[a-z])([,.])(?=[ \n]|$)")
 
 
 def vocabulary_path() -> str:
@@ -49,25 +50,48 @@ def _tokenizer(path: str):
 
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return t, {}
+    closes = np.zeros(t.get_vocab_size(), bool)
+    closes[[i for w, i in t.get_vocab().items() if w.endswith("</w>")]] = True
+    return t, Tokenizer.from_file(path), {}, closes
+
+
+def _encode(chunks: list[str], path: str) -> list[bytes]:
+    """Ids of each chunk, with few calls of the tokenizer. Chunks of letters are
+    single words: they go in one string, and a token that closes a word ends a
+    chunk. Other chunks are parted by a special token that none of them contains."""
+    plain, special, _, closes = _tokenizer(path)
+    letters = [c for c in chunks if c.isalpha()]
+    out = {}
+    if letters:
+        ids = np.array(plain.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(closes[ids]) + 1
+        if len(ends) == len(letters):  # else some letters are written as several words
+            raw, cut = ids.tobytes(), (4 * ends).tolist()
+            out = {c: raw[a:b] for c, a, b in zip(letters, [0, *cut], cut)}
+    rest = [c for c in chunks if c not in out]
+    if any("<|" in c for c in rest):
+        out.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(rest, plain.encode_batch_fast(rest, add_special_tokens=False)))
+    elif rest:
+        ids = np.array(special.encode_batch_fast([PART.join(rest)], add_special_tokens=False)[0].ids, "<u4")
+        raw, cut = ids.tobytes(), (4 * np.flatnonzero(ids == special.token_to_id(PART))).tolist()
+        out.update((c, raw[a:b]) for c, a, b in zip(rest, [0, *[x + 4 for x in cut]], [*cut, len(raw)], strict=True))
+    return [out[c] for c in chunks]
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text, with the separator, as little-endian unsigned 32-bit."""
-    tokenizer, cache = _tokenizer(path)
+    cache = _tokenizer(path)[2]
     end = np.array([SEPARATOR], "<u4").tobytes()
-    out = []
-    for t in texts:
-        chunks = _BLANK.split(t)
-        new = [c for c in set(chunks) if c not in cache]
-        if new:
-            if len(cache) + len(new) > CACHE_CHUNKS:
-                cache.clear()
-                new = list(set(chunks))
-            for c, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                cache[c] = np.array(e.ids, "<u4").tobytes()
-        out.append(b"".join(map(cache.__getitem__, chunks)) + end)
-    return out
+    # the tokenizer lower-cases and drops blanks: A-Z may be lower-cased and a full stop or comma parted from its word before
+    cut = [_STOP.sub(r" \1", t.encode().lower().decode()).replace("\n", " ").split(" ") for t in texts]
+    wanted = set().union(*cut)
+    new = [c for c in wanted if c not in cache]
+    if len(cache) + len(new) > CACHE_CHUNKS:
+        cache.clear()
+        new = list(wanted)
+    for lo in range(0, len(new), 20_000):
+        cache.update(zip(new[lo:lo + 20_000], _encode(new[lo:lo + 20_000], path)))
+    return [b"".join(map(cache.__getitem__, chunks)) + end for chunks in cut]
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, size: int = SEQUENCE, with_ids: bool = False) -> DataFrame:

@@ -116,3 +116,27 @@ def test_two_level_prefix_offsets(spark):
     w = Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     want = cells.select("key", "cell", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("off"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_smoothing_is_the_same_in_any_chunking(spark):
+    import random
+
+    from tidemark.operators.alerts import smoothed_risk
+
+    r = random.Random(11)
+    rows = [("A", f"2024-01-{1 + i // 24:02d} {i % 24:02d}:00:00", 0.0 if r.random() < 0.1 else r.uniform(20, 100)) for i in range(700)]
+    df = spark.createDataFrame(rows, "symbol string, t string, risk_score double").selectExpr("symbol", "cast(t as timestamp) ts", "risk_score")
+    want = sorted(map(tuple, smoothed_risk(df, plain=True).collect()))
+    for chunk in (100, 230):
+        got = sorted(map(tuple, smoothed_risk(df, chunk_rows=chunk).select("symbol", "ts", "risk_score", "smoothed_risk", "streak", "crossed_above", "is_critical", "display_level").collect()))
+        assert len(got) == len(want)
+        for g, w in zip(got, want):
+            assert g[:2] == w[:2] and abs(g[3] - w[3]) < 1e-9 and g[4:] == w[4:]
+
+
+def test_rows_without_key_or_time_stay_in_any_chunking(spark):
+    from tidemark.operators.features import feat_tick
+
+    rows = [("A" if i % 40 else None, None if i % 55 == 7 else f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00", 100.0 + i % 7, 10.0 + i % 5) for i in range(300)]
+    df = spark.createDataFrame(rows, "symbol string, t string, price double, volume double").selectExpr("symbol", "cast(t as timestamp) ts", "price", "volume")
+    assert feat_tick(df, plain=True).count() == 300 == feat_tick(df, chunk_rows=100).count()

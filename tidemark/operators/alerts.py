@@ -95,7 +95,7 @@ def smoothed_risk(df: DataFrame, raw: str = "risk_score", alpha: float = EMA_ALP
     critical flag and display level, per symbol in time order."""
     out = over_series(df, lambda d, s: smoothed_cols(d, s, raw, alpha, threshold, streak_n, live),
                       halo=smoothing_depth(alpha) + 1, checkpoint=not plan.get("plain", False), **plan)
-    return out.withColumn("display_level", band_display("streak", "smoothed_risk"))
+    return out.withColumn("display_level", band_display("streak", F.round("smoothed_risk", 1)))  # the shown value decides
 
 
 def threshold_cross_events(sm: DataFrame) -> DataFrame:
@@ -116,13 +116,14 @@ def change_log(sm: DataFrame, **plan) -> DataFrame:
     risk on entry to the elevated log level; bias shift whenever the
     control label changes (and on the first row)."""
     def build(d, s: Series):
-        lvl = F.when(F.col("smoothed_risk") >= 70, "CRITICAL").when(F.col("smoothed_risk") >= 40, "ELEVATED").otherwise("NORMAL")
+        shown = F.round("smoothed_risk", 1)  # bands are taken on the value as shown
+        lvl = F.when(shown >= 70, "CRITICAL").when(shown >= 40, "ELEVATED").otherwise("NORMAL")
         d = d.withColumn("_lvl", lvl)
         prev_lvl, prev_ctl = S.lag("_lvl", s), S.lag("control", s)
         risk_ev = (
             F.when(F.col("crossed_above"), F.struct(F.lit("error").alias("level"), F.concat(
                 F.lit(EVENT_TEXT[0]), F.col("trap_type"), F.lit(" ("), F.col("risk_score").cast("string"), F.lit("%)")).alias("message")))
-            .when((F.col("smoothed_risk") > 40) & ~prev_lvl.eqNullSafe(F.lit("ELEVATED")), F.struct(
+            .when((shown > 40) & ~prev_lvl.eqNullSafe(F.lit("ELEVATED")), F.struct(
                 F.lit("warning").alias("level"), F.concat(F.lit(EVENT_TEXT[1]), F.col("trap_type"), F.lit(" ("),
                                                          F.round("smoothed_risk", 1).cast("string"), F.lit("%)")).alias("message")))
         )

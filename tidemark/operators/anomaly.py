@@ -242,8 +242,9 @@ def score_frame(features_df: DataFrame, model: dict, stats: dict, window: int =
 
     cols = stats["columns"]
     aligned = align_features(features_df, cols, [c for c in features_df.columns if c not in cols])
-    scored = score(scale(aligned, stats, prefix="_z_"), {**model, "features": ["_z_" + c for c in cols]})
-    scored = scored.drop(*["_z_" + c for c in cols]).join(aligned, [c for c in aligned.columns if c not in cols])
+    # scaled copies next to the raw features: scored, then dropped (no join, so no row is lost or multiplied)
+    scaled = aligned.withColumns({"_z_" + c: (F.col(c) - F.lit(m)) / F.lit(s) for c, m, s in zip(cols, stats["mean"], stats["scale"])})
+    scored = score(scaled, {**model, "features": ["_z_" + c for c in cols]}).drop(*["_z_" + c for c in cols])
     out = over_series(scored, lambda d, s: d.withColumn("risk_percentage", minmax_pct("anomaly_score", s, window)),
                       halo=window, **plan)
     out = out.withColumn("risk_level", band_model("risk_percentage"))

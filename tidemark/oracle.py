@@ -562,7 +562,7 @@ sm2 as (select *, list_reduce(list({{'r': cast(risk_score as double), 'sb': _sb}
 sm3 as (select *, _pos - coalesce(max(case when {below} then _pos end) {W(None, 0)}, 0) as streak,
     coalesce({lag('smoothed_risk', 1)} < 70 and smoothed_risk >= 70{cross_live}, false) and ({lag('smoothed_risk', 1)} is not null or (0.0 < 70 and smoothed_risk >= 70{cross_live})) as _c1,
     coalesce(coalesce({lag('smoothed_risk', 1)}, 0.0) < 70 and smoothed_risk >= 70{cross_live}, false) as crossed_above from sm2),
-sm as (select *, streak >= 3 as is_critical, case when streak >= 3 then 'CRITICAL' when smoothed_risk > 30 then 'ELEVATED' else 'LOW' end as display_level from sm3)"""
+sm as (select *, streak >= 3 as is_critical, case when streak >= 3 then 'CRITICAL' when {sround('smoothed_risk', 1)} > 30 then 'ELEVATED' else 'LOW' end as display_level from sm3)"""
 
 
 SMOOTH_SEL = ["symbol", "ts", "streak", "crossed_above", "is_critical", "display_level"]
@@ -576,10 +576,10 @@ ORACLE["event_threshold_cross"] = EVENTS + "\n" + out_select("ev", ["symbol", "t
 ORACLE["event_top10_history"] = EVENTS + "\n" + out_select(
     "(select * from ev order by ts desc, symbol limit 10)", ["symbol", "ts", "trap_type", "main_reason"], ["price", "trap_risk_pct"], fill=False)
 ORACLE["event_change_log"] = MARKET + ",\n" + smooth_sql("mk") + f""",
-cl1 as (select *, case when smoothed_risk >= 70 then 'CRITICAL' when smoothed_risk >= 40 then 'ELEVATED' else 'NORMAL' end as _lvl from sm),
+cl1 as (select *, case when {sround('smoothed_risk', 1)} >= 70 then 'CRITICAL' when {sround('smoothed_risk', 1)} >= 40 then 'ELEVATED' else 'NORMAL' end as _lvl from sm),
 cl2 as (select symbol, ts, list_filter([
     case when crossed_above then {{'level': 'error', 'message': 'TRAP DETECTED: ' || trap_type || ' (' || cast(risk_score as varchar) || '%)'}}
-         when smoothed_risk > 40 and {lag('_lvl')} is distinct from 'ELEVATED'
+         when {sround('smoothed_risk', 1)} > 40 and {lag('_lvl')} is distinct from 'ELEVATED'
          then {{'level': 'warning', 'message': 'ELEVATED RISK: ' || trap_type || ' (' || cast({sround('smoothed_risk', 1)} as varchar) || '%)'}} end,
     case when {lag('control')} is distinct from control then {{'level': 'info', 'message': 'BIAS SHIFT: ' || upper(control)}} end
   ], lambda x: x is not null) as _ev from cl1)

@@ -87,9 +87,10 @@ def index_rows(df: DataFrame, key: str, order: Sequence[str], bucket_size: int)
     # so the input is shuffled once and the exchange is reused by both sides
     cells = numbered.groupBy(key, BUCKET).agg(F.max("_r").alias("_n"))
     offsets = prefix_offsets(cells, key, BUCKET, "_n", "_off")
-    return numbered.join(offsets, [key, BUCKET]).withColumn(IDX, F.col("_off") + F.col("_r")).drop(
-        "_off", "_r", BUCKET
-    )
+    # null-safe: rows without a key or a time are a series (cell) of their own
+    offsets = offsets.select(F.col(key).alias("_k"), F.col(BUCKET).alias("_b"), "_off")
+    same = F.col(key).eqNullSafe(F.col("_k")) & F.col(BUCKET).eqNullSafe(F.col("_b"))
+    return numbered.join(offsets, same).withColumn(IDX, F.col("_off") + F.col("_r")).drop("_off", "_r", "_k", "_b", BUCKET)
 
 
 SUPER_CELLS = 4096
@@ -109,7 +110,9 @@ def prefix_offsets(cells: DataFrame, key: str, cell: str, size: str, out: str, f
     tops = tops.select(key, "_sup", F.coalesce(F.sum("_s").over(w_top), F.lit(0)).alias("_base"))
     w_in = Window.partitionBy(key, "_sup").orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     inner = c.select(key, cell, "_sup", F.coalesce(F.sum(size).over(w_in), F.lit(0)).alias("_inner"))
-    return inner.join(tops, [key, "_sup"]).select(key, cell, (F.col("_base") + F.col("_inner")).alias(out))
+    tops = tops.select(F.col(key).alias("_k"), F.col("_sup").alias("_s"), "_base")
+    same = F.col(key).eqNullSafe(F.col("_k")) & F.col("_sup").eqNullSafe(F.col("_s"))
+    return inner.join(tops, same).select(key, cell, (F.col("_base") + F.col("_inner")).alias(out))
 
 
 def spread_halo(df: DataFrame, halo: int, lookahead: int, chunk_rows: int) -> DataFrame:
@@ -207,14 +210,20 @@ def running_totals(df: DataFrame, spec: Series, cols: dict[str, Column], how: st
     before = Window.partitionBy(spec.key).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     prior = totals.select(spec.key, PART, *[agg(f"_t_{n}").over(before).alias(f"_p_{n}") for n in cols])
     # every chunk has a row in ``totals``; the join is on the chunk key only
-    df = df.join(prior, [spec.key, PART], "left")
+    prior = prior.withColumnsRenamed({spec.key: "_k", PART: "_c"})
+    df = df.join(prior, F.col(spec.key).eqNullSafe(F.col("_k")) & (F.col(PART) == F.col("_c")), "left").drop("_k", "_c")
+    # halo rows in front of the chunk: the total of all earlier chunks less what follows the row there
+    df = df.withColumn("_lead", F.max(own).over(spec.whole()) == F.lit(False))
     for name, v in cols.items():
-        inside = agg(F.when(own, v)).over(spec.whole())
-        both = F.col(f"_p_{name}") + inside if how == "sum" else F.greatest(F.col(f"_p_{name}"), inside)
+        prior, inside = F.col(f"_p_{name}"), agg(F.when(own, v)).over(spec.whole())
         if how == "sum":
-            both = F.coalesce(F.col(f"_p_{name}"), F.lit(0.0)) + inside
+            after = F.sum(F.when(F.col("_lead"), v)).over(spec.rows(1, Window.unboundedFollowing))
+            both = F.when(F.col("_lead"), prior - F.coalesce(after, F.lit(0.0))).when(
+                prior.isNotNull() | inside.isNotNull(), F.coalesce(prior, F.lit(0.0)) + F.coalesce(inside, F.lit(0.0)))
+        else:
+            both = F.greatest(prior, inside)
         df = df.withColumn(name, both).drop(f"_p_{name}")
-    return df
+    return df.drop("_lead")
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -45,13 +45,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster checkpoint dir; set a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only a local test session without it gets a fresh temp folder.
+    as is, and its absence is an error. Only a local session without it gets
+    a fresh temp folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -10,12 +10,11 @@ def write_partitioned(df: DataFrame, path: str, key: str = "symbol", fmt: str =
                       order: str = "ts") -> None:
     """Overwrite ``path`` partitioned by ``key`` (only the partitions
     present in ``df`` are replaced). Rows of one key are spread over
-    ``spread`` writer tasks by time range, so a hot key does not become
+    ``spread`` writer tasks by a hash of the time, so a hot key does not become
     one task writing one huge file."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     slot = F.pmod(F.xxhash64(F.col(order).cast("string")), F.lit(spread))
     w = df.repartition(F.col(key), slot).sortWithinPartitions(key, order).write.mode("overwrite").partitionBy(key)
+    w = w.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w = w.option("header", True)
     w.format(fmt).save(path)

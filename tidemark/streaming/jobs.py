@@ -83,22 +83,22 @@ def stream_dedup(ticks: DataFrame, watermark: str = "10 minutes") -> DataFrame:
 DELTA_OUT = "symbol string, ts timestamp, seq long, volume double, volume_delta double"
 
 
+def _in_order(batches, by: list[str]) -> pd.DataFrame | None:
+    """All rows of a key in this micro-batch, in time order. A group comes as
+    several Arrow batches in no order, so sorting each of them is not enough."""
+    parts = [b for b in batches if len(b)]
+    return pd.concat(parts, ignore_index=True).sort_values(by, kind="stable", ignore_index=True) if parts else None
+
+
 def _volume_delta(key, batches, state):
-    last = state.get[0] if state.exists else None
-    out = []
-    for pdf in batches:
-        pdf = pdf.sort_values(["ts", "seq"])
-        v = pdf["volume"].to_numpy(dtype="float64")
-        prev = np.concatenate([[np.nan if last is None else last], v[:-1]])
-        d = np.where(np.isnan(prev), 0.0, v - prev)
-        d = np.where(np.isnan(d), 0.0, np.maximum(d, 0.0))
-        if len(v):
-            last = float(v[-1])
-        out.append(pdf.assign(volume_delta=d)[["symbol", "ts", "seq", "volume", "volume_delta"]])
-    if last is not None:
-        state.update((last,))
-    for o in out:
-        yield o
+    rows = _in_order(batches, ["ts", "seq"])
+    if rows is None:
+        return
+    before = state.get[0] if state.exists else np.nan
+    v = rows["volume"].to_numpy(dtype="float64")
+    step = np.diff(v, prepend=before)
+    state.update((float(v[-1]),))
+    yield rows.assign(volume_delta=np.fmax(np.nan_to_num(step, nan=0.0), 0.0))[["symbol", "ts", "seq", "volume", "volume_delta"]]
 
 
 def stream_volume_delta(cumulative: DataFrame) -> DataFrame:
@@ -122,19 +122,18 @@ def smoothing_step(smoothed: float, last: float, streak: int, raw: float, alpha:
 
 
 def _smooth(key, batches, state):
-    sm, last, streak = state.get if state.exists else (0.0, 0.0, 0)
-    out = []
-    for pdf in batches:
-        pdf = pdf.sort_values("ts")
-        rows = []
-        live = pdf["is_live"].astype(bool) if "is_live" in pdf.columns else [True] * len(pdf)
-        for ts, raw, lv in zip(pdf["ts"], pdf["risk_score"].astype("float64"), live):
-            sm, last, streak, crossed = smoothing_step(sm, last, int(streak), float(raw), live=bool(lv))
-            rows.append((key[0], ts, float(raw), sm, streak, crossed, streak >= 3))
-        out.append(pd.DataFrame(rows, columns=["symbol", "ts", "risk_score", "smoothed_risk", "streak", "crossed_above", "is_critical"]))
-    state.update((float(sm), float(last), int(streak)))
-    for o in out:
-        yield o
+    rows = _in_order(batches, ["ts"])
+    if rows is None:
+        return
+    now = state.get if state.exists else (0.0, 0.0, 0)
+    live = rows["is_live"].astype(bool) if "is_live" in rows.columns else np.ones(len(rows), bool)
+    shown = []
+    for raw, lv in zip(rows["risk_score"].astype("float64"), live):
+        *now, crossed = smoothing_step(now[0], now[1], int(now[2]), float(raw), live=bool(lv))
+        shown.append((now[0], now[2], crossed, now[2] >= 3))
+    state.update((float(now[0]), float(now[1]), int(now[2])))
+    made = pd.DataFrame(shown, columns=["smoothed_risk", "streak", "crossed_above", "is_critical"])
+    yield pd.concat([rows[["symbol", "ts"]], rows["risk_score"].astype("float64"), made], axis=1)
 
 
 def stream_smoothed_risk(scored: DataFrame) -> DataFrame:
@@ -150,22 +149,23 @@ def stream_smoothed_risk(scored: DataFrame) -> DataFrame:
 WINDOW_OUT = "symbol string, ts timestamp, anomaly_score double, risk_percentage double"
 
 
-def _score_window(key, batches, state, n: int = 100):
-    window = list(state.get[0]) if state.exists else []
-    out = []
-    for pdf in batches:
-        pdf = pdf.sort_values("ts")
-        pct = []
-        for s in pdf["anomaly_score"].astype("float64"):
-            window.append(float(s))
-            if len(window) > n:
-                window.pop(0)
-            lo, hi = min(window), max(window)
-            pct.append(min(max((s - lo) / (hi - lo) * 100.0 if hi - lo > 0 else 50.0, 0.0), 100.0))
-        out.append(pdf.assign(risk_percentage=pct)[["symbol", "ts", "anomaly_score", "risk_percentage"]])
-    state.update((window,))
-    for o in out:
-        yield o
+SCORE_WINDOW = 100
+
+
+def _score_window(key, batches, state):
+    """Position of each score between the extremes of the trailing window:
+    rolling extremes over the carried scores and the new ones together."""
+    rows = _in_order(batches, ["ts"])
+    if rows is None:
+        return
+    carried = list(state.get[0]) if state.exists else []
+    scores = pd.Series([*carried, *rows["anomaly_score"].astype("float64")])
+    trailing = scores.rolling(SCORE_WINDOW, min_periods=1)
+    low = trailing.min()
+    spread = trailing.max() - low
+    share = ((scores - low) / spread.where(spread > 0) * 100.0).fillna(50.0).clip(0.0, 100.0)
+    state.update((scores.iloc[-SCORE_WINDOW:].tolist(),))
+    yield rows.assign(risk_percentage=share.to_numpy()[len(carried):])[["symbol", "ts", "anomaly_score", "risk_percentage"]]
 
 
 def stream_score_window(scored: DataFrame) -> DataFrame:

@@ -55,10 +55,38 @@ def test_chunked_plan_splits_symbols(spark, sf):
     assert "_part" in plan
 
 
-def test_small_input_uses_per_symbol_windows(spark, sf):
-    """Size-checked shortcut: an input within one chunk is windowed per symbol."""
+def test_same_plan_below_one_chunk(spark, sf):
+    """An input within one chunk takes the same plan: windows by (symbol, chunk)."""
     plan = FT.feat_trap(X.bars_1h(spark, sf))._jdf.queryExecution().executedPlan().toString()
-    assert "_part" not in plan
+    assert "_part" in plan
+
+
+def test_exact_quantile_like_pandas(spark):
+    """Short, constant, tied and two-row series, and cuts far coarser than the rows (accuracy 10)."""
+    import numpy as np
+    import pandas as pd
+
+    from tidemark.operators.stats import exact_quantile
+
+    rng = np.random.default_rng(5)
+    parts = {"one": [3.0], "two": [1.0, 9.0], "same": [4.0] * 50, "ties": rng.integers(0, 4, 500).astype(float),
+             "many": rng.normal(size=3000), "with_null": [2.0, None, 8.0]}
+    pdf = pd.concat([pd.DataFrame({"symbol": k, "volume": v}) for k, v in parts.items()])
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "symbol string, volume double")
+    for q, accuracy in ((0.95, 100_000), (0.5, 10), (0.0, 100), (1.0, 100)):
+        got = {r["symbol"]: r["quantile"] for r in exact_quantile(df, q, accuracy=accuracy).collect()}
+        want = pdf.astype({"volume": float}).groupby("symbol")["volume"].quantile(q).to_dict()
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-9 for k in want), (q, got, want)
+
+
+def test_short_tails_are_refused(spark, sf):
+    import pytest
+
+    with pytest.raises(ValueError):
+        R.trap_report_latest(X.bars_1h(spark, sf), tail=39)
+    with pytest.raises(ValueError):
+        R.risk_snapshot(X.frame_1h(spark, sf), tail=28)
 
 
 def _plan(df):

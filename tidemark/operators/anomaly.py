@@ -226,8 +226,9 @@ def train(features_df: DataFrame, cols=MODEL_FEATURES, key_cols=("symbol", "ts")
     model = fit(scaled, cols, list(key_cols), n_trees, psi, seed)
     if contamination:
         from tidemark.operators.stats import exact_quantile
+        from tidemark.plans.partitioning import materialize
 
-        train_scores = score(scaled, model).select(F.lit(0).alias("_k"), "anomaly_score")
+        train_scores = materialize(score(scaled, model).select(F.lit(0).alias("_k"), "anomaly_score"))  # read twice
         q = exact_quantile(train_scores, 1.0 - float(contamination), "_k", "anomaly_score", out="t").first()
         model["threshold"] = float(q["t"])
     return model, stats
@@ -246,7 +247,7 @@ def score_frame(features_df: DataFrame, model: dict, stats: dict, window: int =
     scaled = aligned.withColumns({"_z_" + c: (F.col(c) - F.lit(m)) / F.lit(s) for c, m, s in zip(cols, stats["mean"], stats["scale"])})
     scored = score(scaled, {**model, "features": ["_z_" + c for c in cols]}).drop(*["_z_" + c for c in cols])
     out = over_series(scored, lambda d, s: d.withColumn("risk_percentage", minmax_pct("anomaly_score", s, window)),
-                      halo=window, **plan)
+                      halo=window, reread=True, **plan)  # rows are scored once
     out = out.withColumn("risk_level", band_model("risk_percentage"))
     if model.get("threshold") is not None:
         out = out.withColumn("is_anomaly", F.col("anomaly_score") > F.lit(model["threshold"]))

@@ -235,12 +235,8 @@ def chart_cols(df: DataFrame, s: Series) -> DataFrame:
 def feat_chart(frame: DataFrame, q: float = 0.95, **plan) -> DataFrame:
     """EMA 9/21, cumulative VWAP (zero volume counted as 1) and the volume
     capped at its per-symbol ``q`` quantile (exact, linear interpolation)."""
-    from tidemark.plans.partitioning import _is_computed, materialize
-
     require_columns(frame, ["symbol", "ts", "price", "volume"])
     base = frame.select("symbol", "ts", "price", "volume")
-    if _is_computed(base) and not plan.get("plain"):  # read by the series plan and the quantile
-        base = materialize(base)
     out = over_series(base, chart_cols, halo=S.ema_depth(21) + 1, **plan)
     from tidemark.operators.stats import exact_quantile
 

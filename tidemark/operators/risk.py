@@ -178,11 +178,17 @@ def rt_frame(frame: DataFrame, anomaly: str | None = None, **plan) -> DataFrame:
     return rt_score_cols(out)
 
 
-# Longest look-back chain of rt_cols is 27 rows (7-row mean of a flag on a
-# 20-row high); the newest row of a tail this long scores like the full series.
+# Longest look-back chain of rt_cols is 28 rows (8-row mean of a lagged flag on
+# a 20-row high); the newest row of a tail this long scores like the full series.
+SNAPSHOT_LOOKBACK = 28
 SNAPSHOT_TAIL = 64
 
 
+def _long_enough(tail: int, lookback: int) -> None:
+    if tail <= lookback:
+        raise ValueError(f"tail of {tail} rows: the newest row needs itself and {lookback} rows before it")
+
+
 def risk_snapshot(frame: DataFrame, anomaly: str | None = None, tail: int = SNAPSHOT_TAIL, **plan) -> DataFrame:
     """Flagship: the full nested risk record of the newest bar per symbol.
 
@@ -195,6 +201,7 @@ def risk_snapshot(frame: DataFrame, anomaly: str | None = None, tail: int = SNAP
 
     if tail is None:
         return latest_per_symbol(rt_frame(frame, anomaly, **plan))
+    _long_enough(tail, SNAPSHOT_LOOKBACK)
     cols = ["symbol", "ts", "price", "volume"] + ([anomaly] if anomaly else [])
     counts = frame.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"))
     recent = tail_n(frame.select(*cols), tail).join(counts, "symbol")
@@ -333,6 +340,7 @@ __all__ = [n for n in dir() if not n.startswith("_")] + ["DEFAULT_SYMBOL"]
 
 # Longest look-back chains: per-asset features 39 rows (20-row mean of a
 # 20-row std), trap features + 3-row component means 24 rows.
+REPORT_LOOKBACK = 39
 REPORT_TAIL = 64
 
 
@@ -344,6 +352,7 @@ def trap_report_latest(bars: DataFrame, anomaly: str | None = None, weights: dic
     from tidemark.operators.features import feat_trap
     from tidemark.operators.merge import tail_n
 
+    _long_enough(tail, REPORT_LOOKBACK)
     recent = tail_n(bars, tail)
     return latest_per_symbol(trap_report(feat_trap(recent, plain=True), anomaly, weights, plain=True))
 
@@ -353,4 +362,5 @@ def asset_report_latest(bars: DataFrame, anomaly: str | None = None, tail: int =
     from tidemark.operators.features import feat_asset
     from tidemark.operators.merge import tail_n
 
+    _long_enough(tail, REPORT_LOOKBACK)
     return latest_per_symbol(asset_report(feat_asset(tail_n(bars, tail), plain=True), anomaly))

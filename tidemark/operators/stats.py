@@ -111,61 +111,38 @@ def exact_quantile(df: DataFrame, q: float, key: str = "symbol", value: str = "v
     """Exact per-key quantile with linear interpolation (pandas default),
     without gathering a large key's values into one task.
 
-    A GK sketch (``percentile_approx``, rank error <= n / accuracy) brackets
-    the two target ranks between values lo and hi; counts below / at the
-    bracket come from partial aggregates, and only rows strictly inside the
-    bracket (at most ~8 n / accuracy per key) are ranked to pick the exact
-    order statistics.
+    A GK sketch (``percentile_approx``, rank error <= n / accuracy) cuts each
+    key's values into three cells around the target ranks. Exact cell counts
+    tell which cell holds a rank, and only the distinct values of those cells
+    are ranked: about 6 n / accuracy rows for a large key, as its ranks lie in
+    the middle cell. A rank in an outer cell (short series, where the cuts
+    fall on single values) is found in the same way.
     """
-    from tidemark.plans.partitioning import _is_computed, materialize
+    from pyspark.sql import Window
 
     eps = 1.0 / accuracy
     v = F.col(value).cast("double")
     base = df.select(F.col(key), v.alias("_v")).filter(F.col("_v").isNotNull())
-    if _is_computed(base):  # read three times below: compute the input once
-        base = materialize(base)
     st = base.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [max(0.0, q - 3 * eps), min(1.0, q + 3 * eps)], accuracy).alias("_b"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", [max(0.0, q - 3 * eps), min(1.0, q + 3 * eps)], accuracy).alias("_cut"),
     )
-    # keys with at most 4 x accuracy rows are ranked whole (open bracket);
-    # above that the sketch's rank error (< n / accuracy) cannot miss the
-    # target ranks, so the bracket holds them
-    small = F.col("_n") <= F.lit(4 * accuracy)
-    inf = F.lit(float("inf"))
-    lo = F.col("_b")[0] if q - 3 * eps > 0 else F.col("_min") - F.lit(1.0)
-    hi = F.col("_b")[1] if q + 3 * eps < 1 else F.col("_max") + F.lit(1.0)
-    st = st.select(key, "_n", F.when(small, -inf).otherwise(lo).alias("_lo"), F.when(small, inf).otherwise(hi).alias("_hi"))
+    cell = F.when(F.col("_v") < F.col("_cut")[0], 0).when(F.col("_v") <= F.col("_cut")[1], 1).otherwise(2)
+    celled = base.join(st.select(key, "_cut"), key).select(key, "_v", cell.alias("_cell"))
+    before = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = celled.groupBy(key, "_cell").agg(F.count(F.lit(1)).alias("_size"))
+    cells = cells.withColumn("_off", F.coalesce(F.sum("_size").over(before), F.lit(0)))
     pos = (F.col("_n") - 1) * F.lit(float(q))
-    st = st.withColumns({"_k1": F.floor(pos).cast("long"), "_k2": F.ceil(pos).cast("long"), "_frac": pos - F.floor(pos)})
-    j = base.join(st, key)
-    counts = j.groupBy(key).agg(
-        F.count_if(F.col("_v") < F.col("_lo")).alias("_c_lt"),
-        F.count_if(F.col("_v") == F.col("_lo")).alias("_c_lo"),
-        F.count_if((F.col("_v") > F.col("_lo")) & (F.col("_v") < F.col("_hi"))).alias("_c_in"),
-    )
-    from pyspark.sql import Window
-
-    inside = j.filter((F.col("_v") > F.col("_lo")) & (F.col("_v") < F.col("_hi"))).withColumn(
-        "_r", F.row_number().over(Window.partitionBy(key).orderBy("_v")) - 1)
-    info = st.join(counts, key)
-
-    def kth(k: str):
-        # 0-based rank k: below lo (impossible by the bracket), at lo, inside, or at/above hi
-        off = F.col(k) - F.col("_c_lt") - F.col("_c_lo")
-        picked = inside.join(info.select(key, off.alias("_want")), key).filter(F.col("_r") == F.col("_want")) \
-            .select(key, F.col("_v").alias(f"_v_{k}"))
-        return picked
-
-    res = info.join(kth("_k1"), key, "left").join(kth("_k2"), key, "left")
-
-    def value_at(k: str) -> Column:
-        lo_end = F.col("_c_lt") + F.col("_c_lo")
-        return (F.when(F.col(k) < F.col("_c_lt"), F.lit(None).cast("double"))
-                .when(F.col(k) < lo_end, F.col("_lo"))
-                .when(F.col(k) < lo_end + F.col("_c_in"), F.col(f"_v_{k}"))
-                .otherwise(F.col("_hi")))
-
-    a, b = value_at("_k1"), value_at("_k2")
-    return res.select(key, (a + (b - a) * F.col("_frac")).alias(out))
+    ranks = st.select(key, (pos - F.floor(pos)).alias("_frac"),
+                      F.explode(F.array_distinct(F.array(F.floor(pos), F.ceil(pos)))).alias("_k"))
+    want = ranks.join(cells, key).filter((F.col("_k") >= F.col("_off")) & (F.col("_k") < F.col("_off") + F.col("_size")))
+    # equal values are one row each before anything is ranked
+    held = celled.join(want.select(key, "_cell").distinct(), [key, "_cell"], "left_semi")
+    values = held.groupBy(key, "_cell", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(key, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn("_end", F.sum("_c").over(upto))
+    inside = F.col("_k") - F.col("_off")
+    hit = want.join(values, [key, "_cell"]).filter((inside < F.col("_end")) & (inside >= F.col("_end") - F.col("_c")))
+    # the two ranks are neighbours: the smaller value belongs to the lower rank
+    ends = hit.groupBy(key).agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.max("_frac").alias("_frac"))
+    return ends.select(key, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")).alias(out))

@@ -83,9 +83,9 @@ def index_rows(df: DataFrame, key: str, order: Sequence[str], bucket_size: int)
     numbered = df.withColumn(BUCKET, b).withColumn(
         "_r", F.row_number().over(Window.partitionBy(key, BUCKET).orderBy(*order))
     )
-    # cell sizes come from the numbered rows themselves: same partitioning,
-    # so the input is shuffled once and the exchange is reused by both sides
-    cells = numbered.groupBy(key, BUCKET).agg(F.max("_r").alias("_n"))
+    # cell sizes are counts: this side reads the key and order columns only and
+    # aggregates before its shuffle
+    cells = df.groupBy(F.col(key), b.alias(BUCKET)).agg(F.count(F.lit(1)).alias("_n"))
     offsets = prefix_offsets(cells, key, BUCKET, "_n", "_off")
     # null-safe: rows without a key or a time are a series (cell) of their own
     offsets = offsets.select(F.col(key).alias("_k"), F.col(BUCKET).alias("_b"), "_off")
@@ -148,6 +148,7 @@ def over_series(
     keep_index: str | None = None,
     plain: bool = False,
     checkpoint: bool = False,
+    reread: bool = False,
 ) -> DataFrame:
     """Run ``build(df, spec)`` (window columns over ``spec``) chunk-parallel.
 
@@ -157,8 +158,9 @@ def over_series(
     ``checkpoint=True`` writes the chunked input to the checkpoint dir first
     (for builds that read it more than once, e.g. prefix totals).
 
-    An input of at most ``chunk_rows`` rows in total is windowed per key
-    directly (one chunk per key would be the same plan with extra shuffles).
+    The plan is lazy and the same at every size. Numbering reads the input
+    twice, the second time only its key and order columns; ``reread=True``
+    writes an input that is dear to compute (model scores) once instead.
     """
     order = tuple(order)
     if plain:
@@ -170,16 +172,8 @@ def over_series(
     spark = df.sparkSession
     chunk_rows = chunk_rows or conf_int(spark, CHUNK_ROWS_CONF, DEFAULT_CHUNK_ROWS)
     bucket_size = bucket_size or conf_int(spark, BUCKET_SECONDS_CONF, DEFAULT_BUCKET_SECONDS)
-    if _is_computed(df):
-        # row numbering reads its input twice (cell sizes need only the key
-        # and order columns); a computed input is written once so the
-        # upstream (e.g. the tick scan and bar aggregate) runs once
+    if reread:
         df = materialize(df)
-    if df.count() <= chunk_rows:
-        # size-checked shortcut: the whole input fits in one chunk, so every
-        # key has at most chunk_rows rows and per-key windows are bounded
-        return over_series(df, build, halo=halo, lookahead=lookahead, key=key, order=order,
-                           keep_index=keep_index, plain=True)
     indexed = index_rows(df, key, order, bucket_size)
     spread = spread_halo(indexed, halo, lookahead, chunk_rows)
     if checkpoint:
@@ -234,13 +228,3 @@ def materialize(df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-_COMPUTED_NODES = ("Aggregate", "Join", "Window", "Generate", "Union", "Expand", "Sort")
-
-
-def _is_computed(df: DataFrame) -> bool:
-    """True when the optimised plan does more than scan, filter and project."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    text = plan.toString()
-    return any(f"{n} " in text or f"{n}[" in text or f"+- {n}" in text or text.startswith(n) for n in _COMPUTED_NODES)

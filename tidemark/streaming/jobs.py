@@ -188,8 +188,10 @@ def micro_batch_scorer(spark: SparkSession, ticks: DataFrame, history_rows: int
     ``interval=None`` runs everything available and returns the table as a
     DataFrame; ``interval="2 seconds"`` starts a continuous query on that
     processing-time trigger and returns the running query."""
-    from tidemark.operators.risk import rt_frame
+    from tidemark.operators.risk import SNAPSHOT_LOOKBACK, rt_frame
 
+    if history_rows < SNAPSHOT_LOOKBACK:
+        raise ValueError(f"history_rows of {history_rows}: a new bar needs the {SNAPSHOT_LOOKBACK} bars before it")
     base = base or scratch(spark, "micro-batch-scorer")
     hist_path, out_path = f"{base}/history", f"{base}/snapshots"
     bars = stream_bars(ticks, seconds, watermark).select("symbol", "ts", F.col("close").alias("price"), "volume")

@@ -134,14 +134,14 @@ def exact_quantile(df: DataFrame, q: float, key: str = "symbol", value: str = "v
     cells = cells.withColumn("_off", F.coalesce(F.sum("_size").over(before), F.lit(0)))
     pos = (F.col("_n") - 1) * F.lit(float(q))
     ranks = st.select(key, (pos - F.floor(pos)).alias("_frac"),
-                      F.explode(F.array_distinct(F.array(F.floor(pos), F.ceil(pos)))).alias("_k"))
-    want = ranks.join(cells, key).filter((F.col("_k") >= F.col("_off")) & (F.col("_k") < F.col("_off") + F.col("_size")))
+                      F.explode(F.array_distinct(F.array(F.floor(pos), F.ceil(pos)))).alias("_rank"))
+    want = ranks.join(cells, key).filter((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_size")))
     # equal values are one row each before anything is ranked
     held = celled.join(want.select(key, "_cell").distinct(), [key, "_cell"], "left_semi")
     values = held.groupBy(key, "_cell", "_v").agg(F.count(F.lit(1)).alias("_c"))
     upto = Window.partitionBy(key, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     values = values.withColumn("_end", F.sum("_c").over(upto))
-    inside = F.col("_k") - F.col("_off")
+    inside = F.col("_rank") - F.col("_off")
     hit = want.join(values, [key, "_cell"]).filter((inside < F.col("_end")) & (inside >= F.col("_end") - F.col("_c")))
     # the two ranks are neighbours: the smaller value belongs to the lower rank
     ends = hit.groupBy(key).agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.max("_frac").alias("_frac"))

@@ -109,14 +109,49 @@ def test_smoothing_cross_70(spark):
     df = spark.createDataFrame([("BTC-USD", T0 + dt.timedelta(minutes=i), r) for i, r in enumerate(raw)],
                                "symbol string, ts timestamp, risk_score double")
     out = AL.smoothed_risk(df).orderBy("ts").collect()
-    sm, last, streak = 0.0, 0.0, 0
-    from tidemark.streaming.jobs import smoothing_step
-
-    for r, row in zip(raw, out):
-        sm, last_new, streak, crossed = smoothing_step(sm, last, streak, r)
-        assert row["smoothed_risk"] == pytest.approx(sm, abs=1e-12)
-        assert row["streak"] == streak and row["crossed_above"] == crossed
-        last = last_new
+    for row, want in zip(out, sequential(raw, [True] * len(raw))):
+        assert (row["smoothed_risk"], row["streak"], row["crossed_above"]) == (pytest.approx(want[0], abs=1e-12), *want[1:])
+
+
+def sequential(raw, live):
+    """The recurrence one row at a time: shown value, streak, crossing."""
+    state, streak = 0.0, 0
+    for r, on in zip(raw, live):
+        new = r if state == 0.0 or not on else 0.35 * r + 0.65 * state
+        streak = streak + 1 if on and new >= 70 else 0
+        yield new, streak, on and state < 70 <= new
+        state = new if on else 0.0
+
+
+def test_suppressed_rows_unset_the_state_in_any_chunking(spark):
+    import random
+
+    r = random.Random(5)
+    raw = [0.0 if r.random() < 0.2 else r.uniform(40, 110) for _ in range(400)]
+    live = [r.random() > 0.15 for _ in raw]
+    live[120:190] = [False] * 70  # more than a chunk
+    df = spark.createDataFrame([(None, T0 + dt.timedelta(minutes=i), x, v) for i, (x, v) in enumerate(zip(raw, live))],
+                               "symbol string, ts timestamp, risk_score double, is_live boolean")
+    for plan in ({"plain": True}, {"chunk_rows": 7}, {"chunk_rows": 61}):
+        out = AL.smoothed_risk(df, live="is_live", **plan).orderBy("ts").collect()
+        assert len(out) == len(raw)
+        for row, want in zip(out, sequential(raw, live)):
+            assert (row["smoothed_risk"], row["streak"], row["crossed_above"]) == (pytest.approx(want[0], abs=1e-9), *want[1:])
+
+
+def test_ema_is_exact_in_any_chunking(spark):
+    import random
+
+    r = random.Random(6)
+    price = [r.uniform(1, 100) for _ in range(300)]
+    df = spark.createDataFrame([("A", T0 + dt.timedelta(minutes=i), x, 1.0) for i, x in enumerate(price)],
+                               "symbol string, ts timestamp, price double, volume double")
+    want = [price[0]]
+    for x in price[1:]:
+        want.append(0.2 * x + 0.8 * want[-1])
+    for plan in ({"plain": True}, {"chunk_rows": 9}, {"chunk_rows": 100}):
+        out = FT.feat_chart(df, **plan).orderBy("ts").collect()
+        assert [x["ema9"] for x in out] == pytest.approx(want, abs=1e-9)
 
 
 def test_require_columns():

@@ -55,3 +55,24 @@ def test_clear_alert_history(spark, tmp_path):
     assert SK.read_alert_history(spark, path).count() == 0
     SK.append_alert_history(df, path)
     assert SK.read_alert_history(spark, path).count() == 1
+
+
+def test_alert_history_survives_retries_and_broken_writes(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "alerts")
+    t0 = dt.datetime(2026, 1, 1)
+    df = spark.createDataFrame([("BTC-USD", t0, "high_risk", "m", 90.0)],
+                               "symbol string, ts timestamp, alert_type string, message string, risk_score double")
+    SK.append_alert_history(df, path, version="e1")
+    SK.append_alert_history(df, path, version="e1")  # retried epoch
+    assert SK.read_alert_history(spark, path).count() == 1
+    broken = SK.append_alert_history(df, path, version="e2")
+    os.remove(f"{broken}/_SUCCESS")  # as if the write had broken off
+    assert SK.read_alert_history(spark, path).count() == 1
+    SK.append_alert_history(df, path, version="e2")
+    assert SK.read_alert_history(spark, path).count() == 2
+    for i in range(3, 7):
+        SK.append_alert_history(df, path, version=f"e{i}")
+    assert SK.read_alert_history(spark, path).count() == 6
+    assert len(SK.finished_versions(spark, path)) == SK.KEPT_VERSIONS

@@ -216,8 +216,11 @@ def q_win_rsi_neutral(spark, d):
 
 @query("win_ema")
 def q_win_ema(spark, d):
-    return finish(series_cols(li_bars(spark, d), lambda s: {
-        "ema9": S.ema("close", s, 9), "ema21": S.ema("close", s, 21)}, S.ema_depth(21) + 1))
+    from tidemark.plans.recurrence import Ema, with_emas
+
+    spans = [Ema("ema9", "close", 2.0 / 10.0), Ema("ema21", "close", 2.0 / 22.0)]
+    out = over_series(li_bars(spark, d).select("symbol", "ts", "close"), lambda df, s: with_emas(df, s, spans), halo=0, checkpoint=True)
+    return finish(out.select("symbol", "ts", "ema9", "ema21"))
 
 
 @query("win_vwap")

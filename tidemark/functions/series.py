@@ -9,8 +9,6 @@ share one spec share one sort in the physical plan.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -125,28 +123,6 @@ def rsi(x, spec: Series, period: int = 14, zero_loss: str = "zero") -> Column:
     return F.coalesce(F.lit(100.0) - F.try_divide(F.lit(100.0), F.lit(1.0) + rs), F.lit(50.0))
 
 
-def ema_depth(span: float, tol: float = 1e-17) -> int:
-    """Rows after which an EMA start value weighs less than ``tol``."""
-    a = 2.0 / (span + 1.0)
-    return int(math.ceil(math.log(tol) / math.log(1.0 - a)))
-
-
-def ema(x, spec: Series, span: float, depth: int | None = None) -> Column:
-    """EMA with ``adjust=False`` (e0 = x0, e = a*x + (1-a)*e).
-
-    Bounded fold over the last ``depth`` rows: exact on the first ``depth``
-    rows, afterwards the dropped start weighs (1-a)^depth (< 1e-17 by default).
-    """
-    a = 2.0 / (span + 1.0)
-    k = depth or ema_depth(span)
-    xs = F.collect_list(col(x).cast("double")).over(spec.rows(-k, 0))
-    return F.aggregate(
-        F.slice(xs, 2, k + 1),
-        F.element_at(xs, 1),
-        lambda acc, v: F.lit(a) * v + F.lit(1.0 - a) * acc,
-    )
-
-
 def minmax_pct(x, spec: Series, n: int = 100) -> Column:
     """(x - min) / (max - min) * 100 over the trailing n values; flat -> 50."""
     w = spec.rows(-(n - 1), 0)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import series as S
 from tidemark.functions.scalar import band_display, fixed, truth
 from tidemark.plans.partitioning import Series, over_series, running_totals
+from tidemark.plans.recurrence import Ema, with_emas
 
 # Alert type names, message and event texts, the smoothing constants.
 ALERT_TYPES = ["high_risk", "price_spike", "volume_anomaly", "connection_lost", "trap_detected"]
@@ -50,42 +49,26 @@ def volume_multiple_alerts(bars: DataFrame, k: float = 3.0, window: int = 20, **
                       F.concat(F.lit(ALERT_TEXT[2]), F.format_number("volume", 0)).alias("message"))
 
 
-def smoothing_depth(alpha: float = EMA_ALPHA, tol: float = 1e-21) -> int:
-    return int(math.ceil(math.log(tol) / math.log(1.0 - alpha)))
-
-
 def smoothed_cols(df: DataFrame, s: Series, raw: str, alpha: float, threshold: float, streak_n: int,
                   live: str | None = None) -> DataFrame:
     """Per-symbol smoothing state as columns (batch twin of the keyed state).
 
-    State 0.0 means "unset": while every earlier raw score is 0 the smoothed
-    value is the raw value; from then on it is the EMA. With raw scores >= 0
-    the state never returns to exactly 0, so the recurrence is a fold over
-    the last ``smoothing_depth`` rows that restarts where no earlier raw score
-    was positive (older rows weigh < 1e-21).
+    A state of 0 means "unset": the first score after it is shown as it is.
+    Rows that are not ``live`` show their raw score, raise no crossing and
+    unset the whole state (smoothed value, last value, streak).
     """
-    pos_before = F.coalesce(F.col("_npos") - (F.col(raw) > 0).cast("double"), F.lit(0.0)) > 0
-    df = running_totals(df, s, {"_npos": (F.col(raw) > 0).cast("double")})
-    df = df.withColumn("_sb", pos_before)
-    k = smoothing_depth(alpha)
-    xs = F.collect_list(F.struct(F.col(raw).cast("double").alias("r"), F.col("_sb").alias("sb"))).over(s.rows(-k, 0))
-    sm = F.aggregate(
-        F.slice(xs, 2, k + 1), F.element_at(xs, 1)["r"],
-        lambda acc, x: F.when(x["sb"], F.lit(alpha) * x["r"] + F.lit(1.0 - alpha) * acc).otherwise(x["r"]),
-    )
-    df = df.withColumn("smoothed_risk", sm).withColumn("_pos", s.position())
-    below = F.col("smoothed_risk") < threshold
-    if live:  # non-live rows reset the streak and raise no crossing
-        below = below | ~F.col(live)
-    df = running_totals(df, s, {"_last_below": F.when(below, F.col("_pos").cast("double"))}, how="max")
+    df = with_emas(df, s, [Ema("smoothed_risk", raw, alpha, live, zero_unset=True, before="_last")])
+    df = df.withColumn("_pos", s.position())
+    above = F.col("smoothed_risk") >= threshold
+    if live:
+        above = above & F.col(live)
+    df = running_totals(df, s, {"_last_below": F.when(~truth(above), F.col("_pos").cast("double"))}, how="max")
     streak = (F.col("_pos") - F.coalesce(F.col("_last_below"), F.lit(0.0))).cast("long")
-    prev = S.lag("smoothed_risk", s, 1, 0.0)
     return (
         df.withColumn("streak", streak)
-        .withColumn("crossed_above", truth((prev < threshold) & (F.col("smoothed_risk") >= threshold)
-                                           & (F.col(live) if live else F.lit(True))))
+        .withColumn("crossed_above", truth((F.col("_last") < threshold) & above))
         .withColumn("is_critical", F.col("streak") >= streak_n)
-        .drop("_npos", "_sb", "_pos", "_last_below")
+        .drop("_last", "_pos", "_last_below")
     )
 
 
@@ -94,7 +77,7 @@ def smoothed_risk(df: DataFrame, raw: str = "risk_score", alpha: float = EMA_ALP
     """EMA-smoothed risk, streak of updates >= threshold, upward crossing,
     critical flag and display level, per symbol in time order."""
     out = over_series(df, lambda d, s: smoothed_cols(d, s, raw, alpha, threshold, streak_n, live),
-                      halo=smoothing_depth(alpha) + 1, checkpoint=not plan.get("plain", False), **plan)
+                      halo=0, checkpoint=not plan.get("plain", False), **plan)
     return out.withColumn("display_level", band_display("streak", F.round("smoothed_risk", 1)))  # the shown value decides
 
 

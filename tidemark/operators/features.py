@@ -225,9 +225,10 @@ def feat_trap(bars: DataFrame, **plan) -> DataFrame:
 # --------------------------------------------------------------- feat_chart
 def chart_cols(df: DataFrame, s: Series) -> DataFrame:
     from tidemark.plans.partitioning import running_totals
+    from tidemark.plans.recurrence import Ema, with_emas
 
     v = F.when(F.col("volume") == 0, F.lit(1.0)).otherwise(F.col("volume"))
-    df = df.withColumn("ema9", S.ema("price", s, 9)).withColumn("ema21", S.ema("price", s, 21))
+    df = with_emas(df, s, [Ema("ema9", "price", 2.0 / 10.0), Ema("ema21", "price", 2.0 / 22.0)])
     df = running_totals(df, s, {"_pv": F.col("price") * v, "_v": v})
     return df.withColumn("vwap", F.try_divide(F.col("_pv"), F.col("_v"))).drop("_pv", "_v")
 
@@ -237,7 +238,7 @@ def feat_chart(frame: DataFrame, q: float = 0.95, **plan) -> DataFrame:
     capped at its per-symbol ``q`` quantile (exact, linear interpolation)."""
     require_columns(frame, ["symbol", "ts", "price", "volume"])
     base = frame.select("symbol", "ts", "price", "volume")
-    out = over_series(base, chart_cols, halo=S.ema_depth(21) + 1, **plan)
+    out = over_series(base, chart_cols, halo=0, checkpoint=not plan.get("plain", False), **plan)
     from tidemark.operators.stats import exact_quantile
 
     cap = exact_quantile(base, q, "symbol", "volume", out="_cap")

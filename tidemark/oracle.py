@@ -124,7 +124,6 @@ ORACLE["risk_snapshot"] = (
 # ---------------------------------------------------------------- features
 from tidemark.operators.params import ASSET_ROWS, PARAM_COLUMNS, distinct_values  # noqa: E402
 from tidemark.sqlgen import corr, flag, lead, ratio_gt, ratio_lt  # noqa: E402
-from tidemark.functions.series import ema_depth  # noqa: E402
 
 BARS = ["symbol", "ts", "open", "high", "low", "close", "volume"]
 
@@ -265,8 +264,8 @@ ORACLE["feat_asset"] = f"with {TICKS},\n{BARS_1H},\n{ASSET_SQL}\n" + bars_out("a
 CHART_SQL = f"""fr as (select symbol, ts, close as price, volume from bars_li),
 ch1 as (select *, case when volume = 0 then 1.0 else volume end as _v from fr),
 ch2 as (select symbol, ts, price, volume,
-    list_reduce(list(price) {W(-ema_depth(9), 0)}, lambda acc, x: 0.2 * x + 0.8 * acc) as ema9,
-    list_reduce(list(price) {W(-ema_depth(21), 0)}, lambda acc, x: {2.0 / 22.0!r} * x + {1.0 - 2.0 / 22.0!r} * acc) as ema21,
+    list_reduce(list(price) {W(None, 0)}, lambda acc, x: 0.2 * x + 0.8 * acc) as ema9,
+    list_reduce(list(price) {W(None, 0)}, lambda acc, x: {2.0 / 22.0!r} * x + {1.0 - 2.0 / 22.0!r} * acc) as ema21,
     sum(price * _v) {W(None, 0)} / sum(_v) {W(None, 0)} as vwap,
     least(volume, quantile_cont(volume, 0.95) over (partition by symbol)) as volume_plot from ch1)"""
 ORACLE["feat_chart"] = f"with {BARS_LI},\n{CHART_SQL}\n" + out_select(
@@ -300,8 +299,8 @@ ORACLE["win_rsi_zero"] = (f"with {BARS_LI},\nb as (select *, close - {lag('close
 ORACLE["win_rsi_neutral"] = (f"with {BARS_LI},\nb as (select *, close - {lag('close')} as _d from bars_li),\n"
                              f"q as (select symbol, ts, {rsi('close', 14, 'neutral')} as rsi_14 from b)\n" + out_select("q", ["symbol", "ts"], ["rsi_14"], fill=False))
 ORACLE["win_ema"] = li_q({
-    "ema9": f"list_reduce(list(close) {W(-ema_depth(9), 0)}, lambda acc, x: 0.2 * x + 0.8 * acc)",
-    "ema21": f"list_reduce(list(close) {W(-ema_depth(21), 0)}, lambda acc, x: {2.0 / 22.0!r} * x + {1.0 - 2.0 / 22.0!r} * acc)"})
+    "ema9": f"list_reduce(list(close) {W(None, 0)}, lambda acc, x: 0.2 * x + 0.8 * acc)",
+    "ema21": f"list_reduce(list(close) {W(None, 0)}, lambda acc, x: {2.0 / 22.0!r} * x + {1.0 - 2.0 / 22.0!r} * acc)"})
 ORACLE["win_vwap"] = li_q({"vwap": f"sum(close * (case when volume = 0 then 1.0 else volume end)) {W(None, 0)} / sum(case when volume = 0 then 1.0 else volume end) {W(None, 0)}"})
 ORACLE["win_rolling_minmax"] = li_q({"risk_pct": f"greatest(0.0, least(100.0, case when max(close) {W(-99, 0)} - min(close) {W(-99, 0)} > 0 then (close - min(close) {W(-99, 0)}) / (max(close) {W(-99, 0)} - min(close) {W(-99, 0)}) * 100.0 else 50.0 end))"})
 ORACLE["win_extremes_120"] = (
@@ -515,8 +514,6 @@ ORACLE["agg_distinct_symbols"] = f"with {TICKS}\nselect distinct symbol from tic
 
 
 # ------------------------------------------------------- alerts and events
-from tidemark.operators.alerts import smoothing_depth  # noqa: E402
-
 MARKET = (f"with {BASE_1H},{rt_sql()},\n{ASSET_RISK.replace(TICKS + ',', '', 1).replace(BARS_1H + ',', '', 1)},\n"
           f"chg as (select symbol, ts, {pct('price')} * 100.0 as change from frame_1h),\n"
           "mk as (select rt.symbol, rt.ts, rt.price, rt.volume, rt.trap_type, coalesce(rt._chosen[1].r, 'Monitoring...') as main_reason,"
@@ -550,18 +547,16 @@ ORACLE["snk_alert_history"] = ALERTS + "\n" + out_select(
     "(select * from alerts order by ts desc, symbol, alert_type limit 50)", ["symbol", "ts", "alert_type", "message"],
     ["risk_score", "change", "volume"], fill=False)
 
-_K = smoothing_depth()
-
 
 def smooth_sql(src: str, live: str | None = None) -> str:
-    below = "smoothed_risk < 70" + (f" or not {live}" if live else "")
-    cross_live = f" and {live}" if live else ""
-    return f"""sm1 as (select *, coalesce(sum(cast(risk_score > 0 as double)) {W(None, -1)}, 0) > 0 as _sb, row_number() {W()} as _pos from {src}),
-sm2 as (select *, list_reduce(list({{'r': cast(risk_score as double), 'sb': _sb}}) {W(-_K, 0)},
-    lambda acc, x: {{'r': case when x.sb then 0.35 * x.r + {1.0 - 0.35!r} * acc.r else x.r end, 'sb': x.sb}}).r as smoothed_risk from sm1),
-sm3 as (select *, _pos - coalesce(max(case when {below} then _pos end) {W(None, 0)}, 0) as streak,
-    coalesce({lag('smoothed_risk', 1)} < 70 and smoothed_risk >= 70{cross_live}, false) and ({lag('smoothed_risk', 1)} is not null or (0.0 < 70 and smoothed_risk >= 70{cross_live})) as _c1,
-    coalesce(coalesce({lag('smoothed_risk', 1)}, 0.0) < 70 and smoothed_risk >= 70{cross_live}, false) as crossed_above from sm2),
+    """The exact recurrence over all rows of a symbol: ``r`` is shown, ``s`` is the state (0: unset)."""
+    on = live or "true"
+    step = "case when x.o and acc.s <> 0 then 0.35 * x.r + 0.65 * acc.s else x.r end"
+    return f"""sm1 as (select *, list_reduce(list({{'r': cast(risk_score as double), 's': case when {on} then cast(risk_score as double) else 0.0 end, 'o': {on}}}) {W(None, 0)},
+    lambda acc, x: {{'r': {step}, 's': case when x.o then {step} else 0.0 end, 'o': x.o}}) as _m, row_number() {W()} as _pos from {src}),
+sm2 as (select *, _m.r as smoothed_risk, coalesce(lag(_m.s) {W()}, 0.0) as _last from sm1),
+sm3 as (select *, _pos - coalesce(max(case when smoothed_risk < 70 or not {on} then _pos end) {W(None, 0)}, 0) as streak,
+    _last < 70 and smoothed_risk >= 70 and {on} as crossed_above from sm2),
 sm as (select *, streak >= 3 as is_critical, case when streak >= 3 then 'CRITICAL' when {sround('smoothed_risk', 1)} > 30 then 'ELEVATED' else 'LOW' end as display_level from sm3)"""
 
 

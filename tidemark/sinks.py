@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, key: str = "symbol", fmt: str = "parquet", spread: int = 8,
-                      order: str = "ts") -> None:
+def write_partitioned(df: DataFrame, path: str, key: str = "symbol", fmt: str = "parquet", order: str = "ts") -> None:
     """Overwrite ``path`` partitioned by ``key`` (only the partitions
-    present in ``df`` are replaced). Rows of one key are spread over
-    ``spread`` writer tasks by a hash of the time, so a hot key does not become
-    one task writing one huge file."""
-    slot = F.pmod(F.xxhash64(F.col(order).cast("string")), F.lit(spread))
-    w = df.repartition(F.col(key), slot).sortWithinPartitions(key, order).write.mode("overwrite").partitionBy(key)
+    present in ``df`` are replaced). The rows are rebalanced by key: adaptive
+    execution splits a hot key by its measured size and merges small ones
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` a writer)."""
+    w = df.hint("rebalance", F.col(key)).sortWithinPartitions(key, order).write.mode("overwrite").partitionBy(key)
     w = w.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w = w.option("header", True)
@@ -27,43 +25,58 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.format(fmt).save(path)
 
 
+KEPT_VERSIONS = 3
+
+
+def finished_versions(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
+    """Names of the completely written folders in ``root``, in order: a
+    listing, so there is no pointer file that a crash could lose."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found = [(st.getPath().getName(), st.getPath()) for st in fs.listStatus(path) if st.isDirectory()]
+    return sorted(n for n, p in found if n.startswith(prefix)
+                  and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def remove_versions(spark: SparkSession, root: str, names: list[str]) -> None:
+    for n in names:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _write_version(df: DataFrame, path: str, before: list[str], label: str) -> str:
+    number = int(before[-1].split("-")[0][1:]) + 1 if before else 1
+    name = f"v{number:012d}-{label}"
+    df.write.mode("overwrite").parquet(f"{path}/{name}")
+    remove_versions(df.sparkSession, path, before[: 1 - KEPT_VERSIONS])
+    return f"{path}/{name}"
+
+
 def append_alert_history(alerts: DataFrame, path: str, keep: int = 1000, version: str | None = None) -> str:
-    """Append alerts and keep the newest ``keep`` (a bounded top-k);
-    versions are written side by side, the newest one is returned.
+    """Append alerts and keep the newest ``keep`` (a bounded top-k). Versions
+    are written side by side; the newest complete one is the history, and the
+    last ``KEPT_VERSIONS`` stay. Returns the version's folder.
 
-    ``version`` names the new version (a stream passes its epoch); writing
-    the same version again replaces it, so a retried epoch appends once."""
+    ``version`` names the append (a stream passes its epoch): a retried epoch
+    finds its version complete and appends nothing, or writes it again if the
+    first try broke off."""
     spark = alerts.sparkSession
-    from pyspark.sql.utils import AnalysisException
-
-    try:
-        versions = [r[0] for r in spark.read.text(f"{path}/_versions").collect()]
-    except AnalysisException:
-        versions = []
-    if version is not None and version in versions:
-        versions = versions[: versions.index(version)]
-    cur = alerts if not versions else spark.read.parquet(f"{path}/{versions[-1]}").unionByName(alerts)
-    nxt = version or f"v{len(versions) + 1}"
-    cur.orderBy(F.col("ts").desc(), "symbol", "alert_type").limit(keep).write.mode("overwrite").parquet(f"{path}/{nxt}")
-    spark.createDataFrame([(v,) for v in versions + [nxt]], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/_versions")
-    return f"{path}/{nxt}"
+    before = finished_versions(spark, path, "v")
+    done = [n for n in before if version is not None and n.split("-", 1)[1] == version]
+    if done:
+        return f"{path}/{done[-1]}"
+    cur = spark.read.parquet(f"{path}/{before[-1]}").unionByName(alerts) if before else alerts
+    return _write_version(cur.orderBy(F.col("ts").desc(), "symbol", "alert_type").limit(keep), path, before, version or "append")
 
 
 def read_alert_history(spark: SparkSession, path: str, n: int = 50) -> DataFrame:
-    versions = [r[0] for r in spark.read.text(f"{path}/_versions").collect()]
-    return spark.read.parquet(f"{path}/{versions[-1]}").orderBy(F.col("ts").desc(), "symbol", "alert_type").limit(n)
+    newest = finished_versions(spark, path, "v")[-1]
+    return spark.read.parquet(f"{path}/{newest}").orderBy(F.col("ts").desc(), "symbol", "alert_type").limit(n)
 
 
 def clear_alert_history(spark: SparkSession, path: str) -> str:
-    """Start an empty history version (older versions stay for audit)."""
-    from pyspark.sql.utils import AnalysisException
-
-    try:
-        versions = [r[0] for r in spark.read.text(f"{path}/_versions").collect()]
-    except AnalysisException:
-        versions = []
-    nxt = f"v{len(versions) + 1}"
+    """Start an empty history version."""
     empty = spark.createDataFrame([], "symbol string, ts timestamp, alert_type string, message string, risk_score double")
-    empty.write.mode("overwrite").parquet(f"{path}/{nxt}")
-    spark.createDataFrame([(v,) for v in versions + [nxt]], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/_versions")
-    return f"{path}/{nxt}"
+    return _write_version(empty, path, finished_versions(spark, path, "v"), "clear")

@@ -20,8 +20,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tidemark.operators.alerts import CRITICAL_STREAK_UPDATES, CRITICAL_THRESHOLD, EMA_ALPHA
 from tidemark.operators.bars import ohlcv_bars
+from tidemark.plans.recurrence import ema_path
 from tidemark.session import ensure_checkpoint_dir, ship_package
+from tidemark.sinks import append_alert_history, finished_versions, remove_versions
 from tidemark.sources.fixtures import events_to_ticks
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -112,34 +115,30 @@ def stream_volume_delta(cumulative: DataFrame) -> DataFrame:
 SMOOTH_OUT = "symbol string, ts timestamp, risk_score double, smoothed_risk double, streak long, crossed_above boolean, is_critical boolean"
 
 
-def smoothing_step(smoothed: float, last: float, streak: int, raw: float, alpha: float = 0.35, threshold: float = 70.0,
-                   live: bool = True):
-    """One update of the per-symbol smoothing state (0.0 means unset)."""
-    new = raw if smoothed == 0.0 else alpha * raw + (1.0 - alpha) * smoothed
-    streak = streak + 1 if (new >= threshold and live) else 0
-    crossed = (last < threshold <= new) and live
-    return new, new, streak, crossed
-
-
 def _smooth(key, batches, state):
     rows = _in_order(batches, ["ts"])
     if rows is None:
         return
-    now = state.get if state.exists else (0.0, 0.0, 0)
-    live = rows["is_live"].astype(bool) if "is_live" in rows.columns else np.ones(len(rows), bool)
-    shown = []
-    for raw, lv in zip(rows["risk_score"].astype("float64"), live):
-        *now, crossed = smoothing_step(now[0], now[1], int(now[2]), float(raw), live=bool(lv))
-        shown.append((now[0], now[2], crossed, now[2] >= 3))
-    state.update((float(now[0]), float(now[1]), int(now[2])))
-    made = pd.DataFrame(shown, columns=["smoothed_risk", "streak", "crossed_above", "is_critical"])
-    yield pd.concat([rows[["symbol", "ts"]], rows["risk_score"].astype("float64"), made], axis=1)
+    held, _, run = state.get if state.exists else (0.0, 0.0, 0)
+    live = rows["is_live"].astype(bool).to_numpy() if "is_live" in rows.columns else np.ones(len(rows), bool)
+    raw = rows["risk_score"].to_numpy(dtype="float64")
+    shown, after = ema_path(raw, EMA_ALPHA, live, held or np.nan, zero_unset=True)
+    after = np.nan_to_num(after)
+    above = (shown >= CRITICAL_THRESHOLD) & live
+    place = np.arange(1, len(rows) + 1)
+    below = np.maximum.accumulate(np.where(above, 0, place))
+    streak = place - below + np.where(below == 0, run, 0)
+    crossed = above & (np.concatenate(([held], after[:-1])) < CRITICAL_THRESHOLD)
+    state.update((float(after[-1]), float(after[-1]), int(streak[-1])))
+    yield rows[["symbol", "ts"]].assign(risk_score=raw, smoothed_risk=shown, streak=streak, crossed_above=crossed,
+                                        is_critical=streak >= CRITICAL_STREAK_UPDATES)
 
 
 def stream_smoothed_risk(scored: DataFrame) -> DataFrame:
     """EMA-smoothed risk, streak and upward crossing per symbol as keyed
     state (three numbers per symbol). An optional ``is_live`` column marks
-    rows from a non-live source: they reset the streak and raise no crossing."""
+    rows from a non-live source: they show their raw score, raise no crossing
+    and unset the state."""
     ship_package(scored.sparkSession)
     cols = ["symbol", "ts", "risk_score"] + (["is_live"] if "is_live" in scored.columns else [])
     return scored.select(*cols).groupBy("symbol").applyInPandasWithState(
@@ -196,28 +195,15 @@ def micro_batch_scorer(spark: SparkSession, ticks: DataFrame, history_rows: int
     hist_path, out_path = f"{base}/history", f"{base}/snapshots"
     bars = stream_bars(ticks, seconds, watermark).select("symbol", "ts", F.col("close").alias("price"), "volume")
 
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-
     def previous_history(epoch: int):
         """Newest history version written by an earlier epoch, found by a
         directory listing (no data read), so a retried or restarted epoch
         sees the same input; versions older than that one are removed."""
-        root = jvm.org.apache.hadoop.fs.Path(hist_path)
-        fs = root.getFileSystem(hconf)
-        if not fs.exists(root):
-            return None
-        eps = {}
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("epoch=") and fs.exists(
-                    jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                eps[int(name.split("=", 1)[1])] = st.getPath()
-        older = sorted(e for e in eps if e < epoch)
+        numbers = sorted(int(n.split("=", 1)[1]) for n in finished_versions(spark, hist_path, "epoch="))
+        older = [e for e in numbers if e < epoch]
         if not older:
             return None
-        for e in older[:-1]:  # bounded history: keep only the newest version
-            fs.delete(eps[e], True)
+        remove_versions(spark, hist_path, [f"epoch={e}" for e in older[:-1]])  # bounded history
         return spark.read.parquet(f"{hist_path}/epoch={older[-1]}")
 
     def on_batch(new: DataFrame, epoch: int):
@@ -235,7 +221,6 @@ def micro_batch_scorer(spark: SparkSession, ticks: DataFrame, history_rows: int
             from tidemark.functions.series import pct_change
             from tidemark.operators.alerts import alert_rules
             from tidemark.plans.partitioning import Series
-            from tidemark.sinks import append_alert_history
 
             sp = Series()
             chg = frame.withColumn("change", F.coalesce(pct_change("price", sp) * 100.0, F.lit(0.0))).select(

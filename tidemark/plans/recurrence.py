@@ -10,10 +10,10 @@ No look-back is cut, and no task sees more than a chunk of rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 from typing import Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,10 +57,12 @@ def ema_path(x: np.ndarray, alpha: float, live: np.ndarray | None = None, start:
     fresh[0] = True
     fresh[1:] |= ~is_set[:-1]
     shown = x.copy()
+    keep = 1.0 - alpha
     lo = np.flatnonzero(fresh)
     hi = np.append(lo[1:], len(x))
     for i, j in zip(lo[hi - lo > 1], hi[hi - lo > 1]):
-        shown[i:j] = pd.Series(x[i:j]).ewm(alpha=alpha, adjust=False, ignore_na=True).mean()
+        # one step as written in the definition, so that ties round alike everywhere
+        shown[i:j] = list(accumulate(x[i:j].tolist(), lambda held, v: held if v != v else alpha * v + keep * held))
     return shown[1:], np.where(is_set, shown, np.nan)[1:]
 
 

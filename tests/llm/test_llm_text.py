@@ -99,6 +99,23 @@ def test_local_search_empties_bins():
     assert len(out) == 3 and sorted(sum(out, [])) == list(range(9)) and all(n[b].sum() <= 12 for b in out)
 
 
+def test_local_search_leaves_no_exchange(spark, monkeypatch):
+    """Lengths on which best-fit decreasing is far from tight: every fuller bin is a partner, until nothing is left to gain."""
+    n = np.random.default_rng(1).integers(512, 1024, 3000)
+    fresh = packing.best_fit(n, 2048)
+    out = packing.local_search(fresh, n, 2048)
+    assert sorted(sum(out, [])) == list(range(3000)) and all(n[b].sum() <= 2048 for b in out)
+    assert len(out) < 0.98 * len(fresh)
+    bins = [(2048 - int(n[b].sum()), n[b].tolist()) for b in out if n[b].sum() < 2048]
+    for room, mine in bins:
+        totals = set(mine) | {x + z for k, x in enumerate(mine) for z in mine[k + 1:]}
+        for t in totals:
+            assert not any(0 < t - y <= r for r, theirs in bins if r < room for y in (0, *theirs))
+    monkeypatch.setattr(packing, "GROUP_PIECES", 1000)  # sequences filled above 98 % take part in the second pass
+    pieces = spark.createDataFrame([(i, 0, int(x)) for i, x in enumerate(n)], "doc_id long, piece int, length long")
+    assert check_packed(packing.pack(pieces, 2048).collect(), 2048) < 0.98 * len(fresh)
+
+
 def test_packed_sequences_hold_their_documents(docs):
     placed = packing.pack_documents(docs, size=128)
     n = check_packed(placed.collect(), 128)

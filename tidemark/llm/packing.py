@@ -4,9 +4,10 @@ Documents become token pieces (only documents longer than a sequence are cut).
 Full pieces are sequences of their own. The others are dealt at random into
 groups of a bounded number of pieces; a group is packed best-fit decreasing,
 then local search works on its underfull sequences: moves, one-for-one and
-two-for-one exchanges between a sequence and a fuller one, each raising the sum
-of squared fills, until sequences empty. What stays underfull in all groups is
-packed again in a second pass over fewer groups, so the loss per group fades.
+two-for-one exchanges between a sequence and any fuller one, each raising the
+sum of squared fills, until no exchange is left or no packing has fewer
+sequences. All sequences that stay underfull are dealt anew to fewer groups and
+searched again in a second pass, so the loss per group fades.
 
 Tokens: text splits at blanks and line ends, which the tokenizer drops anyway;
 each distinct chunk is encoded once and kept in a bounded cache of the worker.
@@ -21,7 +22,9 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
+from collections import defaultdict
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -156,70 +159,144 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, size: int, sweeps: int = 4, width: int = 64) -> list[list[int]]:
-    """Empty underfull bins: from the emptiest bin on, move a document into a
-    fuller bin, else swap one for one, else two for one, when that raises the
-    sum of squared fills (the fuller bin gets fuller). ``width`` bounds the
-    partners tried for a bin, not what is packed."""
+class _Open:
+    """Open bins by what they can take: a bin with room ``r`` that gives back a
+    length ``y`` (0: nothing) takes any total up to ``r + y``. Entries of a bin
+    that changed since are dropped when they come up."""
+
+    def __init__(self, size: int):
+        self.reach = np.full(size + 1, -1)  # by length given back: the greatest total that some open bin takes
+        self.by_length: dict[int, list] = defaultdict(list)  # heaps, most room first
+        self.by_total: dict[int, list] = defaultdict(list)  # totals that fill a bin
+        self.version: dict[int, int] = defaultdict(int)
+
+    def _first(self, y: int):
+        heap = self.by_length[y]
+        while heap and self.version[heap[0][1]] != heap[0][2]:
+            heappop(heap)
+        self.reach[y] = y - heap[0][0] if heap else -1
+        return heap[0][1] if heap else None
+
+    def enter(self, b: int, room: int, held: dict[int, list[int]]) -> None:
+        for y in (0, *held):
+            heappush(self.by_length[y], (-room, b, self.version[b]))
+            self.by_total[room + y].append((b, self.version[b], y))
+            self._first(y)
+
+    def leave(self, b: int, held: dict[int, list[int]]) -> None:
+        self.version[b] += 1
+        for y in (0, *held):
+            self._first(y)
+
+    def filling(self, totals) -> tuple[int, int, int] | None:
+        """(total, length given back, bin) of the greatest gain that fills a bin."""
+        best = None
+        for t in totals:
+            entries = self.by_total.get(t, ())
+            while entries and self.version[entries[-1][0]] != entries[-1][1]:
+                entries.pop()
+            if entries and (best is None or t - entries[-1][2] > best[0] - best[1]):
+                best = t, entries[-1][2], entries[-1][0]
+        return best
+
+    def fitting(self, totals) -> tuple[int, int, int] | None:
+        """(total, length given back, bin) of the greatest gain that a bin has room for."""
+        t = np.array(list(totals))
+        if not len(t):
+            return None
+        takes = (self.reach >= t[:, None]) & (np.arange(len(self.reach)) < t[:, None])
+        y = takes.argmax(axis=1)  # the least length given back
+        gain = np.where(takes.any(axis=1), t - y, 0)
+        k = int(gain.argmax())
+        return (int(t[k]), int(y[k]), self._first(int(y[k]))) if gain[k] else None
+
+
+def _sweep(work: list[list[int]], n: list[int], size: int) -> tuple[list[list[int]], bool]:
+    """One pass from the emptiest bin on; partners are all fuller bins with room."""
+    fill = [sum(n[i] for i in b) for b in work]
+    order = sorted(range(len(work)), key=fill.__getitem__)
+    held: list[dict[int, list[int]]] = [defaultdict(list) for _ in work]
+    for b, members in enumerate(work):
+        for i in members:
+            held[b][n[i]].append(i)
+    bins = _Open(size)
+    for b in order:
+        bins.enter(b, size - fill[b], held[b])
+    changed = False
+    for a in order:
+        mine = held[a]
+        if fill[a] == size:  # filled in this sweep, no longer among the open ones
+            continue
+        bins.leave(a, mine)
+        while mine:
+            ones = {x: (x,) for x in mine}
+            lengths = sorted(mine, reverse=True)
+            twos = {x + z: (x, z) for k, x in enumerate(lengths) for z in lengths[k:] if x != z or len(mine[x]) > 1}
+            takes = {**twos, **ones}
+            found = bins.filling(takes) or bins.fitting(ones) or bins.fitting(twos)
+            if not found:
+                break
+            total, y, p = found
+            bins.leave(p, held[p])
+            moved = [(mine, held[p], x) for x in takes[total]] + [(held[p], mine, y)] * (y > 0)
+            moved = [(source, target, x, source[x].pop()) for source, target, x in moved]
+            for source, target, x, i in moved:
+                target[x].append(i)
+            for source, _, x, _ in moved:
+                if x in source and not source[x]:
+                    del source[x]
+            fill[a] -= total - y
+            fill[p] += total - y
+            if fill[p] < size:
+                bins.enter(p, size - fill[p], held[p])
+            changed = True
+    return [sum(h.values(), []) for h in held if h], changed
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[int]]:
+    """Empty underfull bins: from the emptiest bin on, exchange one or two of its
+    documents for one or none of any fuller bin when that raises the sum of
+    squared fills (the fuller bin gets fuller), those that fill a bin first.
+    Sweeps go on until none changes or no packing has fewer bins."""
     n = lengths.tolist()
-    full = [b for b in bins if sum(n[i] for i in b) == size]
-    work = [list(b) for b in bins if sum(n[i] for i in b) < size]
-    for _ in range(sweeps):
-        work.sort(key=lambda b: sum(n[i] for i in b))
-        fill = [sum(n[i] for i in b) for b in work]
-        changed = False
-        for a in range(len(work)):
-            partners = range(len(work) - 1, max(a, len(work) - 1 - width), -1)
-            for p in partners:
-                if not work[a]:
-                    break
-                room = size - fill[p]
-                if not room or fill[p] < fill[a]:
-                    continue
-                gain, take, give = 0, (), ()
-                mine = sorted(work[a], key=lambda i: -n[i])
-                for x in mine:  # move
-                    if n[x] <= room:
-                        gain, take = n[x], (x,)
-                        break
-                if gain < room:
-                    theirs = sorted(work[p], key=lambda i: -n[i])
-                    sizes = [-n[y] for y in theirs]
-                    pairs = [(x,) for x in mine[:32]] + [(x, z) for k, x in enumerate(mine[:16]) for z in mine[k + 1:16]]
-                    for xs in pairs:  # one or two of mine for one of theirs
-                        total = sum(n[x] for x in xs)
-                        k = bisect_left(sizes, -(total - gain - 1)) if total > gain else len(theirs)
-                        while k < len(theirs) and total - n[theirs[k]] <= room:
-                            if total - n[theirs[k]] > gain:
-                                gain, take, give = total - n[theirs[k]], xs, (theirs[k],)
-                            k += 1
-                if gain > 0:
-                    work[a] = [i for i in work[a] if i not in take] + list(give)
-                    work[p] = [i for i in work[p] if i not in give] + list(take)
-                    fill[a] -= gain
-                    fill[p] += gain
-                    changed = True
-        work = [b for b in work if b]
-        if not changed:
+    full: list[list[int]] = []
+    work = [list(b) for b in bins]
+    changed = True
+    while changed:
+        full += [b for b in work if sum(n[i] for i in b) == size]
+        work = [b for b in work if sum(n[i] for i in b) < size]
+        if len(work) <= -(-sum(n[i] for b in work for i in b) // size):
             break
+        work, changed = _sweep(work, n, size)
     return full + work
 
 
-def pack_lengths(lengths: np.ndarray, size: int = SEQUENCE) -> list[list[int]]:
-    return local_search(best_fit(lengths, size), lengths, size)
+def pack_lengths(lengths: np.ndarray, size: int = SEQUENCE, bins: list[list[int]] | None = None) -> list[list[int]]:
+    """Packed afresh or, if that has no more bins, from given ones."""
+    fresh = best_fit(lengths, size)
+    return local_search(fresh if bins is None or len(fresh) < len(bins) else bins, lengths, size)
 
 
 def _packed(pieces: DataFrame, group: str, size: int, base: int) -> DataFrame:
-    """Adds ``sequence_id``, ``offset`` and ``fill`` (of the sequence) per group."""
+    """Sets ``sequence_id``, ``offset`` and ``fill`` (of the sequence) per group;
+    pieces that have a sequence already come with all of it and start in it."""
+    cols = [c for c in pieces.columns if c not in ("sequence_id", "offset", "fill")]
+    given = len(cols) < len(pieces.columns)
+
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         n = table.column("length").to_numpy()
         seq, off, fill = (np.zeros(len(n), np.int64) for _ in range(3))
-        for s, members in enumerate(pack_lengths(n, size)):
+        bins = None
+        if given:
+            of = table.column("sequence_id").to_numpy()
+            order = np.argsort(of, kind="stable")
+            bins = [b.tolist() for b in np.split(order, np.flatnonzero(np.diff(of[order])) + 1)]
+        for s, members in enumerate(pack_lengths(n, size, bins)):
             at = np.cumsum(n[members]) - n[members]
             seq[members], off[members], fill[members] = base + (key[0].as_py() << 24) + s, at, n[members].sum()
-        return table.append_column("sequence_id", pa.array(seq)).append_column("offset", pa.array(off)).append_column("fill", pa.array(fill))
+        return table.select(cols).append_column("sequence_id", pa.array(seq)).append_column("offset", pa.array(off)).append_column("fill", pa.array(fill))
 
-    kinds = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes)
+    kinds = ", ".join(f"`{c}` {t}" for c, t in pieces.select(*cols).dtypes)
     return pieces.groupBy(group).applyInArrow(run, f"{kinds}, sequence_id long, offset long, fill long").drop(group)
 
 
@@ -230,16 +307,16 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     rest = pieces.where(F.col("length") < size)
     rest = written(rest, "op6-rest")
 
-    def dealt(df: DataFrame, rows: int) -> DataFrame:
+    def dealt(df: DataFrame, rows: int, by: list[str]) -> DataFrame:
         groups = max(1, -(-rows // GROUP_PIECES))
-        return df.withColumn("grp", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(groups)).cast("long"))
+        return df.withColumn("grp", F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(groups)).cast("long"))
 
     rows = rest.count()
-    first = written(_packed(dealt(rest, rows), "grp", size, 1 << 60), "op6-first")
+    first = written(_packed(dealt(rest, rows, cols), "grp", size, 1 << 60), "op6-first")
     if rows > GROUP_PIECES:
-        again = first.where(F.col("fill") < 0.98 * size).select(*cols)
-        second = _packed(dealt(again, again.count()), "grp", size, 1 << 61)
-        placed = first.where(F.col("fill") >= 0.98 * size).unionByName(second)
+        again = first.where(F.col("fill") < size)
+        second = _packed(dealt(again, again.count(), ["sequence_id"]), "grp", size, 1 << 61)
+        placed = first.where(F.col("fill") == size).unionByName(second)
     else:
         placed = first
     alone = whole.select(*cols, F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))

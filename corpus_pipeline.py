@@ -6,7 +6,8 @@ All but the last return the columns of ``documents``; the last returns one row
 per packed piece. Each stage sees all rows its predecessor kept.
 
 - toxicity: rows predicted toxic go.
-- line dedup: later copies of repeated line runs go from the texts; rows stay.
+- line dedup: later copies of repeated line runs (three lines, or over 50 words)
+  go from the texts; rows stay.
 - near dedup: of each SimHash component the smallest doc_id stays.
 - pii: personal data in the texts is replaced by its kind.
 - packing: the texts become token pieces placed in sequences.
@@ -27,7 +28,7 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup(docs).select(*docs.columns)
+    return line_dedup.line_dedup(docs, over_words=line_dedup.OVER_WORDS).select(*docs.columns)
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,6 +34,36 @@ def test_line_dedup_edges(odd, empty):
     assert line_dedup.line_dedup(empty).count() == 0
 
 
+def test_line_dedup_of_long_passages(spark):
+    """Repeated runs below ``min_lines`` go when they hold over 50 words."""
+    import random
+
+    import corpus_pipeline
+
+    r = random.Random(4)
+    pool = [" ".join(f"w{r.randrange(999)}" for _ in range(k)) for k in (51, 50, 80, 26, 25, 30, 21, 40, 3, 2)]
+    rows = [(i, "\n".join(r.choice(pool) if r.random() < 0.5 else f"own {i} {r.random()}" for _ in range(r.randint(1, 7)))) for i in range(60)]
+    rows += [(60, pool[0]), (61, pool[0]), (62, None), (63, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for m in (3, 5):
+        seen, want = {}, {}
+        gone = defaultdict(set)
+        for d, t in (x for x in rows if x[1] is not None):
+            lines = t.split("\n")
+            for p in range(len(lines)):
+                for k in range(1, m + 1):
+                    w = tuple(lines[p:p + k])
+                    if len(w) == k and (k == m or len(" ".join(w).split()) > 50) and seen.setdefault(w, (d, p)) != (d, p):
+                        gone[d].update(range(p, p + k))
+            want[d] = ("\n".join(x for i, x in enumerate(lines) if i not in gone[d]), len(gone[d]), sum(1 for i in gone[d] if i - 1 not in gone[d]))
+        want[62] = (None, 0, 0)
+        out = got(line_dedup.line_dedup(df, m, over_words=50))
+        assert {d: (x["text"], x["n_removed"], x["n_runs"]) for d, x in out.items()} == want
+        if m == 3:
+            stage = corpus_pipeline.stage_line_dedup(spark, df, "")
+            assert {x["doc_id"]: x["text"] for x in stage.collect()} == {d: x[0] for d, x in want.items()} and want[61][0] == ""
+
+
 def test_quotient_filter_round_trip_and_merge():
     r = np.random.default_rng(1)
     parts = [r.integers(0, 2**64, n, np.uint64, endpoint=False) for n in (0, 1, 5, 1000)]

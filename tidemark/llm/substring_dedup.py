@@ -378,6 +378,8 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     marks = written(_merge(_scan(docs, size // BUCKET_BYTES + 1)), "op8-marks")
     keyed = docs.where("text is not null").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("d"),
                                                   F.crc32(F.col("text").cast("binary")).bitwiseAND(0xFFFF).cast("int").alias("t"), "text")
+    # repeated rows count once, else a first context would meet itself as a later copy
+    keyed = keyed.groupBy("d", "t").agg(F.any_value("text").alias("text"))
     firsts = marks.where(F.col("kind") == FIRST).select("d", "t", "raw")
     tasks = (firsts.agg(F.sum(F.octet_length("raw"))).first()[0] or 0) // 32 // TASK_CONTEXTS + 1
     found = written(_suffix_arrays(_cut(firsts, keyed), tasks), "op8-found")

@@ -30,22 +30,35 @@ from tidemark.sources.fixtures import events_to_ticks
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
+FILE_ROWS = 1_000_000  # rows of a replayed file
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir (never machine-local)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize_in_order(df: DataFrame, path: str, order: str = "ts", files: int = 4) -> str:
-    """Write ``df`` as ``files`` time-ordered appends so a file stream
-    replays it in event-time order (one file per trigger)."""
-    b = df.select(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-    lo, hi = b["lo"], b["hi"]
-    step = (hi - lo) / files
-    for i in range(files):
-        a = lo + step * i
-        z = hi if i == files - 1 else lo + step * (i + 1)
-        cond = (F.col(order) >= F.lit(a)) & ((F.col(order) <= F.lit(z)) if i == files - 1 else (F.col(order) < F.lit(z)))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
+    """Write ``df`` as time-ordered appends of one file each (``files`` or, at
+    more than ``FILE_ROWS`` rows a file, more) so a file stream replays it in
+    event-time order (one file per trigger). Files hold about equally many rows
+    whatever the times; rows without a time are files of their own and come
+    first, as in a sort; an empty table is an empty folder."""
+    spark = df.sparkSession
+    df.write.parquet(f"{path}-rows")
+    rows = spark.read.schema(df.schema).parquet(f"{path}-rows")
+    n = rows.count()
+    if not n:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+        return path
+    ties = [F.col(c) for c in ("seq", "event_id") if c in df.columns]
+    parts = (rows.repartitionByRange(max(files, -(-n // FILE_ROWS)), F.col(order), *ties, F.xxhash64(*df.columns))
+             .withColumn("_timed", F.col(order).isNotNull().cast("int")).withColumn("_part", F.spark_partition_id()))
+    parts.write.partitionBy("_timed", "_part").parquet(f"{path}-parts")
+    for timed, part in sorted(tuple(r) for r in spark.read.parquet(f"{path}-parts").select("_timed", "_part").distinct().collect()):
+        one = spark.read.schema(df.schema).parquet(f"{path}-parts/_timed={timed}/_part={part}")
+        one.coalesce(1).write.mode("append").parquet(path)
     return path
 
 
@@ -67,7 +80,7 @@ def run_available_now(sdf: DataFrame, name: str, mode: str = "append") -> DataFr
     q = (sdf.writeStream.format("parquet").option("path", f"{base}/data")
          .option("checkpointLocation", f"{base}/_checkpoint").outputMode(mode).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/data")
+    return spark.read.schema(sdf.schema).parquet(f"{base}/data")
 
 
 # ------------------------------------------------------------------ bars
@@ -238,4 +251,6 @@ def micro_batch_scorer(spark: SparkSession, ticks: DataFrame, history_rows: int
         return w.trigger(processingTime=interval).start()
     q = w.trigger(availableNow=True).start()
     q.awaitTermination()
+    if not finished_versions(spark, out_path, "epoch="):  # no bar was closed
+        return rt_frame(spark.createDataFrame([], bars.schema)).drop("diagnostics", "components", "bar_no")
     return spark.read.parquet(out_path).drop("epoch")

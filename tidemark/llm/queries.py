@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, language, line_dedup, packing, pii, search, simhash_dedup, substring_dedup, toxicity
+from tidemark.llm import (bpe, conversation_repair, exact_dedup, language, line_dedup, packing, pii, search, simhash_dedup, substring_dedup,
+                          toxicity, treap_search, url_filter)
 from tidemark.llm.common import body, read_table
 
 
@@ -54,6 +55,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(read_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = conversation_repair.repair(conversation_repair.damage(read_table(spark, sf_dir, "conversations")))
+    return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                      F.sha2("repaired", 256).alias("repaired_sha256"))
+
+
+def op12_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap_search.search(read_table(spark, sf_dir, "benchmark"), read_table(spark, sf_dir, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = url_filter.judge(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op3_toxicity, op4_byte_bpe, op5_pii, op6_packing, op7_search, op8_substring_dedup, op9_simhash, op10_language)
+    f.__name__: f for f in (op1_line_dedup, op2_exact_dedup, op3_toxicity, op4_byte_bpe, op5_pii, op6_packing, op7_search, op8_substring_dedup, op9_simhash, op10_language,
+                              op11_conversation_repair, op12_treap_search, op13_url_filter)
 }

@@ -168,3 +168,67 @@ def test_rows_without_key_or_time_stay_in_any_chunking(spark):
     rows = [("A" if i % 40 else None, None if i % 55 == 7 else f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00", 100.0 + i % 7, 10.0 + i % 5) for i in range(300)]
     df = spark.createDataFrame(rows, "symbol string, t string, price double, volume double").selectExpr("symbol", "cast(t as timestamp) ts", "price", "volume")
     assert feat_tick(df, plain=True).count() == 300 == feat_tick(df, chunk_rows=100).count()
+
+
+def test_bars_aggregate_by_hash(spark, sf):
+    """Open and close come from a fixed-width key; ties, null numbers and negative times sort as the columns do."""
+    import datetime as dt
+
+    from tidemark.operators.bars import ohlcv_bars
+
+    plan = ohlcv_bars(X.ticks(spark, sf), 60)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and "HashAggregate" in plan
+    t0 = dt.datetime(1960, 1, 1)
+    rows = [("a", t0, 2, 5.0, 1.0), ("a", t0, None, 7.0, 1.0), ("a", t0, -9, 6.0, 1.0), ("a", t0 + dt.timedelta(seconds=1), 2**63 - 1, 8.0, 1.0),
+            ("a", t0 + dt.timedelta(seconds=1), -(2**63), 9.0, None)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp, seq long, price double, volume double")
+    one = ohlcv_bars(df.repartition(3), 60).first()
+    assert (one["open"], one["high"], one["low"], one["close"], one["volume"]) == (7.0, 9.0, 5.0, 8.0, 4.0)
+
+
+def test_segment_totals_restart_and_hold_no_segment_window(spark, sf):
+    from pyspark.sql import Window
+
+    from tidemark.plans.partitioning import segment_totals
+
+    t = X.ticks(spark, sf).withColumn("symbol", F.when(F.col("seq") % 50 != 0, F.col("symbol"))).withColumn(
+        "ts", F.when(F.col("seq") % 90 != 0, F.col("ts")))
+    got = segment_totals(t, ["symbol", F.to_date("ts")], ("ts", "seq"), F.coalesce("volume", F.lit(0.0)), "total", 600)
+    w = Window.partitionBy("symbol", F.to_date("ts")).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = t.withColumn("total", F.sum(F.coalesce("volume", F.lit(0.0))).over(w))
+    same(got, want)
+    plan = X.cumulative_ticks(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if " Window [" in line or "Window [" in line.strip()[:12]]
+    assert windows and all("_bkt" in x or "_sup" in x for x in windows)
+
+
+def test_band_of_a_constant_series_is_exactly_flat(spark):
+    from tidemark.operators.stats import centered_band
+
+    rows = spark.range(400).selectExpr("'c' as symbol", "timestamp_seconds(id * 3600) as ts", "0.1 + 0.2 as risk_score")
+    rows = rows.unionByName(spark.range(3).selectExpr("'s' as symbol", "timestamp_seconds(id * 3600) as ts", "cast(id as double) as risk_score"))
+    out = centered_band(rows, "risk_score")
+    assert out.where("symbol = 'c' and (band_std <> 0 or significant)").count() == 0
+    assert out.where("symbol = 'c'").agg(F.countDistinct("band_mean")).first()[0] == 1
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(") <= 2
+
+
+def test_ema_lanes_equal_the_definition():
+    import numpy as np
+
+    from tidemark.plans.recurrence import ema_path
+
+    r = np.random.default_rng(4)
+    for n, alpha in ((1, 0.35), (63, 0.2), (64, 0.2), (65, 0.2), (5000, 2 / 22), (20_000, 0.35)):
+        x = r.integers(0, 1000, n) / 10.0
+        x[r.random(n) < 0.1] = np.nan
+        live = r.random(n) < 0.95
+        held, want, state = np.nan, [], []
+        for v, on in zip(x, live):
+            shown = v if not on or held != held else held if v != v else alpha * v + (1.0 - alpha) * held
+            held = shown if on else np.nan
+            want.append(shown)
+            state.append(held)
+        got = ema_path(x, alpha, live)
+        assert np.array_equal(got[0], want, equal_nan=True) and np.array_equal(got[1], state, equal_nan=True)

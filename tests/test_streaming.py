@@ -1,6 +1,8 @@
 """Batch = stream: each streaming job replays its input with availableNow
 and must equal its batch twin (closed windows only for bar streams)."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from tidemark.operators import risk as R
 from tidemark.operators.bars import ohlcv_bars
 from tidemark.plans.partitioning import over_series
 from tidemark.sources import fixtures as X
+from tidemark.streaming import event_time as ET
 from tidemark.streaming import jobs as SJ
 
 
@@ -31,8 +34,6 @@ def test_stream_bars_equal_closed_batch_bars(spark, sf):
     s = SJ.run_available_now(SJ.stream_bars(SJ.tick_stream(spark, sf)), "t-bars")
     t = X.ticks(spark, sf)
     last = t.agg(F.max("ts")).first()[0]
-    import datetime as dt
-
     cutoff = last - dt.timedelta(minutes=10)
     b = ohlcv_bars(t, 3600).filter(F.col("ts") + F.expr("INTERVAL 1 HOUR") <= F.lit(cutoff))
     eq(s, b, ["symbol", "ts", "open", "high", "low", "close", "volume"])
@@ -57,13 +58,69 @@ def test_stream_smoothing_equals_batch_twin(spark, sf):
     eq(s.withColumn("ts", F.col("ts").cast("timestamp")), b, ["symbol", "ts", "smoothed_risk", "streak", "crossed_above", "is_critical"], 1e-6)
 
 
-def test_stream_score_window_equals_batch(spark, sf):
-    s = SJ.run_available_now(SJ.stream_score_window(
-        SJ.file_stream(spark, SJ.materialize_in_order(X.frame_1h(spark, sf).select("symbol", "ts", F.col("price").alias("anomaly_score")),
-                                                      SJ.scratch(spark, "sw")), "symbol string, ts timestamp, anomaly_score double")), "t-sw")
-    b = over_series(X.frame_1h(spark, sf).select("symbol", "ts", F.col("price").alias("anomaly_score")),
-                    lambda d, sp: d.withColumn("risk_percentage", S.minmax_pct("anomaly_score", sp, 100)), halo=100)
-    eq(s, b, ["symbol", "ts", "risk_percentage"], 1e-9)
+def replay(spark, df, build, files=5, late=(), seed=3, watermark="10 minutes"):
+    """``df`` in files of mixed event time, ``late`` after them, then the end marker."""
+    path = SJ.scratch(spark, "shuffled")
+    mixed = df.withColumn("_f", F.pmod(F.xxhash64("symbol", "ts", F.lit(seed)), F.lit(files)))
+    for i in range(files):
+        mixed.where(F.col("_f") == i).drop("_f").coalesce(1).write.mode("append").parquet(path)
+    if late:
+        spark.createDataFrame(list(late), df.schema).coalesce(1).write.mode("append").parquet(path)
+    ET.end_marker(df).write.mode("append").parquet(path)
+    return ET.run_with_late(build(SJ.file_stream(spark, path, df.schema), watermark), "t-shuffled")
+
+
+def test_event_time_state_equals_batch_on_shuffled_files(spark, sf):
+    """The delay covers the disorder, so nothing is late and every value equals the batch twin's."""
+    scores = X.frame_1h(spark, sf).select("symbol", "ts", F.col("price").alias("anomaly_score"))
+    out, late = replay(spark, scores, SJ.stream_score_window, watermark="400 days")
+    b = over_series(scores, lambda d, sp: d.withColumn("risk_percentage", S.minmax_pct("anomaly_score", sp, 100)), halo=100)
+    eq(out, b, ["symbol", "ts", "risk_percentage"], 1e-9)
+    assert late.count() == 0
+    ct = X.cumulative_ticks(spark, sf)
+    out, late = replay(spark, ct.withColumn("ts", F.col("ts")), SJ.stream_volume_delta, files=3, watermark="400 days")
+    b = over_series(ct, lambda d, sp: d.withColumn("volume_delta", S.diff_clip("volume", sp)), halo=1, order=("ts", "seq"))
+    eq(out, b, ["symbol", "seq", "volume_delta"])
+    assert late.count() == 0
+
+
+def test_late_rows_have_an_output_of_their_own(spark):
+    """Rows behind a released cell change nothing and are put out as late; the rest equals the batch."""
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "symbol string, ts timestamp, seq long, price double, volume double"
+    rows = [(s, t0 + dt.timedelta(minutes=i), i, 1.0, float(i * i)) for s in ("a", "b", None) for i in range(200)]
+    path = SJ.scratch(spark, "late-rows")
+    for part in (rows[::2], rows[1::2]):  # the second file fills the gaps of the first, within the watermark
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    ahead = [("a", t0 + dt.timedelta(days=1, minutes=i), 500 + i, 1.0, 1e6 + i) for i in range(2)]
+    for row in ahead:  # the first moves the watermark, the second's batch releases what is behind it
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    gone = [("a", t0 + dt.timedelta(minutes=5, seconds=1), 900, 1.0, 7e6), ("a", None, 901, 1.0, 8e6), ("b", t0, 902, 1.0, 9e6)]
+    spark.createDataFrame(gone, schema).coalesce(1).write.mode("append").parquet(path)
+    df = spark.createDataFrame(rows + ahead, schema)
+    ET.end_marker(df).write.mode("append").parquet(path)
+    out, late = ET.run_with_late(SJ.stream_volume_delta(SJ.file_stream(spark, path, df.schema), "4 hours"), "t-late-rows")
+    b = over_series(df, lambda d, sp: d.withColumn("volume_delta", S.diff_clip("volume", sp)), halo=1, order=("ts", "seq"))
+    eq(out, b, ["symbol", "seq", "volume_delta"])
+    assert sorted(r["seq"] for r in late.collect()) == [900, 901, 902]
+    assert late.where("volume_delta is not null").count() == 0
+
+
+def test_idle_keys_lose_their_state(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "symbol string, ts timestamp, seq long, price double, volume double"
+    first = [("a", t0 + dt.timedelta(minutes=i), i, 1.0, 10.0 * i) for i in range(10)]
+    after = [("b", t0 + dt.timedelta(days=3), 20, 1.0, 1.0)]
+    again = [("a", t0 + dt.timedelta(days=4), 30, 1.0, 1000.0), ("a", t0 + dt.timedelta(days=4, minutes=5), 31, 1.0, 1001.0)]
+    for ttl, want in ((None, 910.0), ("1 day", 0.0)):
+        path = SJ.scratch(spark, "idle")
+        for part in (first, after, again):
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        df = spark.createDataFrame(again, schema)
+        ET.end_marker(df).write.mode("append").parquet(path)
+        out, late = ET.run_with_late(SJ.stream_volume_delta(SJ.file_stream(spark, path, df.schema), ttl=ttl), "t-idle")
+        got = {r["seq"]: r["volume_delta"] for r in out.collect()}
+        assert got[30] == want and got[31] == 1.0 and got[9] == 10.0 and late.count() == 0
 
 
 def test_micro_batch_scorer_equals_batch(spark, sf):
@@ -75,11 +132,9 @@ def test_micro_batch_scorer_equals_batch(spark, sf):
 
 def test_stream_mode_suppress_equals_batch_twin(spark, sf):
     m = C.market_rows(spark, sf).select("symbol", "ts", "risk_score").withColumn("is_live", F.dayofmonth("ts") % 2 == 1)
-    path = SJ.materialize_in_order(m, SJ.scratch(spark, "ml"), "ts", 3)
-    src = SJ.file_stream(spark, path, "symbol string, ts timestamp, risk_score double, is_live boolean")
-    s = SJ.run_available_now(SJ.stream_smoothed_risk(src), "t-mode")
-    b = AL.smoothed_risk(m, live="is_live")
-    eq(s, b, ["symbol", "ts", "smoothed_risk", "streak", "crossed_above", "is_critical"], 1e-6)
+    out, late = replay(spark, m, SJ.stream_smoothed_risk, files=3, watermark="400 days")
+    eq(out, AL.smoothed_risk(m, live="is_live"), ["symbol", "ts", "smoothed_risk", "streak", "crossed_above", "is_critical"], 1e-6)
+    assert late.count() == 0
 
 
 def test_micro_batch_scorer_on_processing_time_trigger(spark, sf):
@@ -97,19 +152,28 @@ def test_micro_batch_scorer_on_processing_time_trigger(spark, sf):
     assert live.select("symbol", "ts", "risk_score").exceptAll(once.select("symbol", "ts", "risk_score")).count() == 0
 
 
-def test_late_tick_is_dropped(spark, sf):
-    """A tick older than the watermark arriving in a later micro-batch does
-    not change any emitted bar."""
-    import datetime as dt
-
+def late_tick(spark, sf, between):
+    """Bars of a stream that gets the first half of the ticks, ``between`` further
+    files, and a tick of the first minute; each file a micro-batch."""
     ev = X.table(spark, sf, "events")
     path = SJ.scratch(spark, "late")
-    ev.coalesce(1).write.mode("append").parquet(path)
+    cut = ev.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    parts = [ev.where(at <= cut), ev.where(at > cut)]
     first = ev.orderBy("ts").first()
-    late = spark.createDataFrame([(10**9, first["ts"] + dt.timedelta(minutes=1), 1, "click", 10**6 * 1.0, '{"k": 5}')],
-                                 SJ.EVENTS_SCHEMA)
-    late.write.mode("append").parquet(path)
-    s = SJ.run_available_now(SJ.stream_bars(SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA))), "t-late")
+    tick = (10**9, first["ts"] + dt.timedelta(minutes=1), 1, "click", 10**6 * 1.0, '{"k": 5}')
+    for part in parts[: 1 + between]:
+        part.coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([tick], SJ.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    for part in parts[1 + between:]:
+        part.coalesce(1).write.mode("append").parquet(path)
+    assert spark.read.schema(SJ.EVENTS_SCHEMA).parquet(path).select(F.input_file_name()).distinct().count() == 3
+    return SJ.run_available_now(SJ.stream_bars(SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA))), "t-late")
+
+
+def test_late_tick_is_dropped(spark, sf):
+    """A tick of a window that an earlier batch put out changes no bar."""
+    s = late_tick(spark, sf, 1)
     assert s.filter(F.col("high") >= 10**6).count() == 0
     t = X.ticks(spark, sf)
     cutoff = t.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10)
@@ -117,6 +181,12 @@ def test_late_tick_is_dropped(spark, sf):
     eq(s, b, ["symbol", "ts", "open", "high", "low", "close", "volume"])
 
 
+def test_late_tick_of_the_next_batch_joins_an_open_window(spark, sf):
+    """Behind the watermark, but its window is not put out yet: the batch before had none to judge it by."""
+    s = late_tick(spark, sf, 0)
+    assert s.filter(F.col("high") >= 10**6).count() == 1
+
+
 def test_micro_batch_scorer_raises_alerts_into_history(spark, sf):
     from tidemark import sinks as SK
 
@@ -130,8 +200,6 @@ def test_micro_batch_scorer_raises_alerts_into_history(spark, sf):
 
 def test_materialize_keeps_every_row_in_time_order(spark):
     """Null times come first in files of their own, skewed times are dealt by rows, and an empty table streams."""
-    import datetime as dt
-
     t0 = dt.datetime(2024, 1, 1)
     rows = [("a", None, i, 1.0, float(i)) for i in range(88)]
     rows += [("a", t0 + dt.timedelta(seconds=i), 100 + i, 1.0, 100.0 + i) for i in range(800)]
@@ -148,10 +216,11 @@ def test_materialize_keeps_every_row_in_time_order(spark):
     assert max(p["n"] for p in per) < 450
     timed = [p for p in per if p["timed"]]
     assert all(a["hi"] <= b["lo"] for a, b in zip(timed, timed[1:]))
-    out = SJ.run_available_now(SJ.stream_volume_delta(SJ.file_stream(spark, path, schema)), "t-null")
-    assert out.count() == 900 and out.where("volume_delta < 0").count() == 0
+    ET.end_marker(df).write.mode("append").parquet(path)
+    out, late = ET.run_with_late(SJ.stream_volume_delta(SJ.file_stream(spark, path, schema)), "t-null")
+    assert late.count() == 0 and out.count() == 900 and out.where("volume_delta < 0").count() == 0
     assert out.agg(F.sum("volume_delta")).first()[0] == 1011.0
     none = SJ.materialize_in_order(df.limit(0), SJ.scratch(spark, "none"))
-    assert SJ.run_available_now(SJ.stream_volume_delta(SJ.file_stream(spark, none, schema)), "t-none").count() == 0
+    assert ET.run_with_late(SJ.stream_volume_delta(SJ.file_stream(spark, none, schema)), "t-none")[0].count() == 0
     ticks = SJ.file_stream(spark, none, schema)
     assert SJ.micro_batch_scorer(spark, ticks).count() == 0

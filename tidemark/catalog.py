@@ -741,7 +741,9 @@ def _features(spark, d):
 
 
 def _model(spark, d):
-    f = _features(spark, d)
+    from tidemark.plans.partitioning import materialize
+
+    f = materialize(_features(spark, d))  # read by the scaler, the sampling and the scoring
     model, stats = AN.train(f)
     return f, model, stats
 
@@ -833,28 +835,27 @@ def q_str_dedup(spark, d):
     return finish(SJ.run_available_now(SJ.stream_dedup(t.unionByName(repolled)), "dedup"))
 
 
+def _in_event_time(spark, df, build, name):
+    """Replay ``df`` in waves through an event-time job; its rows in time."""
+    return SJ.run_waves(spark, SJ.write_waves(df, SJ.scratch(spark, name)), df.schema, build, f"{name}-out")[0]
+
+
 @query("str_volume_delta")
 def q_str_volume_delta(spark, d):
-    path = _ordered_copy(spark, X.cumulative_ticks(spark, d), "cumulative")
-    src = SJ.file_stream(spark, path, "symbol string, ts timestamp, seq long, price double, volume double")
-    return finish(SJ.run_available_now(SJ.stream_volume_delta(src), "volume-delta"))
+    return finish(_in_event_time(spark, X.cumulative_ticks(spark, d), SJ.stream_volume_delta, "volume-delta"))
 
 
 @query("str_smoothed_risk_stream")
 def q_str_smoothed_risk_stream(spark, d):
     m = market_rows(spark, d).select("symbol", "ts", "risk_score")
-    path = _ordered_copy(spark, m, "market")
-    src = SJ.file_stream(spark, path, "symbol string, ts timestamp, risk_score double")
-    return finish(SJ.run_available_now(SJ.stream_smoothed_risk(src), "smoothed"))
+    return finish(_in_event_time(spark, m, SJ.stream_smoothed_risk, "smoothed"))
 
 
 @query("str_score_window")
 def q_str_score_window(spark, d):
     f, model, stats = _model(spark, d)
     sc = AN.score_frame(f, model, stats).select("symbol", "ts", "anomaly_score")
-    path = _ordered_copy(spark, sc, "scores")
-    src = SJ.file_stream(spark, path, "symbol string, ts timestamp, anomaly_score double")
-    return finish(SJ.run_available_now(SJ.stream_score_window(src), "score-window"))
+    return finish(_in_event_time(spark, sc, SJ.stream_score_window, "score-window"))
 
 
 @query("str_micro_batch_scoring")

@@ -1,15 +1,20 @@
 """Distributed Isolation Forest (Liu, Ting & Zhou, 2008) on Spark.
 
-* Sampling: every row gets one uniform hash per tree, ``xxhash64(row key,
-  tree, seed)``; a row joins a tree's sample when its hash is below a
-  threshold slightly above psi / n, and each tree keeps its psi smallest
-  hashes. No n x trees explosion, and the sample does not depend on
-  partitioning or arrival order.
-* Growth: ``groupBy(tree_id).applyInPandas`` grows one tree per group of at
-  most psi rows with a generator seeded by (seed, tree_id).
-* Model: a nodes table of at most trees x (2 psi - 1) rows (proven bound),
-  so it is shipped to every task as a broadcast variable; scoring is a
-  vectorised ``mapInPandas`` traversal, one numpy pass per tree level.
+* Sampling: a row's MD5 gives two numbers, from which its place in the sample
+  of every tree follows by arithmetic; a row joins a tree's candidates when
+  its place is below a threshold slightly above psi / n, and each tree keeps
+  its psi smallest places. No n x trees explosion, one hash a row, and the
+  sample does not depend on partitioning or arrival order.
+* Growth: level by level for all trees at once. The rows of a node are one
+  window (tree, node); its size and the extremes of every feature are window
+  aggregates, the split feature and the threshold are drawn from the MD5 of
+  (seed, tree, node). All levels run on one shuffle by tree.
+* Model: a nodes table of at most trees x (2 psi - 1) rows (checked against
+  ``MAX_NODES``), so it is shipped to every task as a broadcast variable;
+  scoring is a vectorised ``mapInPandas`` traversal, one numpy pass per level.
+
+Inputs of the forest are rounded to 9 places, so the trees do not hang on the
+order in which the scaler's sums were added.
 """
 
 from __future__ import annotations
@@ -19,14 +24,17 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = ("tree_id int, node_id int, left int, right int, feature int, threshold double, "
                "size int, depth int, is_leaf boolean")
-MASK53 = (1 << 53) - 1
+SPACE = 1 << 52  # places are whole numbers below, 13 hex digits of an MD5
+MAX_TREES = 1024  # a place times a tree number stays below 2^63
+MAX_NODES = 2_000_000  # of a model that is broadcast
+PLACES = 9  # decimal places of a scaled input
 
 
 def c_factor(n) -> np.ndarray:
@@ -40,15 +48,15 @@ def c_factor(n) -> np.ndarray:
 
 
 def scaler_stats(df: DataFrame, cols: list[str]) -> dict:
-    """Per-feature mean and population std (0 -> 1): one aggregate row."""
+    """Per-feature mean and population std (0 -> 1), and the row count: one aggregate row."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.avg(x).alias(f"m{len(aggs)}"), F.stddev_pop(x).alias(f"s{len(aggs) + 1}")]
-    row = df.agg(*aggs).first()
+    row = df.agg(*aggs, F.count(F.lit(1))).first()
     means = [float(row[2 * i] or 0.0) for i in range(len(cols))]
     scales = [float(row[2 * i + 1] or 0.0) or 1.0 for i in range(len(cols))]
-    return {"columns": list(cols), "mean": means, "scale": scales}
+    return {"columns": list(cols), "mean": means, "scale": scales, "rows": int(row[-1])}
 
 
 def scale(df: DataFrame, stats: dict, prefix: str = "") -> DataFrame:
@@ -59,71 +67,73 @@ def scale(df: DataFrame, stats: dict, prefix: str = "") -> DataFrame:
                               for c, m, s in zip(cols, stats["mean"], stats["scale"])])
 
 
-def _grow(rows: np.ndarray, rng: np.random.Generator, max_depth: int):
-    nodes = []  # node_id, left, right, feature, threshold, size, depth, is_leaf
-    stack = [(0, np.arange(len(rows)), 0)]
-    nodes.append(None)
-    while stack:
-        nid, idx, depth = stack.pop()
-        sub = rows[idx]
-        if depth >= max_depth or len(idx) <= 1:
-            nodes[nid] = (nid, -1, -1, -1, 0.0, len(idx), depth, True)
-            continue
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        usable = np.flatnonzero(hi > lo)
-        if usable.size == 0:
-            nodes[nid] = (nid, -1, -1, -1, 0.0, len(idx), depth, True)
-            continue
-        f = int(usable[rng.integers(usable.size)])
-        t = float(rng.uniform(lo[f], hi[f]))
-        go_left = sub[:, f] < t
-        left_id, right_id = len(nodes), len(nodes) + 1
-        nodes.extend([None, None])
-        nodes[nid] = (nid, left_id, right_id, f, t, len(idx), depth, False)
-        stack.append((right_id, idx[~go_left], depth + 1))
-        stack.append((left_id, idx[go_left], depth + 1))
-    return nodes
+def _digits(text: Column, at: int) -> Column:
+    return F.conv(F.substring(F.md5(text), at, 13), 16, 10).cast("long")
+
+
+def _chance(text: Column, at: int) -> Column:
+    """A number in [0, 1) drawn from a text."""
+    return _digits(text, at).cast("double") / F.lit(float(SPACE))
+
+
+def _samples(df: DataFrame, features: list[str], key_cols: list[str], n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
+    """``tree_id`` and the features of each tree's psi rows of smallest place."""
+    frac = min(1.0, (psi + 8.0 * math.sqrt(psi) + 32.0) / max(n, 1))
+    limit = math.ceil(frac * SPACE)
+    name = F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols], F.lit(str(seed)))
+    place = lambda t: (F.col("_a") + t * F.col("_b")) % F.lit(SPACE)
+    cand = df.select(*features, *key_cols, _digits(name, 1).alias("_a"), _digits(name, 14).alias("_b")).select(
+        "*", F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: place(t) < F.lit(limit))).alias("tree_id"))
+    first = Window.partitionBy("tree_id").orderBy(place(F.col("tree_id")), *key_cols)
+    return cand.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= psi).select("tree_id", *features)
+
+
+def _grow(sample: DataFrame, features: list[str], max_depth: int, seed: int) -> DataFrame:
+    """All trees of ``sample`` level by level; node k has the children 2k+1 and 2k+2."""
+    x = [f"_x{i}" for i in range(len(features))]
+    rows = sample.select("tree_id", *[F.coalesce(F.when(~F.isnan(f) & (F.abs(F.col(f)) < float("inf")), F.col(f)), F.lit(0.0)).alias(c)
+                                      for f, c in zip(features, x)], F.lit(0).alias("_node"))
+    node = Window.partitionBy("tree_id", "_node")
+    for depth in range(max_depth + 1):
+        rows = rows.withColumns({"_size": F.count(F.lit(1)).over(node).cast("int"),
+                                 **{f"_lo{c}": F.min(c).over(node) for c in x}, **{f"_hi{c}": F.max(c).over(node) for c in x}})
+        usable = F.array_compact(F.array(*[F.when(F.col(f"_hi{c}") > F.col(f"_lo{c}"), F.lit(i)) for i, c in enumerate(x)]))
+        name = F.concat_ws(":", F.lit(str(seed)), F.col("tree_id").cast("string"), F.col("_node").cast("string"))
+        rows = rows.withColumn("_usable", usable).withColumn("_leaf", (F.lit(depth) == max_depth) | (F.size("_usable") == 0))
+        pick = F.get("_usable", F.floor(_chance(name, 1) * F.size("_usable")).cast("int"))
+        rows = rows.withColumn("_f", F.when(~F.col("_leaf"), pick))
+        lo, hi, own = (F.get(F.array(*[F.col(p + c) for c in x]), F.col("_f")) for p in ("_lo", "_hi", ""))
+        rows = rows.withColumn("_t", lo + _chance(name, 14) * (hi - lo))
+        told = F.when(F.col("_node").isNotNull(), F.struct(
+            F.col("_node").alias("node_id"), F.coalesce("_f", F.lit(-1)).alias("feature"), F.coalesce("_t", F.lit(0.0)).alias("threshold"),
+            F.col("_size").alias("size"), F.lit(depth).alias("depth"), F.col("_leaf").alias("is_leaf")))
+        after = F.when(own < F.col("_t"), F.col("_node") * 2 + 1).otherwise(F.col("_node") * 2 + 2)
+        rows = rows.select("tree_id", *x, *[f"_told{d}" for d in range(depth)], told.alias(f"_told{depth}"),
+                           F.when(~F.col("_leaf"), after).alias("_node"))
+    each = rows.select("tree_id", F.explode(F.array_compact(F.array(*[f"_told{d}" for d in range(max_depth + 1)]))).alias("n"))
+    nodes = each.groupBy("tree_id", F.col("n.node_id").alias("node_id")).agg(F.max("n").alias("n"))
+    child = lambda k: F.when(F.col("n.is_leaf"), F.lit(-1)).otherwise(F.col("node_id") * 2 + k)
+    return nodes.select("tree_id", "node_id", child(1).alias("left"), child(2).alias("right"), "n.feature", "n.threshold", "n.size", "n.depth", "n.is_leaf")
 
 
 def fit(df: DataFrame, features: list[str], key_cols: list[str], n_trees: int = 100, psi: int = 256,
-        seed: int = 42) -> dict:
+        seed: int = 42, n: int | None = None) -> dict:
     """Fit the forest on (already scaled) ``features``; returns the model:
-    a nodes DataFrame plus metadata (psi, depth limit, columns)."""
-    from tidemark.session import ship_package
+    a nodes DataFrame plus metadata (psi, depth limit, columns). ``n`` is the
+    number of rows, if it is known already."""
+    from tidemark.plans.partitioning import materialize
 
-    ship_package(df.sparkSession)
-    n = df.count()
+    if n_trees > MAX_TREES:
+        raise ValueError(f"{n_trees} trees, at most {MAX_TREES}")
+    n = df.count() if n is None else n
     psi = int(min(psi, n))
+    if n_trees * (2 * psi - 1) > MAX_NODES:
+        raise ValueError(f"{n_trees} trees of {psi} rows: more than {MAX_NODES} nodes")
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    frac = min(1.0, (psi + 8.0 * math.sqrt(psi) + 32.0) / max(n, 1))
-    thr = int(frac * (1 << 53))
-    keys = [F.col(k).cast("string") for k in key_cols]
-    u = lambda t: F.xxhash64(*keys, t, F.lit(seed)).bitwiseAND(F.lit(MASK53))
-    cand = df.select(*features, *key_cols, F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                                                           lambda t: u(t) < F.lit(thr))).alias("tree_id"))
-    from pyspark.sql import Window
-
-    ranked = cand.withColumn("_u", u(F.col("tree_id"))).withColumn(
-        "_r", F.row_number().over(Window.partitionBy("tree_id").orderBy("_u", *key_cols)))
-    sample = ranked.filter(F.col("_r") <= psi).select("tree_id", "_r", *features)
-
-    nfeat = len(features)
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_r")
-        tid = int(pdf["tree_id"].iloc[0])
-        rng = np.random.default_rng([seed, tid])
-        x = pdf[features].to_numpy(dtype="float64")
-        x = np.nan_to_num(x, nan=0.0, posinf=0.0, neginf=0.0)
-        out = _grow(x, rng, max_depth)
-        res = pd.DataFrame(out, columns=["node_id", "left", "right", "feature", "threshold", "size", "depth", "is_leaf"])
-        res.insert(0, "tree_id", tid)
-        return res.astype({"tree_id": "int32", "node_id": "int32", "left": "int32", "right": "int32",
-                           "feature": "int32", "size": "int32", "depth": "int32"})
-
-    nodes = sample.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA)
-    return {"nodes": nodes, "psi": psi, "max_depth": max_depth, "features": list(features), "n_trees": n_trees,
-            "seed": seed, "n_features": nfeat}
+    rounded = df.select(*[F.round(F.col(c), PLACES).alias(c) for c in features], *key_cols)
+    nodes = _grow(_samples(rounded, features, key_cols, n, n_trees, psi, seed), features, max_depth, seed)
+    return {"nodes": materialize(nodes), "psi": psi, "max_depth": max_depth, "features": list(features), "n_trees": n_trees,
+            "seed": seed, "n_features": len(features)}
 
 
 def _arrays(nodes_pdf: pd.DataFrame, n_trees: int):
@@ -150,8 +160,10 @@ def score(df: DataFrame, model: dict, out: str = "anomaly_score") -> DataFrame:
 
     spark = df.sparkSession
     ship_package(spark)
-    nodes_pdf = model["nodes"].toPandas()  # bounded: trees x (2 psi - 1) rows
     n_trees = int(model["n_trees"])
+    if n_trees * (2 * int(model["psi"]) - 1) > MAX_NODES:
+        raise ValueError(f"a model of more than {MAX_NODES} nodes is not broadcast")
+    nodes_pdf = model["nodes"].toPandas()
     present = sorted(nodes_pdf["tree_id"].unique().tolist())
     arr = _arrays(nodes_pdf, n_trees)
     bc = spark.sparkContext.broadcast({"arr": arr, "trees": present, "cpsi": float(c_factor([model["psi"]])[0]),
@@ -223,7 +235,7 @@ def train(features_df: DataFrame, cols=MODEL_FEATURES, key_cols=("symbol", "ts")
     if all(s == 1.0 for s in stats["scale"]) and all(m == 0.0 for m in stats["mean"]):
         raise ValueError("all model features are constant")
     scaled = scale(aligned, stats)
-    model = fit(scaled, cols, list(key_cols), n_trees, psi, seed)
+    model = fit(scaled, cols, list(key_cols), n_trees, psi, seed, stats["rows"])
     if contamination:
         from tidemark.operators.stats import exact_quantile
         from tidemark.plans.partitioning import materialize
@@ -244,7 +256,8 @@ def score_frame(features_df: DataFrame, model: dict, stats: dict, window: int =
     cols = stats["columns"]
     aligned = align_features(features_df, cols, [c for c in features_df.columns if c not in cols])
     # scaled copies next to the raw features: scored, then dropped (no join, so no row is lost or multiplied)
-    scaled = aligned.withColumns({"_z_" + c: (F.col(c) - F.lit(m)) / F.lit(s) for c, m, s in zip(cols, stats["mean"], stats["scale"])})
+    scaled = aligned.withColumns({"_z_" + c: F.round((F.col(c) - F.lit(m)) / F.lit(s), PLACES)
+                                  for c, m, s in zip(cols, stats["mean"], stats["scale"])})
     scored = score(scaled, {**model, "features": ["_z_" + c for c in cols]}).drop(*["_z_" + c for c in cols])
     out = over_series(scored, lambda d, s: d.withColumn("risk_percentage", minmax_pct("anomaly_score", s, window)),
                       halo=window, reread=True, **plan)  # rows are scored once

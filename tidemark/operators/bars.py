@@ -2,8 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, TimestampType
+
+
+# fixed values of the packed order key: the step of its first column, and numbers below all times and below all longs
+STEP, BELOW_TIMES, BELOW_LONGS = "20000000000000000000", "-4000000000000000000", "-9223372036854775809"
+
+
+def order_key(df: DataFrame, order: tuple) -> Column:
+    """One value that sorts as the ``order`` columns do, nulls first.
+
+    A time and a whole number make a fixed-width decimal, so min_by / max_by
+    keep it in a hash aggregate; a struct would force a sort aggregate. Other
+    columns stay a struct."""
+    types = [df.schema[c].dataType for c in order]
+    if not (len(order) == 2 and isinstance(types[0], TimestampType) and isinstance(types[1], (LongType, IntegerType))):
+        return F.struct(*[F.col(c) for c in order])
+    wide = "decimal(20,0)"
+    time = F.coalesce(F.unix_micros(order[0]).cast(wide), F.lit(BELOW_TIMES).cast(wide))
+    number = F.coalesce(F.col(order[1]).cast(wide), F.lit(BELOW_LONGS).cast(wide))
+    return ((time * F.lit(STEP).cast(wide)).cast("decimal(38,0)") + number).cast("decimal(38,0)")
 
 
 def ohlcv_bars(ticks: DataFrame, seconds: int = 60, key: str = "symbol", ts: str = "ts",
@@ -14,7 +34,7 @@ def ohlcv_bars(ticks: DataFrame, seconds: int = 60, key: str = "symbol", ts: str
     One hash aggregate on (key, window) with map-side partial aggregation:
     a hot symbol is reduced to one row per window per task before the shuffle.
     """
-    by = F.struct(*[F.col(c) for c in order])
+    by = order_key(ticks, order)
     return (
         ticks.groupBy(F.col(key), F.window(F.col(ts), f"{int(seconds)} seconds").alias("_w"))
         .agg(
@@ -53,7 +73,7 @@ def resample_minute(ticks: DataFrame, seconds: int = 60, key: str = "symbol", or
 
     Empty windows never materialise (the ``dropna`` of the source system).
     """
-    by = F.struct(*[F.col(c) for c in order])
+    by = order_key(ticks, order)
     return (
         ticks.groupBy(F.col(key), F.window("ts", f"{int(seconds)} seconds").alias("_w"))
         .agg(F.max_by(F.col(price), by).alias("price"), F.sum(delta).cast("double").alias("volume"))

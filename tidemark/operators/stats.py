@@ -14,25 +14,33 @@ def centered_band(df: DataFrame, value: str, max_window: int = 20, k: float = 1.
     """Centered rolling mean / std band, window w = min(max_window, max(1, n // 2))
     per key (n = the key's row count); significant = |x - mean| > k * std.
 
-    Frame bounds must be literals, so one frame per possible w is emitted and
-    picked per row by the key's w (same sort for all).
+    One frame of the widest window is gathered a row (at most ``max_window``
+    values) and the key's own window is cut out of it, so a row costs one
+    frame, not one for each width. The deviation is taken from the mean of the
+    values less the first of them, so a constant series gives exactly 0.
     """
     n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    base = df.join(n, key).withColumn("_w", F.least(F.lit(max_window), F.greatest(F.lit(1), F.floor(F.col("_n") / 2))))
+    base = df.join(n, key).withColumn("_w", F.least(F.lit(max_window), F.greatest(F.lit(1), F.floor(F.col("_n") / 2))).cast("int"))
+    left, right = max(max_window // 2, 1), max((max_window - 1) // 2, 1)
 
     def build(d, s: Series):
-        mean = std = None
-        for w in range(1, max_window + 1):
-            fr = s.rows(-(w // 2), (w - 1) // 2)
-            m, sd = F.avg(value).over(fr), F.stddev_samp(value).over(fr)
-            mean = F.when(F.col("_w") == w, m) if mean is None else mean.when(F.col("_w") == w, m)
-            std = F.when(F.col("_w") == w, sd) if std is None else std.when(F.col("_w") == w, sd)
-        single = F.col("_n") <= F.col("_w")
-        mean = F.when(single, F.avg(value).over(s.rows(-1, 1))).otherwise(mean)
-        std = F.when(single, F.lit(0.0)).otherwise(std)
-        return d.withColumn("band_mean", mean).withColumn("band_std", std)
-
-    out = over_series(base, build, halo=max_window // 2, lookahead=max_window // 2, key=key, order=(ts,))
+        near = F.collect_list(F.struct(F.col(value).cast("double").alias("x"))).over(s.rows(-left, right))
+        place = F.least(s.position(), F.lit(left + 1)).cast("int")  # of the row in its frame, from 1
+        return d.withColumn("_near", near).withColumn("_at", place)
+
+    out = over_series(base, build, halo=left, lookahead=right, key=key, order=(ts,))
+    single = F.col("_n") <= F.col("_w")
+    before = F.when(single, 1).otherwise(F.floor(F.col("_w") / 2)).cast("int")
+    after = F.when(single, 1).otherwise(F.floor((F.col("_w") - 1) / 2)).cast("int")
+    first = F.greatest(F.col("_at") - before, F.lit(1))
+    own = F.slice("_near", first, F.col("_at") + after - first + 1)
+    out = out.withColumn("_own", F.transform(F.filter(own, lambda v: v["x"].isNotNull()), lambda v: v["x"])).withColumn("_many", F.size("_own"))
+    base_value = F.get("_own", F.lit(0))
+    shift = F.aggregate("_own", F.lit(0.0), lambda s, v: s + (v - base_value)) / F.col("_many")
+    out = out.withColumn("_shift", F.when(F.col("_many") > 0, shift))
+    spread = F.aggregate("_own", F.lit(0.0), lambda s, v: s + (v - base_value - F.col("_shift")) * (v - base_value - F.col("_shift")))
+    out = out.withColumn("band_mean", base_value + F.col("_shift")).withColumn(
+        "band_std", F.when(single, F.lit(0.0)).when(F.col("_many") > 1, F.sqrt(spread / (F.col("_many") - 1))))
     x, m, sd = F.col(value), F.col("band_mean"), F.col("band_std")
     return out.select(
         key, ts, value, "band_mean", "band_std",

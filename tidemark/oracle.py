@@ -644,6 +644,63 @@ ORACLE["ml_scale"] = f"with {BASE_1H},\n{ENGINE_SQL},\nef as (select symbol, ts,
     r6(f"({c} - avg({c}) over ()) / (case when stddev_pop({c}) over () = 0 then 1.0 else stddev_pop({c}) over () end)") + f" as {c}"
     for c in _ENG_F) + " from ef"
 
+
+
+def forest_sql(src: str, cols: list[str], trees: int = 100, psi: int = 256, seed: int = 42) -> str:
+    """Isolation forest over ``src`` (symbol, ts, columns): ``zs`` (scaled rows), ``nodes``, ``scores``.
+
+    Unrolled to the depth of a full sample, all rows of a node by one window."""
+    depth = 8
+    z = [f"coalesce({sround(f'({c} - avg({c}) over ()) / (case when stddev_pop({c}) over () = 0 then 1.0 else stddev_pop({c}) over () end)', 9)}, 0.0) as x{i}"
+         for i, c in enumerate(cols)]
+    xs = [f"x{i}" for i in range(len(cols))]
+    hexa = lambda text, at: f"cast('0x' || substr(md5({text}), {at}, 13) as bigint)"
+    out = [f"""zs as materialized (select symbol, ts, row_number() over (order by symbol, ts) as rid, count(*) over () as n, {', '.join(z)} from {src})""",
+           f"""hs as (select *, {hexa(f"symbol || '|' || cast(ts as varchar) || '|{seed}'", 1)} as ha, {hexa(f"symbol || '|' || cast(ts as varchar) || '|{seed}'", 14)} as hb from zs)""",
+           f"""lv0 as materialized (select tree_id, rid, {', '.join(xs)}, 0 as node, least(n, {psi}) as psi from hs, (select unnest(range({trees})) as tree_id)
+  qualify row_number() over (partition by tree_id order by (ha + tree_id * hb) % 4503599627370496, symbol, ts) <= least(n, {psi}))"""]
+    told = []
+    for d in range(depth + 1):
+        ext = ", ".join(f"min({x}) over w as lo{i}, max({x}) over w as hi{i}" for i, x in enumerate(xs))
+        usable = "list_filter([" + ", ".join(f"case when hi{i} > lo{i} then {i} end" for i in range(len(xs))) + "], lambda k: k is not null)"
+        name = f"'{seed}:' || cast(tree_id as varchar) || ':' || cast(node as varchar)"
+        lo, hi, own = ("[" + ", ".join(f"{p}{i}" for i in range(len(xs))) + "]" for p in ("lo", "hi", "x"))
+        out.append(f"st{d} as (select *, count(*) over w as size, {ext} from lv{d} window w as (partition by tree_id, node))")
+        out.append(f"us{d} as (select *, {usable} as us, {hexa(name, 1)} / 4503599627370496.0 as u1, {hexa(name, 14)} / 4503599627370496.0 as u2 from st{d})")
+        out.append(f"lf{d} as (select *, {d} >= ceil(log2(greatest(psi, 2))) or len(us) = 0 as is_leaf, us[cast(floor(u1 * len(us)) as integer) + 1] as f from us{d})")
+        out.append(f"th{d} as materialized (select *, {lo}[f + 1] + u2 * ({hi}[f + 1] - {lo}[f + 1]) as t, {own}[f + 1] as own from lf{d})")
+        out.append(f"lv{d + 1} as (select tree_id, rid, {', '.join(xs)}, case when own < t then node * 2 + 1 else node * 2 + 2 end as node, psi from th{d} where not is_leaf)")
+        told.append(f"select distinct tree_id, node, case when is_leaf then -1 else f end as feature, case when is_leaf then 0.0 else t end as threshold, size, {d} as depth, is_leaf from th{d}")
+    out.append("nodes as materialized (" + " union all ".join(told) + ")")
+    cfac = lambda n: f"(case when {n} > 2 then 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} when {n} = 2 then 1.0 else 0.0 end)"
+    out.append(f"wk0 as (select z.rid, z.n, {', '.join('z.' + x for x in xs)}, nd.* from zs z, nodes nd where nd.node = 0)")
+    for d in range(depth):
+        own = "[" + ", ".join(f"w.{x}" for x in xs) + "]"
+        out.append(f"wk{d + 1} as (select w.rid, w.n, {', '.join('w.' + x for x in xs)}, nd.* from wk{d} w join nodes nd on nd.tree_id = w.tree_id "
+                   f"and nd.node = case when {own}[w.feature + 1] < w.threshold then w.node * 2 + 1 else w.node * 2 + 2 end where not w.is_leaf)")
+    ends = " union all ".join(f"select rid, n, depth + {cfac('size')} as h from wk{d} where is_leaf" for d in range(depth + 1))
+    out.append(f"scores as materialized (select z.symbol, z.ts, power(2.0, -avg(h) / {cfac(f'least(any_value(e.n), {psi})')}) as anomaly_score "
+               f"from ({ends}) e join zs z using (rid) group by z.symbol, z.ts)")
+    return ",\n".join(out)
+
+
+FOREST = f"with {BASE_1H},\n{ENGINE_SQL},\nef as materialized (select symbol, ts, price, volume, " + ", ".join(
+    f"cast(coalesce({c}, 0) as double) as {c}" for c in _ENG_F) + " from e2),\n" + forest_sql("ef", _ENG_F) + f""",
+scored as materialized (select ef.*, anomaly_score, greatest(0.0, least(100.0, case when max(anomaly_score) {W(-99, 0)} - min(anomaly_score) {W(-99, 0)} > 0
+    then (anomaly_score - min(anomaly_score) {W(-99, 0)}) / (max(anomaly_score) {W(-99, 0)} - min(anomaly_score) {W(-99, 0)}) * 100.0 else 50.0 end)) as risk_percentage
+  from ef join scores using (symbol, ts))"""
+ORACLE["ml_iforest_fit"] = FOREST + f"""
+select cast(tree_id as integer) as tree_id, cast(node as integer) as node_id, cast(case when is_leaf then -1 else node * 2 + 1 end as integer) as "left",
+  cast(case when is_leaf then -1 else node * 2 + 2 end as integer) as "right", cast(feature as integer) as feature, {r6('threshold')} as threshold,
+  cast(size as integer) as size, cast(depth as integer) as depth, is_leaf from nodes"""
+ORACLE["ml_iforest_score"] = FOREST + f"\nselect symbol, ts, {r6('anomaly_score')} as anomaly_score from scored"
+ORACLE["ml_latest_risk"] = FOREST + (f"\nselect symbol, ts, {r6('anomaly_score')} as anomaly_score, {r6('risk_percentage')} as risk_percentage from scored "
+                                     "qualify row_number() over (partition by symbol order by ts desc) = 1")
+ORACLE["ml_score_table"] = FOREST + "\nselect symbol, ts, " + ", ".join(
+    f"{r6(c)} as {c}" for c in ["price", "volume"] + _ENG_F + ["anomaly_score", "risk_percentage"]) + f", {band_model_sql('risk_percentage')} as risk_level from scored"
+ORACLE["snk_model"] = ORACLE["ml_iforest_fit"]
+ORACLE["str_score_window"] = FOREST + f"\nselect symbol, ts, {r6('anomaly_score')} as anomaly_score, {r6('risk_percentage')} as risk_percentage from scored"
+
 # ------------------------------------------------------------------ sinks (read-back equals the written query)
 ORACLE["snk_features_partitioned"] = ORACLE["feat_core"]
 ORACLE["snk_table"] = ORACLE["lbl_trap"]

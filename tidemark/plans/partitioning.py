@@ -115,6 +115,26 @@ def prefix_offsets(cells: DataFrame, key: str, cell: str, size: str, out: str, f
     return inner.join(tops, same).select(key, cell, (F.col("_base") + F.col("_inner")).alias(out))
 
 
+def segment_totals(df: DataFrame, segment: Sequence[Column | str], order: Sequence[str], value: Column, out: str, bucket_size: int) -> DataFrame:
+    """Running sum of ``value`` in ``order`` that starts anew in each segment.
+
+    A segment (say a symbol and day) may hold most rows, so it is no window:
+    rows are summed inside cells of ``bucket_size`` units of the first order
+    column, and each cell gets the exclusive prefix of its segment's cell sums.
+    """
+    order = tuple(order)
+    scale = 1_000_000 if isinstance(df.schema[order[0]].dataType, (TimestampType, TimestampNTZType)) else 1
+    cell = F.floor(_order_number(df, order[0]) / F.lit(int(bucket_size) * scale))
+    rows = df.withColumns({"_seg": F.struct(*[F.col(c).alias(f"s{i}") if isinstance(c, str) else c.alias(f"s{i}") for i, c in enumerate(segment)]),
+                           BUCKET: cell, "_v": value})
+    inside = Window.partitionBy("_seg", BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = prefix_offsets(rows.groupBy("_seg", BUCKET).agg(F.sum("_v").alias("_n")), "_seg", BUCKET, "_n", "_off")
+    offsets = offsets.select(F.col("_seg").alias("_k"), F.col(BUCKET).alias("_b"), "_off")
+    same = F.col("_seg").eqNullSafe(F.col("_k")) & F.col(BUCKET).eqNullSafe(F.col("_b"))
+    summed = rows.withColumn("_in", F.sum("_v").over(inside)).join(offsets, same)
+    return summed.withColumn(out, F.col("_off") + F.col("_in")).drop("_seg", BUCKET, "_v", "_k", "_b", "_off", "_in")
+
+
 def spread_halo(df: DataFrame, halo: int, lookahead: int, chunk_rows: int) -> DataFrame:
     """Assign rows to chunks and copy halo rows into neighbouring chunks."""
     c = F.lit(int(chunk_rows))

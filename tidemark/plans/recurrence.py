@@ -9,8 +9,8 @@ No look-back is cut, and no task sees more than a chunk of rows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
-from itertools import accumulate
 from typing import Sequence
 
 import numpy as np
@@ -40,6 +40,59 @@ class Ema:
     before: str | None = None
 
 
+def _compose(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix compositions of the maps ``v -> a * v + b``, by doubling."""
+    d = 1
+    while d < len(a):
+        b = np.concatenate((b[:d], a[d:] * b[:-d] + b[d:]))
+        a = np.concatenate((a[:d], a[d:] * a[:-d]))
+        d *= 2
+    return a, b
+
+
+def _run(x: np.ndarray, fresh: np.ndarray, alpha: float) -> np.ndarray:
+    """``held = x`` on fresh rows (the first is one), ``held`` where x is
+    missing, else ``alpha * x + (1 - alpha) * held``; all rows in lockstep.
+
+    The rows are cut into lanes. A first sweep over the places of a lane, all
+    lanes at once, gives every lane's map from start to end; composing them
+    gives the state before each lane up to rounding. The second sweep runs the
+    definition itself, each lane together with the lane before it, which is
+    long enough (12 / alpha rows) for the rounding of the start to die out.
+    """
+    keep, n = 1.0 - alpha, len(x)
+    width = max(64, math.ceil(12.0 / alpha))
+    lanes = -(-n // width)
+    size = lanes * width
+    gap = np.isnan(x)
+    plain = ~(fresh | gap)
+    # one row a place, one column a lane; places behind the end keep the state
+    grid = lambda v, rest: np.concatenate((v, np.full(size - n, rest, v.dtype))).reshape(lanes, width).T.copy()
+    add = grid(np.where(fresh, x, np.where(gap, 0.0, alpha * np.where(gap, 0.0, x))), 0.0)
+    factor = grid(np.where(fresh, 0.0, np.where(plain, keep, 1.0)), 1.0)
+
+    def sweep(held, out=None):
+        for i in range(width):
+            held = add[i] + factor[i] * held
+            if out is not None:
+                out[i] = held
+        return held
+
+    out = np.empty((width, lanes))
+    if lanes == 1:
+        sweep(np.zeros(1), out)
+    else:
+        ends = sweep(np.zeros(lanes))
+        a, b = _compose(np.prod(factor, axis=0), ends)
+        before = np.concatenate(([0.0, 0.0], b[:-2]))  # the state before the lane in front
+        # through the lane in front (the first lane has none), then the lane itself
+        held = before
+        for i in range(width):
+            held = np.concatenate((held[:1], add[i, :-1] + factor[i, :-1] * held[1:]))
+        sweep(held, out)
+    return out.T.reshape(-1)[:n]
+
+
 def ema_path(x: np.ndarray, alpha: float, live: np.ndarray | None = None, start: float = np.nan,
              zero_unset: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Shown value and state (NaN: unset) after each row, from the state
@@ -56,13 +109,12 @@ def ema_path(x: np.ndarray, alpha: float, live: np.ndarray | None = None, start:
     fresh = ~on
     fresh[0] = True
     fresh[1:] |= ~is_set[:-1]
-    shown = x.copy()
-    keep = 1.0 - alpha
-    lo = np.flatnonzero(fresh)
-    hi = np.append(lo[1:], len(x))
-    for i, j in zip(lo[hi - lo > 1], hi[hi - lo > 1]):
-        # one step as written in the definition, so that ties round alike everywhere
-        shown[i:j] = list(accumulate(x[i:j].tolist(), lambda held, v: held if v != v else alpha * v + keep * held))
+    # a fresh row without a value has none to show or to hand on
+    shown = _run(x, fresh & ~np.isnan(x), alpha)
+    lost = fresh & np.isnan(x)
+    if lost.any():
+        owner = np.maximum.accumulate(np.where(fresh, np.arange(len(x)), 0))  # the fresh row that a row goes back to
+        shown = np.where(lost[owner], np.nan, shown)
     return shown[1:], np.where(is_set, shown, np.nan)[1:]
 
 

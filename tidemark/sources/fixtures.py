@@ -108,11 +108,9 @@ def history_live(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 def cumulative_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks whose volume is a running 24h-style total per symbol and day."""
-    from pyspark.sql import Window
+    from tidemark.plans.partitioning import segment_totals
 
-    t = ticks(spark, sf_dir)
-    w = Window.partitionBy("symbol", F.to_date("ts")).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    return t.withColumn("volume", F.sum(F.coalesce("volume", F.lit(0.0))).over(w))
+    return segment_totals(ticks(spark, sf_dir), ["symbol", F.to_date("ts")], ("ts", "seq"), F.coalesce("volume", F.lit(0.0)), "volume", 60)
 
 
 # ---------------------------------------------------------- raw feed text

@@ -4,8 +4,8 @@ Sources are file streams (``readStream.schema(..).parquet(dir)`` with
 ``maxFilesPerTrigger``); the same code takes ``format("kafka")`` in
 production. Row windows (lag, rolling) are not allowed on streams, so:
 bars are a watermarked windowed aggregate; sequential per-symbol state
-(cumulative volume, smoothed risk, score windows) is keyed state via
-``applyInPandasWithState`` holding a bounded value per symbol; full
+(cumulative volume, smoothed risk, score windows) is keyed state in event time
+(``event_time``) holding a bounded value per symbol; full
 feature scoring runs in ``foreachBatch`` over closed bars plus a bounded
 per-symbol history table.
 """
@@ -18,14 +18,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators.alerts import CRITICAL_STREAK_UPDATES, CRITICAL_THRESHOLD, EMA_ALPHA
 from tidemark.operators.bars import ohlcv_bars
 from tidemark.plans.recurrence import ema_path
-from tidemark.session import ensure_checkpoint_dir, ship_package
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sinks import append_alert_history, finished_versions, remove_versions
 from tidemark.sources.fixtures import events_to_ticks
+from tidemark.streaming.event_time import end_marker, in_event_time, run_with_late
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -86,7 +86,9 @@ def run_available_now(sdf: DataFrame, name: str, mode: str = "append") -> DataFr
 # ------------------------------------------------------------------ bars
 def stream_bars(ticks: DataFrame, seconds: int = 3600, watermark: str = "10 minutes") -> DataFrame:
     """Live tumbling OHLCV; append mode emits a window once the watermark
-    passes its end; later ticks for a closed window are dropped."""
+    passes its end. A late tick is judged by the watermark of the batch before
+    its own: it is dropped if that one has passed the window's end, and still
+    joins a window that is not put out yet."""
     return ohlcv_bars(ticks.withWatermark("ts", watermark), seconds)
 
 
@@ -99,40 +101,25 @@ def stream_dedup(ticks: DataFrame, watermark: str = "10 minutes") -> DataFrame:
 DELTA_OUT = "symbol string, ts timestamp, seq long, volume double, volume_delta double"
 
 
-def _in_order(batches, by: list[str]) -> pd.DataFrame | None:
-    """All rows of a key in this micro-batch, in time order. A group comes as
-    several Arrow batches in no order, so sorting each of them is not enough."""
-    parts = [b for b in batches if len(b)]
-    return pd.concat(parts, ignore_index=True).sort_values(by, kind="stable", ignore_index=True) if parts else None
-
-
-def _volume_delta(key, batches, state):
-    rows = _in_order(batches, ["ts", "seq"])
-    if rows is None:
-        return
-    before = state.get[0] if state.exists else np.nan
+def _volume_step(rows: pd.DataFrame, carry: tuple | None) -> tuple[pd.DataFrame, tuple]:
+    before = np.nan if carry is None or carry[0] is None else carry[0]
     v = rows["volume"].to_numpy(dtype="float64")
     step = np.diff(v, prepend=before)
-    state.update((float(v[-1]),))
-    yield rows.assign(volume_delta=np.fmax(np.nan_to_num(step, nan=0.0), 0.0))[["symbol", "ts", "seq", "volume", "volume_delta"]]
+    return rows.assign(volume_delta=np.fmax(np.nan_to_num(step, nan=0.0), 0.0)), (float(v[-1]),)
 
 
-def stream_volume_delta(cumulative: DataFrame) -> DataFrame:
-    """Cumulative (24 h style) volume -> increments, per symbol; state is
-    the last cumulative value (lag() is not available on streams)."""
-    ship_package(cumulative.sparkSession)
-    return cumulative.groupBy("symbol").applyInPandasWithState(
-        _volume_delta, DELTA_OUT, "last double", "append", GroupStateTimeout.NoTimeout)
+def stream_volume_delta(cumulative: DataFrame, watermark: str = "10 minutes", ttl: str | None = None) -> DataFrame:
+    """Cumulative (24 h style) volume -> increments, per symbol in event time;
+    state is the last cumulative value (lag() is not available on streams)."""
+    rows = cumulative.select("symbol", "ts", "seq", "volume")
+    return in_event_time(rows, _volume_step, DELTA_OUT, "last double", ["ts", "seq"], watermark, ttl)
 
 
 SMOOTH_OUT = "symbol string, ts timestamp, risk_score double, smoothed_risk double, streak long, crossed_above boolean, is_critical boolean"
 
 
-def _smooth(key, batches, state):
-    rows = _in_order(batches, ["ts"])
-    if rows is None:
-        return
-    held, _, run = state.get if state.exists else (0.0, 0.0, 0)
+def _smooth_step(rows: pd.DataFrame, carry: tuple | None) -> tuple[pd.DataFrame, tuple]:
+    held, run = carry if carry is not None else (0.0, 0)
     live = rows["is_live"].astype(bool).to_numpy() if "is_live" in rows.columns else np.ones(len(rows), bool)
     raw = rows["risk_score"].to_numpy(dtype="float64")
     shown, after = ema_path(raw, EMA_ALPHA, live, held or np.nan, zero_unset=True)
@@ -142,20 +129,17 @@ def _smooth(key, batches, state):
     below = np.maximum.accumulate(np.where(above, 0, place))
     streak = place - below + np.where(below == 0, run, 0)
     crossed = above & (np.concatenate(([held], after[:-1])) < CRITICAL_THRESHOLD)
-    state.update((float(after[-1]), float(after[-1]), int(streak[-1])))
-    yield rows[["symbol", "ts"]].assign(risk_score=raw, smoothed_risk=shown, streak=streak, crossed_above=crossed,
-                                        is_critical=streak >= CRITICAL_STREAK_UPDATES)
+    return rows.assign(smoothed_risk=shown, streak=streak, crossed_above=crossed,
+                       is_critical=streak >= CRITICAL_STREAK_UPDATES), (float(after[-1]), int(streak[-1]))
 
 
-def stream_smoothed_risk(scored: DataFrame) -> DataFrame:
-    """EMA-smoothed risk, streak and upward crossing per symbol as keyed
-    state (three numbers per symbol). An optional ``is_live`` column marks
+def stream_smoothed_risk(scored: DataFrame, watermark: str = "10 minutes", ttl: str | None = None) -> DataFrame:
+    """EMA-smoothed risk, streak and upward crossing per symbol in event time
+    (two numbers of state a symbol). An optional ``is_live`` column marks
     rows from a non-live source: they show their raw score, raise no crossing
     and unset the state."""
-    ship_package(scored.sparkSession)
     cols = ["symbol", "ts", "risk_score"] + (["is_live"] if "is_live" in scored.columns else [])
-    return scored.select(*cols).groupBy("symbol").applyInPandasWithState(
-        _smooth, SMOOTH_OUT, "smoothed double, last double, streak long", "append", GroupStateTimeout.NoTimeout)
+    return in_event_time(scored.select(*cols), _smooth_step, SMOOTH_OUT, "smoothed double, streak long", ["ts"], watermark, ttl)
 
 
 WINDOW_OUT = "symbol string, ts timestamp, anomaly_score double, risk_percentage double"
@@ -164,28 +148,51 @@ WINDOW_OUT = "symbol string, ts timestamp, anomaly_score double, risk_percentage
 SCORE_WINDOW = 100
 
 
-def _score_window(key, batches, state):
+def _window_step(rows: pd.DataFrame, carry: tuple | None) -> tuple[pd.DataFrame, tuple]:
     """Position of each score between the extremes of the trailing window:
     rolling extremes over the carried scores and the new ones together."""
-    rows = _in_order(batches, ["ts"])
-    if rows is None:
-        return
-    carried = list(state.get[0]) if state.exists else []
+    carried = list(carry[0]) if carry is not None else []
     scores = pd.Series([*carried, *rows["anomaly_score"].astype("float64")])
     trailing = scores.rolling(SCORE_WINDOW, min_periods=1)
     low = trailing.min()
     spread = trailing.max() - low
     share = ((scores - low) / spread.where(spread > 0) * 100.0).fillna(50.0).clip(0.0, 100.0)
-    state.update((scores.iloc[-SCORE_WINDOW:].tolist(),))
-    yield rows.assign(risk_percentage=share.to_numpy()[len(carried):])[["symbol", "ts", "anomaly_score", "risk_percentage"]]
+    return rows.assign(risk_percentage=share.to_numpy()[len(carried):]), (scores.iloc[-SCORE_WINDOW:].tolist(),)
+
+
+def stream_score_window(scored: DataFrame, watermark: str = "10 minutes", ttl: str | None = None) -> DataFrame:
+    """Rolling min-max risk % over each symbol's last 100 scores in event
+    time (at most 100 doubles of state a symbol)."""
+    rows = scored.select("symbol", "ts", "anomaly_score")
+    return in_event_time(rows, _window_step, WINDOW_OUT, "scores array<double>", ["ts"], watermark, ttl)
 
 
-def stream_score_window(scored: DataFrame) -> DataFrame:
-    """Rolling min-max risk % over each symbol's last 100 scores, carried
-    across micro-batches as keyed state (at most 100 doubles per symbol)."""
-    ship_package(scored.sparkSession)
-    return scored.select("symbol", "ts", "anomaly_score").groupBy("symbol").applyInPandasWithState(
-        _score_window, WINDOW_OUT, "scores array<double>", "append", GroupStateTimeout.NoTimeout)
+WAVES = 2
+
+
+def write_waves(df: DataFrame, path: str, order: str = "ts", waves: int = WAVES) -> str:
+    """``df`` as ``waves`` folders of consecutive event time (rows without a
+    time in the first), and a last one with the end marker. The number of jobs
+    does not grow with the data and no file is written by one task alone."""
+    spark = df.sparkSession
+    df.write.parquet(f"{path}-rows")
+    rows = spark.read.schema(df.schema).parquet(f"{path}-rows")
+    at = F.unix_micros(order)
+    cuts = rows.agg(F.percentile_approx(at, [(i + 1) / waves for i in range(waves - 1)])).first()[0] or []
+    wave = sum([F.coalesce((at > c).cast("int"), F.lit(0)) for c in cuts], F.lit(0))
+    rows.withColumn("_wave", wave).write.partitionBy("_wave").parquet(path)
+    end_marker(df, time=order).write.parquet(f"{path}/_wave={waves}")
+    return path
+
+
+def run_waves(spark: SparkSession, path: str, schema, build, name: str, waves: int = WAVES) -> tuple[DataFrame, DataFrame]:
+    """Run ``build(stream)`` over the folders of ``write_waves``, a restart from
+    the checkpoint after each: results in time, and late rows."""
+    base = scratch(spark, name)
+    for k in range(waves + 1):
+        seen = ",".join(map(str, range(k + 1)))
+        out = run_with_late(build(spark.readStream.schema(schema).parquet(f"{path}/_wave={{{seen}}}")), name, base)
+    return out
 
 
 # ------------------------------------------------------ micro-batch scoring

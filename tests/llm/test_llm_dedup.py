@@ -228,3 +228,38 @@ def test_substring_dedup_twins_own_the_first_copy(spark):
     out = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((x["doc_id"], x["n_removed"]) for x in out) == sorted((d, want[d]) for d, _ in rows)
     assert want[1] == 0 and want[2] >= 250 and want[3] >= 260
+
+
+def test_line_dedup_takes_free_names(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(1, "a\nb\nc", 7, 8, 9), (2, "a\nb\nc\nd", 7, 8, 9)], "doc_id long, text string, n_lines int, n_removed int, N_RUNS int")
+    out = line_dedup.line_dedup(df)
+    assert {r["doc_id"]: (r["text"], r["n_lines"], r["n_lines_"], r["n_removed_"], r["n_runs_"]) for r in out.collect()} == {
+        1: ("a\nb\nc", 7, 3, 0, 0), 2: ("d", 7, 4, 3, 1)}
+    stage = corpus_pipeline.stage_line_dedup(spark, df, "")
+    assert stage.columns == df.columns and {r["text"] for r in stage.collect()} == {"a\nb\nc", "d"}
+
+
+def test_near_dedup_stage_decides_by_row(spark):
+    import corpus_pipeline
+
+    rows = [(1, "one a a a"), (2, "one a a a"), (2, "two b b b"), (None, "one a a a"), (None, "one a a a"), (1, "one a a a"), (None, "three c c c"),
+            (None, "four d"), (9, None), (10, ""), (None, None)]
+    df = spark.createDataFrame([r + (1, 2) for r in rows], "doc_id long, text string, _row int, component_id int").repartition(3)
+    out = corpus_pipeline.stage_near_dedup(spark, df, "")
+    assert out.columns == df.columns
+    got = sorted([(r["doc_id"], r["text"]) for r in out.collect()], key=str)
+    assert got == sorted([(1, "one a a a"), (2, "two b b b"), (None, "three c c c"), (None, "four d"), (9, None)], key=str)
+
+
+def test_substring_dedup_of_many_rows_without_an_id(spark):
+    import random
+
+    r = random.Random(8)
+    fresh = lambda: "".join(r.choice("abcdefgh ") for _ in range(160))
+    unique, twice = [fresh() for _ in range(1500)], [fresh() for _ in range(300)]
+    df = spark.createDataFrame([(None, t) for t in unique + twice + [t + "!" for t in twice]], "doc_id long, text string").repartition(6)
+    out = substring_dedup.substring_dedup(df).toPandas()
+    assert (out["n_removed"] > 0).sum() == 300 and out.loc[out["n_removed"] > 0, "n_removed"].isin([160]).all()
+    assert len(out) == 2100

@@ -100,7 +100,8 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, over_words: int |
 
 def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, over_words: int | None = None) -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from ``text``,
-    and three more columns: ``n_lines``, ``n_removed``, ``n_runs`` (long)."""
+    and three more columns: ``n_lines``, ``n_removed``, ``n_runs`` (long; an
+    underscore is added to a name that ``docs`` has already)."""
     runs = written(repeated_runs(docs, min_lines, over_words), "op1-runs")
     key, th, got, own = (free(docs, c) for c in ("_key", "_th", "_runs", "_own"))
     runs = runs.select(F.col("doc_id").alias(key), F.col("th").alias(th), F.col("runs").alias(got))
@@ -119,5 +120,5 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, over_words: int | No
     removed = F.coalesce(F.aggregate(r, F.lit(0).cast("long"), lambda a, x: a + (x["e"] - x["s"])), F.lit(0).cast("long"))
     size = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
     return joined.select(*[(text.alias(c) if c == "text" else F.col(c)) for c in docs.columns],
-                         size.alias("n_lines"), removed.alias("n_removed"),
-                         F.coalesce(F.size(r), F.lit(0)).cast("long").alias("n_runs"))
+                         size.alias(free(docs, "n_lines")), removed.alias(free(docs, "n_removed")),
+                         F.coalesce(F.size(r), F.lit(0)).cast("long").alias(free(docs, "n_runs")))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, written
+from tidemark.llm.common import connected_components, free, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -145,8 +145,14 @@ def simhash_groups(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller ``doc_id``.
-    Rows with a null ``doc_id`` cannot be named and stay."""
-    groups = simhash_groups(docs, words, max_bits)
-    drop = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "op9-dropped")
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of each component: the one of the smallest
+    ``doc_id`` (rows without one come last), of several such rows any one.
+    Rows are told apart by a number of their own, so shared and null ids and
+    repeated rows cost no text its last copy."""
+    no = free(docs, "_row")
+    rows = written(docs.withColumn(no, F.monotonically_increasing_id()), "op9-rows")
+    groups = simhash_groups(rows.select(F.col(no).alias("doc_id"), "text"), words, max_bits)
+    named = written(groups.select(F.col("doc_id").alias(no), "component_id").join(rows.select(no, F.col("doc_id").alias("_id")), no), "op9-named")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", no))[no].alias("_first"))
+    drop = written(named.join(first, "component_id").where(F.col(no) != F.col("_first")).select(no), "op9-dropped")
+    return rows.join(drop, no, "left_anti").select(*docs.columns)

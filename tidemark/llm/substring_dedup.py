@@ -25,7 +25,8 @@ the suffix arrays' batches.
 Defined cases: null text counts as empty (0 bytes); texts below ``N`` bytes keep
 all; rows with equal ``doc_id`` and text are one document (all get the same
 result, none removes from the other); rows with equal ``doc_id`` and different
-text are told apart by a checksum; null ``doc_id`` sorts first; an empty table
+text are told apart by a checksum; null ``doc_id`` sorts first, by a hash of
+the text, so that many such rows are told apart by 64 bits; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -36,7 +37,8 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import body, written
@@ -51,7 +53,7 @@ BLOCK = 16  # contexts of one suffix array
 TASK_CONTEXTS = 6000  # contexts of the suffix arrays built in one task
 WIDE = 16_384  # contexts of one anchor that one task takes
 BATCH = 700_000  # suffixes sorted in lockstep
-NULL_ID = -(1 << 63)
+NULL_ID, NULL_SPAN = -(1 << 63), (1 << 48) - 1  # rows without an id are placed first, by 48 bits of a hash of their text
 
 _ODD = 0x9E3779B97F4A7C15
 
@@ -193,11 +195,12 @@ def _scan(docs: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = (text.as_py() or "").encode()
+                d = NULL_ID + (xxhash.xxh64_intdigest(raw, 42) & NULL_SPAN) if d is None else d
                 b, check = np.frombuffer(raw, np.uint8), zlib.crc32(raw) & 0xFFFF
                 for at in range(0, len(b) - N + 1, CHUNK - N + 1):
                     x, first, last, h, c = contexts(b[at:at + CHUNK])
                     held.append({"h": h, "c0": c.astype(np.uint32), "c1": (c >> np.uint64(32)).astype(np.uint16),
-                                 "d": np.full(len(x), NULL_ID if d is None else d, np.int64), "t": np.full(len(x), check, np.uint16),
+                                 "d": np.full(len(x), d, np.int64), "t": np.full(len(x), check, np.uint16),
                                  "x": (x + at).astype(np.int32), "p": (x - first).astype(np.uint8), "q": (x - last).astype(np.uint8)})
                     size += len(x)
                 if size >= FLUSH:
@@ -371,12 +374,16 @@ def _suffix_arrays(cuts: DataFrame, tasks: int) -> DataFrame:
     return cuts.groupBy(F.pmod(F.col("unit"), F.lit(tasks)).alias("task")).applyInArrow(run, _ROWS)
 
 
+def _place(id_column: str) -> Column:
+    return F.coalesce(id_column, F.lit(NULL_ID) + F.xxhash64("text").bitwiseAND(F.lit(NULL_SPAN)))
+
+
 def removed_spans(docs: DataFrame) -> DataFrame:
     """Spans to remove: ``d`` (doc_id, null as the least long), ``t`` (checksum of
     the text), ``spans`` (array of int32 pairs as bytes; they may overlap)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     marks = written(_merge(_scan(docs, size // BUCKET_BYTES + 1)), "op8-marks")
-    keyed = docs.where("text is not null").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("d"),
+    keyed = docs.where("text is not null").select(_place("doc_id").alias("d"),
                                                   F.crc32(F.col("text").cast("binary")).bitwiseAND(0xFFFF).cast("int").alias("t"), "text")
     # repeated rows count once, else a first context would meet itself as a later copy
     keyed = keyed.groupBy("d", "t").agg(F.any_value("text").alias("text"))
@@ -404,7 +411,7 @@ def substring_dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     ``kept_sha256`` and, on request, ``kept`` (the remaining bytes)."""
     spans = written(removed_spans(docs), "op8-spans")
     text = docs.select("doc_id", body().alias("text"))
-    keyed = text.withColumn("d", F.coalesce("doc_id", F.lit(NULL_ID))).withColumn(
+    keyed = text.withColumn("d", _place("doc_id")).withColumn(
         "t", F.crc32(F.col("text").cast("binary")).bitwiseAND(0xFFFF).cast("int"))
     kind = dict(docs.dtypes)["doc_id"]
 

@@ -57,3 +57,39 @@ def test_contamination_threshold(spark):
     sc = AN.score_frame(df, model, stats)
     share = sc.agg(F.avg(F.col("is_anomaly").cast("double"))).first()[0]
     assert abs(share - 0.1) < 0.01
+
+
+def test_registry_promotes_only_a_better_sound_model(spark, tmp_path):
+
+    import pytest
+
+    from tidemark.operators import registry as RG
+
+    path = str(tmp_path / "registry")
+    rows = data(spark, 1500).withColumn("ts", F.timestamp_seconds(F.col("seq") * 60 + 1_700_000_000))
+    kw = {"cols": ["a", "b", "c"], "n_trees": 20}
+    first = RG.retrain(rows, path, **kw).first()
+    assert first["promoted"] and first["current_margin"] is None and first["reload_difference"] == 0.0
+    assert first["train_rows"] + first["validation_samples"] == 1500 and first["kept_scores"] == 500
+    again = RG.retrain(rows, path, **kw).first()
+    assert not again["promoted"] and again["margin"] == again["current_margin"]
+    assert RG.promotions(spark, path) == [first["model"]]
+    assert not RG.promote(spark, path, again["model"], [])  # another trainer was faster
+    model, stats, windows = RG.load_model(spark, first["model"])
+    assert model["metadata"]["features"] == ["a", "b", "c"] and windows.count() == 5
+    with pytest.raises(ValueError):
+        AN.fit(rows, ["a"], ["seq"], n_trees=AN.MAX_TREES + 1)
+
+
+def test_scores_go_on_from_saved_windows(spark):
+    """Scoring in two parts, the second from the windows of the first, equals scoring at once."""
+    from tidemark.operators import registry as RG
+
+    rows = data(spark, 900).withColumn("ts", F.timestamp_seconds(F.col("seq") * 60 + 1_700_000_000))
+    model, stats = AN.train(rows, ["a", "b", "c"], n_trees=20)
+    whole = AN.score_frame(rows, model, stats)
+    early = AN.score_frame(rows.where("seq < 700"), model, stats)
+    late = RG.score_onward(rows.where("seq >= 700"), model, stats, RG.score_windows(early))
+    want = {r["seq"]: r["risk_percentage"] for r in whole.where("seq >= 700").collect()}
+    got = {r["seq"]: r["risk_percentage"] for r in late.collect()}
+    assert got == want and sorted(late.columns) == sorted(whole.columns)

@@ -232,3 +232,25 @@ def test_ema_lanes_equal_the_definition():
             state.append(held)
         got = ema_path(x, alpha, live)
         assert np.array_equal(got[0], want, equal_nan=True) and np.array_equal(got[1], state, equal_nan=True)
+
+
+def test_market_rows_in_one_pass_equal_separate_passes(spark, sf):
+    """Realtime, asset and change columns of one pass against a pass (and join) each; no join and one numbering in the plan."""
+    from tidemark.functions import series as S
+    from tidemark.operators import alerts as AL
+    from tidemark.plans.partitioning import materialize, over_series
+
+    bars = materialize(X.bars_1h(spark, sf))
+    frame = bars.select("symbol", "ts", F.col("close").alias("price"), "volume")
+    rt = R.rt_frame(frame).select("symbol", "ts", "price", "volume", "trap_type", "main_reason", "control", F.col("risk_score").alias("rt_score"))
+    change = over_series(frame, lambda d, s: d.withColumn("change", S.pct_change("price", s) * 100.0), halo=1).select("symbol", "ts", "change")
+    asset = R.asset_report(FT.feat_asset(bars)).select("symbol", "ts", F.least(F.col("trap_risk_score"), F.lit(100.0)).alias("risk_score"))
+    want = rt.join(asset, ["symbol", "ts"]).join(change, ["symbol", "ts"])
+    got = AL.market_rows(bars)
+    same(got.select(*want.columns), want)
+    chunked = AL.market_rows(bars, **SMALL)
+    same(chunked.select(*want.columns), want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") <= 2 and plan.count("Exchange hash") <= 12  # the numbering's two prefix joins only
+    numbered = AL.smoothed_risk(got, index="bar_no")
+    same(numbered, AL.smoothed_risk(got))

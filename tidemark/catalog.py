@@ -556,18 +556,10 @@ from tidemark.operators import merge as MG  # noqa: E402
 
 
 def market_rows(spark, d) -> DataFrame:
-    """Per 1-hour bar: realtime snapshot fields, change % and the per-asset
-    trap score (capped at 100) as the raw risk that drives alerts/events."""
     from tidemark.plans.partitioning import materialize
 
     bars = materialize(X.bars_1h(spark, d))  # ticks are scanned and aggregated once
-    frame = bars.select("symbol", "ts", F.col("close").alias("price"), "volume")
-    rt = R.rt_frame(frame).select(
-        "symbol", "ts", "price", "volume", "trap_type", "main_reason", "control", F.col("risk_score").alias("rt_score"))
-    chg = series_cols(frame, lambda s: {"change": S.pct_change("price", s) * 100.0}, 1)
-    asset = R.asset_report(FT.feat_asset(bars)).select(
-        "symbol", "ts", F.least(F.col("trap_risk_score"), F.lit(100.0)).alias("risk_score"))
-    return materialize(rt.join(asset, ["symbol", "ts"]).join(chg, ["symbol", "ts"]))
+    return materialize(AL.market_rows(bars))
 
 
 @query("alert_rules")
@@ -585,7 +577,7 @@ def _smoothed(spark, d, live=None):
     m = market_rows(spark, d)
     if live:
         m = m.withColumn("is_live", F.dayofmonth("ts") % 2 == 1)
-    return AL.smoothed_risk(m, live="is_live" if live else None)
+    return AL.smoothed_risk(m, live="is_live" if live else None, index="bar_no")
 
 
 SMOOTH_OUT = ["symbol", "ts", "risk_score", "smoothed_risk", "streak", "crossed_above", "is_critical", "display_level"]
@@ -618,7 +610,7 @@ def q_event_top10_history(spark, d):
 
 @query("event_change_log")
 def q_event_change_log(spark, d):
-    return finish(AL.change_log(_smoothed(spark, d)))
+    return finish(AL.change_log(_smoothed(spark, d), index="bar_no"))
 
 
 def _alerts(spark, d):
@@ -633,7 +625,17 @@ def q_snk_alert_payload(spark, d):
 
 @query("snk_alert_history")
 def q_snk_alert_history(spark, d):
-    return finish(AL.alert_history(_alerts(spark, d), 50))
+    """Append, clear, append in parts, merge, and read the newest 50."""
+    from tidemark.plans.partitioning import materialize
+
+    alerts, path = materialize(_alerts(spark, d)), _scratch(spark, "alerts")
+    SK.append_alert_history(alerts, path)
+    SK.clear_alert_history(spark, path)
+    for part in range(3):
+        SK.append_alert_history(alerts.where(F.hour("ts") % 3 == part), path, keep=200, version=f"part-{part}")
+        SK.append_alert_history(alerts.where(F.hour("ts") % 3 == part), path, keep=200, version=f"part-{part}")  # retried: appends nothing
+    SK.compact_alert_history(spark, path)
+    return finish(SK.read_alert_history(spark, path, 50))
 
 
 # ------------------------------------------------------- sets and top-k
@@ -789,16 +791,24 @@ def _scratch(spark, name: str) -> str:
 
 @query("ml_retrain_job")
 def q_ml_retrain_job(spark, d):
-    return finish(AN.retrain_job(_features(spark, d), path=_scratch(spark, "model")))
+    """Two trainings into one registry: the first is promoted, an equal one after it is not."""
+    from tidemark.operators import registry as RG
+    from tidemark.plans.partitioning import materialize
+
+    f, path = materialize(FT.feat_tick(X.frame_1h(spark, d))), _scratch(spark, "registry")
+    first, second = RG.retrain(f, path), RG.retrain(f, path)
+    both = first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+    return finish(both.drop("model"))
 
 
 @query("snk_model")
 def q_snk_model(spark, d):
+    """The nodes of a saved and reloaded model."""
+    from tidemark.operators import registry as RG
+
     f, model, stats = _model(spark, d)
-    path = _scratch(spark, "model")
-    AN.save(model, stats, path)
-    loaded, st2 = AN.load(spark, path)
-    return finish(loaded["nodes"])
+    folder = RG.save_candidate(_scratch(spark, "registry"), model, stats, RG.score_windows(AN.score_frame(f, model, stats)), {"rows": stats["rows"]})
+    return finish(RG.load_model(spark, folder)[0]["nodes"])
 
 
 @query("risk_snapshot_ml")

@@ -21,6 +21,30 @@ CRITICAL_THRESHOLD = 70.0
 CRITICAL_STREAK_UPDATES = 3
 
 
+def market_rows(bars: DataFrame, **plan) -> DataFrame:
+    """Per bar: realtime risk fields, change % and the per-asset trap score
+    (capped at 100) as ``risk_score``, the raw risk that drives alerts and
+    events. One pass over the series makes all of them; ``bar_no`` is the
+    bar's position in its series, so later passes need not number it again."""
+    from tidemark.operators import features as FT
+    from tidemark.operators import risk as R
+    from tidemark.operators.params import PARAM_COLUMNS, with_asset_params
+
+    def build(d, s: Series):
+        d = d.withColumn("change", S.pct_change("close", s) * 100.0)
+        d = FT.asset_cols(d, s)
+        d = d.withColumn("asset", F.struct(*[F.col(c) for c in FT.ASSET_OUT]))
+        d = d.drop(*[c for c in FT.ASSET_OUT if c not in FT.BAR_COLS], *[c for c in PARAM_COLUMNS if c != "symbol"])
+        return R.rt_cols(d.withColumn("price", F.col("close")), s)
+
+    out = R.rt_score_cols(over_series(with_asset_params(bars.select(*FT.BAR_COLS)), build, halo=48, **plan))
+    shown = ["price", "volume", "bar_no", "trap_type", "main_reason", "control", "change"]
+    rt = F.struct(*[F.col(c) for c in shown], F.col("risk_score").alias("rt_score"))
+    feats = out.select("symbol", "ts", rt.alias("rt"), *[F.col(f"asset.{c}").alias(c) for c in FT.ASSET_OUT if c not in ("symbol", "ts")])
+    asset = R.asset_report(FT._fill(feats, FT.ASSET_OUT))
+    return asset.select("symbol", "ts", "rt.*", F.least(F.col("trap_risk_score"), F.lit(100.0)).alias("risk_score"))
+
+
 def alert_rules(df: DataFrame, high_risk: float = 80.0, price_spike: float = 5.0, volume_limit: float = 1_000_000.0,
                 risk: str = "risk_score", change: str = "change", volume: str = "volume") -> DataFrame:
     """0..3 alerts per row: high risk, price spike (|change %|), volume."""

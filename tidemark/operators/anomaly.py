@@ -5,10 +5,10 @@
   its place is below a threshold slightly above psi / n, and each tree keeps
   its psi smallest places. No n x trees explosion, one hash a row, and the
   sample does not depend on partitioning or arrival order.
-* Growth: level by level for all trees at once. The rows of a node are one
-  window (tree, node); its size and the extremes of every feature are window
-  aggregates, the split feature and the threshold are drawn from the MD5 of
-  (seed, tree, node). All levels run on one shuffle by tree.
+* Growth: ``groupBy(tree_id)`` grows one tree per group of at most psi rows,
+  level by level. The split feature and the threshold of a node are drawn from
+  the MD5 of (seed, tree, node), so any engine can repeat a tree (the
+  reference SQL does, with window aggregates).
 * Model: a nodes table of at most trees x (2 psi - 1) rows (checked against
   ``MAX_NODES``), so it is shipped to every task as a broadcast variable;
   scoring is a vectorised ``mapInPandas`` traversal, one numpy pass per level.
@@ -19,6 +19,7 @@ order in which the scaler's sums were added.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 
@@ -71,11 +72,6 @@ def _digits(text: Column, at: int) -> Column:
     return F.conv(F.substring(F.md5(text), at, 13), 16, 10).cast("long")
 
 
-def _chance(text: Column, at: int) -> Column:
-    """A number in [0, 1) drawn from a text."""
-    return _digits(text, at).cast("double") / F.lit(float(SPACE))
-
-
 def _samples(df: DataFrame, features: list[str], key_cols: list[str], n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
     """``tree_id`` and the features of each tree's psi rows of smallest place."""
     frac = min(1.0, (psi + 8.0 * math.sqrt(psi) + 32.0) / max(n, 1))
@@ -88,32 +84,28 @@ def _samples(df: DataFrame, features: list[str], key_cols: list[str], n: int, n_
     return cand.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= psi).select("tree_id", *features)
 
 
-def _grow(sample: DataFrame, features: list[str], max_depth: int, seed: int) -> DataFrame:
-    """All trees of ``sample`` level by level; node k has the children 2k+1 and 2k+2."""
-    x = [f"_x{i}" for i in range(len(features))]
-    rows = sample.select("tree_id", *[F.coalesce(F.when(~F.isnan(f) & (F.abs(F.col(f)) < float("inf")), F.col(f)), F.lit(0.0)).alias(c)
-                                      for f, c in zip(features, x)], F.lit(0).alias("_node"))
-    node = Window.partitionBy("tree_id", "_node")
+def _grow(x: np.ndarray, tree: int, max_depth: int, seed: int) -> list[tuple]:
+    """The nodes of one tree over the rows ``x``; node k has the children 2k+1 and 2k+2."""
+    out = []
+    level = [(0, np.arange(len(x)))]
     for depth in range(max_depth + 1):
-        rows = rows.withColumns({"_size": F.count(F.lit(1)).over(node).cast("int"),
-                                 **{f"_lo{c}": F.min(c).over(node) for c in x}, **{f"_hi{c}": F.max(c).over(node) for c in x}})
-        usable = F.array_compact(F.array(*[F.when(F.col(f"_hi{c}") > F.col(f"_lo{c}"), F.lit(i)) for i, c in enumerate(x)]))
-        name = F.concat_ws(":", F.lit(str(seed)), F.col("tree_id").cast("string"), F.col("_node").cast("string"))
-        rows = rows.withColumn("_usable", usable).withColumn("_leaf", (F.lit(depth) == max_depth) | (F.size("_usable") == 0))
-        pick = F.get("_usable", F.floor(_chance(name, 1) * F.size("_usable")).cast("int"))
-        rows = rows.withColumn("_f", F.when(~F.col("_leaf"), pick))
-        lo, hi, own = (F.get(F.array(*[F.col(p + c) for c in x]), F.col("_f")) for p in ("_lo", "_hi", ""))
-        rows = rows.withColumn("_t", lo + _chance(name, 14) * (hi - lo))
-        told = F.when(F.col("_node").isNotNull(), F.struct(
-            F.col("_node").alias("node_id"), F.coalesce("_f", F.lit(-1)).alias("feature"), F.coalesce("_t", F.lit(0.0)).alias("threshold"),
-            F.col("_size").alias("size"), F.lit(depth).alias("depth"), F.col("_leaf").alias("is_leaf")))
-        after = F.when(own < F.col("_t"), F.col("_node") * 2 + 1).otherwise(F.col("_node") * 2 + 2)
-        rows = rows.select("tree_id", *x, *[f"_told{d}" for d in range(depth)], told.alias(f"_told{depth}"),
-                           F.when(~F.col("_leaf"), after).alias("_node"))
-    each = rows.select("tree_id", F.explode(F.array_compact(F.array(*[f"_told{d}" for d in range(max_depth + 1)]))).alias("n"))
-    nodes = each.groupBy("tree_id", F.col("n.node_id").alias("node_id")).agg(F.max("n").alias("n"))
-    child = lambda k: F.when(F.col("n.is_leaf"), F.lit(-1)).otherwise(F.col("node_id") * 2 + k)
-    return nodes.select("tree_id", "node_id", child(1).alias("left"), child(2).alias("right"), "n.feature", "n.threshold", "n.size", "n.depth", "n.is_leaf")
+        below = []
+        for node, rows in level:
+            own = x[rows]
+            lo, hi = own.min(axis=0), own.max(axis=0)
+            usable = np.flatnonzero(hi > lo)
+            if depth == max_depth or not len(usable):
+                out.append((node, -1, -1, -1, 0.0, len(rows), depth, True))
+                continue
+            drawn = hashlib.md5(f"{seed}:{tree}:{node}".encode()).hexdigest()
+            f = int(usable[int(int(drawn[:13], 16) / SPACE * len(usable))])
+            t = float(lo[f] + int(drawn[13:26], 16) / SPACE * (hi[f] - lo[f]))
+            out.append((node, 2 * node + 1, 2 * node + 2, f, t, len(rows), depth, False))
+            left = own[:, f] < t
+            below += [(2 * node + 1, rows[left]), (2 * node + 2, rows[~left])]
+        # a threshold that rounds onto the least value leaves nothing to its left
+        level = [(node, rows) for node, rows in below if len(rows)]
+    return out
 
 
 def fit(df: DataFrame, features: list[str], key_cols: list[str], n_trees: int = 100, psi: int = 256,
@@ -122,6 +114,7 @@ def fit(df: DataFrame, features: list[str], key_cols: list[str], n_trees: int =
     a nodes DataFrame plus metadata (psi, depth limit, columns). ``n`` is the
     number of rows, if it is known already."""
     from tidemark.plans.partitioning import materialize
+    from tidemark.session import ship_package
 
     if n_trees > MAX_TREES:
         raise ValueError(f"{n_trees} trees, at most {MAX_TREES}")
@@ -131,7 +124,15 @@ def fit(df: DataFrame, features: list[str], key_cols: list[str], n_trees: int =
         raise ValueError(f"{n_trees} trees of {psi} rows: more than {MAX_NODES} nodes")
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     rounded = df.select(*[F.round(F.col(c), PLACES).alias(c) for c in features], *key_cols)
-    nodes = _grow(_samples(rounded, features, key_cols, n, n_trees, psi, seed), features, max_depth, seed)
+
+    def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        x = np.nan_to_num(rows[features].to_numpy(dtype="float64"), nan=0.0, posinf=0.0, neginf=0.0)
+        nodes = pd.DataFrame(_grow(x, int(key[0]), max_depth, seed), columns=["node_id", "left", "right", "feature", "threshold", "size", "depth", "is_leaf"])
+        nodes.insert(0, "tree_id", key[0])
+        return nodes
+
+    ship_package(df.sparkSession)
+    nodes = _samples(rounded, features, key_cols, n, n_trees, psi, seed).groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA)
     return {"nodes": materialize(nodes), "psi": psi, "max_depth": max_depth, "features": list(features), "n_trees": n_trees,
             "seed": seed, "n_features": len(features)}
 
@@ -271,20 +272,3 @@ def latest_risk(scored: DataFrame) -> DataFrame:
     from tidemark.operators.risk import latest_per_symbol
 
     return latest_per_symbol(scored).select("symbol", "ts", "anomaly_score", "risk_percentage")
-
-
-def retrain_job(features_df: DataFrame, path: str | None = None, validation_split: float = 0.2, **kw) -> DataFrame:
-    """Split each symbol by time, fit on the train part, validate on the
-    rest (metrics on risk %), optionally save the model; one metrics row."""
-    from tidemark.operators.merge import split_by_time
-    from tidemark.operators.stats import validation_metrics
-
-    from tidemark.plans.partitioning import materialize
-
-    split = materialize(split_by_time(features_df, validation_split))
-    model, stats = train(split.filter(F.col("split") == "train").drop("split"), **kw)
-    model["nodes"] = model["nodes"].cache()
-    scored = score_frame(split.filter(F.col("split") == "validation").drop("split"), model, stats)
-    if path:
-        save(model, stats, path)
-    return validation_metrics(scored, "risk_percentage").withColumn("n_nodes", F.lit(model["nodes"].count()))

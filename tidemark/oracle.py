@@ -646,16 +646,18 @@ ORACLE["ml_scale"] = f"with {BASE_1H},\n{ENGINE_SQL},\nef as (select symbol, ts,
 
 
 
-def forest_sql(src: str, cols: list[str], trees: int = 100, psi: int = 256, seed: int = 42) -> str:
-    """Isolation forest over ``src`` (symbol, ts, columns): ``zs`` (scaled rows), ``nodes``, ``scores``.
+def forest_sql(src: str, cols: list[str], trees: int = 100, psi: int = 256, seed: int = 42, asked: str | None = None) -> str:
+    """Isolation forest over ``src`` (symbol, ts, columns): ``zs`` (scaled rows), ``nodes``, and ``scores`` of the rows of ``asked`` (``src``).
 
     Unrolled to the depth of a full sample, all rows of a node by one window."""
     depth = 8
-    z = [f"coalesce({sround(f'({c} - avg({c}) over ()) / (case when stddev_pop({c}) over () = 0 then 1.0 else stddev_pop({c}) over () end)', 9)}, 0.0) as x{i}"
-         for i, c in enumerate(cols)]
+    z = [f"coalesce({sround(f'({c} - m{i}) / (case when s{i} = 0 then 1.0 else s{i} end)', 9)}, 0.0) as x{i}" for i, c in enumerate(cols)]
+    stat = ", ".join(f"avg({c}) as m{i}, stddev_pop({c}) as s{i}" for i, c in enumerate(cols))
     xs = [f"x{i}" for i in range(len(cols))]
     hexa = lambda text, at: f"cast('0x' || substr(md5({text}), {at}, 13) as bigint)"
-    out = [f"""zs as materialized (select symbol, ts, row_number() over (order by symbol, ts) as rid, count(*) over () as n, {', '.join(z)} from {src})""",
+    out = [f"""zstat as materialized (select count(*) as n, {stat} from {src})""",
+           f"""zs as materialized (select symbol, ts, row_number() over (order by symbol, ts) as rid, n, {', '.join(z)} from {src}, zstat)""",
+           f"""za as materialized (select symbol, ts, row_number() over (order by symbol, ts) as rid, n, {', '.join(z)} from {asked or src}, zstat)""",
            f"""hs as (select *, {hexa(f"symbol || '|' || cast(ts as varchar) || '|{seed}'", 1)} as ha, {hexa(f"symbol || '|' || cast(ts as varchar) || '|{seed}'", 14)} as hb from zs)""",
            f"""lv0 as materialized (select tree_id, rid, {', '.join(xs)}, 0 as node, least(n, {psi}) as psi from hs, (select unnest(range({trees})) as tree_id)
   qualify row_number() over (partition by tree_id order by (ha + tree_id * hb) % 4503599627370496, symbol, ts) <= least(n, {psi}))"""]
@@ -673,14 +675,14 @@ def forest_sql(src: str, cols: list[str], trees: int = 100, psi: int = 256, seed
         told.append(f"select distinct tree_id, node, case when is_leaf then -1 else f end as feature, case when is_leaf then 0.0 else t end as threshold, size, {d} as depth, is_leaf from th{d}")
     out.append("nodes as materialized (" + " union all ".join(told) + ")")
     cfac = lambda n: f"(case when {n} > 2 then 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} when {n} = 2 then 1.0 else 0.0 end)"
-    out.append(f"wk0 as (select z.rid, z.n, {', '.join('z.' + x for x in xs)}, nd.* from zs z, nodes nd where nd.node = 0)")
+    out.append(f"wk0 as (select z.rid, z.n, {', '.join('z.' + x for x in xs)}, nd.* from za z, nodes nd where nd.node = 0)")
     for d in range(depth):
         own = "[" + ", ".join(f"w.{x}" for x in xs) + "]"
         out.append(f"wk{d + 1} as (select w.rid, w.n, {', '.join('w.' + x for x in xs)}, nd.* from wk{d} w join nodes nd on nd.tree_id = w.tree_id "
                    f"and nd.node = case when {own}[w.feature + 1] < w.threshold then w.node * 2 + 1 else w.node * 2 + 2 end where not w.is_leaf)")
     ends = " union all ".join(f"select rid, n, depth + {cfac('size')} as h from wk{d} where is_leaf" for d in range(depth + 1))
     out.append(f"scores as materialized (select z.symbol, z.ts, power(2.0, -avg(h) / {cfac(f'least(any_value(e.n), {psi})')}) as anomaly_score "
-               f"from ({ends}) e join zs z using (rid) group by z.symbol, z.ts)")
+               f"from ({ends}) e join za z using (rid) group by z.symbol, z.ts)")
     return ",\n".join(out)
 
 
@@ -699,6 +701,22 @@ ORACLE["ml_latest_risk"] = FOREST + (f"\nselect symbol, ts, {r6('anomaly_score')
 ORACLE["ml_score_table"] = FOREST + "\nselect symbol, ts, " + ", ".join(
     f"{r6(c)} as {c}" for c in ["price", "volume"] + _ENG_F + ["anomaly_score", "risk_percentage"]) + f", {band_model_sql('risk_percentage')} as risk_level from scored"
 ORACLE["snk_model"] = ORACLE["ml_iforest_fit"]
+_PCT = f"""greatest(0.0, least(100.0, case when max(anomaly_score) {W(-99, 0)} - min(anomaly_score) {W(-99, 0)} > 0
+    then (anomaly_score - min(anomaly_score) {W(-99, 0)}) / (max(anomaly_score) {W(-99, 0)} - min(anomaly_score) {W(-99, 0)}) * 100.0 else 50.0 end))"""
+ORACLE["ml_retrain_job"] = f"with {BASE_1H},\n{TICK_SQL},\nef as materialized (select symbol, ts, " + ", ".join(
+    f"cast(coalesce({c}, 0) as double) as {c}" for c in _ENG_F) + f""" from t2),
+cutoff as (select symbol, floor(count(*) * (1.0::double - 0.2::double)) as cut from ef group by symbol),
+parts as materialized (select ef.*, row_number() over (partition by ef.symbol order by ts) <= cut as is_train from ef join cutoff using (symbol)),
+tr as materialized (select * from parts where is_train), va as materialized (select * from parts where not is_train),
+{forest_sql('tr', _ENG_F, asked='va')},
+rp as materialized (select symbol, ts, anomaly_score, {_PCT} as pct from scores),
+metric as (select count(*) as validation_samples, {r6('avg(cast(pct > 90 as double))')} as anomaly_rate, {r6('avg(pct)')} as mean_score,
+  {r6('stddev_pop(pct)')} as std_score, cast(count_if(pct > 80) as bigint) as high_risk_count,
+  {r6('avg(anomaly_score) filter (where anomaly_score >= (select quantile_cont(anomaly_score, 0.95) from scores)) - avg(anomaly_score)')} as margin from rp),
+kept as (select cast(sum(least(n, 100)) as bigint) as kept_scores, count(*) as symbols, cast(sum(n) as bigint) as train_rows from (select symbol, count(*) as n from tr group by symbol))
+select run, train_rows, symbols, validation_samples, anomaly_rate, mean_score, std_score, high_risk_count, (select count(*) from nodes) as n_nodes, kept_scores,
+  0.0::double as reload_difference, margin, case when run = 2 then margin end as current_margin, run = 1 as promoted
+from metric, kept, (select unnest([1, 2]) as run)"""
 ORACLE["str_score_window"] = FOREST + f"\nselect symbol, ts, {r6('anomaly_score')} as anomaly_score, {r6('risk_percentage')} as risk_percentage from scored"
 
 # ------------------------------------------------------------------ sinks (read-back equals the written query)

@@ -166,6 +166,7 @@ def over_series(
     chunk_rows: int | None = None,
     bucket_size: int | None = None,
     keep_index: str | None = None,
+    index: str | None = None,
     plain: bool = False,
     checkpoint: bool = False,
     reread: bool = False,
@@ -174,7 +175,9 @@ def over_series(
 
     ``halo`` must be >= the furthest look-back (in rows) of ``build`` and
     ``lookahead`` >= its furthest look-ahead. ``keep_index`` keeps the row
-    position under that name. ``plain=True`` gives the unsplit plan.
+    position under that name; ``index`` names a column that holds it already
+    (of an earlier pass over the same rows), so they are not numbered again.
+    ``plain=True`` gives the unsplit plan.
     ``checkpoint=True`` writes the chunked input to the checkpoint dir first
     (for builds that read it more than once, e.g. prefix totals).
 
@@ -194,7 +197,7 @@ def over_series(
     bucket_size = bucket_size or conf_int(spark, BUCKET_SECONDS_CONF, DEFAULT_BUCKET_SECONDS)
     if reread:
         df = materialize(df)
-    indexed = index_rows(df, key, order, bucket_size)
+    indexed = df.withColumn(IDX, F.col(index).cast("long")) if index else index_rows(df, key, order, bucket_size)
     spread = spread_halo(indexed, halo, lookahead, chunk_rows)
     if checkpoint:
         spread = materialize(spread)

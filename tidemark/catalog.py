@@ -458,7 +458,11 @@ def q_fn_clean_features(spark, d):
     raw = series_cols(X.bars_1h(spark, d), lambda s: {
         "price_return": S.pct_change("close", s), "volume_change": S.pct_change("volume", s),
         "volatility": S.rolling_std("close", 10, s)}, 10)
-    return finish(raw.na.fill(0.0, ["price_return", "volume_change", "volatility"]))
+    # a feed may carry infinities and NaN: three hours of the day do
+    hour = F.hour("ts")
+    dirty = F.when(hour == 3, float("inf")).when(hour == 4, float("-inf")).when(hour == 5, float("nan"))
+    names = ["price_return", "volume_change", "volatility"]
+    return finish(raw.select("symbol", "ts", *[SC.fill0(F.coalesce(dirty, F.col(c))).alias(c) for c in names]))
 
 
 MODEL_FEATURES = ["price_return", "volume_change", "volatility", "breakout_strength", "is_breakout", "pv_divergence"]
@@ -620,7 +624,7 @@ def _alerts(spark, d):
 
 @query("snk_alert_payload")
 def q_snk_alert_payload(spark, d):
-    return finish(AL.alert_payload(_alerts(spark, d)).drop("payload"))
+    return finish(AL.alert_payload(_alerts(spark, d)))
 
 
 @query("snk_alert_history")
@@ -721,17 +725,14 @@ def q_src_coerce_types(spark, d):
     return finish(FD.coerce_types(raw, ["shipdate"], ["quantity", "extendedprice"]))
 
 
-ORDERS_SCHEMA = "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 
 
 @query("src_bars_file")
 def q_src_bars_file(spark, d):
-    o = spark.read.schema(ORDERS_SCHEMA).parquet(f"{d}/orders.parquet")
-    bars = o.groupBy(F.col("o_orderpriority").alias("symbol"), F.col("o_orderdate").cast("timestamp").alias("ts")).agg(
-        F.min_by("o_totalprice", "o_orderkey").alias("open"), F.max("o_totalprice").alias("high"),
-        F.min("o_totalprice").alias("low"), F.max_by("o_totalprice", "o_orderkey").alias("close"),
-        F.count(F.lit(1)).cast("double").alias("volume"))
-    return finish(FT.require_columns(bars, FT.BAR_COLS))
+    """Bars written as a CSV file table, read with the given schema, checked and sorted."""
+    path = _scratch(spark, "bars-csv")
+    SK.write_table(X.bars_daily_orders(spark, d), path, fmt="csv")
+    return finish(FT.require_columns(FD.read_bars(spark, path, "csv"), FT.BAR_COLS).orderBy("symbol", "ts"))
 
 
 # ------------------------------------------------------------ anomaly model
@@ -823,14 +824,10 @@ def q_risk_snapshot_ml(spark, d):
 from tidemark.streaming import jobs as SJ  # noqa: E402
 
 
-def _ordered_copy(spark, df, name, files=4):
-    return SJ.materialize_in_order(df, SJ.scratch(spark, name), "ts", files)
-
-
 @query("src_stream_files")
 def q_src_stream_files(spark, d):
-    path = _ordered_copy(spark, X.table(spark, d, "events").withColumn("ts", F.col("ts")), "events-copy")
-    return finish(SJ.run_available_now(SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA)), "ticks"))
+    """The given files as a stream, not copied."""
+    return finish(SJ.run_available_now(SJ.tick_stream(spark, d), "ticks"))
 
 
 @query("str_bars")
@@ -870,9 +867,10 @@ def q_str_score_window(spark, d):
 
 @query("str_micro_batch_scoring")
 def q_str_micro_batch_scoring(spark, d):
-    path = _ordered_copy(spark, X.table(spark, d, "events"), "events-copy")
-    ticks = SJ.events_to_ticks(SJ.file_stream(spark, path, SJ.EVENTS_SCHEMA))
-    out = SJ.micro_batch_scorer(spark, ticks)
+    ev, base = X.table(spark, d, "events"), SJ.scratch(spark, "micro-batches")
+    path = SJ.write_waves(ev, SJ.scratch(spark, "events-waves"), closing=False)
+    for raw in SJ.waves(spark, path, SJ.EVENTS_SCHEMA):  # a restart from the checkpoint after each wave
+        out = SJ.micro_batch_scorer(spark, SJ.events_to_ticks(raw), base=base)
     return finish(out.select("symbol", "ts", "risk_score", "risk_level", "trap_type", "control", *COMP,
                              *flat_reasons(F.col("reasons"))))
 

@@ -35,8 +35,8 @@ def truth(cond: Column) -> Column:
 
 
 def fill0(x) -> Column:
-    """NULL -> 0 (Spark never produces +-inf here: divisions use try_divide)."""
-    return F.coalesce(col(x), F.lit(0))
+    """NULL, NaN and +-inf -> 0 (the comparison is false for each of them)."""
+    return F.when(F.abs(col(x)) < F.lit(float("inf")), col(x)).otherwise(F.lit(0))
 
 
 def ratio_change(x, base) -> Column:

@@ -141,24 +141,38 @@ def change_log(sm: DataFrame, **plan) -> DataFrame:
     return out.select("symbol", "ts", F.posexplode("_ev").alias("seq", "e")).select("symbol", "ts", "seq", "e.level", "e.message")
 
 
-def alert_payload(alerts: DataFrame) -> DataFrame:
-    """Delivery-ready fields: severity colours (70 / 40 bands), title,
-    formatted score and time, mail subject, and a chat JSON payload."""
+def alert_payload(alerts: DataFrame, sender: str = "Market alerts", channel: str = "#alerts") -> DataFrame:
+    """Delivery-ready fields and texts of each alert: severity colours (70 / 40
+    bands), title, formatted score and time, mail subject and body, console
+    text, and the JSON bodies of a chat message and of an embed."""
     r = F.col("risk_score")
+    upper = F.upper("symbol")
     out = alerts.select(
         "symbol", "ts", "alert_type", "message", "risk_score",
         F.when(r >= 70, CHAT_COLORS[2]).when(r >= 40, CHAT_COLORS[1]).otherwise(CHAT_COLORS[0]).alias("chat_color"),
         F.when(r >= 70, F.lit(EMBED_COLORS[2])).when(r >= 40, F.lit(EMBED_COLORS[1])).otherwise(F.lit(EMBED_COLORS[0])).alias("embed_color"),
-        F.concat(F.lit("Alert: "), F.upper("symbol")).alias("title"),
+        F.concat(F.lit("Alert: "), upper).alias("title"),
         F.concat(fixed(r, 1), F.lit("%")).alias("risk_text"),
         F.date_format("ts", "HH:mm:ss").alias("time_text"),
-        F.concat(F.lit("Market alert: "), F.upper("symbol"), F.lit(" - "), F.col("alert_type")).alias("subject"),
+        F.concat(F.lit("Market alert: "), upper, F.lit(" - "), F.col("alert_type")).alias("subject"),
     )
-    return out.withColumn("payload", F.to_json(F.struct(
-        F.col("title"), F.col("message").alias("text"), F.col("chat_color").alias("color"),
-        F.array(F.struct(F.lit("Type").alias("title"), F.col("alert_type").alias("value")),
-                F.struct(F.lit("Risk Score").alias("title"), F.col("risk_text").alias("value")),
-                F.struct(F.lit("Time").alias("title"), F.col("time_text").alias("value"))).alias("fields"))))
+    when = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    facts = [("Symbol", upper), ("Type", F.col("alert_type")), ("Message", F.col("message")), ("Risk Score", F.col("risk_text")), ("Time", when)]
+    lines = [F.concat(F.lit(f"{name}: "), value) for name, value in facts]
+    shown = [("Type", F.col("alert_type")), ("Risk Score", F.col("risk_text")), ("Time", F.col("time_text"))]
+
+    def fields(name: str, short: str):
+        return F.array(*[F.struct(F.lit(n).alias(name), v.alias("value"), F.lit(True).alias(short)) for n, v in shown]).alias("fields")
+
+    attachment = F.struct(F.col("chat_color").alias("color"), "title", F.col("message").alias("text"), fields("title", "short"))
+    embed = F.struct("title", F.col("message").alias("description"), F.col("embed_color").alias("color"), fields("name", "inline"),
+                     F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))
+    return out.withColumns({
+        "mail_body": F.concat_ws("\n", F.lit(sender), F.lit(""), *lines, F.lit(""), F.lit("This is an automated alert.")),
+        "console_text": F.concat_ws("\n", F.concat(F.lit("ALERT ["), when, F.lit("] "), upper), *[F.concat(F.lit("   "), x) for x in lines[1:4]]),
+        "payload": F.to_json(F.struct(F.lit(channel).alias("channel"), F.lit(sender).alias("username"), F.array(attachment).alias("attachments"))),
+        "embed_payload": F.to_json(F.struct(F.lit(sender).alias("username"), F.array(embed).alias("embeds"))),
+    })
 
 
 def alert_history(alerts: DataFrame, n: int = 50) -> DataFrame:

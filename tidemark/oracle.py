@@ -464,10 +464,9 @@ ORACLE["fn_high_risk_filter"] = f"with {ASSET_RISK}\n" + (
 B1H = f"with {TICKS},\n{BARS_1H}\n"
 ORACLE["fn_safe_divide"] = B1H + f"select symbol, ts, {r6('case when (high - low) = 0 then 0.0 else (close - open) / (high - low) end')} as body_share from bars_1h"
 ORACLE["fn_clip01"] = B1H + f"select symbol, ts, {r6(clip01('(close - open) / nullif(open, 0) * 10.0'))} as move01 from bars_1h"
-ORACLE["fn_clean_features"] = B1H + (
-    f"select symbol, ts, {r6(f'coalesce({pct(chr(99) + chr(108) + chr(111) + chr(115) + chr(101))}, 0.0)')} as price_return, "
-    f"{r6(f'coalesce({pct(chr(118) + chr(111) + chr(108) + chr(117) + chr(109) + chr(101))}, 0.0)')} as volume_change, "
-    f"{r6(f'coalesce(stddev_samp(close) {W(-9, 0)}, 0.0)')} as volatility from bars_1h")
+_RAW = {"price_return": pct("close"), "volume_change": pct("volume"), "volatility": f"stddev_samp(close) {W(-9, 0)}"}
+ORACLE["fn_clean_features"] = B1H + "select symbol, ts, " + ", ".join(
+    f"case when hour(ts) in (3, 4, 5) then 0.0 else {r6(f'coalesce({x}, 0.0)')} end as {c}" for c, x in _RAW.items()) + " from bars_1h"
 ORACLE["fn_align_features"] = f"with {BARS_LI},\n{daily_sql('bars_li')}\n" + (
     f"select symbol, ts, {r6('coalesce(price_return, 0)')} as price_return, {r6('coalesce(volume_change, 0)')} as volume_change, "
     f"{r6('coalesce(volatility, 0)')} as volatility, {r6('coalesce(breakout_strength, 0)')} as breakout_strength, "
@@ -537,12 +536,22 @@ ORACLE["alert_volume_multiple"] = (
     f"with {TICKS},\n{BARS_1H},\nvm as (select symbol, ts, volume, avg(volume) {W(-20, -1)} as volume_mean from bars_1h)\n"
     f"select symbol, ts, {r6('volume')} as volume, {r6('volume_mean')} as volume_mean, 'volume_anomaly' as alert_type, "
     "'Unusual volume detected: ' || format('{:,.0f}', volume) as message from vm where volume > 3.0 * volume_mean")
-ORACLE["snk_alert_payload"] = ALERTS + (
-    "\nselect symbol, ts, alert_type, message, " + r6("risk_score") + " as risk_score, "
-    "case when risk_score >= 70 then 'danger' when risk_score >= 40 then 'warning' else 'good' end as chat_color, "
-    "case when risk_score >= 70 then 16711680 when risk_score >= 40 then 16755200 else 65280 end as embed_color, "
-    "'Alert: ' || upper(symbol) as title, printf('%.1f', risk_score) || '%' as risk_text, strftime(ts, '%H:%M:%S') as time_text, "
-    "'Market alert: ' || upper(symbol) || ' - ' || alert_type as subject from alerts")
+_SHOWN = "[{{'{name}': 'Type', 'value': alert_type, '{short}': true}}, {{'{name}': 'Risk Score', 'value': risk_text, '{short}': true}}, {{'{name}': 'Time', 'value': time_text, '{short}': true}}]"
+ORACLE["snk_alert_payload"] = ALERTS + f""",
+pl as (select symbol, ts, alert_type, message, {r6("risk_score")} as risk_score,
+  case when risk_score >= 70 then 'danger' when risk_score >= 40 then 'warning' else 'good' end as chat_color,
+  case when risk_score >= 70 then 16711680 when risk_score >= 40 then 16755200 else 65280 end as embed_color,
+  'Alert: ' || upper(symbol) as title, printf('%.1f', risk_score) || '%' as risk_text, strftime(ts, '%H:%M:%S') as time_text,
+  'Market alert: ' || upper(symbol) || ' - ' || alert_type as subject, strftime(ts, '%Y-%m-%d %H:%M:%S') as stamp from alerts)
+select * exclude (stamp),
+  concat_ws(chr(10), 'Market alerts', '', 'Symbol: ' || upper(symbol), 'Type: ' || alert_type, 'Message: ' || message, 'Risk Score: ' || risk_text,
+    'Time: ' || stamp, '', 'This is an automated alert.') as mail_body,
+  concat_ws(chr(10), 'ALERT [' || stamp || '] ' || upper(symbol), '   Type: ' || alert_type, '   Message: ' || message, '   Risk Score: ' || risk_text) as console_text,
+  cast(to_json({{'channel': '#alerts', 'username': 'Market alerts', 'attachments': [
+    {{'color': chat_color, 'title': title, 'text': message, 'fields': {_SHOWN.format(name='title', short='short')}}}]}}) as varchar) as payload,
+  cast(to_json({{'username': 'Market alerts', 'embeds': [{{'title': title, 'description': message, 'color': embed_color,
+    'fields': {_SHOWN.format(name='name', short='inline')}, 'timestamp': strftime(ts, '%Y-%m-%dT%H:%M:%S')}}]}}) as varchar) as embed_payload
+from pl"""
 ORACLE["snk_alert_history"] = ALERTS + "\n" + out_select(
     "(select * from alerts order by ts desc, symbol, alert_type limit 50)", ["symbol", "ts", "alert_type", "message"],
     ["risk_score", "change", "volume"], fill=False)

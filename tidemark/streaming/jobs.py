@@ -170,28 +170,35 @@ def stream_score_window(scored: DataFrame, watermark: str = "10 minutes", ttl: s
 WAVES = 2
 
 
-def write_waves(df: DataFrame, path: str, order: str = "ts", waves: int = WAVES) -> str:
+def write_waves(df: DataFrame, path: str, order: str = "ts", waves: int = WAVES, closing: bool = True) -> str:
     """``df`` as ``waves`` folders of consecutive event time (rows without a
-    time in the first), and a last one with the end marker. The number of jobs
+    time in the first), and with ``closing`` a last one with the end marker. The number of jobs
     does not grow with the data and no file is written by one task alone."""
     spark = df.sparkSession
     df.write.parquet(f"{path}-rows")
     rows = spark.read.schema(df.schema).parquet(f"{path}-rows")
-    at = F.unix_micros(order)
+    at = F.unix_micros(F.col(order).cast("timestamp"))
     cuts = rows.agg(F.percentile_approx(at, [(i + 1) / waves for i in range(waves - 1)])).first()[0] or []
     wave = sum([F.coalesce((at > c).cast("int"), F.lit(0)) for c in cuts], F.lit(0))
     rows.withColumn("_wave", wave).write.partitionBy("_wave").parquet(path)
-    end_marker(df, time=order).write.parquet(f"{path}/_wave={waves}")
+    if closing:
+        end_marker(df, time=order).write.parquet(f"{path}/_wave={waves}")
     return path
 
 
-def run_waves(spark: SparkSession, path: str, schema, build, name: str, waves: int = WAVES) -> tuple[DataFrame, DataFrame]:
+def waves(spark: SparkSession, path: str, schema, count: int = WAVES):
+    """The stream over the first folder of ``write_waves``, over the first two, and so on."""
+    for k in range(count):
+        seen = ",".join(map(str, range(k + 1)))
+        yield spark.readStream.schema(schema).parquet(f"{path}/_wave={{{seen}}}")
+
+
+def run_waves(spark: SparkSession, path: str, schema, build, name: str, count: int = WAVES) -> tuple[DataFrame, DataFrame]:
     """Run ``build(stream)`` over the folders of ``write_waves``, a restart from
     the checkpoint after each: results in time, and late rows."""
     base = scratch(spark, name)
-    for k in range(waves + 1):
-        seen = ",".join(map(str, range(k + 1)))
-        out = run_with_late(build(spark.readStream.schema(schema).parquet(f"{path}/_wave={{{seen}}}")), name, base)
+    for raw in waves(spark, path, schema, count + 1):
+        out = run_with_late(build(raw), name, base)
     return out
 
 

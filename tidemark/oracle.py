@@ -726,6 +726,8 @@ kept as (select cast(sum(least(n, 100)) as bigint) as kept_scores, count(*) as s
 select run, train_rows, symbols, validation_samples, anomaly_rate, mean_score, std_score, high_risk_count, (select count(*) from nodes) as n_nodes, kept_scores,
   0.0::double as reload_difference, margin, case when run = 2 then margin end as current_margin, run = 1 as promoted
 from metric, kept, (select unnest([1, 2]) as run)"""
+ORACLE["risk_snapshot_ml"] = (FOREST + f",{rt_sql('scored', 'risk_percentage')},\nlatest as (select * from rt qualify row_number() over (partition by symbol order by ts desc) = 1)\n"
+                              + rt_flat_select("latest"))
 ORACLE["str_score_window"] = FOREST + f"\nselect symbol, ts, {r6('anomaly_score')} as anomaly_score, {r6('risk_percentage')} as risk_percentage from scored"
 
 # ------------------------------------------------------------------ sinks (read-back equals the written query)

@@ -32,7 +32,7 @@ def test_search_equals_exhaustive_scoring(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     queries = [d for d, _ in rows if d % 20 == 0]
     want = brute(rows, queries, 10)
-    for shard, block, size in ((24_000, 16_000, 64), (150, 10, 8)):
+    for shard, block, size in ((1_500_000, 16_000, 64), (2_000, 10, 8)):
         monkeypatch.setattr(search, "SHARD", shard)
         monkeypatch.setattr(search, "QUERIES", block)
         got = sorted(map(tuple, search.search(docs.where("doc_id % 20 = 0"), docs).collect()))
@@ -44,4 +44,12 @@ def test_search_edges(odd, empty):
     got = search.search(odd, odd, k=3)
     assert got.where("query_id is null or doc_id is null").count() == 0
     assert got.where("query_id = 2 and rank = 1").count() == 1
+    assert got.where("query_id = 1 and rank = 1").count() == 3  # twice the same row and one of another text
     assert search.search(empty, empty).count() == 0
+
+
+def test_repeated_query_rows_keep_their_scores(spark):
+    docs = spark.createDataFrame([(i, f"common word{i % 7} tail{i}") for i in range(60)], "doc_id long, text string")
+    one = sorted(map(tuple, search.search(docs.where("doc_id = 20"), docs, k=4).collect()))
+    twice = docs.where("doc_id = 20").unionByName(docs.where("doc_id = 20"))
+    assert sorted(map(tuple, search.search(twice, docs, k=4).collect())) == sorted(one + one)

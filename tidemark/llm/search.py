@@ -2,7 +2,7 @@
 
 Statistics are global: document count, mean length, and the document frequency
 of every query term over all documents. Documents are dealt into shards of
-about ``SHARD`` documents, queries into blocks of about ``QUERIES``; each pair
+about ``SHARD`` postings, queries into blocks of about ``QUERIES``; each pair
 of a shard and a block is one bounded task (two dealings by key, no cross join).
 
 A shard is an inverted index over the block's vocabulary: postings by (term,
@@ -17,7 +17,8 @@ Scores are rounded to six places; ties go to the smaller doc_id.
 
 Defined cases: null text and text without words match nothing and, as a query,
 return nothing; rows with a null id are counted but neither searched for nor
-returned; repeated rows are returned as often as they occur; an empty table
+returned; repeated rows are returned as often as they occur, and a repeated
+query row is answered as often; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 
 K1, B = 1.2, 0.75
-SHARD = 24_000
+SHARD = 1_500_000  # postings
 QUERIES = 16_000
 DOCUMENTS = 64  # documents of a block
 FIRST_BLOCKS = 4  # blocks scored before there is a threshold
@@ -125,19 +126,22 @@ def search(queries: DataFrame, docs: DataFrame, k: int = 10, query_id: str = "do
     rows = written(index(docs, doc_id), "op7-index")
     n, mean = rows.agg(F.count(F.lit(1)), F.avg("length")).first()
     mean = mean or 1.0
-    asked = written(index(queries, query_id).where("id is not null").select("id", "terms"), "op7-queries")
-    words = asked.select("id", F.explode("terms").alias("term"))
+    # a repeated query row is searched for once and answered as often; rows that share an id are queries of their own
+    asked = written(index(queries, query_id).where("id is not null").groupBy("id", "terms").agg(F.count(F.lit(1)).cast("int").alias("times"))
+                    .withColumn("q", F.monotonically_increasing_id()), "op7-queries")
+    words = asked.select("q", F.explode("terms").alias("term"))
     frequency = (rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
                  .join(words.select("term").distinct(), "term"))
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    asked = written(words.join(frequency.select("term", idf.alias("idf")), "term").groupBy("id")
-                    .agg(F.collect_list("term").alias("terms"), F.collect_list("idf").alias("idf")), "op7-asked")
-    shards, blocks = max(1, -(-n // SHARD)), max(1, -(-asked.count() // QUERIES))
+    weighed = written(words.join(frequency.select("term", idf.alias("idf")), "term").groupBy("q")
+                      .agg(F.collect_list("term").alias("terms"), F.collect_list("idf").alias("idf")), "op7-asked")
+    postings = rows.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
+    shards, blocks = max(1, -(-postings // SHARD)), max(1, -(-weighed.count() // QUERIES))
     cell = F.col("shard") * blocks + F.col("blk")
     left = (rows.where("id is not null and length > 0").withColumn("shard", F.pmod(F.xxhash64("id", "length"), F.lit(shards)))
             .withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(cell.alias("cell"), "id", "length", "terms", "tf"))
-    right = (asked.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select(cell.alias("cell"), "id", "terms", "idf"))
+    right = (weighed.withColumn("blk", F.pmod(F.xxhash64("q"), F.lit(blocks)))
+             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select(cell.alias("cell"), F.col("q").alias("id"), "terms", "idf"))
 
     def flat(column):
         c = column.combine_chunks()
@@ -145,7 +149,7 @@ def search(queries: DataFrame, docs: DataFrame, k: int = 10, query_id: str = "do
         return np.diff(c.offsets.to_numpy()), c.flatten().to_numpy(zero_copy_only=False)
 
     def run(documents: pa.Table, asked: pa.Table) -> pa.Table:
-        schema = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
+        schema = pa.schema([("q", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
         if not documents.num_rows or not asked.num_rows:
             return schema.empty_table()
         q_many, q_term = flat(asked.column("terms"))
@@ -167,6 +171,8 @@ def search(queries: DataFrame, docs: DataFrame, k: int = 10, query_id: str = "do
             out.append(pa.table([pa.array(ids[lo:hi][r]), pa.array(d), pa.array(s)], schema=schema))
         return pa.concat_tables(out)
 
-    best = left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(run, "query_id long, doc_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    best = left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(run, "q long, doc_id long, score double")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "doc_id")
+    found = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    again = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")
+    return found.join(asked.select("q", F.col("id").alias("query_id"), again), "q").select("query_id", "rank", "doc_id", "score")

@@ -5,13 +5,17 @@ from __future__ import annotations
 LLM_ORACLE: dict[str, str] = {
     "op1_line_dedup": r"""
 WITH lines AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
-  FROM documents WHERE text IS NOT NULL),
+  SELECT doc_id, text, line, pos, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+    FROM documents WHERE text IS NOT NULL)),
 windows AS (
-  SELECT doc_id, pos, line, lead(line, 1) OVER w AS l1, lead(line, 2) OVER w AS l2 FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-firsts AS (
-  SELECT doc_id, pos, row_number() OVER (PARTITION BY line, l1, l2 ORDER BY doc_id, pos) AS nth FROM windows WHERE l2 IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM firsts, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1),
+  SELECT doc_id, pos, line, lead(line, 1) OVER w AS l1, lead(line, 2) OVER w AS l2, words, words + lead(words, 1) OVER w AS words2
+  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+firsts AS (  -- three lines, or fewer lines of over 50 words
+  SELECT doc_id, pos, 3 AS many, row_number() OVER (PARTITION BY line, l1, l2 ORDER BY doc_id, pos) AS nth FROM windows WHERE l2 IS NOT NULL
+  UNION ALL SELECT doc_id, pos, 2, row_number() OVER (PARTITION BY line, l1 ORDER BY doc_id, pos) FROM windows WHERE l1 IS NOT NULL AND words2 > 50
+  UNION ALL SELECT doc_id, pos, 1, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) FROM windows WHERE words > 50),
+gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM firsts, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1 AND k < many),
 marked AS (
   SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS cut,
          g.pos IS NOT NULL AND lag(g.pos) OVER (PARTITION BY l.doc_id ORDER BY l.pos) IS NULL AS opens

@@ -13,7 +13,7 @@ from tidemark.llm.common import body, read_table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"), over_words=line_dedup.OVER_WORDS)
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(body(), 256).alias("kept_sha256"))
 
 

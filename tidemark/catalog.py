@@ -581,7 +581,7 @@ def _smoothed(spark, d, live=None):
     m = market_rows(spark, d)
     if live:
         m = m.withColumn("is_live", F.dayofmonth("ts") % 2 == 1)
-    return AL.smoothed_risk(m, live="is_live" if live else None, index="bar_no")
+    return AL.smoothed_risk(m, live="is_live" if live else None, written=True, index="bar_no")
 
 
 SMOOTH_OUT = ["symbol", "ts", "risk_score", "smoothed_risk", "streak", "crossed_above", "is_critical", "display_level"]

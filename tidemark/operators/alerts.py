@@ -97,11 +97,13 @@ def smoothed_cols(df: DataFrame, s: Series, raw: str, alpha: float, threshold: f
 
 
 def smoothed_risk(df: DataFrame, raw: str = "risk_score", alpha: float = EMA_ALPHA, threshold: float = CRITICAL_THRESHOLD,
-                  streak_n: int = CRITICAL_STREAK_UPDATES, live: str | None = None, **plan) -> DataFrame:
+                  streak_n: int = CRITICAL_STREAK_UPDATES, live: str | None = None, written: bool = False, **plan) -> DataFrame:
     """EMA-smoothed risk, streak of updates >= threshold, upward crossing,
-    critical flag and display level, per symbol in time order."""
+    critical flag and display level, per symbol in time order. The chunks are
+    read twice; ``written`` says that ``df`` is a written table with its row
+    numbers (``index``), so they need not be written again."""
     out = over_series(df, lambda d, s: smoothed_cols(d, s, raw, alpha, threshold, streak_n, live),
-                      halo=0, checkpoint=not plan.get("plain", False), **plan)
+                      halo=0, checkpoint=not (written or plan.get("plain", False)), **plan)
     return out.withColumn("display_level", band_display("streak", F.round("smoothed_risk", 1)))  # the shown value decides
 
 

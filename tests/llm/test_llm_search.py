@@ -53,3 +53,21 @@ def test_repeated_query_rows_keep_their_scores(spark):
     one = sorted(map(tuple, search.search(docs.where("doc_id = 20"), docs, k=4).collect()))
     twice = docs.where("doc_id = 20").unionByName(docs.where("doc_id = 20"))
     assert sorted(map(tuple, search.search(twice, docs, k=4).collect())) == sorted(one + one)
+
+
+def test_queries_are_copied_for_few_cells_only(spark, monkeypatch):
+    """What is sent grows with cells, not shards: a cell streams through many shards. Blocks without known terms find nothing."""
+    monkeypatch.setattr(search, "SHARD", 40)
+    monkeypatch.setattr(search, "CELLS", 2)
+    kind = type(spark.range(1))
+    sent, deal = [], kind.repartitionById
+    monkeypatch.setattr(kind, "repartitionById", lambda df, *a: sent.append(df) or deal(df, *a))
+    rows = [(i, f"common word{i % 7} tail{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    queries = [d for d, _ in rows if d % 20 == 0]
+    found = search.search(docs.where("doc_id % 20 = 0"), docs, k=4)
+    assert [g[:3] for g in sorted(map(tuple, found.collect()))] == [w[:3] for w in brute(rows, queries, 4)]
+    assert sent[0].where(f"kind = {search.QUERY}").count() == 2 * len(queries) and sent[0].where(f"kind = {search.DOCUMENT}").count() == len(rows)
+    other = spark.createDataFrame([(1, "unknown here"), (2, None), (3, "unknown common")], "doc_id long, text string")
+    assert {r["query_id"] for r in search.search(other, docs, k=4).collect()} == {3}
+    assert search.search(other.where("doc_id < 3"), docs, k=4).count() == 0 and search.search(other.where("doc_id > 3"), docs, k=4).count() == 0

@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+
 from tidemark.llm import search
 
 
@@ -71,3 +73,37 @@ def test_queries_are_copied_for_few_cells_only(spark, monkeypatch):
     other = spark.createDataFrame([(1, "unknown here"), (2, None), (3, "unknown common")], "doc_id long, text string")
     assert {r["query_id"] for r in search.search(other, docs, k=4).collect()} == {3}
     assert search.search(other.where("doc_id < 3"), docs, k=4).count() == 0 and search.search(other.where("doc_id > 3"), docs, k=4).count() == 0
+
+
+def test_few_documents_are_scored_exactly(spark, monkeypatch):
+    """Product of frequent lists, cut postings, terms left out and skipped shards: same results, few exact scores."""
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(r.choices(words, [1 / (j + 1) for j in range(400)], k=r.randint(5, 80)))) for i in range(600)]
+    rows += [(700 + i, rows[40][1]) for i in range(6)]
+    for name, value in (("HEAD", 7), ("LEFT", 0.3), ("PAIRS", 50), ("TABLE", 900), ("SHARD", 2_000)):
+        monkeypatch.setattr(search, name, value)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    queries = [d for d, _ in rows if d % 20 == 0]
+    want = brute(rows, queries, 5)
+    got = sorted(map(tuple, search.search(docs.where("doc_id % 20 = 0"), docs, k=5).collect()))
+    assert [g[:3] for g in got] == [w[:3] for w in want] and all(abs(g[3] - w[3]) < 2e-6 for g, w in zip(got, want))
+    # the same in one cell, with the exact scores counted
+    rows = [d for d in rows if d[0] < 600]
+    index = {w: i for i, w in enumerate(words)}
+    counts = [sorted(Counter(index[w] for w in t.split()).items()) for _, t in rows]
+    df = Counter(w for c in counts for w, _ in c)
+    ragged = pa.array([[w for w, _ in c] for c in counts], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows]), pa.array([len(t.split()) for _, t in rows], pa.int32()), ragged,
+                                        pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32()))], ["id", "length", "terms", "tf"])
+    idf = [math.log(1 + (len(rows) - df[i] + 0.5) / (df[i] + 0.5)) for i in range(400)]
+    cell = search.Cell(5, sum(len(t.split()) for _, t in rows) / len(rows), 2_000)
+    scored, scores = [], search.Shard.scores
+    monkeypatch.setattr(search.Shard, "scores", lambda shard, wanted, at: scored.append(len(at)) or scores(shard, wanted, at))
+    cell.take(search.WORD, pa.RecordBatch.from_arrays([pa.array([list(range(400))], pa.list_(pa.int64())), pa.array([idf], pa.list_(pa.float64()))], ["terms", "idf"]))
+    asked = batch.filter(pa.array([d % 20 == 0 for d, _ in rows]))
+    cell.take(search.QUERY, asked)
+    cell.take(search.DOCUMENT, batch)
+    best = sorted(zip(*(c.to_pylist() for c in cell.result().columns)), key=lambda x: (x[0], -x[2], x[1]))
+    assert [b[:2] for b in best] == [(q, d) for q, _, d, _ in brute(rows, [d for d, _ in rows if d % 20 == 0], 5)]
+    assert sum(scored) < len(asked) * len(rows) / 4

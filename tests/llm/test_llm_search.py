@@ -3,7 +3,9 @@
 import math
 import random
 import re
+import time
 from collections import Counter
+from pathlib import Path
 
 import pyarrow as pa
 
@@ -107,3 +109,32 @@ def test_few_documents_are_scored_exactly(spark, monkeypatch):
     best = sorted(zip(*(c.to_pylist() for c in cell.result().columns)), key=lambda x: (x[0], -x[2], x[1]))
     assert [b[:2] for b in best] == [(q, d) for q, _, d, _ in brute(rows, [d for d, _ in rows if d % 20 == 0], 5)]
     assert sum(scored) < len(asked) * len(rows) / 4
+
+
+def shuffled(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p for d in dirs for p in Path(d.getPath()).rglob("shuffle_*")}
+
+
+def test_disk_holds_one_dealing_of_the_documents(spark, monkeypatch):
+    """Documents go once to a round, queries to a bounded number of cells, and what was dealt is gone afterwards."""
+    for name, value in (("SHARD", 10), ("CELL", 20), ("QUERIES", 4)):
+        monkeypatch.setattr(search, name, value)
+    kind = type(spark.range(1))
+    sent, deal = [], kind.repartitionById
+    monkeypatch.setattr(kind, "repartitionById", lambda df, *a: sent.append(df) or deal(df, *a))
+    rows = [(i, f"common word{i % 7} tail{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    queries = [d for d, _ in rows if d % 20 == 0]
+    before, conf = shuffled(spark), {k: spark.conf.get(k, None) for k in search.SETTINGS}
+    found = search.search(docs.where("doc_id % 20 = 0"), docs, k=4)
+    assert {k: spark.conf.get(k, None) for k in search.SETTINGS} == conf
+    for _ in range(100):
+        left = shuffled(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert [g[:3] for g in sorted(map(tuple, found.collect()))] == [w[:3] for w in brute(rows, queries, 4)]
+    assert len(sent) == 3 and all(s.where(f"kind = {search.DOCUMENT}").count() == len(rows) for s in sent)
+    assert sum(s.where(f"kind = {search.QUERY}").count() for s in sent) == search.MOST * len(queries)

@@ -7,6 +7,7 @@ import time
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 
 from tidemark.llm import search
@@ -138,3 +139,30 @@ def test_disk_holds_one_dealing_of_the_documents(spark, monkeypatch):
     assert [g[:3] for g in sorted(map(tuple, found.collect()))] == [w[:3] for w in brute(rows, queries, 4)]
     assert len(sent) == 3 and all(s.where(f"kind = {search.DOCUMENT}").count() == len(rows) for s in sent)
     assert sum(s.where(f"kind = {search.QUERY}").count() for s in sent) == search.MOST * len(queries)
+
+
+def test_ways_of_adding_up_give_the_same_results(monkeypatch):
+    """Products or lists, few or many postings at once, documents in any order: one result. Words are found by their first bits."""
+    r = random.Random(5)
+    hashes = [*sorted(r.randrange(-2**63, 2**63 - 1) for _ in range(200)), 2**63 - 1]
+    places = search.Numbers(np.array(hashes, np.int64))
+    assert places.find(np.array(hashes)).tolist() == list(range(201))
+    other = np.array([-2**63, 0, hashes[7] + 1, 2**63 - 1])
+    assert places.find(other).tolist() == np.searchsorted(np.array(hashes), other).tolist()
+    docs = [(i, Counter(r.choices(range(i % 2 * 40, 120), [1 / (j + 1) for j in range(120 - i % 2 * 40)], k=r.randint(1, 50)))) for i in range(300)]
+    idf = [math.log(1 + 300.5 / (sum(t in c for _, c in docs) + 0.5)) for t in range(120)]
+
+    def batch(rows):
+        lists = [pa.array([list(x) for x in column], pa.list_(kind)) for column, kind in (((c for _, c in rows), pa.int64()), ((c.values() for _, c in rows), pa.int32()))]
+        return pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([c.total() for _, c in rows], pa.int32()), *lists], ["id", "length", "terms", "tf"])
+
+    found = []
+    for values, order in (((0, 512, 0.0, 40_000), docs), ((1e9, 512, 0.0, 40_000), docs[::-1]), ((3, 9, 0.2, 70), sorted(docs, key=lambda d: d[0] % 2)), ((1e9, 0, 0.0, 9), docs)):
+        for name, value in zip(("PRODUCT", "HEAD", "FREQUENT", "PAIRS"), values):
+            monkeypatch.setattr(search, name, value)
+        cell = search.Cell(4, 20.0, 900)
+        cell.take(search.WORD, pa.RecordBatch.from_arrays([pa.array([list(range(120))], pa.list_(pa.int64())), pa.array([idf], pa.list_(pa.float64()))], ["terms", "idf"]))
+        cell.take(search.QUERY, batch(docs[:40]))
+        cell.take(search.DOCUMENT, batch(order))
+        found.append(sorted(zip(*(c.to_pylist() for c in cell.result().columns)), key=lambda x: (x[0], -x[2], x[1])))
+    assert len(found[0]) == 160 and all(f == found[0] for f in found)
